@@ -1,0 +1,74 @@
+"""Compare every registered query with its SQL on a sample folder.
+
+    python tests/compare.py [folder] [query ...]
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
+    return con
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    canonical = lambda v: "nan" if isinstance(v, float) and math.isnan(v) else repr(v)
+    return sorted(tuple(canonical(row[i]) for i in order) for row in rows)
+
+
+def difference(spark, con, query, sql, sf_dir) -> str | None:
+    """None where query and SQL agree in columns and rows, else what differs."""
+    frame = query(spark, sf_dir)
+    got = [tuple(row) for row in frame.collect()]
+    result = con.execute(sql)
+    names = [column[0] for column in result.description]
+    want = result.fetchall()
+    if sorted(names) != sorted(frame.columns):
+        return f"columns {sorted(frame.columns)} against {sorted(names)}"
+    left, right = _rows(frame.columns, got), _rows(names, want)
+    if left == right:
+        return None
+    extra, missing = sorted(set(left) - set(right))[:2], sorted(set(right) - set(left))[:2]
+    return f"{len(left)} rows against {len(right)}; only here {extra}; only there {missing}"
+
+
+def main() -> int:
+    from tillwright.oracle import ORACLE
+    from tillwright.registry import QUERIES
+    from tillwright.session import build_session
+
+    args = sys.argv[1:]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
+    wanted = args[1:] or list(QUERIES)
+    spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8")
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    bad = 0
+    for name in wanted:
+        started = time.time()
+        try:
+            problem = difference(spark, con, QUERIES[name], ORACLE[name], sf_dir)
+        except Exception as error:  # noqa: BLE001
+            problem = f"{type(error).__name__}: {str(error)[:600]}"
+        bad += problem is not None
+        print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - started:.1f}s {problem or ''}", flush=True)
+    print(f"{len(wanted) - bad} of {len(wanted)} agree")
+    return bool(bad)
+
+
+if __name__ == "__main__":
+    sys.exit(main())
