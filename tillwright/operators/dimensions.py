@@ -73,16 +73,20 @@ def offer_flags(sales: DataFrame, *keep: str) -> DataFrame:
 def offer_dim(sales: DataFrame) -> DataFrame:
     """Offers with any flag present, true or false.
 
-    The flags collapse to one row of maxima before that row is unpivoted, so the sales
+    The flags collapse to one row of counts before that row becomes one per offer, so the sales
     are neither multiplied by the number of offers nor shuffled.
     """
-    seen = sales.agg(*[F.max(flag).alias(flag) for flag in OFFER_PERCENTAGES])
-    percentage = F.coalesce(
-        *[F.when(F.col("offer_name") == name, pct) for name, pct in OFFER_PERCENTAGES.items()]
-    )
-    return offer_flags(seen).select(
-        natural_key(percentage, F.col("offer_name")).alias("offer_id"), "offer_name", percentage.alias("percentage")
-    )
+    present = sales.agg(*[F.count(flag).alias(flag) for flag in OFFER_PERCENTAGES])
+    offers = [
+        F.struct(
+            natural_key(F.lit(percentage), F.lit(name)).alias("offer_id"),
+            F.lit(name).alias("offer_name"),
+            F.lit(percentage).alias("percentage"),
+            F.col(name).alias("present"),
+        )
+        for name, percentage in OFFER_PERCENTAGES.items()
+    ]
+    return present.select(F.inline(F.array(*offers))).where(F.col("present") > 0).drop("present")
 
 
 def date_dim(days: DataFrame) -> DataFrame:

@@ -240,7 +240,7 @@ ORACLE: dict[str, str] = {
     ),
     "lowest_online_cities": _with(
         FACT, f"location_dim AS ({_dimension('location')})",
-        body="""SELECT c.city, round(sum(f.total_price), 2) AS total_online_sales
+        body="""SELECT c.city, round(sum(f.total_price), 3) AS total_online_sales
                 FROM fact f JOIN location_dim c ON f.location_id = c.location_id
                 WHERE f.payment_id LIKE 'yes%' GROUP BY 1 ORDER BY sum(f.total_price), 1 LIMIT 10""",
     ),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,30 +33,53 @@ def load_hour(
 ) -> None:
     """Load the hour before ``as_of``; running it again changes nothing.
 
-    The sales files are read once: the cleaned hour is kept for the fact and the five
-    dimensions read off it, in memory or on executor disks, and recomputed from the files
-    where an executor is lost.  Dimensions go first, so a reader finds the keys of every
-    fact row it sees.
+    Dimensions go first, so a reader finds the keys of every fact row it sees.
     """
-    folder = hour_path(raw_root, as_of)
     batch_hour = f"{as_of - HOUR:%Y%m%d%H}"
-    raw = read_group(spark, folder, "sales_transactions")
+    with _cleaned_sales(spark, raw_root, as_of) as sales:
+        _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key)
+        warehouse.load_fact(with_date_partitions(sales_fact(sales)), batch_hour)
+    if rejects_folder:
+        raw = read_group(spark, hour_path(raw_root, as_of), "sales_transactions")
+        _write_rejects(raw, f"{rejects_folder.rstrip('/')}/batch_hour={batch_hour}")
+
+
+def load_hour_dimensions(
+    spark: SparkSession, raw_root: str, warehouse: Warehouse, as_of: dt.datetime, one_per_key: bool = False
+) -> None:
+    """The dimensions of the hour before ``as_of`` alone."""
+    with _cleaned_sales(spark, raw_root, as_of) as sales:
+        _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key)
+
+
+@contextmanager
+def _cleaned_sales(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> Iterator[DataFrame]:
+    """The cleaned hour, read once for the fact and the five dimensions read off it.
+
+    It is kept in memory or on executor disks and recomputed from the files where an
+    executor is lost.
+    """
+    raw = read_group(spark, hour_path(raw_root, as_of), "sales_transactions")
     sales = clean_sales(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        dimensions = {
-            "branches_Dim": branches_dim(read_group(spark, folder, "branches")),
-            "sales_agents_Dim": sales_agents_dim(read_group(spark, folder, "sales_agents")),
-            **transaction_dimensions(sales),
-        }
-        for table, rows in dimensions.items():
-            warehouse.load_dimension(table, DIMENSION_KEYS[table], rows, one_per_key)
-        warehouse.load_static(DATE_TABLE, date_dim(calendar(spark)))
-        warehouse.load_fact(with_date_partitions(sales_fact(sales)), batch_hour)
-        if rejects_folder:
-            _write_rejects(raw, f"{rejects_folder.rstrip('/')}/batch_hour={batch_hour}")
+        yield sales
     finally:
         sales.unpersist()
 
 
+def _load_dimensions(
+    spark: SparkSession, raw_root: str, warehouse: Warehouse, as_of: dt.datetime, sales: DataFrame, one_per_key: bool
+) -> None:
+    folder = hour_path(raw_root, as_of)
+    dimensions = {
+        "branches_Dim": branches_dim(read_group(spark, folder, "branches")),
+        "sales_agents_Dim": sales_agents_dim(read_group(spark, folder, "sales_agents")),
+        **transaction_dimensions(sales),
+    }
+    for table, rows in dimensions.items():
+        warehouse.load_dimension(table, DIMENSION_KEYS[table], rows, one_per_key)
+    warehouse.load_static(DATE_TABLE, date_dim(calendar(spark)))
+
+
 def _write_rejects(raw: DataFrame, folder: str) -> None:
     date_rejects(raw, "transaction_date").write.mode("overwrite").parquet(folder)

@@ -14,13 +14,13 @@ from tillwright.operators.cleaning import clean_sales
 from tillwright.operators.fact import DATE_PARTITIONS, FACT_COLUMNS, sales_fact, with_date_partitions
 from tillwright.operators.incremental import new_rows
 from tillwright.plans import reports
-from tillwright.plans.hourly_load import load_hour
+from tillwright.plans.hourly_load import load_hour, load_hour_dimensions
 from tillwright.plans.kpis import KPIS
 from tillwright.schemas import EVENT, RAW_GROUPS, ROUTED_TABLES, SALES_TRANSACTIONS_RAW
 from tillwright.session import work_folder
 from tillwright.sinks.compaction import compact_folder, compact_new_files
 from tillwright.sinks.csv_report import report_folder, write_csv_report
-from tillwright.sinks.warehouse import FACT_TABLE, Warehouse, register_event_tables, write_fact_folder
+from tillwright.sinks.warehouse import FACT_TABLE, Warehouse, day_sizes, register_event_tables, write_fact_folder
 from tillwright.sources import sample_tables as sample
 from tillwright.sources.events import event_source
 from tillwright.sources.raw_zone import HOUR, hour_path, land_group, read_group, read_raw_zone
@@ -133,7 +133,7 @@ def most_redeemed_offers_by_product(spark, sf_dir):
 def lowest_online_cities(spark, sf_dir):
     fact = _fact(spark, sf_dir, "location_id", "payment_id", "total_price")
     lowest = reports.lowest_online_cities(fact, _locations(spark, sf_dir))
-    return lowest.withColumn("total_online_sales", F.round("total_online_sales", 2))
+    return lowest.withColumn("total_online_sales", F.round("total_online_sales", 3))
 
 
 def daily_agent_product_units(spark, sf_dir):
@@ -222,7 +222,7 @@ def land_hourly_partitions(spark, sf_dir):
 def fact_partitioned_roundtrip(spark, sf_dir):
     folder = work_folder(spark, "fact")
     fact = fact_sales(spark, sf_dir)
-    write_fact_folder(fact, folder)
+    write_fact_folder(fact, folder, day_sizes(_fact(spark, sf_dir, "transaction_date_id")))
     return spark.read.schema(fact.schema).parquet(folder)
 
 
@@ -233,8 +233,8 @@ def b2b_csv_roundtrip(spark, sf_dir):
     return spark.read.schema(report.schema).csv(folder, header=True)
 
 
-def _loaded_warehouse(spark, sf_dir) -> Warehouse:
-    """Two hours of sales through landing and load, the second one twice."""
+def _loaded_warehouse(spark, sf_dir, load) -> Warehouse:
+    """Two hours of sales through landing and ``load``, then the first one again."""
     folder = work_folder(spark, "warehouse")
     warehouse = Warehouse(spark, f"{folder}/dwh", f"retail_{uuid.uuid4().hex}")
     sales = sample.raw_sales(spark, sf_dir)
@@ -249,18 +249,18 @@ def _loaded_warehouse(spark, sf_dir) -> Warehouse:
         landing = _drop(spark, f"{folder}/in-{number}", groups)
         for group in RAW_GROUPS:
             land_group(spark, landing, f"{folder}/raw", group, as_of, only_last_hour=False)
-        load_hour(spark, f"{folder}/raw", warehouse, as_of)
-    load_hour(spark, f"{folder}/raw", warehouse, AS_OF + HOUR)
+        load(spark, f"{folder}/raw", warehouse, as_of)
+    load(spark, f"{folder}/raw", warehouse, AS_OF)
     return warehouse
 
 
 def warehouse_load_fact(spark, sf_dir):
-    return _loaded_warehouse(spark, sf_dir).table(FACT_TABLE)
+    return _loaded_warehouse(spark, sf_dir, load_hour).table(FACT_TABLE)
 
 
 def warehouse_load_dimensions(spark, sf_dir):
     """Rows and distinct keys of every loaded dimension."""
-    warehouse = _loaded_warehouse(spark, sf_dir)
+    warehouse = _loaded_warehouse(spark, sf_dir, load_hour_dimensions)
     counts = [
         warehouse.table(table).agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("key_count"))
         .select(F.lit(table).alias("table_name"), "row_count", "key_count")

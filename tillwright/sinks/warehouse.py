@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,9 @@ BATCH_HOUR = "batch_hour"
 
 #: Bounds a file where Spark's byte-based sizing does not apply.
 RECORDS_PER_FILE = 20_000_000
+#: What one task writes of the fact: rows, and days, each of which is a file.
+ROWS_PER_TASK = 4_000_000
+DAYS_PER_TASK = 64
 
 
 class Warehouse:
@@ -74,7 +79,7 @@ class Warehouse:
 
         The batch hour is the outermost partition, so loading an hour again overwrites
         what that hour wrote before and nothing else.  ``fact`` has the text columns
-        year, month and day; filters on them prune as usual.
+        year, month and day; filters on them prune as usual.  It is evaluated twice.
         """
         parts = [BATCH_HOUR, *DATE_PARTITIONS]
         if not self.exists(FACT_TABLE):
@@ -86,7 +91,7 @@ class Warehouse:
                 f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{self.folder(FACT_TABLE)}'"
             )
         names = [name for name in fact.columns if name not in parts]
-        batch = by_day(fact).select(*names, *DATE_PARTITIONS)
+        batch = by_day(fact, day_sizes(fact)).select(*names, *DATE_PARTITIONS)
         if not re.fullmatch(r"\w+", batch_hour):
             raise ValueError(f"not a batch hour: {batch_hour!r}")
         self.spark.sql(
@@ -106,19 +111,43 @@ class Warehouse:
         )
 
 
-def by_day(fact: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class DaySizes:
+    """How many days a batch of the fact has, its rows, and those of the largest day."""
+
+    days: int
+    rows: int
+    largest: int
+
+
+def day_sizes(fact: DataFrame) -> DaySizes:
+    """Measured on a frame with ``transaction_date_id``; one row per day is shuffled."""
+    per_day = fact.groupBy("transaction_date_id").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = per_day.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.max("rows"), F.lit(0)))
+    return DaySizes(*sizes.first())
+
+
+def by_day(fact: DataFrame, sizes: DaySizes) -> DataFrame:
     """Gather the rows of a day, so that a day is few files.
 
-    A rebalance, unlike a hash repartition, splits a day that holds more than one task
-    should write and merges days that hold little.
+    Where no day is more than one task should write, days are hashed to as many tasks as
+    their number and rows ask for.  Otherwise the partitioning is left to a rebalance,
+    which splits a large day by the bytes it measured.
     """
-    return fact.hint("rebalance", *[F.col(part) for part in DATE_PARTITIONS])
+    columns = [F.col(part) for part in DATE_PARTITIONS]
+    if sizes.largest > ROWS_PER_TASK:
+        return fact.hint("rebalance", *columns)
+    tasks = max(math.ceil(sizes.days / DAYS_PER_TASK), math.ceil(sizes.rows / ROWS_PER_TASK), 1)
+    return fact.repartition(tasks, *columns)
+
 
+def write_fact_folder(fact: DataFrame, folder: str, sizes: DaySizes | None = None) -> None:
+    """The fact as a plain parquet folder partitioned by year, month and day.
 
-def write_fact_folder(fact: DataFrame, folder: str) -> None:
-    """The fact as a plain parquet folder partitioned by year, month and day."""
+    ``sizes`` may come from a narrower frame with the same days.
+    """
     (
-        by_day(fact)
+        by_day(fact, sizes or day_sizes(fact))
         .write.mode("overwrite")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .partitionBy(*DATE_PARTITIONS)
