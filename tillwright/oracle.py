@@ -8,15 +8,15 @@ RAW = """
 raw AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS transaction_id,
          strftime(o_orderdate, '%Y-%m-%d') AS transaction_date,
-         CAST(o_custkey AS INTEGER) AS customer_id,
+         o_custkey AS customer_id,
          split_part(c_name, '#', 1) AS customer_fname,
          split_part(c_name, '#', 2) AS cusomter_lname,
          CASE o_custkey % 4 WHEN 1 THEN 'c' || o_custkey || '@mail.com'
                             WHEN 2 THEN 'c' || o_custkey || '@mail.com77'
                             WHEN 3 THEN 'c' || o_custkey || '@mail.org' END AS cusomter_email,
-         CAST(l_suppkey AS INTEGER) AS sales_agent_id,
-         CAST(s_nationkey AS INTEGER) AS branch_id,
-         CAST(l_partkey AS INTEGER) AS product_id,
+         l_suppkey AS sales_agent_id,
+         CAST(s_nationkey AS BIGINT) AS branch_id,
+         l_partkey AS product_id,
          p_name AS product_name,
          p_type AS product_category,
          CASE WHEN l_discount IN (0.01, 0.02, 0.1) THEN TRUE END AS offer_1,
@@ -99,7 +99,7 @@ DIMENSIONS = {
 
 BRANCHES = """
 branches AS (
-  SELECT n_nationkey AS branch_id, n_name AS location,
+  SELECT CAST(n_nationkey AS BIGINT) AS branch_id, n_name AS location,
          TRY_CAST(CASE WHEN n_nationkey = 13 THEN '2001-13-45'
                        ELSE CAST(DATE '2000-01-01' + n_nationkey * 100 AS VARCHAR) END AS DATE) AS establish_date,
          r_name AS class
@@ -108,7 +108,7 @@ branches AS (
 
 AGENTS = """
 agents AS (
-  SELECT CAST(s_suppkey AS INTEGER) AS sales_person_id, s_name AS name,
+  SELECT s_suppkey AS sales_person_id, s_name AS name,
          DATE '2015-01-01' + CAST(s_suppkey % 1000 AS INTEGER) AS hire_date
   FROM supplier
 )"""

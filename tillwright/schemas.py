@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     DataType,
     DoubleType,
     IntegerType,
+    LongType,
     MapType,
     StringType,
     StructField,
@@ -18,7 +19,9 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-TEXT, INT, DOUBLE, FLAG, TIME = StringType(), IntegerType(), DoubleType(), BooleanType(), TimestampType()
+TEXT, INT, LONG, DOUBLE, FLAG, TIME = (
+    StringType(), IntegerType(), LongType(), DoubleType(), BooleanType(), TimestampType()
+)
 
 
 def _struct(**columns: DataType) -> StructType:
@@ -26,20 +29,20 @@ def _struct(**columns: DataType) -> StructType:
 
 
 # Column names of the source system's files, misspellings included.
-BRANCHES_RAW = _struct(branch_id=INT, location=TEXT, establish_date=TEXT, **{"class": TEXT})
+BRANCHES_RAW = _struct(branch_id=LONG, location=TEXT, establish_date=TEXT, **{"class": TEXT})
 
-SALES_AGENTS_RAW = _struct(sales_person_id=INT, name=TEXT, hire_date=TEXT)
+SALES_AGENTS_RAW = _struct(sales_person_id=LONG, name=TEXT, hire_date=TEXT)
 
 SALES_TRANSACTIONS_RAW = _struct(
     transaction_id=TEXT,
     transaction_date=TEXT,
-    customer_id=INT,
+    customer_id=LONG,
     customer_fname=TEXT,
     cusomter_lname=TEXT,
     cusomter_email=TEXT,
-    sales_agent_id=INT,
-    branch_id=INT,
-    product_id=INT,
+    sales_agent_id=LONG,
+    branch_id=LONG,
+    product_id=LONG,
     product_name=TEXT,
     product_category=TEXT,
     offer_1=FLAG,

@@ -130,7 +130,7 @@ def raw_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
     established = F.date_add(F.lit(dt.date(2000, 1, 1)), key * 100).cast("string")
     return _places(spark, sf_dir).select(
-        key.alias("branch_id"),
+        key.cast("long").alias("branch_id"),
         F.col("n_name").alias("location"),
         F.when(key == 13, "2001-13-45").otherwise(established).alias("establish_date"),
         F.col("r_name").alias("class"),
@@ -138,11 +138,11 @@ def raw_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sales_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey").cast("int")
+    key = F.col("s_suppkey")
     return sample_table(spark, sf_dir, "supplier").select(
         key.alias("sales_person_id"),
         F.col("s_name").alias("name"),
-        F.date_add(F.lit(dt.date(2015, 1, 1)), key % 1000).cast("string").alias("hire_date"),
+        F.date_add(F.lit(dt.date(2015, 1, 1)), (key % 1000).cast("int")).cast("string").alias("hire_date"),
     )
 
 

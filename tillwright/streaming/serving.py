@@ -44,13 +44,13 @@ def version_writer(
 
 
 def latest_versions(versions: DataFrame, keys: list[str]) -> DataFrame:
-    """Newest version of every key, for update mode.  One aggregation, combined per task."""
+    """Newest version of every key, for update mode.
+
+    One hash aggregation, combined per task.  Rows of a key in one batch are copies of
+    each other, so taking the columns one by one cannot mix versions.
+    """
     values = [name for name in versions.columns if name not in [*keys, BATCH]]
-    return (
-        versions.groupBy(*keys)
-        .agg(F.max_by(F.struct(*values), BATCH).alias("newest"))
-        .select(*keys, *[F.col("newest")[name].alias(name) for name in values])
-    )
+    return versions.groupBy(*keys).agg(*[F.max_by(name, BATCH).alias(name) for name in values])
 
 
 def latest_batch(versions: DataFrame) -> DataFrame:
