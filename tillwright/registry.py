@@ -332,7 +332,7 @@ def _stream_route(table: str) -> Query:
 
 def stream_unrouted(spark, sf_dir):
     folder = work_folder(spark, "unrouted")
-    rows = parse.unrouted(sample.message_stream(spark, sf_dir))
+    rows = parse.unrouted(parse.parse_events(sample.message_stream(spark, sf_dir), keep_value=True))
     queries.start_file_sink(rows, f"{folder}/out", f"{folder}/checkpoint", every=None).awaitTermination()
     return spark.read.schema("value string, eventType string").parquet(f"{folder}/out").select("eventType")
 

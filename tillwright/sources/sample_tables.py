@@ -46,8 +46,8 @@ def sample_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- sales -----------------------------------------------------------------------------
 
-_ORDER_COLUMNS = {"transaction_date", "is_online", "payment_method"}
 _CUSTOMER_COLUMNS = {"customer_fname", "cusomter_lname", "cusomter_email"}
+_ORDER_COLUMNS = {"transaction_date", "customer_id", "is_online", "payment_method", "shipping_address"}
 _PART_COLUMNS = {"product_name", "product_category", "unit_price"}
 
 
@@ -58,59 +58,53 @@ def raw_sales(
     wanted = columns or SALES_TRANSACTIONS_RAW.names
     need = set(wanted)
     rows = sample_table(spark, sf_dir, "lineitem")
-
-    with_customer = bool(need & (_CUSTOMER_COLUMNS | {"shipping_address"}))
-    if with_customer or need & (_ORDER_COLUMNS | {"customer_id"}) or day:
-        orders = sample_table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
-        if with_customer:
-            customers = sample_table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
-            orders = orders.join(customers, "o_custkey", "left")
-        if "shipping_address" in need:
-            orders = orders.join(_places(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left")
-        if day:
-            ordered = F.col("o_orderdate")
-            orders = orders.where((ordered >= F.lit(str(day)).cast("timestamp_ntz"))
-                                  & (ordered < F.lit(str(day + dt.timedelta(days=1))).cast("timestamp_ntz")))
+    if day or need & (_ORDER_COLUMNS | _CUSTOMER_COLUMNS):
+        orders = _orders(spark, sf_dir, need, day).withColumnRenamed("o_orderkey", "l_orderkey")
         rows = rows.join(orders, "l_orderkey", "inner" if day else "left")
     if need & _PART_COLUMNS:
-        parts = sample_table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
-        rows = rows.join(parts, "l_partkey", "left")
+        rows = rows.join(_parts(spark, sf_dir), "l_partkey", "left")
     if "branch_id" in need:
-        suppliers = sample_table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey")
+        suppliers = sample_table(spark, sf_dir, "supplier").select(
+            F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("branch_id")
+        )
         rows = rows.join(suppliers, "l_suppkey", "left")
 
-    expressions = _sales_expressions()
+    own = _line_columns()
     types = {field.name: field.dataType for field in SALES_TRANSACTIONS_RAW.fields}
-    return rows.select(*[expressions[name].cast(types[name]).alias(name) for name in wanted])
+    return rows.select(*[own.get(name, F.col(name)).cast(types[name]).alias(name) for name in wanted])
 
 
-def _sales_expressions() -> dict[str, Column]:
+def _line_columns() -> dict[str, Column]:
     discount = F.col("l_discount")
-    online = F.col("o_orderstatus") == "O"
-    customer = F.col("o_custkey")
-    payment = F.coalesce(*[F.when(F.col("o_orderpriority") == k, v) for k, v in PAYMENT_METHODS.items()])
-    mail = F.concat(F.lit("c"), customer, F.lit("@mail"))
     return {
         "transaction_id": F.col("l_orderkey"),
-        "transaction_date": F.date_format("o_orderdate", "yyyy-MM-dd"),
-        "customer_id": customer,
-        "customer_fname": F.split_part("c_name", F.lit("#"), F.lit(1)),
-        "cusomter_lname": F.split_part("c_name", F.lit("#"), F.lit(2)),
-        "cusomter_email": F.when(customer % 4 == 1, F.concat(mail, F.lit(".com")))
-        .when(customer % 4 == 2, F.concat(mail, F.lit(".com77")))
-        .when(customer % 4 == 3, F.concat(mail, F.lit(".org"))),
         "sales_agent_id": F.col("l_suppkey"),
-        "branch_id": F.col("s_nationkey"),
         "product_id": F.col("l_partkey"),
-        "product_name": F.col("p_name"),
-        "product_category": F.col("p_type"),
         "offer_1": F.when(discount.isin(0.01, 0.02, 0.1), True),
         "offer_2": F.when(discount.isin(0.03, 0.04), True),
         "offer_3": F.when(discount.isin(0.05, 0.06), True),
         "offer_4": F.when(discount.isin(0.07, 0.08), True),
         "offer_5": F.when(discount.isin(0.09, 0.1), True).when(discount == 0.0, False),
         "units": F.col("l_quantity"),
-        "unit_price": F.col("p_retailprice"),
+    }
+
+
+def _orders(spark: SparkSession, sf_dir: str, need: set[str], day: dt.date | None) -> DataFrame:
+    """Order keys with the needed columns; they are made once per order, not once per line."""
+    orders = sample_table(spark, sf_dir, "orders")
+    if day:
+        ordered = F.col("o_orderdate")
+        first, next_first = [F.lit(str(date)).cast("timestamp_ntz") for date in (day, day + dt.timedelta(days=1))]
+        orders = orders.where((ordered >= first) & (ordered < next_first))
+    if need & _CUSTOMER_COLUMNS or "shipping_address" in need:
+        orders = orders.join(_customers(spark, sf_dir), "o_custkey", "left")
+    if "shipping_address" in need:
+        orders = orders.join(_places(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey", "left")
+    online, customer = F.col("o_orderstatus") == "O", F.col("o_custkey")
+    payment = F.coalesce(*[F.when(F.col("o_orderpriority") == k, v) for k, v in PAYMENT_METHODS.items()])
+    own = {
+        "transaction_date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "customer_id": customer,
         "is_online": F.when(online, "yes").otherwise("no"),
         "payment_method": payment,
         "shipping_address": F.when(
@@ -118,6 +112,32 @@ def _sales_expressions() -> dict[str, Column]:
             F.concat_ws("/", F.lit("Street"), "n_name", "r_name", (F.lit(10000) + customer).cast("string")),
         ),
     }
+    names = [name for name in SALES_TRANSACTIONS_RAW.names if name in need & (_ORDER_COLUMNS | _CUSTOMER_COLUMNS)]
+    return orders.select("o_orderkey", *[own.get(name, F.col(name)).alias(name) for name in names])
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    mail = F.concat(F.lit("c"), key, F.lit("@mail"))
+    return sample_table(spark, sf_dir, "customer").select(
+        key.alias("o_custkey"),
+        "c_nationkey",
+        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("customer_fname"),
+        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("cusomter_lname"),
+        F.when(key % 4 == 1, F.concat(mail, F.lit(".com")))
+        .when(key % 4 == 2, F.concat(mail, F.lit(".com77")))
+        .when(key % 4 == 3, F.concat(mail, F.lit(".org")))
+        .alias("cusomter_email"),
+    )
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_type").alias("product_category"),
+        F.col("p_retailprice").alias("unit_price"),
+    )
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.schemas import EVENT, ROUTED_TABLES
@@ -24,10 +24,14 @@ def parse_events(messages: DataFrame, keep_value: bool = False) -> DataFrame:
 
     A field of the wrong type becomes NULL alone, unknown fields are ignored, text that
     is no JSON object gives a row of NULLs.  ``keep_value`` keeps the text beside them.
+
+    The parsed struct is spread by a generator.  A filter on one of its fields stays
+    above that; behind a plain projection it would be pushed below and every message be
+    parsed twice.
     """
     text = messages.select(F.col("value").cast("string").alias("value"))
     kept = ["value"] if keep_value else []
-    return text.select(*kept, F.from_json("value", EVENT).alias("event")).select(*kept, "event.*")
+    return text.select(*kept, F.inline(F.array(F.from_json("value", EVENT))))
 
 
 def route(events: DataFrame, table: str) -> DataFrame:
@@ -39,7 +43,11 @@ def route(events: DataFrame, table: str) -> DataFrame:
     return events.where(F.col("eventType") == EVENT_TYPE_OF_TABLE[table]).select(*columns)
 
 
-def unrouted(messages: DataFrame) -> DataFrame:
-    """Messages that reach no table: unknown event type, none, or no JSON."""
-    known = F.col("eventType").isin(*EVENT_TYPE_OF_TABLE.values())
-    return parse_events(messages, keep_value=True).where(~F.coalesce(known, F.lit(False))).select("value", "eventType")
+def is_unrouted() -> Column:
+    """Whether an event reaches no table: unknown event type, none, or no JSON at all."""
+    return ~F.coalesce(F.col("eventType").isin(*EVENT_TYPE_OF_TABLE.values()), F.lit(False))
+
+
+def unrouted(events: DataFrame) -> DataFrame:
+    """Text and type of the events that reach no table, from events parsed with their value."""
+    return events.where(is_unrouted()).select("value", "eventType")

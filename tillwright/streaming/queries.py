@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.schemas import ROUTED_TABLES
-from tillwright.streaming.parse import parse_events, route, unrouted
+from tillwright.streaming.parse import is_unrouted, parse_events, route, unrouted
 
 # Pause between micro-batches of each kind of query.
 ROUTE_TRIGGER = "10 seconds"
@@ -54,7 +55,7 @@ def start_routes(
     events = parse_events(messages)
     frames = {table: route(events, table) for table in ROUTED_TABLES}
     if with_unrouted:
-        frames["unrouted"] = unrouted(messages)
+        frames["unrouted"] = unrouted(parse_events(messages, keep_value=True))
     return {
         table: start_file_sink(frame, f"{root}/{table}", f"{checkpoints}/{table}", every)
         for table, frame in frames.items()
@@ -64,19 +65,20 @@ def start_routes(
 def start_router(messages: DataFrame, root: str, checkpoint: str, every: str | None = ROUTE_TRIGGER) -> StreamingQuery:
     """All routes from one read of the source.
 
-    A micro-batch is parsed once, kept, and written to every table.  Its files lie under
-    ``batch_id=<n>`` of the table, which a replay after a failure replaces.
+    A micro-batch is parsed once, kept parsed, and written to every table.  Its files lie
+    under ``batch_id=<n>`` of the table, which a replay after a failure replaces.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.select("value").persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse_events(batch, keep_value=True)
+        text = F.when(is_unrouted(), F.col("value"))
+        events = parsed.withColumn("value", text).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            events = parse_events(kept)
-            frames = {table: route(events, table) for table in ROUTED_TABLES} | {"unrouted": unrouted(kept)}
+            frames = {table: route(events, table) for table in ROUTED_TABLES} | {"unrouted": unrouted(events)}
             for table, frame in frames.items():
                 frame.write.mode("overwrite").parquet(f"{root}/{table}/batch_id={batch_id}")
         finally:
-            kept.unpersist()
+            events.unpersist()
 
     return start_batch_sink(messages, write, "append", checkpoint, every)
 
