@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from tillwright.operators.incremental import new_rows, new_rows_for_small_batch
+
+SCHEMA = "id long, name string"
+WAYS = [new_rows, new_rows_for_small_batch, lambda *a, **k: new_rows_for_small_batch(*a, **k, broadcast_bytes=0)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def rows(result):
+    return sorted(tuple(row) for row in result.collect())
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_only_new_keys_and_first_version_wins(spark, way):
+    stored = frame(spark, [(1, "old"), (2, "old")])
+    batch = frame(spark, [(1, "changed"), (3, "new")])
+    assert rows(way(batch, stored, "id")) == [(3, "new")]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_rows_without_key_are_left_out(spark, way):
+    stored = frame(spark, [(None, "old"), (1, "old")])
+    assert rows(way(frame(spark, [(None, "x"), (None, "y"), (2, "z")]), stored, "id")) == [(2, "z")]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_copies_within_a_batch_stay_unless_one_per_key(spark, way):
+    stored, batch = frame(spark, [(1, "old")]), frame(spark, [(2, "b"), (2, "a"), (2, "a"), (3, None)])
+    assert sorted(rows(way(batch, stored, "id")), key=repr) == [(2, "a"), (2, "a"), (2, "b"), (3, None)]
+    assert sorted(rows(way(batch, stored, "id", one_per_key=True)), key=repr) == [(2, "a"), (3, None)]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_empty_sides(spark, way):
+    some, none = frame(spark, [(1, "a")]), frame(spark, [])
+    assert rows(way(some, none, "id")) == [(1, "a")]
+    assert rows(way(none, some, "id")) == []
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_against_brute_force_with_a_hot_key(spark, way):
+    pick = random.Random(5)
+    batch = [(pick.choice([None, 7, 7, 7, *range(40)]), pick.choice("abc")) for _ in range(600)]
+    stored = [(pick.choice([None, *range(0, 40, 3)]), "s") for _ in range(100)]
+    known = {key for key, _ in stored}
+    expected = sorted(row for row in batch if row[0] is not None and row[0] not in known)
+    assert rows(way(frame(spark, batch), frame(spark, stored), "id")) == expected
+
+
+def test_small_batch_does_not_shuffle_the_stored_dimension(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "cast(id as string) name").write.parquet(str(tmp_path / "stored"))
+    stored = spark.read.parquet(str(tmp_path / "stored"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = new_rows_for_small_batch(frame(spark, [(1, "x"), (2000, "y")]), stored, "id")
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert rows(result) == [(2000, "y")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+    assert "ReadSchema: struct<id:bigint>" in plan

@@ -376,7 +376,7 @@ def external_table_kpi(spark, sf_dir):
     started = queries.start_routes(
         sample.message_stream(spark, sf_dir), f"{folder}/out", f"{folder}/checkpoints", every=None
     )
-    queries.await_all(spark, list(started.values()))
+    queries.await_all(list(started.values()))
     database = f"stream_{uuid.uuid4().hex}"
     register_event_tables(spark, {t: f"{folder}/out/{t}" for t in ROUTED_TABLES}, database, f"{folder}/db")
     return KPIS["views_per_category"][1](spark.table(f"{database}.product_view"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -83,14 +83,16 @@ def start_router(messages: DataFrame, root: str, checkpoint: str, every: str | N
     return start_batch_sink(messages, write, "append", checkpoint, every)
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until all queries ended; the first failure stops the others and is raised."""
+def await_all(queries: list[StreamingQuery], poll_seconds: float = 0.2) -> None:
+    """Wait until all queries ended; the first failure stops the others and is raised.
+
+    The queries are looked at in turn, so a failure of any is seen while others run, and
+    failures of queries that are not in the list are not mistaken for theirs.
+    """
     try:
-        while any(query.isActive for query in queries):
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-        for query in queries:
-            query.awaitTermination()
+        running = list(queries)
+        while running:
+            running = [query for query in running if not query.awaitTermination(poll_seconds)]
     finally:
         for query in queries:
             if query.isActive:
