@@ -17,7 +17,7 @@ from tillwright.plans import reports
 from tillwright.plans.hourly_load import load_hour, load_hour_dimensions
 from tillwright.plans.kpis import KPIS
 from tillwright.schemas import EVENT, RAW_GROUPS, ROUTED_TABLES, SALES_TRANSACTIONS_RAW
-from tillwright.session import work_folder
+from tillwright.session import stateful_session, work_folder
 from tillwright.sinks.compaction import compact_folder, compact_new_files
 from tillwright.sinks.csv_report import report_folder, write_csv_report
 from tillwright.sinks.warehouse import FACT_TABLE, Warehouse, day_sizes, register_event_tables, write_fact_folder
@@ -393,9 +393,10 @@ def batch_event_counts(spark, sf_dir):
 def _replay(spark, sf_dir, folder, drops, aggregate, mode, key) -> None:
     """Deliver the log in drops to a windowed query that serves versions, or appends."""
     log = sample.sample_table(spark, sf_dir, "events")
+    session = stateful_session(spark)
 
     def start(inbox):
-        rows = aggregate(parse.parse_events(event_source(spark, "parquet", path=inbox)))
+        rows = aggregate(parse.parse_events(event_source(session, "parquet", path=inbox)))
         if mode == "append":
             return queries.start_file_sink(
                 window_counts.flat_window(rows, key), f"{folder}/out", f"{folder}/checkpoint", every=None

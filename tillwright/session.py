@@ -7,6 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Streaming state that outgrows executor memory has to live off-heap.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 #: What the jobs here rely on.  Shuffle partitions stay with the deployment: AQE merges
 #: small ones and splits skewed ones, so the count only needs to be high enough.
 SETTINGS = {
@@ -15,13 +22,13 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Streaming state that outgrows executor memory has to live off-heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
+    **STATE_SETTINGS,
 }
 
+#: State partitions of a windowed count, where a job does not ask for another number.
+MOST_STATE_PARTITIONS = 200
+
 
 def build_session(name: str, master: str | None = None, **settings: str) -> SparkSession:
     """Session with :data:`SETTINGS`; ``settings`` use ``__`` for dots and win over them."""
@@ -33,6 +40,27 @@ def build_session(name: str, master: str | None = None, **settings: str) -> Spar
     return builder.getOrCreate()
 
 
+def stateful_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of the same application for stateful streaming queries.
+
+    The first run of a query fixes its number of state partitions for as long as its
+    checkpoint lives, so it is chosen here and not taken from whatever the batch jobs
+    shuffle with.  By default it is one per core, up to ``MOST_STATE_PARTITIONS``: keys
+    are counted per task before they are shuffled, which keeps the state small.
+    """
+    if state_partitions is None:
+        state_partitions = min(spark.sparkContext.defaultParallelism, MOST_STATE_PARTITIONS)
+    session = spark.newSession()
+    zone = "spark.sql.session.timeZone"
+    for key, value in {
+        zone: spark.conf.get(zone),
+        "spark.sql.shuffle.partitions": str(state_partitions),
+        **STATE_SETTINGS,
+    }.items():
+        session.conf.set(key, value)
+    return session
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder every executor can reach, below ``spark.checkpoint.dir``.
 
