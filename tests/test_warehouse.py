@@ -185,3 +185,26 @@ def test_work_folders_are_new_and_below_the_shared_folder(spark):
     one, two = work_folder(spark, "x"), work_folder(spark, "x")
     assert one != two
     assert not shared or one.startswith(shared.rstrip("/") + "/")
+
+
+def test_rows_without_a_catalog_entry_are_found_again(spark, tmp_path):
+    schema = "transaction_date_id string, year string, month string, day string, units int"
+    day = lambda d, n: (f"202205{d}", "2022", "05", d, n)
+    batch = spark.createDataFrame([(1, "a")], "id long, name string")
+    for number in range(2):  # two sessions that share the folder but no catalog
+        warehouse = wh.Warehouse(spark, str(tmp_path / "dwh"), f"retail_{uuid.uuid4().hex}")
+        assert warehouse.exists("d") == (number == 1)
+        warehouse.load_dimension("d", "id", batch)
+        warehouse.load_fact(spark.createDataFrame([day("01", number)], schema), f"202205010{number}")
+    assert rows(warehouse.table("d"), "id") == [(1,)]
+    assert rows(warehouse.table(wh.FACT_TABLE), "batch_hour", "day", "units") == [
+        ("2022050100", "01", 0), ("2022050101", "01", 1),
+    ]
+    with pytest.raises(LookupError):
+        warehouse.table("unknown")
+
+
+def test_a_broken_first_load_is_replaced(spark, tmp_path, warehouse):
+    (tmp_path / "dwh" / "d" / "_temporary" / "0").mkdir(parents=True)
+    warehouse.load_dimension("d", "id", spark.range(3))
+    assert warehouse.table("d").count() == 3

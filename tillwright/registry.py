@@ -43,10 +43,18 @@ DROPS = 3
 
 # --- inputs ----------------------------------------------------------------------------
 
+_CUSTOMER = ("customer_id", "customer_fname", "cusomter_lname", "cusomter_email")
+_PRODUCT = ("product_id", "product_name", "product_category")
 
-def _sales(spark: SparkSession, sf_dir: str, *columns: str, day: dt.date | None = None) -> DataFrame:
+
+def _sales(spark: SparkSession, sf_dir: str, *columns: str, **how) -> DataFrame:
     """Clean sales with the given raw columns, or all."""
-    return clean_sales(sample.raw_sales(spark, sf_dir, list(columns) or None, day))
+    return clean_sales(sample.raw_sales(spark, sf_dir, list(columns) or None, **how))
+
+
+def _distinct_sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Clean sales for dimensions, which keep distinct rows anyway."""
+    return _sales(spark, sf_dir, *columns, as_set=True)
 
 
 def _fact(spark: SparkSession, sf_dir: str, *columns: str, day: dt.date | None = None) -> DataFrame:
@@ -58,23 +66,23 @@ def _fact(spark: SparkSession, sf_dir: str, *columns: str, day: dt.date | None =
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.product_dim(_sales(spark, sf_dir, "product_id", "product_name", "product_category"))
+    return dims.product_dim(_distinct_sales(spark, sf_dir, *_PRODUCT))
 
 
 def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.location_dim(_sales(spark, sf_dir, "shipping_address"))
+    return dims.location_dim(_distinct_sales(spark, sf_dir, "shipping_address"))
 
 
 def _payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.payment_dim(_sales(spark, sf_dir, "is_online", "payment_method"))
+    return dims.payment_dim(_distinct_sales(spark, sf_dir, "is_online", "payment_method"))
 
 
 def _offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.offer_dim(_sales(spark, sf_dir, *dims.OFFER_PERCENTAGES))
 
 
-def _customers(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    return _sales(spark, sf_dir, "customer_id", "customer_fname", "cusomter_lname", "cusomter_email", *more)
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.customer_dim(_distinct_sales(spark, sf_dir, *_CUSTOMER))
 
 
 def _branches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,19 +166,17 @@ def incremental_agents(spark, sf_dir):
 
 
 def _since_stored(spark, sf_dir, dimension, *columns):
-    sales = _sales(spark, sf_dir, *columns, "transaction_date")
+    sales = _distinct_sales(spark, sf_dir, *columns, "transaction_date")
     before = F.col("transaction_date") < F.lit(STORED_BEFORE)
     return dimension(sales.where(~before)), dimension(sales.where(before))
 
 
 def incremental_customer(spark, sf_dir):
-    columns = ("customer_id", "customer_fname", "cusomter_lname", "cusomter_email")
-    return new_rows(*_since_stored(spark, sf_dir, dims.customer_dim, *columns), "customer_id")
+    return new_rows(*_since_stored(spark, sf_dir, dims.customer_dim, *_CUSTOMER), "customer_id")
 
 
 def incremental_product(spark, sf_dir):
-    columns = ("product_id", "product_name", "product_category")
-    return new_rows(*_since_stored(spark, sf_dir, dims.product_dim, *columns), "product_id")
+    return new_rows(*_since_stored(spark, sf_dir, dims.product_dim, *_PRODUCT), "product_id")
 
 
 def incremental_location(spark, sf_dir):
@@ -181,7 +187,7 @@ def incremental_location(spark, sf_dir):
 
 def incremental_payment(spark, sf_dir):
     """Payments in branches are stored, online payments are new."""
-    sales = _sales(spark, sf_dir, "is_online", "payment_method")
+    sales = _distinct_sales(spark, sf_dir, "is_online", "payment_method")
     return new_rows(dims.payment_dim(sales), dims.payment_dim(sales.where(F.col("is_online") == "no")), "payment_id")
 
 
@@ -390,23 +396,17 @@ def batch_event_counts(spark, sf_dir):
     return _wall_clock(window_counts.flat_window(window_counts.event_counts(events), "eventType"))
 
 
-def _replay(spark, sf_dir, folder, drops, aggregate, mode, key) -> None:
-    """Deliver the log in drops to a windowed query that serves versions, or appends."""
-    log = sample.sample_table(spark, sf_dir, "events")
+def _replay(spark, sf_dir, drops, start_on) -> str:
+    """Deliver the log in drops to a stateful query; returns the folder it serves from."""
+    folder = work_folder(spark, "windows")
     session = stateful_session(spark)
+    log = sample.sample_table(spark, sf_dir, "events")
 
     def start(inbox):
-        rows = aggregate(parse.parse_events(event_source(session, "parquet", path=inbox)))
-        if mode == "append":
-            return queries.start_file_sink(
-                window_counts.flat_window(rows, key), f"{folder}/out", f"{folder}/checkpoint", every=None
-            )
-        write = serving.version_writer(
-            lambda batch: window_counts.flat_window(batch, key), "parquet", {"path": f"{folder}/out"}
-        )
-        return queries.start_batch_sink(rows, write, mode, f"{folder}/checkpoint", every=None)
+        return start_on(event_source(session, "parquet", path=inbox), f"{folder}/out", f"{folder}/checkpoint")
 
     feed.replay(log, drops(log), sample.event_messages, f"{folder}/inbox", start)
+    return f"{folder}/out"
 
 
 _COUNTS = "window_start timestamp, window_end timestamp, {key} string, count long"
@@ -418,15 +418,18 @@ def _in_time_order(log):
 
 
 def stream_event_counts(spark, sf_dir):
-    folder = work_folder(spark, "counts")
-    _replay(spark, sf_dir, folder, _in_time_order, window_counts.event_counts, "append", "eventType")
-    return _wall_clock(spark.read.schema(_COUNTS.format(key="eventType")).parquet(f"{folder}/out"))
+    def start(messages, out, checkpoint):
+        return queries.start_closed_event_counts(messages, out, checkpoint, every=None)
+
+    out = _replay(spark, sf_dir, _in_time_order, start)
+    return _wall_clock(spark.read.schema(_COUNTS.format(key="eventType")).parquet(out))
 
 
 def _updated_counts(spark, sf_dir, drops) -> DataFrame:
-    folder = work_folder(spark, "counts")
-    _replay(spark, sf_dir, folder, drops, window_counts.event_counts, "update", "eventType")
-    versions = spark.read.schema(_VERSIONS.format(key="eventType")).parquet(f"{folder}/out")
+    def start(messages, out, checkpoint):
+        return queries.start_event_counts(messages, "parquet", {"path": out}, checkpoint, every=None)
+
+    versions = spark.read.schema(_VERSIONS.format(key="eventType")).parquet(_replay(spark, sf_dir, drops, start))
     return _wall_clock(serving.latest_versions(versions, ["window_start", "window_end", "eventType"]))
 
 
@@ -441,22 +444,27 @@ def stream_late_data(spark, sf_dir):
 
 
 def stream_top_products(spark, sf_dir):
-    folder = work_folder(spark, "top")
-    _replay(spark, sf_dir, folder, _in_time_order, window_counts.top_products, "complete", "productId")
-    versions = spark.read.schema(_VERSIONS.format(key="productId")).parquet(f"{folder}/out")
+    def start(messages, out, checkpoint):
+        return queries.start_top_products(messages, "parquet", {"path": out}, checkpoint, every=None)
+
+    versions = spark.read.schema(_VERSIONS.format(key="productId")).parquet(
+        _replay(spark, sf_dir, _in_time_order, start)
+    )
     return _wall_clock(serving.latest_batch(versions))
 
 
 def stream_top_products_latest_window(spark, sf_dir):
-    folder = work_folder(spark, "top")
-    _replay(spark, sf_dir, folder, _in_time_order, window_counts.product_view_counts, "append", "productId")
-    counts = spark.read.schema(_COUNTS.format(key="productId")).parquet(f"{folder}/out")
+    def start(messages, out, checkpoint):
+        return queries.start_closed_product_counts(messages, out, checkpoint, every=None)
+
+    out = _replay(spark, sf_dir, _in_time_order, start)
+    counts = spark.read.schema(_COUNTS.format(key="productId")).parquet(out)
     return _wall_clock(window_counts.top_of_latest_window(counts))
 
 
 QUERIES: dict[str, Query] = {
     "clean_sales": clean_sales_query,
-    "dim_customer": lambda spark, sf_dir: dims.customer_dim(_customers(spark, sf_dir)),
+    "dim_customer": _customers,
     "dim_location": _locations,
     "dim_payment": _payments,
     "dim_product": _products,

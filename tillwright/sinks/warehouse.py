@@ -7,8 +7,10 @@ import re
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillwright.operators.fact import DATE_PARTITIONS
 from tillwright.operators.incremental import first_per_key, new_rows_for_small_batch
@@ -22,6 +24,7 @@ DATE_TABLE = "date_Dim"
 
 #: Column that says which hourly batch a fact row came with; the outermost partition.
 BATCH_HOUR = "batch_hour"
+FACT_PARTITIONS = [BATCH_HOUR, *DATE_PARTITIONS]
 
 #: Bounds a file where Spark's byte-based sizing does not apply.
 RECORDS_PER_FILE = 20_000_000
@@ -40,14 +43,34 @@ class Warehouse:
     def name(self, table: str) -> str:
         return f"{_name(self.database)}.{_name(table)}"
 
-    def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(self.name(table))
+    def folder(self, table: str) -> str:
+        return f"{self.root}/{table}"
 
     def table(self, table: str) -> DataFrame:
+        if not self.exists(table):
+            raise LookupError(f"{self.name(table)} was not loaded yet")
         return self.spark.table(self.name(table))
 
-    def folder(self, table: str) -> str:
-        return f"{self.root}/{table}"
+    def exists(self, table: str) -> bool:
+        """Whether a table was loaded.
+
+        The catalog is asked first.  Where it does not know the table, as in a session
+        without a lasting one, the folder is: rows found there are registered again, so
+        that a lost entry is never taken for a first load.
+        """
+        if self.spark.catalog.tableExists(self.name(table)):
+            return True
+        try:
+            found = self.spark.read.parquet(self.folder(table)).schema
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return False
+        partitions = FACT_PARTITIONS if table == FACT_TABLE else []
+        self._declare(table, found, partitions)
+        if partitions:
+            self.spark.catalog.recoverPartitions(self.name(table))
+        return True
 
     # -- loads
 
@@ -59,11 +82,7 @@ class Warehouse:
         return True
 
     def load_dimension(self, table: str, key: str, rows: DataFrame, one_per_key: bool = False) -> None:
-        """First load writes the rows, later ones append those with a new key.
-
-        A table is never overwritten: a missing catalog entry is the only reason to
-        create one.
-        """
+        """First load writes the rows, later ones append those with a new key."""
         if not self.exists(table):
             self._create(table, first_per_key(rows, key) if one_per_key else rows)
             return
@@ -81,19 +100,12 @@ class Warehouse:
         what that hour wrote before and nothing else.  ``fact`` has the text columns
         year, month and day; filters on them prune as usual.  It is evaluated twice.
         """
-        parts = [BATCH_HOUR, *DATE_PARTITIONS]
-        if not self.exists(FACT_TABLE):
-            columns = [f for f in fact.schema.fields if f.name not in parts]
-            listing = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in columns)
-            partitions = ", ".join(f"{part} string" for part in parts)
-            self.spark.sql(
-                f"CREATE TABLE {self.name(FACT_TABLE)} ({listing}, {partitions}) USING parquet "
-                f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{self.folder(FACT_TABLE)}'"
-            )
-        names = [name for name in fact.columns if name not in parts]
-        batch = by_day(fact, day_sizes(fact)).select(*names, *DATE_PARTITIONS)
         if not re.fullmatch(r"\w+", batch_hour):
             raise ValueError(f"not a batch hour: {batch_hour!r}")
+        if not self.exists(FACT_TABLE):
+            self._declare(FACT_TABLE, fact.schema, FACT_PARTITIONS)
+        names = [name for name in fact.columns if name not in FACT_PARTITIONS]
+        batch = by_day(fact, day_sizes(fact)).select(*names, *DATE_PARTITIONS)
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} "
             f"PARTITION ({BATCH_HOUR} = '{batch_hour}', {', '.join(DATE_PARTITIONS)}) SELECT * FROM {{batch}}",
@@ -101,15 +113,29 @@ class Warehouse:
         )
 
     def _create(self, table: str, rows: DataFrame) -> None:
-        """Files are sized by AQE from the bytes shuffled, instead of written by one task."""
+        """Write a table that has no rows yet; what a broken first load left is replaced.
+
+        Files are sized by AQE from the bytes shuffled, instead of written by one task.
+        """
         (
             rows.hint("rebalance")
             .write.format("parquet")
+            .mode("overwrite")
             .option("path", self.folder(table))
             .option("maxRecordsPerFile", RECORDS_PER_FILE)
             .saveAsTable(self.name(table))
         )
 
+    def _declare(self, table: str, schema: StructType, partitions: list[str]) -> None:
+        """External table over a folder."""
+        columns = [f"{_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields if f.name not in partitions]
+        columns += [f"{_name(part)} string" for part in partitions]
+        partitioned = f"PARTITIONED BY ({', '.join(partitions)}) " if partitions else ""
+        self.spark.sql(
+            f"CREATE TABLE {self.name(table)} ({', '.join(columns)}) USING parquet {partitioned}"
+            f"LOCATION '{self.folder(table)}'"
+        )
+
 
 @dataclass(frozen=True)
 class DaySizes:

@@ -50,20 +50,46 @@ _CUSTOMER_COLUMNS = {"customer_fname", "cusomter_lname", "cusomter_email"}
 _ORDER_COLUMNS = {"transaction_date", "customer_id", "is_online", "payment_method", "shipping_address"}
 _PART_COLUMNS = {"product_name", "product_category", "unit_price"}
 
+#: Line item column that a raw column is made from.
+_LINE_SOURCES = {
+    "transaction_id": "l_orderkey",
+    "sales_agent_id": "l_suppkey",
+    "product_id": "l_partkey",
+    "units": "l_quantity",
+    **{f"offer_{n}": "l_discount" for n in range(1, 6)},
+}
+
 
 def raw_sales(
-    spark: SparkSession, sf_dir: str, columns: list[str] | None = None, day: dt.date | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: list[str] | None = None,
+    day: dt.date | None = None,
+    as_set: bool = False,
 ) -> DataFrame:
-    """Line items in the shape of the raw sales group; ``day`` keeps one order date."""
+    """Line items in the shape of the raw sales group; ``day`` keeps one order date.
+
+    ``as_set`` is for readers that only look at distinct rows.  Line items are then cut
+    down to the distinct values that are needed of them before anything is joined, so a
+    product or order with a third of all lines is one row in the joins.
+    """
     wanted = columns or SALES_TRANSACTIONS_RAW.names
     need = set(wanted)
+    with_orders = bool(day or need & (_ORDER_COLUMNS | _CUSTOMER_COLUMNS))
+    with_parts = bool(need & _PART_COLUMNS)
+    with_suppliers = "branch_id" in need
+
     rows = sample_table(spark, sf_dir, "lineitem")
-    if day or need & (_ORDER_COLUMNS | _CUSTOMER_COLUMNS):
+    if as_set:
+        keys = {"l_orderkey": with_orders, "l_partkey": with_parts, "l_suppkey": with_suppliers}
+        used = {key for key, joined in keys.items() if joined} | {_LINE_SOURCES[n] for n in need if n in _LINE_SOURCES}
+        rows = rows.select(*sorted(used)).distinct()
+    if with_orders:
         orders = _orders(spark, sf_dir, need, day).withColumnRenamed("o_orderkey", "l_orderkey")
         rows = rows.join(orders, "l_orderkey", "inner" if day else "left")
-    if need & _PART_COLUMNS:
+    if with_parts:
         rows = rows.join(_parts(spark, sf_dir), "l_partkey", "left")
-    if "branch_id" in need:
+    if with_suppliers:
         suppliers = sample_table(spark, sf_dir, "supplier").select(
             F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("branch_id")
         )

@@ -11,6 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.schemas import ROUTED_TABLES
 from tillwright.streaming.parse import is_unrouted, parse_events, route, unrouted
+from tillwright.streaming.serving import version_writer
+from tillwright.streaming.window_counts import event_counts, flat_window, product_view_counts, top_products
 
 # Pause between micro-batches of each kind of query.
 ROUTE_TRIGGER = "10 seconds"
@@ -83,6 +85,39 @@ def start_router(messages: DataFrame, root: str, checkpoint: str, every: str | N
     return start_batch_sink(messages, write, "append", checkpoint, every)
 
 
+def start_event_counts(
+    messages: DataFrame, kind: str, options: dict[str, str], checkpoint: str, every: str | None = EVENT_COUNT_TRIGGER
+) -> StreamingQuery:
+    """Counts per window and event type in update mode, appended as versions to a ``kind`` store."""
+    counts = event_counts(parse_events(messages))
+    write = version_writer(lambda batch: flat_window(batch, "eventType"), kind, options)
+    return start_batch_sink(counts, write, "update", checkpoint, every)
+
+
+def start_top_products(
+    messages: DataFrame, kind: str, options: dict[str, str], checkpoint: str, every: str | None = TOP_PRODUCTS_TRIGGER
+) -> StreamingQuery:
+    """Most viewed products over all windows in complete mode, appended as versions to a ``kind`` store."""
+    top = top_products(parse_events(messages))
+    write = version_writer(lambda batch: flat_window(batch, "productId"), kind, options)
+    return start_batch_sink(top, write, "complete", checkpoint, every)
+
+
+def start_closed_event_counts(
+    messages: DataFrame, folder: str, checkpoint: str, every: str | None = EVENT_COUNT_TRIGGER
+) -> StreamingQuery:
+    """Counts per window and event type, written once, when the watermark closes the window."""
+    return start_file_sink(flat_window(event_counts(parse_events(messages)), "eventType"), folder, checkpoint, every)
+
+
+def start_closed_product_counts(
+    messages: DataFrame, folder: str, checkpoint: str, every: str | None = TOP_PRODUCTS_TRIGGER
+) -> StreamingQuery:
+    """Views per window and product, written once, when the watermark closes the window."""
+    counts = product_view_counts(parse_events(messages))
+    return start_file_sink(flat_window(counts, "productId"), folder, checkpoint, every)
+
+
 def await_all(queries: list[StreamingQuery], poll_seconds: float = 0.2) -> None:
     """Wait until all queries ended; the first failure stops the others and is raised.
 
