@@ -30,11 +30,13 @@ SETTINGS = {
 MOST_STATE_PARTITIONS = 200
 
 
-def build_session(name: str, master: str | None = None, **settings: str) -> SparkSession:
+def build_session(name: str, master: str | None = None, hive: bool = False, **settings: str) -> SparkSession:
     """Session with :data:`SETTINGS`; ``settings`` use ``__`` for dots and win over them."""
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in settings.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
