@@ -142,26 +142,21 @@ def test_reloading_an_hour_replaces_all_of_it_and_nothing_else(spark, warehouse)
         warehouse.load_fact(spark.createDataFrame([], schema), "x' or 'y")
 
 
-def test_days_are_hashed_where_small_and_rebalanced_where_large(spark):
-    fact = spark.range(100).selectExpr(
-        "id units", "concat('202205', lpad(cast(id % 10 as string), 2, '0')) transaction_date_id",
-        "'2022' year", "'05' month", "lpad(cast(id % 10 as string), 2, '0') day",
-    )
-    sizes = wh.day_sizes(fact)
-    assert sizes == wh.DaySizes(days=10, rows=100, largest=10)
-    plan = lambda s: wh.by_day(fact, s)._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_NUM" in plan(sizes)
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan(wh.DaySizes(10, 10**9, 10**8))
-    assert wh.day_sizes(fact.limit(0)) == wh.DaySizes(0, 0, 0)
+def test_days_are_hashed_only_where_none_can_be_large(spark):
+    fact = spark.range(100).selectExpr("id units", "'2022' year", "'05' month", "cast(id % 10 as string) day")
+    plan = lambda rows: wh.by_day(fact, rows)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan(100)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(10**8)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(None)
 
 
 def test_hot_day_is_split_over_tasks(spark, tmp_path):
     fact = spark.range(0, 2_000_000, 1, 8).selectExpr(
-        "cast(xxhash64(id) as string) transaction_id", "'20220501' transaction_date_id", "'2022' year", "'05' month", "'01' day"
+        "cast(xxhash64(id) as string) transaction_id", "'2022' year", "'05' month", "'01' day"
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
     try:
-        wh.write_fact_folder(fact, str(tmp_path / "fact"), wh.DaySizes(1, 10**9, 10**9))
+        wh.write_fact_folder(fact, str(tmp_path / "fact"))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "fact").rglob("*.parquet"))) > 3

@@ -38,7 +38,7 @@ def load_hour(
     batch_hour = f"{as_of - HOUR:%Y%m%d%H}"
     with _cleaned_sales(spark, raw_root, as_of) as sales:
         _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key)
-        warehouse.load_fact(with_date_partitions(sales_fact(sales)), batch_hour)
+        warehouse.load_fact(with_date_partitions(sales_fact(sales)), batch_hour, sales.count())
     if rejects_folder:
         raw = read_group(spark, hour_path(raw_root, as_of), "sales_transactions")
         _write_rejects(raw, f"{rejects_folder.rstrip('/')}/batch_hour={batch_hour}")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
 import re
-from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -28,9 +26,8 @@ FACT_PARTITIONS = [BATCH_HOUR, *DATE_PARTITIONS]
 
 #: Bounds a file where Spark's byte-based sizing does not apply.
 RECORDS_PER_FILE = 20_000_000
-#: What one task writes of the fact: rows, and days, each of which is a file.
+#: Rows of the fact that one task may write.
 ROWS_PER_TASK = 4_000_000
-DAYS_PER_TASK = 64
 
 
 class Warehouse:
@@ -93,19 +90,20 @@ class Warehouse:
         finally:
             batch.unpersist()
 
-    def load_fact(self, fact: DataFrame, batch_hour: str) -> None:
+    def load_fact(self, fact: DataFrame, batch_hour: str, rows: int | None = None) -> None:
         """Replace one hourly batch of the fact.
 
         The batch hour is the outermost partition, so loading an hour again overwrites
         what that hour wrote before and nothing else.  ``fact`` has the text columns
-        year, month and day; filters on them prune as usual.  It is evaluated twice.
+        year, month and day; filters on them prune as usual.  ``rows`` is its number of
+        rows, where known.
         """
         if not re.fullmatch(r"\w+", batch_hour):
             raise ValueError(f"not a batch hour: {batch_hour!r}")
         if not self.exists(FACT_TABLE):
             self._declare(FACT_TABLE, fact.schema, FACT_PARTITIONS)
         names = [name for name in fact.columns if name not in FACT_PARTITIONS]
-        batch = by_day(fact, day_sizes(fact)).select(*names, *DATE_PARTITIONS)
+        batch = by_day(fact, rows).select(*names, *DATE_PARTITIONS)
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} "
             f"PARTITION ({BATCH_HOUR} = '{batch_hour}', {', '.join(DATE_PARTITIONS)}) SELECT * FROM {{batch}}",
@@ -137,43 +135,28 @@ class Warehouse:
         )
 
 
-@dataclass(frozen=True)
-class DaySizes:
-    """How many days a batch of the fact has, its rows, and those of the largest day."""
-
-    days: int
-    rows: int
-    largest: int
-
-
-def day_sizes(fact: DataFrame) -> DaySizes:
-    """Measured on a frame with ``transaction_date_id``; one row per day is shuffled."""
-    per_day = fact.groupBy("transaction_date_id").agg(F.count(F.lit(1)).alias("rows"))
-    sizes = per_day.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.max("rows"), F.lit(0)))
-    return DaySizes(*sizes.first())
-
-
-def by_day(fact: DataFrame, sizes: DaySizes) -> DataFrame:
+def by_day(fact: DataFrame, rows: int | None) -> DataFrame:
     """Gather the rows of a day, so that a day is few files.
 
-    Where no day is more than one task should write, days are hashed to as many tasks as
-    their number and rows ask for.  Otherwise the partitioning is left to a rebalance,
-    which splits a large day by the bytes it measured.
+    The partitioning is left to a rebalance, which merges small days and splits a large
+    one by the bytes it measured.  Only where all ``rows`` together are known to be no
+    more than one task may write, so that no day can be too large for one, days are
+    hashed to all cores instead: a rebalance would merge so few bytes into one task, and
+    that would write the files of all days.
     """
     columns = [F.col(part) for part in DATE_PARTITIONS]
-    if sizes.largest > ROWS_PER_TASK:
+    if rows is None or rows > ROWS_PER_TASK:
         return fact.hint("rebalance", *columns)
-    tasks = max(math.ceil(sizes.days / DAYS_PER_TASK), math.ceil(sizes.rows / ROWS_PER_TASK), 1)
-    return fact.repartition(tasks, *columns)
+    return fact.repartition(fact.sparkSession.sparkContext.defaultParallelism, *columns)
 
 
-def write_fact_folder(fact: DataFrame, folder: str, sizes: DaySizes | None = None) -> None:
+def write_fact_folder(fact: DataFrame, folder: str, rows: int | None = None) -> None:
     """The fact as a plain parquet folder partitioned by year, month and day.
 
-    ``sizes`` may come from a narrower frame with the same days.
+    ``rows`` is how many there are, or at most are, where that is known.
     """
     (
-        by_day(fact, sizes or day_sizes(fact))
+        by_day(fact, rows)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .partitionBy(*DATE_PARTITIONS)
