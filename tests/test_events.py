@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import uuid
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +205,16 @@ def test_replayed_batch_reads_as_once(spark, tmp_path):
     assert sorted(map(tuple, serving.latest_batch(versions).collect())) == [("a", 2), ("b", 2)]
 
 
+def test_database_view_is_the_same_as_latest_versions(spark):
+    rows = [("a", 1, 0), ("a", 2, 1), ("a", 2, 1), ("b", 5, 0)]
+    newest = serving.latest_versions(spark.createDataFrame(rows, "key string, count long, batch_id long"), ["key"])
+    con = duckdb.connect()
+    con.execute("CREATE TABLE versions (key VARCHAR, count BIGINT, batch_id BIGINT)")
+    con.executemany("INSERT INTO versions VALUES (?, ?, ?)", rows)
+    con.execute(serving.latest_versions_view("newest", "versions", ["key"], ["count"]))
+    assert sorted(con.execute("SELECT key, count FROM newest").fetchall()) == sorted(map(tuple, newest.collect()))
+
+
 def test_late_events_are_dropped_behind_the_watermark(spark, inbox, tmp_path):
     run = lambda: serve(inbox, tmp_path, window_counts.event_counts, "update", "eventType").awaitTermination()
     inbox.put(view(time="2024-01-01T10:05:00"), view(time="2024-01-01T10:21:00"))  # watermark 10:19

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,22 @@ def test_offers_in_fact(raw_sales, flags, offer_id, total):
     assert (row["offer_id"], row["total_price"]) == (offer_id, total)
 
 
+def test_offers_against_a_plain_model_for_all_flags(raw_sales):
+    cases = list(itertools.product([None, False, True], repeat=5))
+    raw = raw_sales(
+        *[
+            {"transaction_id": str(i), "units": 2, "unit_price": 12.35} | {f"offer_{n + 1}": v for n, v in enumerate(flags)}
+            for i, flags in enumerate(cases)
+        ]
+    )
+    got = {row["transaction_id"]: (row["offer_id"], row["total_price"]) for row in fact_of(raw).collect()}
+    for i, flags in enumerate(cases):
+        redeemed = [n for n in range(5) if flags[n]]
+        percent = 5 * (redeemed[0] + 1) if len(redeemed) == 1 else 0
+        offer = f"{percent}-offer_{redeemed[0] + 1}" if percent else None
+        assert got[str(i)] == (offer, pytest.approx(24.7 * (100 - percent) / 100, abs=5e-4))
+
+
 def test_offer_dim_counts_present_flags_also_false_ones(raw_sales):
     sales = clean_sales(raw_sales({"offer_2": False}, {"offer_5": True}, {"offer_5": True, "offer_2": True}))
     assert rows(dims.offer_dim(sales)) == [("10-offer_2", "offer_2", 10), ("25-offer_5", "offer_5", 25)]

@@ -165,18 +165,20 @@ def incremental_agents(spark, sf_dir):
     return new_rows(batch, batch.where(F.col("hire_date") < F.lit(AGENTS_BEFORE)), "sales_person_id")
 
 
-def _since_stored(spark, sf_dir, dimension, *columns):
-    sales = _distinct_sales(spark, sf_dir, *columns, "transaction_date")
+def _new_since_stored(spark, sf_dir, dimension, key, columns):
+    """New rows of the later sales; of the earlier ones, only the keys are made."""
     before = F.col("transaction_date") < F.lit(STORED_BEFORE)
-    return dimension(sales.where(~before)), dimension(sales.where(before))
+    batch = dimension(_distinct_sales(spark, sf_dir, *columns, "transaction_date").where(~before))
+    stored = _distinct_sales(spark, sf_dir, key, "transaction_date").where(before).select(key).distinct()
+    return new_rows(batch, stored, key)
 
 
 def incremental_customer(spark, sf_dir):
-    return new_rows(*_since_stored(spark, sf_dir, dims.customer_dim, *_CUSTOMER), "customer_id")
+    return _new_since_stored(spark, sf_dir, dims.customer_dim, "customer_id", _CUSTOMER)
 
 
 def incremental_product(spark, sf_dir):
-    return new_rows(*_since_stored(spark, sf_dir, dims.product_dim, *_PRODUCT), "product_id")
+    return _new_since_stored(spark, sf_dir, dims.product_dim, "product_id", _PRODUCT)
 
 
 def incremental_location(spark, sf_dir):

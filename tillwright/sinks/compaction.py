@@ -46,7 +46,7 @@ def compact_folder(
 
 
 def row_checksum(rows: DataFrame) -> int:
-    """Order-free checksum of all rows; the sum wraps by taking it in decimal."""
+    """Checksum of all rows in any order, summed as decimal so that it cannot overflow."""
     hashed = F.xxhash64(*[F.col(name) for name in rows.columns]).cast("decimal(38,0)")
     return int(rows.agg(F.coalesce(F.sum(hashed), F.lit(0)).alias("checksum")).first()["checksum"])
 

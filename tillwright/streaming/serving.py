@@ -53,6 +53,16 @@ def latest_versions(versions: DataFrame, keys: list[str]) -> DataFrame:
     return versions.groupBy(*keys).agg(*[F.max_by(name, BATCH).alias(name) for name in values])
 
 
+def latest_versions_view(view: str, table: str, keys: list[str], values: list[str]) -> str:
+    """:func:`latest_versions` as a view for the database that holds the versions."""
+    listed, grouped = ", ".join([*keys, *values]), ", ".join(keys)
+    return (
+        f"CREATE VIEW {view} AS SELECT {listed} FROM ("
+        f"SELECT {listed}, row_number() OVER (PARTITION BY {grouped} ORDER BY {BATCH} DESC) AS age FROM {table}"
+        f") AS versions WHERE age = 1"
+    )
+
+
 def latest_batch(versions: DataFrame) -> DataFrame:
     """Rows of the newest batch, for complete mode, where a batch is the whole result."""
     newest = versions.agg(F.max(BATCH).alias(BATCH))
