@@ -146,12 +146,13 @@ def _parser() -> argparse.ArgumentParser:
     def arg(name, **how):
         return lambda sub: sub.add_argument(name, **how)
 
-    def source(trigger):
+    def source(trigger, starting):
         def add(sub):
             sub.add_argument("--source", choices=["kafka", "parquet", "text"], default="kafka")
             for name in ("--path", "--servers", "--topic", "--user"):
                 sub.add_argument(name)
-            sub.add_argument("--starting", choices=["earliest", "latest"], default="earliest")
+            sub.add_argument("--starting", choices=["earliest", "latest"], default=starting,
+                             help="where a new checkpoint starts")
             sub.add_argument("--most-per-trigger", type=int)
             sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--every", default=trigger, help="pause between batches, or 'once'")
@@ -173,10 +174,10 @@ def _parser() -> argparse.ArgumentParser:
     job("load-hour", load, raw, warehouse, retail, as_of, arg("--one-per-key", action="store_true"), arg("--rejects"))
     job("marketing", marketing, warehouse, retail)
     job("daily-report", daily, warehouse, retail, arg("--day", type=dt.date.fromisoformat, required=True), out)
-    job("routes", routes, source(queries.ROUTE_TRIGGER), out, stream, arg("--with-unrouted", action="store_true"))
+    job("routes", routes, source(queries.ROUTE_TRIGGER, "earliest"), out, stream, arg("--with-unrouted", action="store_true"))
     job("kpis", kpis, out, stream)
-    job("event-counts", event_counts, source(queries.EVENT_COUNT_TRIGGER), store)
-    job("top-products", top_products, source(queries.TOP_PRODUCTS_TRIGGER), store)
+    job("event-counts", event_counts, source(queries.EVENT_COUNT_TRIGGER, "latest"), store)
+    job("top-products", top_products, source(queries.TOP_PRODUCTS_TRIGGER, "latest"), store)
     job("compact", compact, out, arg("--target", required=True), arg("--checkpoint"), arg("--database"))
     return parser
 

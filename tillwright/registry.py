@@ -203,7 +203,7 @@ def incremental_offer(spark, sf_dir):
 
 
 def scan_parquet(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return sample.sample_table(spark, sf_dir, "orders")
 
 
 def scan_csv_roundtrip(spark, sf_dir):

@@ -51,9 +51,9 @@ def land_group(
     """Copy CSV files of a group that arrived in the hour before ``as_of`` to that hour's partition.
 
     ``landing`` holds drop folders, those hold ``<group>*.csv``.  Arrival is the files'
-    modification time, from one hour before ``as_of`` up to but not including it.  Values
-    are carried as the text they are, so a malformed one is still there to be rejected
-    later.  A rerun replaces the group's folder and so lands the same rows once.
+    modification time, from one hour before ``as_of`` up to but not including it, with
+    ``as_of`` in the session's time zone.  Values are carried as the text they are, so a
+    malformed one is still there to be rejected later.  A rerun replaces the group's folder and so lands the same rows once.
 
     Tasks copy in parallel and each writes its own file.  Returns the folder written, or
     None where no drop holds the group.
