@@ -81,6 +81,18 @@ def test_an_hour_of_blank_flags_keeps_its_types(spark, tmp_path):
     assert dict(read_group(spark, str(tmp_path / "h"), "sales_transactions").dtypes)["offer_1"] == "boolean"
 
 
+def test_landing_carries_values_as_they_are(spark, tmp_path):
+    odd = ['" lamp "', "' x", '"a, b"', r'"say \"hi\""', "back\\slash", '""', "", "  ", "ünï", '"c:\\dir\\"', "tab\there", "x\\"]
+    lines = [sale(n).replace(",lamp,", f",{value},") for n, value in enumerate(odd)]
+    drop(tmp_path / "in", "x", lines)
+    land_group(spark, str(tmp_path / "in"), str(tmp_path / "raw"), "sales_transactions", AS_OF.replace(tzinfo=None), False)
+    before = read_group(spark, str(tmp_path / "in" / "x"), "sales_transactions")
+    after = read_raw_zone(spark, str(tmp_path / "raw"), "sales_transactions")
+    names = RAW_GROUPS["sales_transactions"].names
+    read = lambda frame: sorted((repr(tuple(row)) for row in frame.select(*names).collect()))
+    assert read(after) == read(before) and len(lines) == after.count()
+
+
 def land(spark, tmp_path, as_of, lines, agents=("7,Ann,2020-01-01",)):
     landing = tmp_path / f"in-{as_of:%H}"
     drop(landing, "x", lines)

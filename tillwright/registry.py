@@ -23,7 +23,7 @@ from tillwright.sinks.csv_report import report_folder, write_csv_report
 from tillwright.sinks.warehouse import FACT_TABLE, Warehouse, register_event_tables, write_fact_folder
 from tillwright.sources import sample_tables as sample
 from tillwright.sources.events import event_source
-from tillwright.sources.raw_zone import HOUR, hour_path, land_group, read_group, read_raw_zone
+from tillwright.sources.raw_zone import HOUR, hour_path, land_group, read_group, read_raw_zone, write_csv
 from tillwright.streaming import feed, parse, queries, serving, window_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,13 +209,13 @@ def scan_parquet(spark, sf_dir):
 def scan_csv_roundtrip(spark, sf_dir):
     """Sales agents written as a CSV group and read back under the declared schema."""
     folder = work_folder(spark, "csv")
-    sample.raw_sales_agents(spark, sf_dir).write.csv(f"{folder}/sales_agents-1.csv", header=True)
+    write_csv(sample.raw_sales_agents(spark, sf_dir), f"{folder}/sales_agents-1.csv")
     return dims.sales_agents_dim(read_group(spark, folder, "sales_agents"))
 
 
 def _drop(spark, folder, frames: dict[str, DataFrame]) -> str:
     for group, rows in frames.items():
-        rows.write.csv(f"{folder}/drop/{group}-1.csv", header=True)
+        write_csv(rows, f"{folder}/drop/{group}-1.csv")
     return folder
 
 

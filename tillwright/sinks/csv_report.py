@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 
 from tillwright.session import work_folder
+from tillwright.sources.raw_zone import write_csv
 
 #: Rows one task may write as a single file.
 SINGLE_FILE_ROWS = 1_000_000
@@ -34,5 +35,5 @@ def write_csv_report(
         ordered = staged.repartition(1).sortWithinPartitions(*order)
     else:
         ordered = staged.orderBy(*order)
-    ordered.write.mode("overwrite").csv(folder, header=True)
+    write_csv(ordered, folder)
     return rows

@@ -74,10 +74,19 @@ def land_group(
             raise
         return None
     target = f"{hour_path(root, as_of)}/{group}.csv"
-    arrived.write.mode("overwrite").csv(target, header=True)
+    write_csv(arrived, target)
     return target
 
 
+def write_csv(rows: DataFrame, folder: str) -> None:
+    """CSV that reads back as the values it was written from, spaces around them included."""
+    (
+        rows.write.mode("overwrite")
+        .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .csv(folder)
+    )
+
+
 def read_raw_zone(spark: SparkSession, root: str, group: str) -> DataFrame:
     """All landed hours of a group, with the hour's partition columns as text."""
     parts = StructType([StructField(name, StringType()) for name in HOUR_PARTITIONS])
