@@ -89,6 +89,40 @@ def test_jdbc_options():
     assert options == {"url": "jdbc:x", "dbtable": "t", "driver": "d", "user": "u", "password": "s", "numPartitions": "3"}
 
 
+def test_jdbc_versions_are_appended_with_their_batch(spark, monkeypatch):
+    """No database here: what would be handed to the JDBC writer."""
+    seen = {}
+
+    class Writer:
+        def __init__(self, frame):
+            seen["columns"] = frame.dtypes
+
+        def format(self, kind):
+            seen["kind"] = kind
+            return self
+
+        def mode(self, mode):
+            seen["mode"] = mode
+            return self
+
+        def options(self, **options):
+            seen["options"] = options
+            return self
+
+        def save(self):
+            seen["saved"] = True
+
+    counted = window_counts.event_counts(parse.parse_events(messages(spark, view())))
+    monkeypatch.setattr(type(counted), "write", property(Writer))
+    options = serving.jdbc_options("jdbc:x", "t", "d", "u", "s")
+    serving.version_writer(lambda batch: window_counts.flat_window(batch, "eventType"), "jdbc", options)(counted, 7)
+    assert seen == {
+        "columns": [("window_start", "timestamp"), ("window_end", "timestamp"), ("eventType", "string"),
+                    ("count", "bigint"), ("batch_id", "bigint")],
+        "kind": "jdbc", "mode": "append", "options": options, "saved": True,
+    }
+
+
 # streams
 
 

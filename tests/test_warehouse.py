@@ -129,6 +129,16 @@ def test_hourly_load_is_incremental_and_repeatable(spark, tmp_path, warehouse):
     assert rows(spark.read.parquet(rejects), "transaction_id") == [("x",)]
 
 
+def test_an_hour_without_files_loads_nothing_and_the_next_one_loads(spark, tmp_path, warehouse):
+    naive = AS_OF.replace(tzinfo=None)
+    land(spark, tmp_path, naive + dt.timedelta(hours=1), [sale("a")])
+    load_hour(spark, str(tmp_path / "raw"), warehouse, naive)
+    assert warehouse.table(wh.FACT_TABLE).count() == 0
+    load_hour(spark, str(tmp_path / "raw"), warehouse, naive + dt.timedelta(hours=1))
+    assert rows(warehouse.table(wh.FACT_TABLE), "transaction_id") == [("a",)]
+    assert {t: warehouse.table(t).count() for t in DIMENSION_KEYS} == dict.fromkeys(DIMENSION_KEYS, 1) | {"offer_Dim": 0}
+
+
 def test_fact_partitions_are_padded_text_and_prune(spark, tmp_path, warehouse):
     fact = spark.createDataFrame(
         [("20220501", "2022", "05", "01", 1), ("20220502", "2022", "05", "02", 2), (None, None, None, None, 3)],
