@@ -1,0 +1,129 @@
+"""BagMinHash near duplicates against all pairs."""
+
+from __future__ import annotations
+
+from collections import Counter
+from fractions import Fraction
+import random
+
+import numpy as np
+import pytest
+
+from tillwright.llm import bag_minhash as bm
+
+
+def bag(text):
+    words = (text or "").split()
+    return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def jaccard(a, b):
+    union = sum((a | b).values())
+    return sum((a & b).values()) / union if union else 0.0
+
+
+def brute_force(rows):
+    """Class of each row: transitive over equal texts and pairs of similarity 0.8 or more."""
+    bags = [bag(text) for _, text in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (rows[i][1] or "") == (rows[j][1] or "") or jaccard(bags[i], bags[j]) >= 0.8:
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            least[root(i)] = min(least.get(root(i), doc_id), doc_id)
+    return sorted((str(doc_id), str(least.get(root(i)))) for i, (doc_id, _) in enumerate(rows))
+
+
+def check(spark, docs, rows):
+    found = bm.near_duplicates(spark, docs(*rows)).collect()
+    assert sorted((str(r.doc_id), str(r.class_id)) for r in found) == brute_force(rows)
+    kept = [r.class_id for r in found if r.kept]
+    assert all(r.doc_id == r.class_id for r in found if r.kept)
+    assert len(kept) == len(bm.keep_one(spark, docs(*rows)).collect())
+    return found
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for _ in range(edits):
+        out[rng.randrange(len(out))] = rng.choice("abcdefgh") * 3
+    return " ".join(out)
+
+
+def test_classes_are_those_of_all_pairs(spark, docs):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    rows = []
+    for group in range(25):
+        words = rng.choices(vocabulary, k=rng.choice([30, 80, 200, 400]))
+        rows += [(len(rows) + k, edited(rng, words, rng.randrange(0, 5))) for k in range(rng.choice([1, 2, 6]))]
+    rows += [(1000 + k, rows[3][1]) for k in range(5)]
+    check(spark, docs, rows)
+
+
+def test_nulls_short_texts_repeats_and_ties(spark, docs):
+    long = " ".join(f"v{i}" for i in range(60))
+    rows = [
+        (5, None), (6, ""), (7, None), (8, "one two three four"), (9, "one two three four"), (10, "one two three"),
+        (None, long), (3, long + " x"), (None, "lonely text without any id at all"), (4, long), (4, long),
+        (20, "a a a a a a a a a a a a"), (21, "a a a a a a a a a a a"), (22, "a a a a a a"),
+    ]
+    found = check(spark, docs, rows)
+    assert sum(r.kept for r in found) == len({r.class_id for r in found if r.class_id is not None}) + 1
+
+
+def test_empty_table(spark, docs):
+    assert bm.near_duplicates(spark, docs()).collect() == []
+    assert bm.keep_one(spark, docs()).collect() == []
+
+
+def test_extra_columns_with_clashing_names(spark, docs):
+    from pyspark.sql import functions as F
+
+    wide = docs((1, "a b c d e f g"), (2, "a b c d e f g")).select("*", *(F.lit(1).alias(c) for c in ("row", "key", "class")))
+    assert bm.near_duplicates(spark, wide).count() == 2
+    kept = bm.keep_one(spark, wide)
+    assert kept.columns == wide.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_chain_within_one_bucket_is_followed(spark, docs):
+    """Texts that drift away from the first one stay linked through those between."""
+    words = [f"t{i}" for i in range(200)]
+    rows = []
+    for step in range(30):
+        words[step * 6] = f"changed{step}"
+        rows.append((step, " ".join(words)))
+    found = check(spark, docs, rows)
+    assert {r.class_id for r in found} == {0}
+
+
+@pytest.mark.parametrize("counts", [(1, 1), (3, 5), (7, 100), (1, 1000)])
+def test_signatures_estimate_weighted_jaccard(counts):
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 2**63, 40).astype(np.uint64)
+    values.sort()
+    a = rng.integers(counts[0], counts[1] + 1, 40)
+    b = rng.integers(counts[0], counts[1] + 1, 40)
+    size = 8192
+    kept = bm.signatures([(values, a), (values[8:], b[8:])], size)
+    b = b * (np.arange(40) >= 8)
+    exact = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+    assert abs((kept[0] == kept[1]).mean() - exact) < 4 * (exact * (1 - exact) / size) ** 0.5 + 1e-9
+
+
+def test_similarity_is_exact_at_the_threshold():
+    least = Fraction("0.8")
+    a = (np.arange(9, dtype=np.uint64), np.ones(9, np.int64))
+    assert bm.similar(a, (a[0][:8], a[1][:8]), least)  # 8 of 9
+    ten = (np.arange(10, dtype=np.uint64), np.ones(10, np.int64))
+    assert bm.similar(ten, (ten[0][:8], ten[1][:8]), least)  # exactly 0.8
+    assert not bm.similar(ten, (ten[0][:7], ten[1][:7]), least)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import binary_packing, byte_bpe, exact_sharding, host_quality, token_counts
+from tillwright.llm import bag_minhash, binary_packing, boosted_pii, byte_bpe, exact_sharding, host_quality, token_counts
 from tillwright.llm.common import let_workers_import
 from tillwright.llm.common import read_table as read
 
@@ -38,15 +38,26 @@ def op7_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_packing.crc32_of_ids(binary_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op8_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_sharding.text_digests(exact_sharding.shuffle_into_shards(spark, docs))
 
 
+def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return boosted_pii.report(docs, boosted_pii.train(docs))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_host_quality": op6_host_quality,
     "op7_binary_packing": op7_binary_packing,
+    "op8_bag_minhash": op8_bag_minhash,
     "op9_exact_sharding": op9_exact_sharding,
+    "op10_boosted_pii": op10_boosted_pii,
 }
