@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import bag_minhash, binary_packing, boosted_pii, byte_bpe, exact_sharding, host_quality, token_counts
+from tillwright.llm import (
+    bag_minhash,
+    binary_packing,
+    boosted_pii,
+    byte_bpe,
+    exact_sharding,
+    host_quality,
+    link_trust,
+    page_template,
+    token_counts,
+)
 from tillwright.llm.common import let_workers_import
 from tillwright.llm.common import read_table as read
 
@@ -21,6 +31,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op2_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judge(spark, read_table(spark, sf_dir, "pages"))
+
+
+def op3_page_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_template.extract_pages(spark, read_table(spark, sf_dir, "pages"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks, pattern)
@@ -54,6 +72,8 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_link_trust": op2_link_trust,
+    "op3_page_template": op3_page_template,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_host_quality": op6_host_quality,
     "op7_binary_packing": op7_binary_packing,
