@@ -14,6 +14,7 @@ from tillwright.llm import (
     exact_sharding,
     host_quality,
     link_trust,
+    nn_descent,
     page_template,
     token_counts,
 )
@@ -39,6 +40,10 @@ def op3_page_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_template.extract_pages(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks, pattern)
@@ -74,6 +79,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_link_trust": op2_link_trust,
     "op3_page_template": op3_page_template,
+    "op4_nn_descent": op4_nn_descent,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_host_quality": op6_host_quality,
     "op7_binary_packing": op7_binary_packing,
