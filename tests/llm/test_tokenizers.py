@@ -1,0 +1,133 @@
+"""Counts, byte ids and packing against the tokenizer libraries themselves."""
+
+from __future__ import annotations
+
+import base64
+import random
+import struct
+import zlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer, models, pre_tokenizers
+
+from tillwright.llm import binary_packing as bp
+from tillwright.llm import byte_bpe as bb
+from tillwright.llm import token_counts as tc
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+HARD = [
+    "", " ", "a", "  a  b ", "\n\n x\t\x1c\x85y  z", "日本語 テキスト 𝒳𝒴", "▁▁a▁b", "a" * 4000, "x" * 300 + " " * 50,
+    "don't I'LL we've İstanbul ΣΑΣ é", "<0x41> <unk> <s>", "‍﻿'sx", "á ́b", "<|endoftext|> hi",
+]
+
+
+def samples(n=400):
+    rng = random.Random(7)
+    pool = "aZ é́̈ßΣσς'’sdtrelvm019²½\t\n\r\x0b\x1c\x85\xa0 　字か한𝒳😀‍._-!<|>▁ ٠"
+    return HARD + ["".join(rng.choice(pool) for _ in range(rng.randrange(30))) for _ in range(n)]
+
+
+def pack(ids):
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def test_counts_are_those_of_the_library(spark, docs):
+    library = Tokenizer(models.Unigram(tc.read_pieces(PIECES), 0, True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    texts = samples()
+    found = tc.count_tokens(docs(*enumerate(texts)), PIECES)
+    counts = {row.doc_id: row.n_tokens for row in found.collect()}
+    assert counts == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_equal_scores_are_settled_like_the_library():
+    """With few scores, most splits are ties; the longer last piece stays."""
+    rng = random.Random(3)
+    pieces = [("<unk>", 0.0), ("▁", -1.0)] + [(f"<0x{b:02X}>", -9.0) for b in range(256)]
+    letters = "abc"
+    pieces += [(a, -1.0) for a in letters] + [(a + b, -2.0) for a in letters for b in letters]
+    pieces += [(a + b + c, -3.0) for a in letters for b in letters for c in letters] + [("▁a", -2.0)]
+    library = Tokenizer(models.Unigram(pieces, 0, True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    counts = tc.CountingViterbi(pieces)
+    for _ in range(300):
+        text = "".join(rng.choice("abcd ") for _ in range(rng.randrange(25)))
+        assert counts.text(text)[1] == len(library.encode(text, add_special_tokens=False).ids), text
+
+
+def test_byte_ids_are_those_of_the_library_and_decode(spark, docs):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = samples()
+    encoded = bb.encode(docs(*enumerate(texts)), RANKS, public_tokenizers.PATTERN)
+    for row in bb.decode(encoded, RANKS, public_tokenizers.PATTERN).collect():
+        want = library.encode_ordinary(texts[row.doc_id])
+        assert bytes(row.ids) == pack(want) and row.n_tokens == len(want)
+        assert bytes(row.decoded).decode() == texts[row.doc_id]
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 3, 1000])
+def test_perfect_hash_finds_every_key_and_no_other(size):
+    keys = [f"key{i}".encode() for i in range(size)]
+    table = bb.PerfectHash(keys)
+    assert [table.find(key) for key in keys] == list(range(size))
+    assert table.slots == max(1, size) and table.find(b"other") == -1
+
+
+def test_long_runs_merge_as_in_the_library():
+    ranks = bb.read_ranks(RANKS)
+    bpe = bb.ByteBpe(ranks, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(2)
+    for text in ["ab" * 3000, "é" * 999, "".join(rng.choice("ethnasio") for _ in range(5000))]:
+        assert bpe.encode(text) == pack(library.encode_ordinary(text))
+
+
+def test_pieces_hold_every_id_once_and_sequences_have_no_padding(spark, docs):
+    library = Tokenizer.from_file(WORDS)
+    texts = [*samples(150), "word " * 5000, "one two three " * 2731]
+    rows = bp.pack(docs(*enumerate(texts)), WORDS).withColumn("crc", F.crc32("ids")).collect()
+    assert len({row.sequence_id for row in rows}) == len(rows)
+    for doc_id, text in enumerate(texts):
+        ids = library.encode(text, add_special_tokens=False).ids + [2]
+        own = sorted((row for row in rows if row.doc_id == doc_id), key=lambda row: row.start)
+        assert b"".join(bytes(row.ids) for row in own) == pack(ids)
+        assert [row.start for row in own] == [sum(r.length for r in own[:k]) for k in range(len(own))]
+        for row in own:
+            assert row.length & (row.length - 1) == 0 and row.length == 1 << row.bucket <= 4096
+            assert row.offset == 0 and row.doc_tokens == len(ids) and row.crc == zlib.crc32(bytes(row.ids))
+            assert row.sequence_id >> bp.BUCKET_SHIFT == row.bucket
+
+
+def test_buckets_are_written_apart(spark, docs, tmp_path):
+    bp.write_buckets(bp.pack(docs((1, "a b c d e"), (2, "a b")), WORDS), str(tmp_path / "packed"))
+    back = spark.read.parquet(str(tmp_path / "packed"))
+    assert back.select(F.sum("length")).first()[0] == 5 + 1 + 2 + 1
+    assert back.where(F.col("length") != F.pow(F.lit(2), "bucket")).isEmpty()
+
+
+def test_lengths_are_powers_of_two():
+    for tokens in [1, 2, 3, 4095, 4096, 4097, 100_000]:
+        cut = bp.lengths(tokens)
+        assert sum(cut) == tokens and all(n & (n - 1) == 0 and n <= 4096 for n in cut)
+
+
+def test_nulls_repeats_extra_columns_and_empty_tables(spark, docs):
+    rows = docs((1, None), (None, "a b"), (3, "a b"), (3, "a b")).withColumn("n_tokens", F.lit("x"))
+    for made, empty in (
+        (tc.count_tokens(rows, PIECES), tc.count_tokens(docs(), PIECES)),
+        (bb.encode(rows, RANKS, public_tokenizers.PATTERN), bb.encode(docs(), RANKS, public_tokenizers.PATTERN)),
+    ):
+        got = made.collect()
+        assert [r.n_tokens for r in got if r.doc_id == 1] == [0]
+        assert len({r.n_tokens for r in got if r.doc_id != 1}) == 1 and len(got) == 4
+        assert empty.collect() == []
+    packed = bp.pack(rows, WORDS).collect()
+    assert [(r.start, r.length, r.doc_tokens) for r in packed if r.doc_id == 1] == [(0, 1, 1)]
+    assert sorted((r.start, r.length) for r in packed if r.doc_id == 3) == [(0, 2), (0, 2), (2, 1), (2, 1)]
+    assert bp.pack(docs(), WORDS).collect() == []

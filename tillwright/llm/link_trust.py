@@ -123,7 +123,7 @@ def propagate(spark: SparkSession, edges: DataFrame, seeded: DataFrame, rounds:
     degrees = edges.join(edges.groupBy("src").agg(F.count("*").alias("links_out")), "src")
     degrees = stored(spark, degrees.join(edges.groupBy("dst").agg(F.count("*").alias("links_in")), "dst"), "edges")
     ranks = stored(spark, _first(seeded), "ranks")
-    passed = f"* {PASSED} div 100"
+    passed = f"div 100 * {PASSED}"
     for _ in range(rounds):
         forward = degrees.join(ranks.where("trust > 0"), degrees["src"] == ranks["host"]).selectExpr(
             "dst AS host", f"trust div links_out {passed} AS trust", "0L AS distrust"

@@ -37,8 +37,11 @@ LEAST_IN_LEAF = 16
 LEAST_GAIN, ROUNDS = 0.002, 10
 #: Items gathered in one group of an item with many.
 GROUP = 64
-#: Best items a walk keeps, items it expands in a round, and rounds.
-KEPT, EXPANDED, HOPS = 64, 16, 3
+#: Best items a walk keeps, and those it expands in a round.  It ends when all that it keeps are
+#: expanded, or after so many rounds.
+KEPT, EXPANDED, HOPS = 96, 32, 12
+#: Longest vectors that every walk looks at first: products are often largest with them.
+LONGEST = 32
 SEED = 11
 
 _GRAPH = "id long, nbrs array<long>, sims array<float>"
@@ -273,28 +276,39 @@ def descend(spark: SparkSession, items: DataFrame, graph: DataFrame, most: int =
 _WALK = "query long, qvec binary, nodes array<long>, sims array<float>, done array<boolean>"
 
 
-def walk(spark: SparkSession, items: DataFrame, graph: DataFrame, starts: DataFrame, kept: int = KEPT) -> DataFrame:
-    """``query, nodes``: the best items that walks from the items ``starts`` (stored, column ``id``) find."""
-    at = starts.join(items, "id").join(graph, "id", "left")
-    none = F.expr("CAST(array() AS array<long>)")
-    state = at.select(
-        F.col("id").alias("query"),
-        F.col("vec").alias("qvec"),
-        F.concat(F.array("id"), F.coalesce("nbrs", none)).alias("nodes"),
-        F.concat(F.array(F.lit(2.0).cast("float")), F.coalesce("sims", F.expr("CAST(array() AS array<float>)"))).alias("sims"),
-        F.concat(F.array(F.lit(True)), F.transform(F.coalesce("nbrs", none), lambda _: F.lit(False))).alias("done"),
+def walk(
+    spark: SparkSession, items: DataFrame, graph: DataFrame, starts: DataFrame, also: list[int], kept: int = KEPT
+) -> DataFrame:
+    """``query, nodes``: the best items that walks from the items ``starts`` (stored, column ``id``) find.
+
+    ``also`` are a few items that every walk scores as well.
+    """
+    state = stored(
+        spark,
+        starts.join(items, "id").select(
+            F.col("id").alias("query"),
+            F.col("vec").alias("qvec"),
+            F.array("id").alias("nodes"),
+            F.array(F.lit(float("inf")).cast("float")).alias("sims"),
+            F.array(F.lit(False)).alias("done"),
+        ),
+        "walks",
     )
-    state = stored(spark, state, "walks")
-    for _ in range(HOPS):
-        state = stored(spark, _hop(state, items, graph, kept), "walks")
+    for hop in range(HOPS):
+        state = stored(spark, _hop(state, items, graph, also if hop == 0 else [], kept), "walks")
+        if state.where(F.exists("done", lambda done: ~done)).isEmpty():
+            break
     return state.select("query", "nodes")
 
 
-def _hop(state: DataFrame, items: DataFrame, graph: DataFrame, kept: int) -> DataFrame:
+def _hop(state: DataFrame, items: DataFrame, graph: DataFrame, also: list[int], kept: int) -> DataFrame:
     open_nodes = F.filter(F.arrays_zip("nodes", "done"), lambda n: ~n["done"])
     chosen = F.slice(F.transform(open_nodes, lambda n: n["nodes"]), 1, EXPANDED)
     ahead = state.select("query", F.explode(chosen).alias("id")).join(graph.select("id", "nbrs"), "id")
-    fresh = ahead.select("query", F.explode("nbrs").alias("id")).distinct().join(items, "id")
+    ahead = ahead.select("query", F.explode("nbrs").alias("id"))
+    if also:
+        ahead = ahead.union(state.select("query", F.explode(F.lit(also).cast("array<long>")).alias("id")))
+    fresh = ahead.distinct().join(items, "id")
     empty = [F.lit(None).cast(kind).alias(name) for name, kind in
              (("qvec", "binary"), ("nodes", "array<long>"), ("sims", "array<float>"), ("done", "array<boolean>"))]
     rows = fresh.select("query", "id", "vec", *empty).union(
@@ -311,7 +325,9 @@ def _hop(state: DataFrame, items: DataFrame, graph: DataFrame, kept: int) -> Dat
         if new.num_rows:
             ids = new.column("id").to_numpy()
             unseen = ~np.isin(ids, nodes)
-            scored = _matrix(new.column("vec")) @ np.frombuffer(own["qvec"], np.float16).astype(np.float32)
+            asked = np.frombuffer(own["qvec"], np.float16).astype(np.float32)
+            # What a query asks for is the product of the vectors, without the added component.
+            scored = _matrix(new.column("vec"))[:, :-1] @ asked[:-1]
             nodes = np.concatenate([nodes, ids[unseen]])
             sims = np.concatenate([sims, scored[unseen]])
             done = np.concatenate([done, np.zeros(int(unseen.sum()), bool)])
@@ -368,7 +384,9 @@ def nearest(
     members, originals, items, graph = build(spark, renamed)
     asked = members.where(F.pmod("vec_id", F.lit(every)) == 0)
     starts = stored(spark, asked.select("id").distinct(), "starts")
-    found = walk(spark, items, graph, starts, max(KEPT, most + 1))
+    lengths = originals.select("id", inner("vector", "vector").alias("length"))
+    longest = [row["id"] for row in lengths.orderBy(F.desc("length"), "id").limit(LONGEST).collect()]
+    found = walk(spark, items, graph, starts, longest, max(KEPT, most + 1))
     pairs = found.select("query", F.explode("nodes").alias("id"))
     scored = pairs.join(originals, "id").join(
         originals.select(F.col("id").alias("query"), F.col("vector").alias("asked")), "query"

@@ -2,4 +2,130 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from tillwright.llm import host_quality as quality
+from tillwright.llm import link_trust as trust
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _rest(url: str) -> str:
+    return f"CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) ELSE '' END"
+
+
+def _host(url: str) -> str:
+    return f"translate(regexp_extract({_rest(url)}, '^([^/?#]*)', 1), '{_UPPER}', '{_UPPER.lower()}')"
+
+
+def _ruled(field: str) -> str:
+    rules = sorted(trust.RULES, key=lambda rule: -len(rule.text))
+    cases = " ".join(
+        f"WHEN (host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}') THEN '{getattr(r, field)}'"
+        for r in rules
+    )
+    return f"CASE {cases} END"
+
+
+def link_trust_sql() -> str:
+    link = trust.LINK.replace("'", "''")
+    first = f"{{0}} // 100 * {100 - trust.PASSED}"
+    passed = f"// 100 * {trust.PASSED}"
+    rounds = "".join(
+        f""",
+round{k} AS MATERIALIZED (
+  SELECT host, sum(trust)::BIGINT AS trust, sum(distrust)::BIGINT AS distrust FROM (
+    SELECT host, trust, distrust FROM round0
+    UNION ALL SELECT dst, trust // links_out {passed}, 0 FROM degrees JOIN round{k - 1} ON src = host
+    UNION ALL SELECT src, 0, distrust // links_in {passed} FROM degrees JOIN round{k - 1} ON dst = host)
+  GROUP BY host)"""
+        for k in range(1, trust.ROUNDS + 1)
+    )
+    return f"""
+WITH placed AS (
+  SELECT page_id, {_host("url")} AS host, regexp_extract({_rest("url")}, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, coalesce(url, '') AS url FROM pages)),
+judged AS (SELECT *, {_ruled("text")} AS rule, {_ruled("verdict")} AS ruled FROM placed),
+links AS (
+  SELECT {_host("coalesce(url, '')")} AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS link FROM pages),
+edges AS (
+  SELECT DISTINCT src, dst
+  FROM (SELECT src, {_host("'x:' || substr(link, instr(link, '//'))")} AS dst FROM links)
+  WHERE src <> '' AND dst <> '' AND src <> dst),
+degrees AS MATERIALIZED (
+  SELECT *, count(*) OVER (PARTITION BY src) AS links_out, count(*) OVER (PARTITION BY dst) AS links_in FROM edges),
+kinds AS (
+  SELECT host, 2 * count(*) FILTER (ruled = 'allow') > count(*) AS good, 2 * count(*) FILTER (ruled = 'block') > count(*) AS bad
+  FROM judged WHERE host <> '' GROUP BY host),
+seeds AS (
+  SELECT host,
+    CASE WHEN good THEN {trust.MASS} // greatest(count(*) FILTER (good) OVER (), 1) ELSE 0 END AS trust,
+    CASE WHEN bad THEN {trust.MASS} // greatest(count(*) FILTER (bad) OVER (), 1) ELSE 0 END AS distrust
+  FROM kinds WHERE good OR bad),
+round0 AS MATERIALIZED (
+  SELECT host, ({first.format("trust")})::BIGINT AS trust, ({first.format("distrust")})::BIGINT AS distrust FROM seeds){rounds},
+bad AS (
+  SELECT host FROM round{trust.ROUNDS}
+  WHERE distrust > trust AND distrust >= (SELECT max(distrust) // 100 * {trust.LEAST_PERCENT} FROM round0))
+SELECT page_id, host, path, rule,
+  coalesce(ruled, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged"""
+
+
+def host_quality_sql() -> str:
+    word = r"[^\x20\x09-\x0D]"
+    failed = {rule: f"100 * {figure} > {percent} * {whole}" for rule, (figure, whole, percent) in quality.RULES.items()}
+    base = f"(n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > 20 * n_words)"
+    failed = {"any": " OR ".join([base, *failed.values()]), **failed}
+    rates, shares = [], []
+    for rule in failed:
+        mean = f"(sum(k_{rule}) OVER () / sum(n) OVER ())"
+        between = (
+            f"(sum(k_{rule} * k_{rule} / n) OVER () / sum(n) OVER () - {mean} * {mean}"
+            f" - {mean} * (1 - {mean}) * count(*) OVER () / sum(n) OVER ())"
+        )
+        strength = (
+            f"least(greatest(CASE WHEN {between} > 0 THEN {mean} * (1 - {mean}) / {between} - 1"
+            f" ELSE {quality.MOST_STRENGTH} END, {quality.LEAST_STRENGTH}), {quality.MOST_STRENGTH})"
+        )
+        rates.append(f"(k_{rule} + {strength} * {mean}) / (n + {strength}) AS rate_{rule}, {mean} AS mean_{rule}")
+    for rule in quality.RULES:
+        often = f"greatest({quality.WATCHED_RATE}, {quality.WATCHED_TIMES} * mean_{rule})"
+        shares.append(f"CASE WHEN rate_{rule} >= {often} THEN 0.5 ELSE 1.0 END AS share_{rule}")
+    above = " OR ".join(
+        f"100 * {figure} > {percent} * share_{rule} * {whole}" for rule, (figure, whole, percent) in quality.RULES.items()
+    )
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, doc_id, source, coalesce(text, '') AS text FROM documents),
+split AS MATERIALIZED (
+  SELECT *, regexp_extract_all(text, '{word}+') AS words,
+    list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '{word}')) AS lines
+  FROM docs),
+windows AS (
+  SELECT id, unnest(range(1, len(words) - {quality.WINDOW - 2})) AS i, words FROM split WHERE len(words) >= {quality.WINDOW}),
+repeated AS (
+  SELECT id, i FROM (
+    SELECT id, i, count(*) OVER (PARTITION BY id, array_to_string(words[i:i + {quality.WINDOW - 1}], ' ')) AS n FROM windows)
+  WHERE n > 1),
+covered AS (
+  SELECT id, count(DISTINCT i + k) AS n FROM repeated, range({quality.WINDOW}) AS steps(k) GROUP BY id),
+figures AS MATERIALIZED (
+  SELECT id, doc_id, source, len(words) AS n_words,
+    length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[{quality.SYMBOLS}]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines
+  FROM split LEFT JOIN covered USING (id)),
+hosts AS (
+  SELECT source, count(*) AS n, {", ".join(f"count(*) FILTER ({f}) AS k_{rule}" for rule, f in failed.items())}
+  FROM figures GROUP BY source),
+rates AS (SELECT source, {", ".join(rates)} FROM hosts),
+verdicts AS (SELECT source, rate_any >= {quality.REJECTED_RATE} AS rejected, {", ".join(shares)} FROM rates)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {base} AS base_failed,
+  NOT ({base} OR rejected OR {above}) AS kept
+FROM figures JOIN verdicts ON figures.source IS NOT DISTINCT FROM verdicts.source"""
+
+
+ORACLE = {
+    "op2_link_trust": link_trust_sql(),
+    "op6_host_quality": host_quality_sql(),
+}

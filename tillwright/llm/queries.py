@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +76,10 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosted_pii.report(docs, boosted_pii.train(docs))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_link_trust": op2_link_trust,
@@ -86,4 +91,5 @@ QUERIES = {
     "op8_bag_minhash": op8_bag_minhash,
     "op9_exact_sharding": op9_exact_sharding,
     "op10_boosted_pii": op10_boosted_pii,
+    "pipeline": pipeline,
 }
