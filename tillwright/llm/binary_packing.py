@@ -12,17 +12,19 @@ import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tillwright.llm.common import Memo, slices
+from tillwright.llm.common import slices
 
 MOST_TOKENS = 4096
 END_OF_TEXT = 2
-#: Words a task remembers.
-MEMO_WORDS = 800_000
+#: Words a task remembers, and words of a call of the tokenizer.
+MEMO_WORDS = 1_600_000
+CALL_WORDS = 2000
 #: Bits of a sequence id below its bucket's: 33 for the row in its task, 25 for the task.
 BUCKET_SHIFT = 58
 
@@ -36,22 +38,34 @@ def lengths(tokens: int, most: int = MOST_TOKENS) -> list[int]:
 class WordTokenizer:
     """Ids of texts by a tokenizer that drops ASCII white space and merges nothing across it.
 
-    Under that condition a text's ids are those of its words in order, so the tokenizer is
-    asked once per word.
+    Under that condition a text's ids are those of its words in order, so the tokenizer is asked
+    once per word, and for many words in a call.
     """
 
     def __init__(self, path: str, memo_words: int = MEMO_WORDS):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.memo = Memo(self._word, memo_words)
-
-    def _word(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+        self.tokenizer, self.memo_words = Tokenizer.from_file(path), memo_words
+        self.memo: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Put the ids of ``words`` into the memo."""
+        found = self.tokenizer.encode([word.decode() for word in words], is_pretokenized=True, add_special_tokens=False)
+        packed = np.asarray(found.ids, "<u4").tobytes()
+        ends = np.searchsorted(np.asarray(found.word_ids, np.int64), np.arange(len(words) + 1)) * 4
+        for word, start, end in zip(words, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            self.memo[word] = packed[start:end]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         # bytes.split() cuts at ASCII white space, str.split() at more.
-        return b"".join(map(self.memo.__getitem__, text.encode().split()))
+        split = [text.encode().split() for text in texts]
+        words = set().union(*split)
+        missing = list(words.difference(self.memo))
+        if len(self.memo) + len(missing) > self.memo_words:  # bounds memory, not results
+            self.memo.clear()
+            missing = list(words)
+        for start in range(0, len(missing), CALL_WORDS):
+            self._learn(missing[start : start + CALL_WORDS])
+        return [b"".join(map(self.memo.__getitem__, words)) for words in split]
 
 
 @lru_cache(maxsize=2)
@@ -79,8 +93,9 @@ def pieces(docs: DataFrame, vocabulary: str, most: int = MOST_TOKENS, id_column:
         tokenizer = _tokenizer(vocabulary)
         for batch in slices(batches):
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = tokenizer.encode(text or "") + end
+            encoded = tokenizer.encode([text or "" for text in batch.column("text").to_pylist()])
+            for doc_id, body in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
+                ids = body + end
                 tokens, start = len(ids) // 4, 0
                 for length in lengths(tokens, most):
                     rows.append((doc_id, start, length, ids[4 * start : 4 * (start + length)], tokens))
