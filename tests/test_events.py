@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from tillwright.plans.kpis import total_product_views
 from tillwright.schemas import ROUTED_TABLES
-from tillwright.sinks.compaction import compact_folder, compact_new_files, row_checksum
-from tillwright.sinks.warehouse import point_table_at, register_event_tables
+from tillwright.sinks.compaction import compact_folder, compact_new_files, compact_run, retire_originals, row_checksum
+from tillwright.sinks.warehouse import point_table_at, register_compacted, register_event_tables
+from tillwright.sources import sample_feed as feed
 from tillwright.sources.events import event_source, kafka_options
-from tillwright.streaming import feed, parse, queries, serving, window_counts
+from tillwright.streaming import parse, queries, serving, window_counts
 
 
 def view(product="p1", time="2024-01-01T10:00:00", **more):
@@ -75,6 +76,13 @@ def test_a_message_is_parsed_once_under_a_filter(spark):
     assert routed._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
 
 
+def test_counts_parse_only_the_fields_they_read(spark):
+    counted = window_counts.event_counts(parse.parse_events(messages(spark, view()), fields=window_counts.EVENT_COUNT_FIELDS))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert "from_json(StructField(eventType,StringType,true), StructField(timestamp,TimestampType,true)," in plan
+
+
 def test_kafka_options():
     plain = kafka_options("host:9092", "shop")
     assert plain == {"kafka.bootstrap.servers": "host:9092", "subscribe": "shop", "startingOffsets": "earliest"}
@@ -85,8 +93,8 @@ def test_kafka_options():
 
 
 def test_jdbc_options():
-    options = serving.jdbc_options("jdbc:x", "t", "d", "u", "s", connections=3)
-    assert options == {"url": "jdbc:x", "dbtable": "t", "driver": "d", "user": "u", "password": "s", "numPartitions": "3"}
+    options = serving.jdbc_options("jdbc:x", "t", "d", "u", "s")
+    assert options == {"url": "jdbc:x", "dbtable": "t", "driver": "d", "user": "u", "password": "s"}
 
 
 def test_jdbc_versions_are_appended_with_their_batch(spark, monkeypatch):
@@ -96,6 +104,7 @@ def test_jdbc_versions_are_appended_with_their_batch(spark, monkeypatch):
     class Writer:
         def __init__(self, frame):
             seen["columns"] = frame.dtypes
+            seen["tasks"] = frame.rdd.getNumPartitions()
 
         def format(self, kind):
             seen["kind"] = kind
@@ -115,8 +124,9 @@ def test_jdbc_versions_are_appended_with_their_batch(spark, monkeypatch):
     counted = window_counts.event_counts(parse.parse_events(messages(spark, view())))
     monkeypatch.setattr(type(counted), "write", property(Writer))
     options = serving.jdbc_options("jdbc:x", "t", "d", "u", "s")
-    serving.version_writer(lambda batch: window_counts.flat_window(batch, "eventType"), "jdbc", options)(counted, 7)
+    serving.version_writer(lambda batch: window_counts.flat_window(batch, "eventType"), "jdbc", options, tasks=3)(counted, 7)
     assert seen == {
+        "tasks": 3,
         "columns": [("window_start", "timestamp"), ("window_end", "timestamp"), ("eventType", "string"),
                     ("count", "bigint"), ("batch_id", "bigint")],
         "kind": "jdbc", "mode": "append", "options": options, "saved": True,
@@ -285,6 +295,20 @@ def test_complete_mode_ranks_all_windows(spark, inbox, tmp_path):
     }
 
 
+@pytest.mark.parametrize("closed", [False, True])
+def test_retired_versions_leave_what_readers_see(spark, tmp_path, closed):
+    folder, schema = str(tmp_path / "v"), "key string, count long, batch_id long"
+    for batch in range(4):
+        rows = [("a", batch, batch)] + ([("b", 5, 0)] if batch == 0 else [])
+        spark.createDataFrame(rows, schema).repartition(2).write.mode("append").parquet(folder)
+    read = lambda: spark.read.schema(schema).parquet(folder)
+    see = lambda: sorted(map(tuple, (serving.latest_batch(read()) if closed else serving.latest_versions(read(), ["key"])).collect()))
+    before = see()
+    survivors = serving.newest_batch if closed else serving.newest_versions_with_batch(["key"])
+    assert serving.retire_versions(spark, folder, survivors, schema) >= 4
+    assert see() == before and read().count() == (1 if closed else 2)
+
+
 def test_batch_and_stream_agree(spark, inbox, tmp_path):
     texts = [view(f"p{n % 4}", time=f"2024-01-01T{10 + n // 60}:{n % 60:02}:00") for n in range(150)]
     for start in range(0, 150, 50):
@@ -349,3 +373,43 @@ def test_new_files_are_compacted_once_beside_a_stream(spark, inbox, tmp_path):
     assert len(files(live)) > len(files(compacted)) == 3
     products = [row["productId"] for row in spark.read.parquet(str(compacted)).collect()]
     assert sorted(products) == sorted(f"p{a}-{b}" for a in range(3) for b in range(5))
+
+
+@pytest.mark.parametrize("single_read", [False, True])
+def test_readers_see_every_event_once_beside_compaction(spark, inbox, tmp_path, single_read):
+    out, target, database = str(tmp_path / "out"), str(tmp_path / "compacted"), f"stream_{uuid.uuid4().hex}"
+    folders = {table: f"{out}/{table}" for table in ROUTED_TABLES}
+    register_event_tables(spark, {}, database, str(tmp_path / "db"))
+    expected, removed = [], 0
+    for run in range(4):
+        for n in range(3):
+            inbox.put(view(f"p{run}-{n}"))
+        expected += [f"p{run}-{n}" for n in range(3)]
+        if single_read:
+            queries.start_router(inbox.stream(), out, str(tmp_path / "c"), every=None).awaitTermination()
+        else:
+            queries.await_all(list(queries.start_routes(inbox.stream(), out, str(tmp_path / "c"), every=None).values()))
+        if run == 0:
+            register_event_tables(spark, folders, database)
+        elif run < 3:
+            found = [compact_run(spark, folders[t], f"{target}/{t}", s, at(f"2024-01-0{run}T00:00:00")) for t, s in ROUTED_TABLES.items()]
+            assert found[0] > 0
+            register_compacted(spark, folders, target, database)
+        if run == 2:
+            assert compact_run(spark, folders["product_view"], f"{target}/product_view", ROUTED_TABLES["product_view"], at("2024-01-05T00:00:00")) == 0
+            removed = retire_originals(spark, f"{target}/product_view", at("2024-01-02T00:00:00"))
+            assert removed > 0 and retire_originals(spark, f"{target}/product_view", at("2024-01-02T00:00:00")) == 0
+        if run:  # a session keeps the listing of a table's files until it refreshes it
+            spark.catalog.refreshTable(f"{database}.product_view_files")
+        seen = [row["productId"] for row in spark.table(f"{database}.product_view").collect()]
+        assert sorted(seen) == sorted(expected), run
+    assert spark.table(f"{database}.purchase").count() == 0
+
+
+def test_a_run_that_broke_before_its_note_is_done_again(spark, tmp_path):
+    schema = ROUTED_TABLES["add_to_cart"]
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.createDataFrame([("addToCart", "c", "p", None, 1)], schema).coalesce(1).write.parquet(source)
+    spark.createDataFrame([("addToCart", "half", "p", None, 1)] * 5, schema).write.parquet(f"{target}/data/run=1")
+    assert compact_run(spark, source, target, schema, at("2024-01-01T00:00:00")) == 1
+    assert [row["customerId"] for row in spark.read.parquet(f"{target}/data").collect()] == ["c"]

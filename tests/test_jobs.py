@@ -21,8 +21,9 @@ def test_batch_jobs(spark, tmp_path, capsys):
 
     main(["land", "--landing", str(landing), "--raw", raw, "--as-of", as_of], spark)
     main(["load-hour", "--raw", raw, *dwh, "--as-of", as_of], spark)
-    main(["marketing", *dwh], spark)
-    assert "offer_1" in capsys.readouterr().out
+    main(["marketing", *dwh, "--out", str(tmp_path / "marketing")], spark)
+    assert str(tmp_path / "marketing") in capsys.readouterr().out
+    assert [row[0] for row in spark.read.parquet(str(tmp_path / "marketing" / "most_redeemed_offers")).collect()] == ["offer_1"]
     main(["daily-report", *dwh, "--day", "2024-01-01", "--out", str(tmp_path / "daily")], spark)
     report, = (tmp_path / "daily" / "01-01-2024").glob("*.csv")
     assert report.read_text() == "sales_agent_name,product_name,total_units_sold\nAnn,lamp,2\n"
@@ -37,12 +38,37 @@ def test_stream_jobs(spark, tmp_path, capsys):
     out = ["--out", str(tmp_path / "out"), "--database", database]
 
     main(["routes", *source, "--checkpoint", str(tmp_path / "c"), *out, "--with-unrouted"], spark)
-    main(["kpis", *out], spark)
+    main(["kpis", *out, "--results", str(tmp_path / "kpis")], spark)
     assert "total_product_views" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "kpis" / "total_product_views")).first()[0] == 3
+    assert spark.table(f"{database}.product_view").count() == 3
+    target = ["--target", str(tmp_path / "compacted")]
+    for _ in range(2):  # nothing new the second time
+        main(["compact", *out, *target], spark)
+        assert any(str(tmp_path / "compacted") in f for f in spark.table(f"{database}.product_view").inputFiles())
+        assert spark.table(f"{database}.product_view").count() == 3
+    main(["retire", *target, "--hours", "-1"], spark)
     assert spark.table(f"{database}.product_view").count() == 3
-    main(["compact", *out, "--target", str(tmp_path / "compacted")], spark)
-    assert str(tmp_path / "compacted") in spark.table(f"{database}.product_view").inputFiles()[0]
     for job in ("event-counts", "top-products"):
         served = str(tmp_path / job)
         main([job, *source, "--checkpoint", served + "-c", "--folder", served, "--state-partitions", "2"], spark)
         assert [row["count"] for row in spark.read.parquet(served).collect()] == [3]
+        main(["retire-versions", "--of", job, "--folder", served], spark)
+        assert [row["count"] for row in spark.read.parquet(served).collect()] == [3]
+        main(["versions-view", "--of", job, "--view", "newest", "--jdbc-table", "versions"], spark)
+    assert "CREATE VIEW newest" in capsys.readouterr().out
+
+
+def test_bounded_jobs(spark, tmp_path, capsys):
+    log = tmp_path / "log"
+    log.mkdir()
+    for hour in (10, 12):
+        event = {"eventType": "productView", "customerId": "c", "productId": "p", "timestamp": f"2024-01-01T{hour}:00:00"}
+        (log / f"{hour}.txt").write_text("\n".join(json.dumps(event) for _ in range(2)) + "\n")
+    source = ["--source", "text", "--path", str(log), "--every", "once", "--state-partitions", "2", "--closed"]
+    for job in ("event-counts", "top-products"):
+        served = str(tmp_path / job)
+        main([job, *source, "--checkpoint", served + "-c", "--folder", served], spark)
+        assert [row["count"] for row in spark.read.parquet(served).collect()] == [2]
+    main(["latest-window", "--folder", str(tmp_path / "top-products"), "--out", str(tmp_path / "top")], spark)
+    assert [row["productId"] for row in spark.read.parquet(str(tmp_path / "top" / "latest_window")).collect()] == ["p"]

@@ -99,20 +99,34 @@ def test_daily_report_reads_one_partition(spark, tmp_path):
     assert rows(report) == [("Ann", "lamp", 5)]
 
 
-def test_csv_report_is_one_ordered_file(spark, daily, tmp_path):
+def test_csv_report_is_one_ordered_file(spark, daily, tmp_path, monkeypatch):
     folder = report_folder(str(tmp_path), dt.date(2022, 5, 1))
     assert folder.endswith("/01-05-2022")
+    monkeypatch.setattr("tillwright.sinks.csv_report.work_folder", lambda spark, purpose: str(tmp_path / "staged"))
     for _ in range(2):  # a rerun replaces the report
         assert write_csv_report(daily, folder, reports.daily_report_order()) == 2
+    assert not (tmp_path / "staged").exists()
+    with pytest.raises(ValueError):
+        write_csv_report(daily, folder, reports.daily_report_order(), files="some")
     files = list((tmp_path / "01-05-2022").glob("*.csv"))
     assert [f.read_text() for f in files] == ["sales_agent_name,product_name,total_units_sold\nBob,lamp,9\nAnn,lamp,7\n"]
 
 
+def test_city_totals_do_not_depend_on_the_order_of_addition(spark):
+    amounts = [0.1, 0.2, 0.3, 1e9, -1e9] * 20
+    fact = spark.createDataFrame(
+        [("A-x", "yes-Card", v) for v in amounts] + [("B-x", "yes-Card", v) for v in reversed(amounts)],
+        "location_id string, payment_id string, total_price double",
+    ).repartition(7)
+    places = spark.createDataFrame([("A-x", "A", "x"), ("B-x", "B", "x")], "location_id string, city string, state string")
+    assert rows(reports.lowest_online_cities(fact, places)) == [("A", 12.0), ("B", 12.0)]
+
+
 def test_long_csv_report_is_several_files_in_order(spark, tmp_path):
     report = spark.range(5000).select(F.col("id").alias("total_units_sold"), F.col("id").cast("string").alias("sales_agent_name"), F.lit("p").alias("product_name"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        assert write_csv_report(report, str(tmp_path / "r"), reports.daily_report_order(), single_file_rows=100) == 5000
+        assert write_csv_report(report, str(tmp_path / "r"), reports.daily_report_order(), files="many") == 5000
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = sorted((tmp_path / "r").glob("*.csv"))

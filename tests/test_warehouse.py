@@ -14,6 +14,7 @@ from tillwright.schemas import RAW_GROUPS
 from tillwright.session import work_folder
 from tillwright.sinks import warehouse as wh
 from tillwright.sources.raw_zone import hour_partition, hour_path, land_group, read_group, read_raw_zone
+from tillwright.sources.raw_zone import write_csv as wh_csv
 
 AS_OF = dt.datetime(2024, 1, 1, 0, 20, tzinfo=dt.timezone.utc)
 HEADER = ",".join(RAW_GROUPS["sales_transactions"].names)
@@ -66,6 +67,57 @@ def test_landing_takes_the_files_of_the_last_hour(spark, tmp_path):
     assert land_group(spark, str(landing), raw, "branches", naive) is None
 
 
+BRANCH_HEADERS = {"a": "class,branch_id,location,establish_date,extra", "b": "branch_id,location,establish_date,class"}
+
+
+def test_columns_are_taken_by_the_header_of_each_file(spark, tmp_path):
+    drop(tmp_path / "in", "a", ["A,7,Cairo,2020-01-01,zz"], BRANCH_HEADERS["a"], "branches")
+    drop(tmp_path / "in", "b", ["8,Giza,2021-01-01,B"], BRANCH_HEADERS["b"], "branches")
+    expected = [(7, "Cairo", "2020-01-01", "A"), (8, "Giza", "2021-01-01", "B")]
+    names = RAW_GROUPS["branches"].names
+    for folder in ("a", "b"):
+        assert rows(read_group(spark, str(tmp_path / "in" / folder), "branches"), *names)[0] in expected
+    naive = AS_OF.replace(tzinfo=None)
+    target = land_group(spark, str(tmp_path / "in"), str(tmp_path / "raw"), "branches", naive, False)
+    assert rows(read_raw_zone(spark, str(tmp_path / "raw"), "branches"), *names) == expected
+    assert rows(read_group(spark, hour_path(str(tmp_path / "raw"), naive), "branches"), *names) == expected
+    extra = spark.read.option("header", True).csv(target)
+    assert {row["branch_id"]: row["extra"] for row in extra.collect()} == {"7": "zz", "8": None}
+
+
+def test_a_file_without_a_declared_column_raises(spark, tmp_path):
+    drop(tmp_path, "a", ["7,Cairo"], "branch_id,location", "branches")
+    with pytest.raises(ValueError, match="establish_date, class"):
+        read_group(spark, str(tmp_path / "a"), "branches")
+
+
+def test_values_with_line_breaks_need_multi_line(spark, tmp_path):
+    agent = spark.createDataFrame([(1, "a\nb", "2020-01-01")], RAW_GROUPS["sales_agents"])
+    with pytest.raises(Exception, match="line break"):
+        wh_csv(agent, str(tmp_path / "x" / "sales_agents.csv"))
+    wh_csv(agent, str(tmp_path / "y" / "sales_agents.csv"), multi_line=True)
+    assert rows(read_group(spark, str(tmp_path / "y"), "sales_agents", multi_line=True), "name") == [("a\nb",)]
+
+
+def test_landing_again_never_loses_what_was_landed(spark, tmp_path):
+    landing, raw, naive = tmp_path / "in", str(tmp_path / "raw"), AS_OF.replace(tzinfo=None)
+    half = AS_OF - dt.timedelta(minutes=30)
+    drop(landing, "one", [sale("one")], at=half)
+    drop(landing, "two", [sale("two")], at=half)
+    land_it = lambda **how: land_group(spark, str(landing), raw, "sales_transactions", naive, **how)
+    landed = lambda: rows(read_raw_zone(spark, raw, "sales_transactions"), "transaction_id")
+    assert land_it() and landed() == [("one",), ("two",)]
+    drop(landing, "one", [sale("one")], at=AS_OF)  # touched: it is no longer of that hour
+    with pytest.raises(ValueError):
+        land_it()
+    drop(landing, "two", [sale("two")], at=AS_OF)
+    assert land_it() is None and landed() == [("one",), ("two",)]
+    drop(landing, "two", [sale("two")], at=half)
+    assert land_it(replace=True) and landed() == [("two",)]
+    drop(landing, "late", [sale("late")], at=half)
+    assert land_it() and landed() == [("late",), ("two",)]
+
+
 def test_groups_do_not_mix_and_missing_groups_are_empty(spark, tmp_path):
     drop(tmp_path, "h", [sale("a")])
     drop(tmp_path, "h", ["7,Ann,2020-01-01"], "sales_person_id,name,hire_date", "sales_agents")
@@ -126,11 +178,14 @@ def test_hourly_load_is_incremental_and_repeatable(spark, tmp_path, warehouse):
     load_hour(spark, raw, warehouse, first, rejects_folder=rejects)
     load_hour(spark, raw, warehouse, second, rejects_folder=rejects)
     assert state() == (fact, dimensions)
-    assert rows(spark.read.parquet(rejects), "transaction_id") == [("x",)]
+    assert rows(spark.read.parquet(f"{rejects}/sales_transactions"), "transaction_id") == [("x",)]
 
 
 def test_an_hour_without_files_loads_nothing_and_the_next_one_loads(spark, tmp_path, warehouse):
     naive = AS_OF.replace(tzinfo=None)
+    with pytest.raises(FileNotFoundError):
+        load_hour(spark, str(tmp_path / "raw"), warehouse, naive)
+    assert land_group(spark, str(tmp_path / "none"), str(tmp_path / "raw"), "sales_transactions", naive) is None
     land(spark, tmp_path, naive + dt.timedelta(hours=1), [sale("a")])
     load_hour(spark, str(tmp_path / "raw"), warehouse, naive)
     assert warehouse.table(wh.FACT_TABLE).count() == 0
@@ -153,7 +208,17 @@ def test_fact_partitions_are_padded_text_and_prune(spark, tmp_path, warehouse):
     assert rows(stored, "units") == [(1,), (2,), (3,)]
 
 
-def test_reloading_an_hour_replaces_all_of_it_and_nothing_else(spark, warehouse):
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_reloading_an_hour_replaces_all_of_it_and_nothing_else(spark, warehouse, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        _reload(spark, warehouse)
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def _reload(spark, warehouse):
     schema = "transaction_date_id string, year string, month string, day string, units int"
     day = lambda d, n: (f"202205{d}", "2022", "05", d, n)
     warehouse.load_fact(spark.createDataFrame([day("01", 1), day("02", 2)], schema), "2022050109")
@@ -162,14 +227,18 @@ def test_reloading_an_hour_replaces_all_of_it_and_nothing_else(spark, warehouse)
     assert rows(warehouse.table(wh.FACT_TABLE), "batch_hour", "units") == [("2022050109", 4), ("2022050110", 3)]
     with pytest.raises(ValueError):
         warehouse.load_fact(spark.createDataFrame([], schema), "x' or 'y")
+    with pytest.raises(ValueError):  # nothing does not replace something, unless that is meant
+        warehouse.load_fact(spark.createDataFrame([], schema), "2022050109")
+    assert warehouse.table(wh.FACT_TABLE).count() == 2
+    warehouse.load_fact(spark.createDataFrame([], schema), "2022050109", allow_empty=True)
+    assert rows(warehouse.table(wh.FACT_TABLE), "batch_hour", "units") == [("2022050110", 3)]
 
 
-def test_days_are_hashed_only_where_none_can_be_large(spark):
+def test_days_are_hashed_only_where_that_is_asked_for(spark):
     fact = spark.range(100).selectExpr("id units", "'2022' year", "'05' month", "cast(id % 10 as string) day")
-    plan = lambda rows: wh.by_day(fact, rows)._jdf.queryExecution().executedPlan().toString()
-    assert "REPARTITION_BY_NUM" in plan(100)
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan(10**8)
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan(None)
+    plan = lambda **how: wh.by_day(fact, **how)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan(hash_days=True)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan()
 
 
 def test_hot_day_is_split_over_tasks(spark, tmp_path):
@@ -191,6 +260,18 @@ def test_static_table_is_written_once(spark, warehouse):
     assert warehouse.table("t").count() == 3
 
 
+def test_rows_without_key_are_stored_by_no_load(spark, tmp_path, warehouse):
+    first, second = AS_OF.replace(tzinfo=None), AS_OF.replace(tzinfo=None) + dt.timedelta(hours=1)
+    land(spark, tmp_path, first, [sale("a"), sale("b", customer="")])
+    land(spark, tmp_path, second, [sale("c", customer=""), sale("d", customer=2)])
+    rejects = str(tmp_path / "rejects")
+    for hour in (first, second, first):
+        load_hour(spark, str(tmp_path / "raw"), warehouse, hour, rejects_folder=rejects)
+    assert rows(warehouse.table("customer_Dim"), "customer_id") == [(1,), (2,)]
+    assert spark.read.parquet(f"{rejects}/customer_Dim").count() == 2
+    assert rows(warehouse.table(wh.FACT_TABLE), "transaction_id") == [("a",), ("b",), ("c",), ("d",)]
+
+
 def test_dimension_first_load_may_keep_one_row_per_key(spark, warehouse):
     batch = spark.createDataFrame([(1, "b"), (1, "a")], "id long, name string")
     warehouse.load_dimension("d", "id", batch, one_per_key=True)

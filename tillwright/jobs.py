@@ -15,27 +15,33 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
+from tillwright.operators.dimensions import CALENDAR_END, CALENDAR_START  # noqa: E402
 from tillwright.plans import reports  # noqa: E402
 from tillwright.plans.hourly_load import load_hour  # noqa: E402
 from tillwright.plans.kpis import KPIS  # noqa: E402
 from tillwright.schemas import RAW_GROUPS, ROUTED_TABLES  # noqa: E402
 from tillwright.session import build_session, stateful_session  # noqa: E402
-from tillwright.sinks.compaction import compact_folder, compact_new_files  # noqa: E402
+from tillwright.sinks.compaction import compact_run, retire_originals  # noqa: E402
 from tillwright.sinks.csv_report import report_folder, write_csv_report  # noqa: E402
 from tillwright.sinks.warehouse import (  # noqa: E402
     FACT_TABLE,
     RETAIL,
     STREAM,
     Warehouse,
-    point_table_at,
+    register_compacted,
     register_event_tables,
 )
 from tillwright.sources.events import event_source, kafka_options  # noqa: E402
 from tillwright.sources.raw_zone import land_group  # noqa: E402
-from tillwright.streaming import queries  # noqa: E402
+from tillwright.streaming import queries, serving  # noqa: E402
 from tillwright.streaming.serving import jdbc_options  # noqa: E402
+from tillwright.streaming.window_counts import top_of_latest_window  # noqa: E402
+
+#: What the counting jobs serve: the window, and the key of each job.
+SERVED = "window_start timestamp, window_end timestamp"
+SERVED_WINDOW = ["window_start", "window_end"]
+SERVED_KEYS = {"event-counts": "eventType", "top-products": "productId"}
 
 #: Marketing reports and the dimension each looks names up in.
 MARKETING = {
@@ -48,20 +54,28 @@ MARKETING = {
 
 def land(spark: SparkSession, args) -> None:
     for group in RAW_GROUPS:
-        print(group, land_group(spark, args.landing, args.raw, group, args.as_of))
+        print(group, land_group(spark, args.landing, args.raw, group, args.as_of, replace=args.replace))
 
 
 def load(spark: SparkSession, args) -> None:
     warehouse = Warehouse(spark, args.warehouse, args.database)
-    load_hour(spark, args.raw, warehouse, args.as_of, args.one_per_key, args.rejects)
+    load_hour(
+        spark, args.raw, warehouse, args.as_of, args.one_per_key, args.rejects, args.allow_empty, args.hash_days,
+        (args.calendar_from, args.calendar_to),
+    )
 
 
 def marketing(spark: SparkSession, args) -> None:
     warehouse = Warehouse(spark, args.warehouse, args.database)
     fact = warehouse.table(FACT_TABLE)
     for name, (report, dimension) in MARKETING.items():
-        print(name)
-        report(fact, warehouse.table(dimension)).show(truncate=False)
+        _publish(report(fact, warehouse.table(dimension)), args.out, name)
+
+
+def _publish(rows: DataFrame, folder: str, name: str) -> None:
+    """All rows of a result as parquet; only where they are is printed."""
+    rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+    print(f"{folder}/{name}")
 
 
 def daily(spark: SparkSession, args) -> None:
@@ -70,7 +84,7 @@ def daily(spark: SparkSession, args) -> None:
         warehouse.table(FACT_TABLE), warehouse.table("product_Dim"), warehouse.table("sales_agents_Dim"), args.day
     )
     folder = report_folder(args.out, args.day)
-    print(folder, write_csv_report(report, folder, reports.daily_report_order()), "rows")
+    print(folder, write_csv_report(report, folder, reports.daily_report_order(), args.files), "rows")
 
 
 def _messages(spark: SparkSession, args) -> DataFrame:
@@ -87,49 +101,80 @@ def _every(args) -> str | None:
 
 
 def routes(spark: SparkSession, args) -> None:
-    started = queries.start_routes(
-        _messages(spark, args), args.out, args.checkpoint, _every(args), with_unrouted=args.with_unrouted
-    )
+    """Four queries, or with ``--single-read`` one that reads and parses the source once and keeps all rejects."""
+    messages = _messages(spark, args)
+    if args.single_read:
+        started = [queries.start_router(messages, args.out, args.checkpoint, _every(args))]
+    else:
+        started = queries.start_routes(messages, args.out, args.checkpoint, _every(args), args.with_unrouted).values()
     register_event_tables(spark, {t: f"{args.out}/{t}" for t in ROUTED_TABLES}, args.database)
-    queries.await_all(list(started.values()))
+    queries.await_all(list(started))
 
 
 def kpis(spark: SparkSession, args) -> None:
     register_event_tables(spark, {t: f"{args.out}/{t}" for t in ROUTED_TABLES}, args.database)
     for name, (table, kpi) in KPIS.items():
-        print(name)
-        kpi(spark.table(f"{args.database}.{table}")).show(truncate=False)
+        _publish(kpi(spark.table(f"{args.database}.{table}")), args.results, name)
 
 
-def _served(spark: SparkSession, args, start) -> None:
+def _served(spark: SparkSession, args, start, start_closed) -> None:
+    messages = _messages(stateful_session(spark, args.state_partitions), args)
+    if args.closed:
+        queries.await_all([start_closed(messages, args.folder, args.checkpoint, _every(args))])
+        return
+    tasks = None
     if args.folder:
         kind, options = "parquet", {"path": args.folder}
     else:
         secret = os.environ["TILLWRIGHT_JDBC_SECRET"]
         kind, options = "jdbc", jdbc_options(args.jdbc_url, args.jdbc_table, args.jdbc_driver, args.jdbc_user, secret)
-    messages = _messages(stateful_session(spark, args.state_partitions), args)
-    queries.await_all([start(messages, kind, options, args.checkpoint, _every(args))])
+        tasks = args.connections
+    queries.await_all([start(messages, kind, options, args.checkpoint, _every(args), tasks)])
 
 
 def event_counts(spark: SparkSession, args) -> None:
-    _served(spark, args, queries.start_event_counts)
+    _served(spark, args, queries.start_event_counts, queries.start_closed_event_counts)
 
 
 def top_products(spark: SparkSession, args) -> None:
-    _served(spark, args, queries.start_top_products)
+    _served(spark, args, queries.start_top_products, queries.start_closed_product_counts)
+
+
+def latest_window(spark: SparkSession, args) -> None:
+    """The ranking of the newest window that ``top-products --closed`` has written."""
+    counts = spark.read.schema(f"{SERVED}, productId string, count long").parquet(args.folder)
+    _publish(top_of_latest_window(counts), args.out, "latest_window")
+
+
+def versions_view(spark: SparkSession, args) -> None:
+    """The statement that makes the view of newest versions in the database that holds them."""
+    key = SERVED_KEYS[args.of]
+    print(serving.latest_versions_view(args.view, args.jdbc_table, [*SERVED_WINDOW, f'"{key}"'], ["count"]))
+
+
+def retire_versions(spark: SparkSession, args) -> None:
+    """Cut a parquet store down to its newest versions (event-counts) or newest batch (top-products)."""
+    key = SERVED_KEYS[args.of]
+    survivors = serving.newest_batch
+    if args.of == "event-counts":
+        survivors = serving.newest_versions_with_batch([*SERVED_WINDOW, key])
+    schema = f"{SERVED}, {key} string, count long, batch_id long"
+    print(serving.retire_versions(spark, args.folder, survivors, schema), "files removed")
 
 
 def compact(spark: SparkSession, args) -> None:
-    """Whole folders to new ones, or with ``--checkpoint`` what is new since the last run."""
+    """Compact what the streams wrote since the last run, and let readers see it and what comes after."""
+    now = dt.datetime.now()
     for table, schema in ROUTED_TABLES.items():
-        source, target = f"{args.out}/{table}", f"{args.target}/{table}"
-        if args.checkpoint:
-            compact_new_files(spark, source, target, f"{args.checkpoint}/{table}", schema)
-        else:
-            print(table, compact_folder(spark, source, target), "rows")
-        if args.database:
-            register_event_tables(spark, {table: source}, args.database)
-            point_table_at(spark, f"{args.database}.{table}", target)
+        print(table, compact_run(spark, f"{args.out}/{table}", f"{args.target}/{table}", schema, now), "files")
+    register_compacted(spark, {t: f"{args.out}/{t}" for t in ROUTED_TABLES}, args.target, args.database)
+
+
+def retire(spark: SparkSession, args) -> None:
+    """Remove the originals of runs that are older than the grace period."""
+    before = dt.datetime.now() - dt.timedelta(hours=args.hours)
+    for table in ROUTED_TABLES:
+        print(table, retire_originals(spark, f"{args.target}/{table}", before), "files removed")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -161,24 +206,48 @@ def _parser() -> argparse.ArgumentParser:
 
     def store(sub):
         sub.add_argument("--folder", help="serve versions from a parquet folder instead of a database")
+        sub.add_argument("--closed", action="store_true",
+                         help="write each window once to --folder, when the watermark closes it; state is bounded")
+        sub.add_argument("--connections", type=int, default=8, help="tasks that write to the database at once")
         for name in ("--jdbc-url", "--jdbc-table", "--jdbc-driver", "--jdbc-user"):
             sub.add_argument(name)
-        sub.add_argument("--state-partitions", type=int)
+        sub.add_argument("--state-partitions", type=int, required=True,
+                         help="fixed for as long as the checkpoint lives; choose for the largest load expected")
 
     as_of = arg("--as-of", type=dt.datetime.fromisoformat, required=True, help="works on the hour before")
     raw, warehouse = arg("--raw", required=True), arg("--warehouse", required=True)
     retail, stream = arg("--database", default=RETAIL), arg("--database", default=STREAM)
     out = arg("--out", required=True)
 
-    job("land", land, arg("--landing", required=True), raw, as_of)
-    job("load-hour", load, raw, warehouse, retail, as_of, arg("--one-per-key", action="store_true"), arg("--rejects"))
-    job("marketing", marketing, warehouse, retail)
-    job("daily-report", daily, warehouse, retail, arg("--day", type=dt.date.fromisoformat, required=True), out)
-    job("routes", routes, source(queries.ROUTE_TRIGGER, "earliest"), out, stream, arg("--with-unrouted", action="store_true"))
-    job("kpis", kpis, out, stream)
+    def flag(name, help):
+        return arg(name, action="store_true", help=help)
+
+    def date(name, default=None):
+        return arg(name, type=dt.date.fromisoformat, default=default, required=default is None)
+
+    folder, of = arg("--folder", required=True), arg("--of", choices=list(SERVED_KEYS), required=True)
+
+    job("land", land, arg("--landing", required=True), raw, as_of, flag("--replace", "also with fewer files than before"))
+    job(
+        "load-hour", load, raw, warehouse, retail, as_of, flag("--one-per-key", "of a new key, the smallest row"),
+        arg("--rejects"), flag("--allow-empty", "an hour without sales may replace one with sales"),
+        flag("--hash-days", "many small days: each to one of the shuffle partitions"),
+        date("--calendar-from", CALENDAR_START), date("--calendar-to", CALENDAR_END),
+    )
+    job("marketing", marketing, warehouse, retail, out)
+    job("daily-report", daily, warehouse, retail, date("--day"), out, arg("--files", choices=["one", "many"], default="one"))
+    job(
+        "routes", routes, source(queries.ROUTE_TRIGGER, "earliest"), out, stream,
+        flag("--with-unrouted", "also what reaches no table"), flag("--single-read", "read and parse the source once"),
+    )
+    job("kpis", kpis, out, stream, arg("--results", required=True))
     job("event-counts", event_counts, source(queries.EVENT_COUNT_TRIGGER, "latest"), store)
     job("top-products", top_products, source(queries.TOP_PRODUCTS_TRIGGER, "latest"), store)
-    job("compact", compact, out, arg("--target", required=True), arg("--checkpoint"), arg("--database"))
+    job("latest-window", latest_window, folder, out)
+    job("versions-view", versions_view, of, arg("--view", required=True), arg("--jdbc-table", required=True))
+    job("retire-versions", retire_versions, of, folder)
+    job("compact", compact, out, arg("--target", required=True), stream)
+    job("retire", retire, arg("--target", required=True), arg("--hours", type=float, required=True))
     return parser
 
 

@@ -176,6 +176,19 @@ def _new_since(dimension: str, key: str) -> str:
     )
 
 
+def _loaded(name: str, where: str = "TRUE") -> str:
+    """A dimension after two hours: the rows of the first, and of the second those with a new key."""
+    body, key = DIMENSIONS[name], f"{name}_id"
+    return _with(
+        SALES,
+        f"early AS (SELECT * FROM sales WHERE transaction_date < DATE '{STORED_BEFORE}')",
+        f"late AS (SELECT * FROM sales WHERE transaction_date >= DATE '{STORED_BEFORE}')",
+        f"stored AS (SELECT * FROM ({body.format(src='early')}) WHERE {key} IS NOT NULL AND {where})",
+        f"batch AS (SELECT * FROM ({body.format(src='late')}) WHERE {key} IS NOT NULL AND {where})",
+        body=f"SELECT * FROM stored UNION ALL SELECT * FROM batch WHERE {key} NOT IN (SELECT {key} FROM stored)",
+    )
+
+
 def _dimension(name: str) -> str:
     return DIMENSIONS[name].format(src="sales")
 
@@ -209,6 +222,11 @@ _DIMENSION_COUNTS = " UNION ALL ".join(
     ]
 )
 
+_AGENT_ROWS = _with(AGENTS, body="""SELECT sales_person_id, name, CAST(hire_date AS VARCHAR) AS hire_date{more}
+                                    FROM agents{where}""")
+
+_ALL_EVENTS = _with(EVENTS, body="""SELECT * FROM parsed WHERE "eventType" <> 'error'""")
+
 ORACLE: dict[str, str] = {
     "clean_sales": _with(SALES, body="SELECT * EXCLUDE (city, state) FROM sales"),
     **{f"dim_{name}": _with(SALES, body=_dimension(name)) for name in DIMENSIONS},
@@ -277,6 +295,34 @@ ORACLE: dict[str, str] = {
                            ELSE '2024050110' END AS batch_hour FROM fact""",
     ),
     "warehouse_load_dimensions": _with(SALES, BRANCHES, AGENTS, body=_DIMENSION_COUNTS),
+    "warehouse_branches_Dim": _with(BRANCHES, body="SELECT * FROM branches"),
+    "warehouse_sales_agents_Dim": _with(AGENTS, body="SELECT * FROM agents"),
+    **{f"warehouse_{name}_Dim": _loaded(name) for name in DIMENSIONS},
+    "warehouse_date_Dim": """
+        SELECT CAST(d AS DATE) AS value, strftime(d, '%Y%m%d') AS date_id,
+               CAST(day(d) AS INTEGER) AS "day", CAST(month(d) AS INTEGER) AS "month", CAST(year(d) AS INTEGER) AS "year",
+               CAST(quarter(d) AS INTEGER) AS quarter, dayname(d) AS day_name
+        FROM (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2030-12-31', INTERVAL 1 DAY)) AS d)""",
+    "scan_csv_reordered_columns": _with(AGENTS, body="SELECT * FROM agents"),
+    "land_csv_extra_column": _AGENT_ROWS.format(more=", upper(name) AS badge", where=""),
+    "land_last_hour": _AGENT_ROWS.format(
+        more=""", '2024' AS "year", '05' AS "month", '01' AS "day", '09' AS "hour" """,
+        where=" WHERE sales_person_id % 3 = 1",
+    ),
+    "warehouse_reload_missing_hour": _with(FACT, body="SELECT * FROM fact"),
+    "incremental_null_keys": _loaded("customer", "customer_id % 10 <> 0"),
+    "compact_then_stream": _ALL_EVENTS,
+    "stream_router_events": _ALL_EVENTS,
+    "stream_unrouted_messages": _with(
+        EVENTS,
+        body="""SELECT '{"eventType":"error","customerId":"' || "customerId" || '","productId":"' || "productId"
+                       || '","timestamp":"' || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') || '"}' AS value, "eventType"
+                FROM parsed WHERE "eventType" = 'error'""",
+    ),
+    "kpi_job_outputs": _kpi(
+        "add_to_cart",
+        'SELECT "customerId", CAST(sum(quantity) AS BIGINT) AS total_quantity_added FROM add_to_cart GROUP BY 1',
+    ),
     "compact_preserves_rows": _ROUTED,
     "compact_new_files": _ROUTED,
     "stream_parse_events": _with(EVENTS, body="SELECT * FROM parsed"),

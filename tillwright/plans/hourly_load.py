@@ -8,9 +8,12 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwright.operators.cleaning import clean_sales, date_rejects
 from tillwright.operators.dimensions import (
+    CALENDAR_END,
+    CALENDAR_START,
     DIMENSION_KEYS,
     branches_dim,
     calendar,
@@ -20,7 +23,7 @@ from tillwright.operators.dimensions import (
 )
 from tillwright.operators.fact import sales_fact, with_date_partitions
 from tillwright.sinks.warehouse import DATE_TABLE, Warehouse
-from tillwright.sources.raw_zone import HOUR, hour_path, read_group
+from tillwright.sources.raw_zone import HOUR, hour_is_landed, hour_path, read_group
 
 
 def load_hour(
@@ -30,28 +33,42 @@ def load_hour(
     as_of: dt.datetime,
     one_per_key: bool = False,
     rejects_folder: str | None = None,
+    allow_empty: bool = False,
+    hash_days: bool = False,
+    days: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
 ) -> None:
     """Load the hour before ``as_of``; running it again changes nothing.
 
-    Dimensions go first, so a reader finds the keys of every fact row it sees.
+    Dimensions go first, so a reader finds the keys of every fact row it sees.  An hour that was not
+    landed raises; one that was landed without sales is a batch without rows, which replaces one
+    with rows only if ``allow_empty`` is given.  ``days`` are the ends of the calendar.
     """
+    _need_landed(spark, raw_root, as_of)
     batch_hour = f"{as_of - HOUR:%Y%m%d%H}"
     with _cleaned_sales(spark, raw_root, as_of) as sales:
-        _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key)
-        warehouse.load_fact(with_date_partitions(sales_fact(sales)), batch_hour, sales.count())
-    if rejects_folder:
+        rejects = f"{rejects_folder.rstrip('/')}" if rejects_folder else None
+        _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key, days, rejects)
+        warehouse.load_fact(with_date_partitions(sales_fact(sales)), batch_hour, hash_days, allow_empty)
+    if rejects:
         raw = read_group(spark, hour_path(raw_root, as_of), "sales_transactions")
-        _write_rejects(raw, f"{rejects_folder.rstrip('/')}/batch_hour={batch_hour}")
+        _write_rejects(date_rejects(raw, "transaction_date"), f"{rejects}/sales_transactions/batch_hour={batch_hour}")
 
 
 def load_hour_dimensions(
     spark: SparkSession, raw_root: str, warehouse: Warehouse, as_of: dt.datetime, one_per_key: bool = False
 ) -> None:
     """The dimensions of the hour before ``as_of`` alone."""
+    _need_landed(spark, raw_root, as_of)
     with _cleaned_sales(spark, raw_root, as_of) as sales:
         _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key)
 
 
+def _need_landed(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> None:
+    hour = hour_path(raw_root, as_of)
+    if not hour_is_landed(spark, hour):
+        raise FileNotFoundError(f"{hour} was not landed")
+
+
 @contextmanager
 def _cleaned_sales(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> Iterator[DataFrame]:
     """The cleaned hour, read once for the fact and the five dimensions read off it.
@@ -68,8 +85,16 @@ def _cleaned_sales(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> It
 
 
 def _load_dimensions(
-    spark: SparkSession, raw_root: str, warehouse: Warehouse, as_of: dt.datetime, sales: DataFrame, one_per_key: bool
+    spark: SparkSession,
+    raw_root: str,
+    warehouse: Warehouse,
+    as_of: dt.datetime,
+    sales: DataFrame,
+    one_per_key: bool,
+    days: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END),
+    rejects: str | None = None,
 ) -> None:
+    """All dimensions of an hour; with ``rejects``, rows without a key are kept there."""
     folder = hour_path(raw_root, as_of)
     dimensions = {
         "branches_Dim": branches_dim(read_group(spark, folder, "branches")),
@@ -77,9 +102,12 @@ def _load_dimensions(
         **transaction_dimensions(sales),
     }
     for table, rows in dimensions.items():
-        warehouse.load_dimension(table, DIMENSION_KEYS[table], rows, one_per_key)
-    warehouse.load_static(DATE_TABLE, date_dim(calendar(spark)))
+        key = DIMENSION_KEYS[table]
+        warehouse.load_dimension(table, key, rows, one_per_key)
+        if rejects:
+            _write_rejects(rows.where(F.col(key).isNull()), f"{rejects}/{table}/batch_hour={as_of - HOUR:%Y%m%d%H}")
+    warehouse.load_static(DATE_TABLE, date_dim(calendar(spark, *days)))
 
 
-def _write_rejects(raw: DataFrame, folder: str) -> None:
-    date_rejects(raw, "transaction_date").write.mode("overwrite").parquet(folder)
+def _write_rejects(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("overwrite").parquet(folder)

@@ -77,7 +77,7 @@ def unique_customers_clicking(clicks: DataFrame) -> DataFrame:
     return clicks.agg(F.count_distinct("customerId").alias("unique_customers_clicking"))
 
 
-#: KPIs and the routed table each reads.
+# Names of the KPIs; with each, the routed table it reads.
 KPIS = {
     "total_product_views": ("product_view", total_product_views),
     "views_per_category": ("product_view", views_per_category),

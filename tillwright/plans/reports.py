@@ -53,14 +53,19 @@ def most_redeemed_offers_by_product(fact: DataFrame, products: DataFrame, rows:
 
 
 def lowest_online_cities(fact: DataFrame, locations: DataFrame, rows: int = LOWEST_CITIES) -> DataFrame:
-    """Online sales by city, lowest first."""
+    """Online sales by city, lowest first.
+
+    Prices have three places, so they add up exactly as decimals and a rank does not depend on the
+    order of addition.
+    """
     sales = sum_by_attributes(
         fact.where(F.col("payment_id").startswith(ONLINE)),
         [Lookup(locations, "location_id", "location_id")],
         ["city"],
-        {"total_online_sales": F.sum("total_price")},
+        {"total_online_sales": F.sum(F.col("total_price").cast("decimal(28,3)"))},
     )
-    return sales.orderBy("total_online_sales", "city").limit(rows)
+    lowest = sales.orderBy("total_online_sales", "city").limit(rows)
+    return lowest.withColumn("total_online_sales", F.col("total_online_sales").cast("double"))
 
 
 def daily_agent_product_units(fact: DataFrame, products: DataFrame, agents: DataFrame, day: dt.date) -> DataFrame:

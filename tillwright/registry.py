@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +19,21 @@ from tillwright.plans.hourly_load import load_hour, load_hour_dimensions
 from tillwright.plans.kpis import KPIS
 from tillwright.schemas import EVENT, RAW_GROUPS, ROUTED_TABLES, SALES_TRANSACTIONS_RAW
 from tillwright.session import stateful_session, work_folder
-from tillwright.sinks.compaction import compact_folder, compact_new_files
+from tillwright.sinks.compaction import compact_folder, compact_new_files, compact_run
 from tillwright.sinks.csv_report import report_folder, write_csv_report
-from tillwright.sinks.warehouse import FACT_TABLE, Warehouse, register_event_tables, write_fact_folder
+from tillwright.sinks.warehouse import (
+    DATE_TABLE,
+    FACT_TABLE,
+    Warehouse,
+    register_compacted,
+    register_event_tables,
+    write_fact_folder,
+)
+from tillwright.sources import sample_feed as feed
 from tillwright.sources import sample_tables as sample
 from tillwright.sources.events import event_source
 from tillwright.sources.raw_zone import HOUR, hour_path, land_group, read_group, read_raw_zone, write_csv
-from tillwright.streaming import feed, parse, queries, serving, window_counts
+from tillwright.streaming import parse, queries, serving, window_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +46,8 @@ AGENTS_BEFORE = dt.date(2015, 2, 15)
 REPORT_DAY = dt.date(1997, 1, 1)
 #: When the landing and loading queries pretend to run.
 AS_OF = dt.datetime(2024, 5, 1, 10, 20)
+#: State partitions of the stateful queries.
+STATE_PARTITIONS = 8
 #: Drops in which the event log reaches the stateful queries.
 DROPS = 3
 
@@ -230,7 +241,7 @@ def land_hourly_partitions(spark, sf_dir):
 def fact_partitioned_roundtrip(spark, sf_dir):
     folder = work_folder(spark, "fact")
     fact = fact_sales(spark, sf_dir)
-    write_fact_folder(fact, folder, rows=sample.sample_table(spark, sf_dir, "lineitem").count())
+    write_fact_folder(fact, folder, hash_days=True)
     return spark.read.schema(fact.schema).parquet(folder)
 
 
@@ -280,6 +291,86 @@ def warehouse_load_dimensions(spark, sf_dir):
     return result
 
 
+def _loaded_dimension(table: str) -> Query:
+    """All rows of one loaded dimension; ``date_Dim`` is loaded by every hour and written by the first."""
+
+    def query(spark, sf_dir):
+        return _loaded_warehouse(spark, sf_dir, load_hour_dimensions).table(table)
+
+    return query
+
+
+def scan_csv_reordered_columns(spark, sf_dir):
+    """Two files of sales agents, each with its columns in another order, one with an unknown column."""
+    folder = work_folder(spark, "csv")
+    agents = sample.raw_sales_agents(spark, sf_dir)
+    odd = F.col("sales_person_id") % 2 == 1
+    write_csv(agents.where(odd).select("hire_date", F.lit("x").alias("unknown"), "name", "sales_person_id"),
+              f"{folder}/sales_agents-1.csv")
+    write_csv(agents.where(~odd).select("name", "sales_person_id", "hire_date"), f"{folder}/sales_agents-2.csv")
+    return dims.sales_agents_dim(read_group(spark, folder, "sales_agents"))
+
+
+def land_csv_extra_column(spark, sf_dir):
+    """A column that is not declared survives the landing."""
+    folder = work_folder(spark, "landing")
+    agents = sample.raw_sales_agents(spark, sf_dir)
+    rows = agents.select(F.upper("name").alias("badge"), *agents.columns)
+    target = land_group(
+        spark, _drop(spark, f"{folder}/in", {"sales_agents": rows}), f"{folder}/raw", "sales_agents", AS_OF,
+        only_last_hour=False,
+    )
+    return spark.read.schema("badge string, sales_person_id long, name string, hire_date string").csv(target, header=True)
+
+
+def land_last_hour(spark, sf_dir):
+    """Of three drops, the one whose files are from the hour before is landed."""
+    folder = work_folder(spark, "landing")
+    agents = sample.raw_sales_agents(spark, sf_dir)
+    third = F.col("sales_person_id") % 3
+    for number, minutes in enumerate((-90, -30, 30)):
+        write_csv(agents.where(third == number), f"{folder}/in/drop-{number}/sales_agents-{number}.csv")
+        _set_times(spark, f"{folder}/in/drop-{number}/sales_agents-{number}.csv", AS_OF + dt.timedelta(minutes=minutes))
+    land_group(spark, f"{folder}/in", f"{folder}/raw", "sales_agents", AS_OF)
+    return read_raw_zone(spark, f"{folder}/raw", "sales_agents")
+
+
+def _set_times(spark: SparkSession, folder: str, at: dt.datetime) -> None:
+    """Give the files of a folder a modification time, in the session's time zone."""
+    moment = spark.range(1).select(F.unix_millis(F.lit(at.isoformat(" ")).cast("timestamp"))).first()[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        files.setTimes(status.getPath(), moment, -1)
+
+
+def warehouse_reload_missing_hour(spark, sf_dir):
+    """A loaded hour is loaded again from where no raw files are: that fails and the fact stays."""
+    folder = work_folder(spark, "warehouse")
+    warehouse = Warehouse(spark, f"{folder}/dwh", f"retail_{uuid.uuid4().hex}")
+    landing = _drop(spark, f"{folder}/in", {"sales_transactions": sample.raw_sales(spark, sf_dir)})
+    land_group(spark, landing, f"{folder}/raw", "sales_transactions", AS_OF, only_last_hour=False)
+    load_hour(spark, f"{folder}/raw", warehouse, AS_OF)
+    try:
+        load_hour(spark, f"{folder}/mistyped", warehouse, AS_OF)
+    except FileNotFoundError:
+        return warehouse.table(FACT_TABLE).drop("batch_hour")
+    raise AssertionError("an hour that was not landed was loaded")
+
+
+def incremental_null_keys(spark, sf_dir):
+    """Two hours of customers, in both of which every tenth has no key."""
+    folder = work_folder(spark, "warehouse")
+    warehouse = Warehouse(spark, f"{folder}/dwh", f"retail_{uuid.uuid4().hex}")
+    key = F.when(F.col("customer_id") % 10 != 0, F.col("customer_id"))
+    sales = clean_sales(sample.raw_sales(spark, sf_dir, [*_CUSTOMER, "transaction_date"], as_set=True))
+    sales = sales.withColumn("customer_id", key)
+    before = F.col("transaction_date") < F.lit(STORED_BEFORE)
+    for hour in (sales.where(before), sales.where(~before)):
+        warehouse.load_dimension("customer_Dim", "customer_id", dims.customer_dim(hour))
+    return warehouse.table("customer_Dim")
+
+
 def _small_files(spark, sf_dir, folder) -> DataFrame:
     views = sample.routed_table(spark, sf_dir, "product_view")
     views.repartition(64).write.parquet(folder)
@@ -312,6 +403,36 @@ def compact_new_files_query(spark, sf_dir):
     return _wall_clock(spark.read.schema(schema).parquet(f"{folder}/compacted"))
 
 
+def _event_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of all routed tables in one frame; a column that a table lacks is NULL."""
+    return _wall_clock(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables.values()))
+
+
+def compact_then_stream(spark, sf_dir):
+    """Events are routed and compacted, more are routed; readers of the tables see all of them."""
+    folder = work_folder(spark, "compaction")
+    log = sample.sample_table(spark, sf_dir, "events")
+    database = f"stream_{uuid.uuid4().hex}"
+    folders = {table: f"{folder}/out/{table}" for table in ROUTED_TABLES}
+    first, *later = feed.time_slices(log, "ts", DROPS)
+
+    def route_drop(drop):
+        sample.event_messages(log.where(drop)).write.mode("append").parquet(f"{folder}/inbox")
+        messages = event_source(spark, "parquet", path=f"{folder}/inbox")
+        queries.await_all(list(queries.start_routes(messages, f"{folder}/out", f"{folder}/c", every=None).values()))
+
+    register_event_tables(spark, {}, database, f"{folder}/db")
+    for run, drop in enumerate((first, *later)):
+        route_drop(drop)
+        if run < len(later):
+            for table, schema in ROUTED_TABLES.items():
+                compact_run(spark, folders[table], f"{folder}/compacted/{table}", schema, AS_OF)
+            register_compacted(spark, folders, f"{folder}/compacted", database)
+    for table in ROUTED_TABLES:  # this session listed the files before
+        spark.catalog.refreshTable(f"{database}.{table}_files")
+    return _event_rows({table: spark.table(f"{database}.{table}") for table in ROUTED_TABLES})
+
+
 # --- events ----------------------------------------------------------------------------
 
 
@@ -364,6 +485,37 @@ def stream_router(spark, sf_dir):
     return result
 
 
+def stream_router_events(spark, sf_dir):
+    """All rows that the single-read router wrote to the four tables."""
+    folder = work_folder(spark, "router")
+    queries.start_router(
+        sample.message_stream(spark, sf_dir), f"{folder}/out", f"{folder}/checkpoint", every=None
+    ).awaitTermination()
+    read = spark.read.option("recursiveFileLookup", True)
+    return _event_rows({t: read.schema(schema).parquet(f"{folder}/out/{t}") for t, schema in ROUTED_TABLES.items()})
+
+
+def stream_unrouted_messages(spark, sf_dir):
+    """The text of the messages that reach no table."""
+    folder = work_folder(spark, "unrouted")
+    rows = parse.unrouted(parse.parse_events(sample.message_stream(spark, sf_dir), keep_value=True))
+    queries.start_file_sink(rows, f"{folder}/out", f"{folder}/checkpoint", every=None).awaitTermination()
+    return spark.read.schema("value string, eventType string").parquet(f"{folder}/out")
+
+
+def kpi_job_outputs(spark, sf_dir):
+    """Events routed by the job for it, KPIs written by theirs, one of them read back."""
+    from tillwright.jobs import main  # the jobs import the catalog of plans, this module is one of its readers
+
+    folder = work_folder(spark, "jobs")
+    sample.messages(spark, sf_dir).write.parquet(f"{folder}/inbox")
+    out = ["--out", f"{folder}/out", "--database", f"stream_{uuid.uuid4().hex}"]
+    source = ["--source", "parquet", "--path", f"{folder}/inbox", "--every", "once", "--checkpoint", f"{folder}/c"]
+    main(["routes", *source, *out, "--single-read"], spark)
+    main(["kpis", *out, "--results", f"{folder}/results"], spark)
+    return spark.read.parquet(f"{folder}/results/quantity_per_customer")
+
+
 #: Places that KPIs in floating point are compared to.
 _PLACES = {"total_revenue": 2, "average_order_value": 4}
 
@@ -394,14 +546,14 @@ def external_table_kpi(spark, sf_dir):
 
 
 def batch_event_counts(spark, sf_dir):
-    events = parse.parse_events(sample.messages(spark, sf_dir))
+    events = parse.parse_events(sample.messages(spark, sf_dir), fields=window_counts.EVENT_COUNT_FIELDS)
     return _wall_clock(window_counts.flat_window(window_counts.event_counts(events), "eventType"))
 
 
 def _replay(spark, sf_dir, drops, start_on) -> str:
     """Deliver the log in drops to a stateful query; returns the folder it serves from."""
     folder = work_folder(spark, "windows")
-    session = stateful_session(spark)
+    session = stateful_session(spark, STATE_PARTITIONS)
     log = sample.sample_table(spark, sf_dir, "events")
 
     def start(inbox):
@@ -495,12 +647,22 @@ QUERIES: dict[str, Query] = {
     "b2b_csv_roundtrip": b2b_csv_roundtrip,
     "warehouse_load_fact": warehouse_load_fact,
     "warehouse_load_dimensions": warehouse_load_dimensions,
+    **{f"warehouse_{table}": _loaded_dimension(table) for table in [*dims.DIMENSION_KEYS, DATE_TABLE]},
+    "scan_csv_reordered_columns": scan_csv_reordered_columns,
+    "land_csv_extra_column": land_csv_extra_column,
+    "land_last_hour": land_last_hour,
+    "warehouse_reload_missing_hour": warehouse_reload_missing_hour,
+    "incremental_null_keys": incremental_null_keys,
+    "compact_then_stream": compact_then_stream,
     "compact_preserves_rows": compact_preserves_rows,
     "compact_new_files": compact_new_files_query,
     "stream_parse_events": stream_parse_events,
     **{f"stream_route_{table}": _stream_route(table) for table in ROUTED_TABLES},
     "stream_unrouted": stream_unrouted,
     "stream_router": stream_router,
+    "stream_router_events": stream_router_events,
+    "stream_unrouted_messages": stream_unrouted_messages,
+    "kpi_job_outputs": kpi_job_outputs,
     **{f"kpi_{name}": _kpi(name) for name in KPIS},
     "external_table_kpi": external_table_kpi,
     "batch_event_counts": batch_event_counts,

@@ -29,9 +29,6 @@ SETTINGS = {
     **STATE_SETTINGS,
 }
 
-#: State partitions of a windowed count, where a job does not ask for another number.
-MOST_STATE_PARTITIONS = 200
-
 
 def build_session(name: str, master: str | None = None, hive: bool = False, **settings: str) -> SparkSession:
     """Session with :data:`SETTINGS`; ``settings`` use ``__`` for dots and win over them."""
@@ -45,16 +42,13 @@ def build_session(name: str, master: str | None = None, hive: bool = False, **se
     return builder.getOrCreate()
 
 
-def stateful_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def stateful_session(spark: SparkSession, state_partitions: int) -> SparkSession:
     """A session of the same application for stateful streaming queries.
 
     The first run of a query fixes its number of state partitions for as long as its
-    checkpoint lives, so it is chosen here and not taken from whatever the batch jobs
-    shuffle with.  By default it is one per core, up to ``MOST_STATE_PARTITIONS``: keys
-    are counted per task before they are shuffled, which keeps the state small.
+    checkpoint lives, so it is given here and taken neither from what the batch jobs shuffle
+    with nor from the cores that happen to be there when it starts.
     """
-    if state_partitions is None:
-        state_partitions = min(spark.sparkContext.defaultParallelism, MOST_STATE_PARTITIONS)
     session = spark.newSession()
     zone = "spark.sql.session.timeZone"
     for key, value in {

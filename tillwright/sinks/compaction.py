@@ -2,16 +2,26 @@
 
 Both ways pack the small files when the scan is planned: Spark's file splits are told to
 grow to the target size, every task reads one split of many files and writes one file.
-Nothing is shuffled and no task sees more than the target size.  The originals are never
-deleted, readers are moved by pointing their table at the new folder.
+Nothing is shuffled and no task sees more than the target size.
+
+A folder that a stream keeps writing to is compacted in runs.  A run packs the files no earlier one
+took and then notes their names; the note is what makes it count, so a broken run is simply done
+again.  Readers use a view over the runs and over the originals no run has noted, so they see a row
+once at any time, new ones included.  Originals are removed some time after their run.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from urllib.parse import unquote
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tillwright.sinks.files import delete
+
 TARGET_BYTES = 512 << 20
 
 
@@ -45,6 +55,72 @@ def compact_folder(
     return after.count()
 
 
+#: What a run notes of each original: its name as Spark lists it, the run, and when that was.
+NOTES = "path string, run int, at timestamp"
+
+
+def _notes(spark: SparkSession, target: str) -> DataFrame:
+    try:
+        return spark.read.schema(NOTES).parquet(f"{target}/notes")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], NOTES)
+
+
+def _last_run(spark: SparkSession, target: str) -> int:
+    return _notes(spark, target).agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]
+
+
+def compact_run(
+    spark: SparkSession, source: str, target: str, schema: StructType, now: dt.datetime, target_bytes: int = TARGET_BYTES
+) -> int:
+    """Pack what is in ``source`` and was in no run before; returns how many files that were.
+
+    ``source`` may hold folders of files, as the router writes them.  Of a stream's folder only
+    finished files are taken.
+    """
+    session = _packing(spark, target_bytes)
+    options = {"recursiveFileLookup": "true", "ignoreMissingFiles": "true"}
+    listed = session.read.schema(schema).options(**options).parquet(source).inputFiles()
+    noted = {row["path"] for row in _notes(session, target).select("path").toLocalIterator()}
+    new = [path for path in listed if path not in noted]
+    if not new:
+        return 0
+    run = _last_run(session, target) + 1
+    data = f"{target}/data/run={run}"
+    before = session.read.schema(schema).parquet(*map(unquote, new))
+    before.write.mode("overwrite").parquet(data)
+    if before.count() != session.read.schema(schema).parquet(data).count():
+        raise RuntimeError(f"{data} does not hold the rows of {source}; readers still use the originals")
+    notes = session.createDataFrame([(path, run, now) for path in new], NOTES)
+    notes.coalesce(1).write.mode("append").parquet(f"{target}/notes")
+    return len(new)
+
+
+def view_compacted(spark: SparkSession, view: str, files: str, target: str, schema: StructType) -> None:
+    """``view`` over all runs and the rows of table ``files`` that no run has noted."""
+    columns = ", ".join(f"`{name}`" for name in schema.names)
+    # Spark lists local files as file:///x and reads them as file:/x.
+    path = "regexp_replace(f._metadata.file_path, '^file:/+', 'file:///')"
+    run = _last_run(spark, target)
+    if not run:
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM {files}")
+        return
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} AS "
+        f"SELECT {columns} FROM parquet.`{target}/data` WHERE run <= {run} UNION ALL "
+        f"SELECT {columns} FROM {files} AS f LEFT ANTI JOIN "
+        f"(SELECT path FROM parquet.`{target}/notes` WHERE run <= {run}) AS n ON {path} = n.path"
+    )
+
+
+def retire_originals(spark: SparkSession, target: str, before: dt.datetime) -> int:
+    """Remove the originals of runs made before a time; returns how many were still there."""
+    old = _notes(spark, target).where(F.col("at") < F.lit(before)).select("path")
+    return sum(delete(spark, unquote(row["path"])) for row in old.toLocalIterator())
+
+
 def row_checksum(rows: DataFrame) -> int:
     """Checksum of all rows in any order, summed as decimal so that it cannot overflow."""
     hashed = F.xxhash64(*[F.col(name) for name in rows.columns]).cast("decimal(38,0)")

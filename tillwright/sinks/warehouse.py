@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -13,6 +15,7 @@ from pyspark.sql.types import StructType
 from tillwright.operators.fact import DATE_PARTITIONS
 from tillwright.operators.incremental import first_per_key, new_rows_for_small_batch
 from tillwright.schemas import ROUTED_TABLES
+from tillwright.sinks.compaction import view_compacted
 
 # Names of the databases and of the tables that are not keyed dimensions.
 RETAIL = "retail"
@@ -26,8 +29,6 @@ FACT_PARTITIONS = [BATCH_HOUR, *DATE_PARTITIONS]
 
 #: Bounds a file where Spark's byte-based sizing does not apply.
 RECORDS_PER_FILE = 20_000_000
-#: Rows of the fact that one task may write.
-ROWS_PER_TASK = 4_000_000
 
 
 class Warehouse:
@@ -79,7 +80,11 @@ class Warehouse:
         return True
 
     def load_dimension(self, table: str, key: str, rows: DataFrame, one_per_key: bool = False) -> None:
-        """First load writes the rows, later ones append those with a new key."""
+        """First load writes the rows, later ones append those with a new key.
+
+        Rows without a key are stored by neither.
+        """
+        rows = rows.where(F.col(key).isNotNull())
         if not self.exists(table):
             self._create(table, first_per_key(rows, key) if one_per_key else rows)
             return
@@ -90,25 +95,33 @@ class Warehouse:
         finally:
             batch.unpersist()
 
-    def load_fact(self, fact: DataFrame, batch_hour: str, rows: int | None = None) -> None:
+    def load_fact(
+        self, fact: DataFrame, batch_hour: str, hash_days: bool = False, allow_empty: bool = False
+    ) -> None:
         """Replace one hourly batch of the fact.
 
         The batch hour is the outermost partition, so loading an hour again overwrites
         what that hour wrote before and nothing else.  ``fact`` has the text columns
-        year, month and day; filters on them prune as usual.  ``rows`` is its number of
-        rows, where known.
+        year, month and day; filters on them prune as usual.  A batch without rows only
+        replaces one with rows if ``allow_empty`` is given.  ``hash_days`` is said at
+        :func:`by_day`.
         """
         if not re.fullmatch(r"\w+", batch_hour):
             raise ValueError(f"not a batch hour: {batch_hour!r}")
         if not self.exists(FACT_TABLE):
             self._declare(FACT_TABLE, fact.schema, FACT_PARTITIONS)
+        stored = self.table(FACT_TABLE).where(F.col(BATCH_HOUR) == batch_hour)
+        if not allow_empty and fact.isEmpty() and not stored.isEmpty():
+            raise ValueError(f"hour {batch_hour} has rows and the new batch has none")
         names = [name for name in fact.columns if name not in FACT_PARTITIONS]
-        batch = by_day(fact, rows).select(*names, *DATE_PARTITIONS)
-        self.spark.sql(
-            f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} "
-            f"PARTITION ({BATCH_HOUR} = '{batch_hour}', {', '.join(DATE_PARTITIONS)}) SELECT * FROM {{batch}}",
-            batch=batch,
-        )
+        batch = by_day(fact, hash_days).select(*names, *DATE_PARTITIONS)
+        # Days that the hour no longer has are removed too, whatever mode the session is in.
+        with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} "
+                f"PARTITION ({BATCH_HOUR} = '{batch_hour}', {', '.join(DATE_PARTITIONS)}) SELECT * FROM {{batch}}",
+                batch=batch,
+            )
 
     def _create(self, table: str, rows: DataFrame) -> None:
         """Write a table that has no rows yet; what a broken first load left is replaced.
@@ -135,28 +148,38 @@ class Warehouse:
         )
 
 
-def by_day(fact: DataFrame, rows: int | None) -> DataFrame:
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for as long as one write takes."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def by_day(fact: DataFrame, hash_days: bool = False) -> DataFrame:
     """Gather the rows of a day, so that a day is few files.
 
     The partitioning is left to a rebalance, which merges small days and splits a large
-    one by the bytes it measured.  Only where all ``rows`` together are known to be no
-    more than one task may write, so that no day can be too large for one, days are
-    hashed to all cores instead: a rebalance would merge so few bytes into one task, and
-    that would write the files of all days.
+    one by the bytes it measured.  ``hash_days`` deals days to all shuffle partitions instead,
+    each to one task: for many days of which none is large, where a rebalance would merge their few
+    bytes into one task that then writes the files of all.
     """
     columns = [F.col(part) for part in DATE_PARTITIONS]
-    if rows is None or rows > ROWS_PER_TASK:
+    if not hash_days:
         return fact.hint("rebalance", *columns)
-    return fact.repartition(fact.sparkSession.sparkContext.defaultParallelism, *columns)
-
+    return fact.repartition(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
 
-def write_fact_folder(fact: DataFrame, folder: str, rows: int | None = None) -> None:
-    """The fact as a plain parquet folder partitioned by year, month and day.
 
-    ``rows`` is how many there are, or at most are, where that is known.
-    """
+def write_fact_folder(fact: DataFrame, folder: str, hash_days: bool = False) -> None:
+    """The fact as a plain parquet folder partitioned by year, month and day."""
     (
-        by_day(fact, rows)
+        by_day(fact, hash_days)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .partitionBy(*DATE_PARTITIONS)
@@ -164,18 +187,36 @@ def write_fact_folder(fact: DataFrame, folder: str, rows: int | None = None) ->
     )
 
 
-def register_event_tables(spark: SparkSession, folders: dict[str, str], database: str = STREAM, root: str | None = None) -> None:
+def register_event_tables(
+    spark: SparkSession, folders: dict[str, str], database: str = STREAM, root: str | None = None, suffix: str = ""
+) -> None:
     """External tables over the folders that the event streams write."""
     location = f" LOCATION '{root}'" if root else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)}{location}")
     for table, folder in folders.items():
         columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in ROUTED_TABLES[table].fields)
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {_name(database)}.{_name(table)} ({columns}) "
-            f"USING parquet LOCATION '{folder}'"
+            f"CREATE TABLE IF NOT EXISTS {_name(database)}.{_name(table + suffix)} ({columns}) "
+            # A router's folders lie below; originals of compacted files are removed in time.
+            f"USING parquet OPTIONS ('recursiveFileLookup' 'true', 'ignoreMissingFiles' 'true') LOCATION '{folder}'"
         )
 
 
+def register_compacted(spark: SparkSession, folders: dict[str, str], target: str, database: str = STREAM) -> None:
+    """Let readers of the event tables see compacted files and what the streams added since.
+
+    The table over a stream's folder goes on as ``<table>_files``; its old name becomes a view.  As with
+    any table of files, a session that has read it lists new files after ``REFRESH TABLE <table>_files``.
+    """
+    for table, folder in folders.items():
+        name = f"{_name(database)}.{_name(table)}"
+        register_event_tables(spark, {table: folder}, database, suffix="_files")
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+        files = f"{_name(database)}.{_name(table + '_files')}"
+        view_compacted(spark, name, files, f"{target}/{table}", ROUTED_TABLES[table])
+
+
 def point_table_at(spark: SparkSession, table: str, folder: str) -> None:
     """Let readers of a table see another folder, in one catalog change."""
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")

@@ -1,8 +1,14 @@
-"""Hourly raw zone: landing new CSV files, and reading one hour of a group."""
+"""Hourly raw zone: landing new CSV files, and reading one hour of a group.
+
+Columns are taken by the names in each file's own header, so files may order them differently and
+have more of them than are declared.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +22,9 @@ HOUR = dt.timedelta(hours=1)
 # Partition columns of the raw zone and how each is written.
 HOUR_PARTITIONS = {"year": "%Y", "month": "%m", "day": "%d", "hour": "%H"}
 
+#: Folder of an hour that says which files of each group were landed; scans skip it.
+LANDED = "_landed"
+
 
 def hour_partition(as_of: dt.datetime) -> dict[str, str]:
     """Partition of the hour before ``as_of``, the one a run at ``as_of`` works on."""
@@ -26,18 +35,71 @@ def hour_path(root: str, as_of: dt.datetime) -> str:
     return "/".join([root.rstrip("/"), *[f"{name}={value}" for name, value in hour_partition(as_of).items()]])
 
 
-def read_group(spark: SparkSession, folder: str, group: str) -> DataFrame:
-    """The ``<group>*.csv`` files of a folder under the group's declared schema.
-
-    An hour without files of the group gives an empty frame.
-    """
-    schema = RAW_GROUPS[group]
+def _found(read) -> list | None:
+    """What ``read`` finds, or None where there is no such path."""
     try:
-        return spark.read.schema(schema).csv(f"{folder.rstrip('/')}/{group}*.csv", header=True)
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def _files(spark: SparkSession, pattern: str, **options: str) -> list[str]:
+    listed = _found(lambda: spark.read.options(**options).text(pattern).inputFiles())
+    return sorted(unquote(path) for path in listed or [])
+
+
+def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names in their first line, which is all that is read of them."""
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        names = tuple(name.strip().removeprefix("﻿") for name in spark.read.option("header", True).csv(file).columns)
+        if names:
+            headers.setdefault(names, []).append(file)
+    return headers
+
+
+def _read(spark: SparkSession, names: tuple[str, ...], files: list[str], types: StructType, **options) -> DataFrame:
+    """Files of one header; columns that ``types`` does not declare are text."""
+    declared = {field.name: field for field in types.fields}
+    schema = StructType([declared.get(name, StructField(name, StringType())) for name in names])
+    return spark.read.schema(schema).options(header=True, **options).csv(files)
+
+
+def _declared_only(frame: DataFrame, names: tuple[str, ...], files: list[str], types: StructType) -> DataFrame:
+    missing = [name for name in types.names if name not in names]
+    if missing:
+        raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+    return frame.select(*types.names)
+
+
+def read_group(spark: SparkSession, folder: str, group: str, multi_line: bool = False) -> DataFrame:
+    """The ``<group>*.csv`` files of a folder: the group's declared columns under their declared types.
+
+    A file that lacks a declared column raises.  A folder without files of the group gives an empty frame;
+    whether the folder should be there is for the caller to know (:func:`hour_is_landed`).
+    ``multi_line`` reads values with line breaks; such files can't be split over tasks.
+    """
+    schema = RAW_GROUPS[group]
+    headers = _by_header(spark, _files(spark, f"{folder.rstrip('/')}/{group}*.csv"))
+    frames = [
+        _declared_only(_read(spark, names, files, schema, multiLine=multi_line), names, files, schema)
+        for names, files in headers.items()
+    ]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
+
+
+def landed_files(spark: SparkSession, hour: str, group: str) -> list[str] | None:
+    """Files of a group that an hour's landing took, or None where it did not run."""
+    marker = spark.read.schema("path string")
+    rows = _found(lambda: marker.json(f"{hour}/{LANDED}/{group}").collect())
+    return None if rows is None else [row["path"] for row in rows]
+
+
+def hour_is_landed(spark: SparkSession, hour: str) -> bool:
+    """Whether an hour's folder holds files or was landed without any."""
+    return bool(_files(spark, f"{hour}/*")) or any(landed_files(spark, hour, group) is not None for group in RAW_GROUPS)
 
 
 def land_group(
@@ -47,39 +109,65 @@ def land_group(
     group: str,
     as_of: dt.datetime,
     only_last_hour: bool = True,
+    replace: bool = False,
+    multi_line: bool = False,
 ) -> str | None:
     """Copy CSV files of a group that arrived in the hour before ``as_of`` to that hour's partition.
 
     ``landing`` holds drop folders, those hold ``<group>*.csv``.  Arrival is the files'
     modification time, from one hour before ``as_of`` up to but not including it, with
-    ``as_of`` in the session's time zone.  Values are carried as the text they are, so a
-    malformed one is still there to be rejected later.  A rerun replaces the group's folder and so lands the same rows once.
+    ``as_of`` in the session's time zone.  All columns of the files are carried, as the text they are,
+    so a malformed value is still there to be rejected later.
+
+    A rerun that finds the same files, or more, replaces the group's folder and so lands the
+    same rows once.  One that finds none leaves it alone; one that finds only some of those landed
+    before raises, unless ``replace`` is given.
 
     Tasks copy in parallel and each writes its own file.  Returns the folder written, or
-    None where no drop holds the group.
+    None where no file arrived.
     """
-    text_columns = StructType([StructField(name, StringType()) for name in RAW_GROUPS[group].names])
-    reader = spark.read.schema(text_columns).option("header", True)
+    window = {}
     if only_last_hour:
         # Both bounds of the reader are exclusive, file times have milliseconds.
         first = as_of - HOUR - dt.timedelta(milliseconds=1)
-        reader = reader.options(
-            modifiedAfter=first.isoformat(timespec="milliseconds"),
-            modifiedBefore=as_of.isoformat(timespec="milliseconds"),
-        )
-    try:
-        arrived = reader.csv(f"{landing.rstrip('/')}/*/{group}*.csv")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+        window = {
+            "modifiedAfter": first.isoformat(timespec="milliseconds"),
+            "modifiedBefore": as_of.isoformat(timespec="milliseconds"),
+        }
+    arrived = _files(spark, f"{landing.rstrip('/')}/*/{group}*.csv", **window)
+    hour = hour_path(root, as_of)
+    before = landed_files(spark, hour, group)
+    gone = set(before or []) - set(arrived)
+    if arrived and gone and not replace:
+        raise ValueError(f"{hour} was landed with {sorted(gone)}, which did not arrive in the hour")
+    if not arrived:
+        if before is None:
+            _mark(spark, hour, group, [])
         return None
-    target = f"{hour_path(root, as_of)}/{group}.csv"
-    write_csv(arrived, target)
+    text = StructType([])
+    frames = [_read(spark, names, files, text, multiLine=multi_line) for names, files in _by_header(spark, arrived).items()]
+    target = f"{hour}/{group}.csv"
+    if frames:
+        write_csv(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), target, multi_line)
+    _mark(spark, hour, group, arrived)
     return target
 
 
-def write_csv(rows: DataFrame, folder: str) -> None:
-    """CSV that reads back as the values it was written from, spaces around them included."""
+def _mark(spark: SparkSession, hour: str, group: str, files: list[str]) -> None:
+    marker = spark.createDataFrame([(file,) for file in files], "path string")
+    marker.coalesce(1).write.mode("overwrite").json(f"{hour}/{LANDED}/{group}")
+
+
+def write_csv(rows: DataFrame, folder: str, multi_line: bool = False) -> None:
+    """CSV that reads back as the values it was written from, spaces around them included.
+
+    A value with a line break would read back as two rows, so it raises, unless readers use ``multi_line`` too.
+    """
+    if not multi_line:
+        rows = rows.select(
+            *(_on_one_line(field.name) if isinstance(field.dataType, StringType) else F.col(f"`{field.name}`")
+              for field in rows.schema.fields)
+        )
     (
         rows.write.mode("overwrite")
         .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
@@ -87,15 +175,31 @@ def write_csv(rows: DataFrame, folder: str) -> None:
     )
 
 
+def _on_one_line(name: str):
+    value = F.col(f"`{name}`")
+    broken = F.raise_error(F.lit(f"a value of {name} has a line break"))
+    return F.when(value.rlike("[\r\n]"), broken).otherwise(value).alias(name)
+
+
 def read_raw_zone(spark: SparkSession, root: str, group: str) -> DataFrame:
-    """All landed hours of a group, with the hour's partition columns as text."""
-    parts = StructType([StructField(name, StringType()) for name in HOUR_PARTITIONS])
-    schema = StructType(RAW_GROUPS[group].fields + parts.fields)
+    """All landed hours of a group, with the hour's partition columns as text.
+
+    Files of an hour were written by one landing and share their header, which is read once.
+    """
+    schema, root = RAW_GROUPS[group], root.rstrip("/")
+    parts = [StructField(name, StringType()) for name in HOUR_PARTITIONS]
     hours = "/".join(f"{name}=*" for name in HOUR_PARTITIONS)
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("basePath", root)
-        .csv(f"{root.rstrip('/')}/{hours}/{group}.csv")
-        .select(*RAW_GROUPS[group].names, *[F.col(name) for name in HOUR_PARTITIONS])
-    )
+    by_hour: dict[str, list[str]] = {}
+    for file in _files(spark, f"{root}/{hours}/{group}.csv"):
+        by_hour.setdefault(file.rsplit("/", 1)[0], []).append(file)
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for files in by_hour.values():
+        for names in _by_header(spark, files[:1]):
+            headers.setdefault(names, []).extend(files)
+    frames = []
+    for names, files in headers.items():
+        types = StructType(schema.fields + parts)
+        frame = _read(spark, (*names, *HOUR_PARTITIONS), files, types, basePath=root)
+        _declared_only(frame, names, files, schema)
+        frames.append(frame.select(*schema.names, *HOUR_PARTITIONS))
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], StructType(schema.fields + parts))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillwright.schemas import EVENT, ROUTED_TABLES
 
@@ -19,11 +20,12 @@ EVENT_TYPE_OF_TABLE = {
 METADATA_COLUMNS = ("category", "source")
 
 
-def parse_events(messages: DataFrame, keep_value: bool = False) -> DataFrame:
+def parse_events(messages: DataFrame, keep_value: bool = False, fields: tuple[str, ...] | None = None) -> DataFrame:
     """Message text to the event superset.
 
     A field of the wrong type becomes NULL alone, unknown fields are ignored, text that
     is no JSON object gives a row of NULLs.  ``keep_value`` keeps the text beside them.
+    ``fields`` are those of the superset that are needed, if not all.
 
     The parsed struct is spread by a generator.  A filter on one of its fields stays
     above that; behind a plain projection it would be pushed below and every message be
@@ -31,7 +33,8 @@ def parse_events(messages: DataFrame, keep_value: bool = False) -> DataFrame:
     """
     text = messages.select(F.col("value").cast("string").alias("value"))
     kept = ["value"] if keep_value else []
-    return text.select(*kept, F.inline(F.array(F.from_json("value", EVENT))))
+    schema = EVENT if fields is None else StructType([EVENT[name] for name in fields])
+    return text.select(*kept, F.inline(F.array(F.from_json("value", schema))))
 
 
 def route(events: DataFrame, table: str) -> DataFrame:

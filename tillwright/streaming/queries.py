@@ -12,7 +12,14 @@ from pyspark.sql.streaming import StreamingQuery
 from tillwright.schemas import ROUTED_TABLES
 from tillwright.streaming.parse import is_unrouted, parse_events, route, unrouted
 from tillwright.streaming.serving import version_writer
-from tillwright.streaming.window_counts import event_counts, flat_window, product_view_counts, top_products
+from tillwright.streaming.window_counts import (
+    EVENT_COUNT_FIELDS,
+    PRODUCT_COUNT_FIELDS,
+    event_counts,
+    flat_window,
+    product_view_counts,
+    top_products,
+)
 
 # Pause between micro-batches of each kind of query.
 ROUTE_TRIGGER = "10 seconds"
@@ -86,20 +93,22 @@ def start_router(messages: DataFrame, root: str, checkpoint: str, every: str | N
 
 
 def start_event_counts(
-    messages: DataFrame, kind: str, options: dict[str, str], checkpoint: str, every: str | None = EVENT_COUNT_TRIGGER
+    messages: DataFrame, kind: str, options: dict[str, str], checkpoint: str, every: str | None = EVENT_COUNT_TRIGGER,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Counts per window and event type in update mode, appended as versions to a ``kind`` store."""
-    counts = event_counts(parse_events(messages))
-    write = version_writer(lambda batch: flat_window(batch, "eventType"), kind, options)
+    counts = event_counts(parse_events(messages, fields=EVENT_COUNT_FIELDS))
+    write = version_writer(lambda batch: flat_window(batch, "eventType"), kind, options, tasks)
     return start_batch_sink(counts, write, "update", checkpoint, every)
 
 
 def start_top_products(
-    messages: DataFrame, kind: str, options: dict[str, str], checkpoint: str, every: str | None = TOP_PRODUCTS_TRIGGER
+    messages: DataFrame, kind: str, options: dict[str, str], checkpoint: str, every: str | None = TOP_PRODUCTS_TRIGGER,
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Most viewed products over all windows in complete mode, appended as versions to a ``kind`` store."""
-    top = top_products(parse_events(messages))
-    write = version_writer(lambda batch: flat_window(batch, "productId"), kind, options)
+    top = top_products(parse_events(messages, fields=PRODUCT_COUNT_FIELDS))
+    write = version_writer(lambda batch: flat_window(batch, "productId"), kind, options, tasks)
     return start_batch_sink(top, write, "complete", checkpoint, every)
 
 
@@ -107,14 +116,15 @@ def start_closed_event_counts(
     messages: DataFrame, folder: str, checkpoint: str, every: str | None = EVENT_COUNT_TRIGGER
 ) -> StreamingQuery:
     """Counts per window and event type, written once, when the watermark closes the window."""
-    return start_file_sink(flat_window(event_counts(parse_events(messages)), "eventType"), folder, checkpoint, every)
+    counts = event_counts(parse_events(messages, fields=EVENT_COUNT_FIELDS))
+    return start_file_sink(flat_window(counts, "eventType"), folder, checkpoint, every)
 
 
 def start_closed_product_counts(
     messages: DataFrame, folder: str, checkpoint: str, every: str | None = TOP_PRODUCTS_TRIGGER
 ) -> StreamingQuery:
     """Views per window and product, written once, when the watermark closes the window."""
-    counts = product_view_counts(parse_events(messages))
+    counts = product_view_counts(parse_events(messages, fields=PRODUCT_COUNT_FIELDS))
     return start_file_sink(flat_window(counts, "productId"), folder, checkpoint, every)
 
 

@@ -9,17 +9,21 @@ written twice reads as once.
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.sinks.files import delete
+
 BATCH = "batch_id"
 
 
-def jdbc_options(url: str, table: str, driver: str, user: str, secret: str, connections: int = 8) -> dict[str, str]:
+def jdbc_options(url: str, table: str, driver: str, user: str, secret: str) -> dict[str, str]:
     """Writer options of a database table, created by the first batch.
 
-    ``connections`` bounds how many tasks write at once.
+    How many tasks write at once is left to :func:`version_writer`: the writer's own bound merges
+    the tasks of whatever was computed before, the state of all keys included.
     """
     return {
         "url": url,
@@ -27,17 +31,21 @@ def jdbc_options(url: str, table: str, driver: str, user: str, secret: str, conn
         "driver": driver,
         "user": user,
         "password": secret,
-        "numPartitions": str(connections),
     }
 
 
 def version_writer(
-    shape: Callable[[DataFrame], DataFrame], kind: str, options: dict[str, str]
+    shape: Callable[[DataFrame], DataFrame], kind: str, options: dict[str, str], tasks: int | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` callback appending shaped batches to ``jdbc``, ``parquet`` or another format."""
+    """``foreachBatch`` callback appending shaped batches to ``jdbc``, ``parquet`` or another format.
+
+    ``tasks`` bounds how many write at once, by a shuffle of the counted rows.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         versions = shape(batch).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        if tasks:
+            versions = versions.repartition(tasks)
         versions.write.format(kind).mode("append").options(**options).save()
 
     return write
@@ -63,6 +71,38 @@ def latest_versions_view(view: str, table: str, keys: list[str], values: list[st
     )
 
 
+def retire_versions(spark: SparkSession, folder: str, survivors: Callable[[DataFrame], DataFrame], schema: str) -> int:
+    """Cut a parquet store down to the versions that readers still take; returns the files removed.
+
+    ``survivors`` gives the rows to keep, with their batch number.  They are appended before the files
+    they come from are removed; readers take the newest version once, so they may see both.  Files that
+    a running query adds meanwhile are not touched.
+    """
+    read = spark.read.schema(schema)
+    files = [unquote(path) for path in read.parquet(folder).inputFiles()]
+    if not files:
+        return 0
+    survivors(read.parquet(*files)).write.mode("append").parquet(folder)
+    return sum(delete(spark, file) for file in files)
+
+
+def newest_versions_with_batch(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """Survivors of update mode: the newest version of every key."""
+
+    def survivors(versions: DataFrame) -> DataFrame:
+        values = [name for name in versions.columns if name not in [*keys, BATCH]]
+        newest = [F.max_by(name, BATCH).alias(name) for name in values]
+        return versions.groupBy(*keys).agg(*newest, F.max(BATCH).alias(BATCH)).select(*versions.columns)
+
+    return survivors
+
+
+def newest_batch(versions: DataFrame) -> DataFrame:
+    """Survivors of complete mode: the rows of the newest batch."""
+    newest = versions.agg(F.max(BATCH).alias(BATCH))
+    return versions.join(F.broadcast(newest), BATCH, "left_semi").select(*versions.columns)
+
+
 def latest_batch(versions: DataFrame) -> DataFrame:
     """Rows of the newest batch, for complete mode, where a batch is the whole result."""
     newest = versions.agg(F.max(BATCH).alias(BATCH))

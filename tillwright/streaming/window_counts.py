@@ -10,6 +10,10 @@ EVENT_COUNT_WINDOW, EVENT_COUNT_LATENESS = "10 minutes", "2 minutes"
 TOP_PRODUCTS_WINDOW, TOP_PRODUCTS_LATENESS = "30 minutes", "30 minutes"
 TOP_PRODUCTS = 5
 
+#: Event fields that the counts read.
+EVENT_COUNT_FIELDS = ("eventType", "timestamp")
+PRODUCT_COUNT_FIELDS = ("eventType", "productId", "timestamp")
+
 
 def count_by_window(events: DataFrame, key: str, window: str, lateness: str) -> DataFrame:
     """Rows per window and key.  Rows without a time are in no window.
