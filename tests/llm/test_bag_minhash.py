@@ -127,3 +127,23 @@ def test_similarity_is_exact_at_the_threshold():
     ten = (np.arange(10, dtype=np.uint64), np.ones(10, np.int64))
     assert bm.similar(ten, (ten[0][:8], ten[1][:8]), least)  # exactly 0.8
     assert not bm.similar(ten, (ten[0][:7], ten[1][:7]), least)
+
+
+def test_overlaps_are_those_of_multisets(monkeypatch):
+    monkeypatch.setattr(bm, "COLUMNS", 16)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices("abc", k=rng.randrange(5, 60))) for _ in range(20)] + ["a b c d e", "x " * 40]
+    shingles = bm.Shingles()
+    found = bm.overlaps([bm._occurrences(*shingles(text)) for text in texts])
+    assert found.tolist() == [
+        [sum((bag(a) & bag(b)).values()) if i != j else found[i, i] for j, b in enumerate(texts)] for i, a in enumerate(texts)
+    ]
+
+
+def test_families_in_several_blocks(spark, docs, monkeypatch):
+    """Half-similar families share buckets; links between their members are found across blocks."""
+    monkeypatch.setattr(bm, "BLOCK", 4)
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, edited(rng, base, rng.randrange(1, 7))) for i in range(60)]
+    check(spark, docs, rows)

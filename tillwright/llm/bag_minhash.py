@@ -12,17 +12,19 @@ weighted Jaccard.  A process is followed only up to the text's latest kept point
 about the number of windows plus ``m log m``, whatever the counts.
 
 **Candidates.**  Six components make a band; texts that agree in a band share a bucket.  A bucket's
-texts are compared with one of them, so a group of copies costs its size and not its square.
-Where a bucket still holds texts that are not linked, further rounds compare them with more and
-more of its texts, until every two texts of a bucket are linked or have been compared.
+texts are compared with the one of them that meets most others, so a group of copies costs its size and not its square.
+Where a bucket then still holds texts of several components, those are compared in blocks, and only links
+leave a block.  So every two texts of a bucket are linked or have been compared.
 
-**Verification.**  The overlap of the two multisets is computed in full.
+**Verification.**  The overlap of two multisets is computed in full: of pairs from their sorted windows, in a
+block for all its texts by products of incidence matrices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,20 +32,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import Memo, slices, stored
+from tillwright.llm.common import Memo, grouped, slices, stored
 from tillwright.llm.components import components
 
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
 SIZE = BANDS * ROWS
-MEMO_WORDS = 800_000
+MEMO_WORDS = 400_000
 #: Texts whose signatures are computed together.
-TOGETHER = 200
+TOGETHER = 100
+#: Texts in a block (a task gets two), and columns of its incidence matrix that are worked on at a time.
+BLOCK, COLUMNS = 512, 4096
 #: Ids of at most this many rows (8 bytes each) are broadcast; more are shuffled.
 BROADCAST_IDS = 1_000_000
-#: Texts of a bucket that the others are compared with grow by this factor from round to round.
-CENTRES_FACTOR = 8
 
 _U = np.uint64
 #: Odd multipliers that tell the places of a window apart.
@@ -165,7 +167,7 @@ def _verify(threshold: float):
 
 def _semi(spark: SparkSession, frame: DataFrame, ids: DataFrame, column: str, how: str = "left_semi") -> DataFrame:
     """``frame`` with (or by ``left_anti`` without) the ``ids``, a stored table of one long column."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    few = ids.count() <= BROADCAST_IDS
     return frame.join(F.broadcast(ids) if few else ids, column, how)
 
 
@@ -195,43 +197,104 @@ def find_links(spark: SparkSession, rows: DataFrame, firsts: DataFrame, threshol
     needed = stored(spark, members.select("row").distinct(), "needed")
     compared = stored(spark, _semi(spark, texts, needed, "row"), "candidates")
 
-    edges, labels, centres = None, None, 1
-    while True:
-        if centres == 1:
-            # The least text of each bucket is compared with the others.
-            centre = members.groupBy("bucket").agg(F.min("row").alias("centre"))
-            pairs = members.join(centre, "bucket").where("row != centre")
-        else:
-            # Up to about ``centres`` texts of each bucket, drawn by hash, with those of other components.
-            drawn = F.pmod(F.xxhash64("row", F.lit(centres)), F.greatest(F.floor(F.col("n") / centres), F.lit(1))) == 0
-            chosen = members.where(drawn)
-            centre = chosen.select("bucket", F.col("row").alias("centre"), F.col("component").alias("other"))
-            pairs = members.join(centre, "bucket").where("component != other")
-        pairs = pairs.select(F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")).distinct()
-        a, b = (compared.select(F.col("row").alias(x), F.col("text").alias(f"{x}_text")) for x in "ab")
-        linked = pairs.join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text")
-        linked = stored(spark, linked.mapInArrow(_verify(threshold), "u long, v long"), "links")
-        edges = linked if edges is None else edges.union(linked)
-        labels = components(spark, edges)
-
-        # What is left: the texts that have not been compared with all, in buckets of several components.
-        if centres == 1:
-            members = members.join(centre, "bucket").where("row != centre").drop("centre")
-        else:
-            members = members.where(~drawn).drop("component")
-        members = (
-            members.join(labels, members["row"] == labels["node"], "left")
-            .withColumn("component", F.coalesce("component", "row"))
-            .select("bucket", "row", "component")
-        )
-        split = members.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        split = split.where("low != high").select("bucket", "n")
-        members = stored(spark, members.join(split, "bucket"), "unlinked")
-        if members.isEmpty():
-            return labels
-        centres *= CENTRES_FACTOR
+    # A text that meets many others is most likely to link them: it is compared with its buckets.
+    met = members.groupBy("row").agg(F.sum("n").alias("met"))
+    centre = members.join(met, "row").groupBy("bucket").agg(F.max_by("row", "met").alias("centre"))
+    rest = members.join(centre, "bucket").where("row != centre")
+    links = _linked(spark, compared, rest.select(F.col("centre").alias("a"), F.col("row").alias("b")), threshold)
+    labels = components(spark, links)
+    # What is left: pairs of a bucket without its centre, in different components.
+    left = stored(spark, _of_several_components(_labelled(rest, labels)), "unlinked")
+    if left.isEmpty():
+        return labels
+    return components(spark, links.union(stored(spark, _linked_in_blocks(left, compared, threshold), "links")))
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``bucket, row`` with the row's component, which is itself where it has no link."""
+    joined = members.join(labels, members["row"] == labels["node"], "left")
+    return joined.select("bucket", "row", F.coalesce("component", "row").alias("component"))
+
+
+def _of_several_components(members: DataFrame) -> DataFrame:
+    ends = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return members.join(ends.where("low != high").select("bucket"), "bucket", "left_semi")
+
+
+def _linked(spark: SparkSession, texts: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose texts are similar, as stored edges ``u, v``."""
+    a, b = (texts.select(F.col("row").alias(x), F.col("text").alias(f"{x}_text")) for x in "ab")
+    found = pairs.distinct().join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text")
+    return stored(spark, found.mapInArrow(_verify(threshold), "u long, v long"), "links")
+
+
+def _linked_in_blocks(left: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Edges ``u, v`` between similar texts of a bucket that are in different components.
+
+    A bucket is cut into blocks at random, and a task gets two of them, so it never holds more than
+    about ``2 * BLOCK`` texts.  There all overlaps are one matrix product; only edges leave it.
+    """
+    sizes = left.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.pmod(F.xxhash64("row", F.lit(BLOCK)), "blocks")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    pairs = left.join(sizes, "bucket").select("bucket", "row", "component", block.alias("block"), other.alias("other"))
+    dealt = pairs.join(texts, "row").select(
+        "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "row", "component", "block", "text",
+    )
+    least = Fraction(str(threshold))
+    keys = ["bucket", "low", "high"]
+    return grouped(dealt, keys, lambda group: _block_links(group, least), "u long, v long")
+
+
+@lru_cache(maxsize=1)
+def _shingles() -> Shingles:
+    return Shingles()
+
+
+def _block_links(group: pa.Table, threshold: Fraction) -> pa.RecordBatch | None:
+    rows, components_, blocks = (group.column(c).to_numpy() for c in ("row", "component", "block"))
+    if len(np.unique(components_)) < 2:
+        return None
+    tokens = [_occurrences(*_shingles()(text.as_py())) for text in group.column("text")]
+    sizes = np.array([len(t) for t in tokens])
+    overlap = overlaps(tokens)
+    # Blocks of two kinds meet here, or one meets itself; others meet in other tasks.
+    apart = components_[:, None] != components_[None, :]
+    if blocks.min() != blocks.max():
+        apart &= blocks[:, None] != blocks[None, :]
+    total = sizes[:, None] + sizes[None, :]
+    found = overlap * (threshold.numerator + threshold.denominator) >= total * threshold.numerator
+    u, v = np.nonzero(np.triu(apart & found, 1))
+    if not len(u):
+        return None
+    return pa.RecordBatch.from_arrays([pa.array(rows[u], pa.int64()), pa.array(rows[v], pa.int64())], ["u", "v"])
+
+
+def _occurrences(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A multiset as a set: a number for each occurrence of each window."""
+    at = np.repeat(np.arange(len(values)), counts)
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return _mix(values[at] + nth.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of incidence matrices over so many columns at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # What only one text has is in no intersection of two.
+    common = count[column] > 1
+    owner = owner[common]
+    column = np.unique(column[common], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.int64)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        start, end = np.searchsorted(column, [first, first + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[owner[start:end], column[start:end] - first] = 1
+        total += (part @ part.T).astype(np.int64)
+    return total
 
 
 def classify(spark: SparkSession, rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable, Iterator
 from typing import TypeVar
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +71,39 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows of equal ``keys`` together, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            change[1:] |= column[1:] != column[:-1]
+        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for start, end in zip(starts, starts[1:], strict=False):
+            key = tuple(column[start] for column in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def grouped(
+    frame: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str
+) -> DataFrame:
+    """``work`` on each group of equal ``keys``, without a Python call of Spark's per group."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, keys):
+            if (made := work(group)) is not None:
+                yield made
+
+    return frame.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

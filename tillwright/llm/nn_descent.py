@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillwright.llm.common import stored
+from tillwright.llm.common import grouped, stored
 
 NEIGHBOURS = 32
 #: Trees, items they are fitted on (at most), and items in a block.
@@ -53,40 +53,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(rows, np.float32) if rows else np.empty((0, 0), np.float32)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Rows of equal ``keys`` together, from batches sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows, bool)
-        for column in columns:
-            change[1:] |= column[1:] != column[:-1]
-        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for start, end in zip(starts, starts[1:], strict=False):
-            key = tuple(column[start] for column in columns)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(start, end - start))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _grouped(frame: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``work`` on each group of equal ``keys``, without a Python call of Spark's per group."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, keys):
-            if (made := work(group)) is not None:
-                yield made
-
-    return frame.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
-
-
 # Items ---------------------------------------------------------------------------------------
 
 
@@ -200,7 +166,7 @@ def _merged(lists: DataFrame, most: int) -> DataFrame:
         first = np.sort(np.unique(nbrs, return_index=True)[1])[:most]
         return _lists(group.column("id").to_numpy()[:1], [nbrs[first]], [sims[first]])
 
-    return _grouped(lists, ["id"], work, _GRAPH)
+    return grouped(lists, ["id"], work, _GRAPH)
 
 
 def first_graph(spark: SparkSession, items: DataFrame, rows: int, trees: int = TREES, most: int = NEIGHBOURS) -> DataFrame:
@@ -228,7 +194,7 @@ def first_graph(spark: SparkSession, items: DataFrame, rows: int, trees: int = T
     counts = dealt.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     part = F.pmod(F.xxhash64("id", "tree"), "parts")
     blocks = dealt.join(F.broadcast(counts), ["tree", "leaf"]).withColumn("part", part)
-    near = _grouped(blocks.select("id", "vec", "tree", "leaf", "part"), ["tree", "leaf", "part"], _block(most), _GRAPH)
+    near = grouped(blocks.select("id", "vec", "tree", "leaf", "part"), ["tree", "leaf", "part"], _block(most), _GRAPH)
     # An item alone in its blocks has no list.
     return stored(spark, _merged(near, most), "graph")
 
@@ -267,7 +233,7 @@ def descend(spark: SparkSession, items: DataFrame, graph: DataFrame, most: int =
             return None
         return _lists(ids[rows], [nbrs[r][better[r]] for r in rows], [sims[r][better[r]] for r in rows])
 
-    found = _grouped(members, ["centre", "part"], work, _GRAPH)
+    found = grouped(members, ["centre", "part"], work, _GRAPH)
     return stored(spark, _merged(found.union(graph), most), "graph")
 
 
@@ -340,7 +306,7 @@ def _hop(state: DataFrame, items: DataFrame, graph: DataFrame, also: list[int],
             ["query", "qvec", "nodes", "sims", "done"],
         )
 
-    return _grouped(rows, ["query"], work, _WALK)
+    return grouped(rows, ["query"], work, _WALK)
 
 
 # All together ----------------------------------------------------------------------------------
