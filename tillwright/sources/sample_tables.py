@@ -14,6 +14,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillwright.schemas import ROUTED_TABLES, SALES_TRANSACTIONS_RAW
 
@@ -40,8 +41,19 @@ SAMPLE_TYPE_OF_TABLE = {
 }
 
 
+#: Schemas by path and state of the file.  Reading one off the footers is a Spark job; a query reads a table
+#: more than once.
+_schemas: dict[tuple, StructType] = {}
+
+
 def sample_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file)
+    state = (path, status.getModificationTime(), status.getLen())
+    if state not in _schemas:
+        _schemas[state] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[state]).parquet(path)
 
 
 # --- sales -----------------------------------------------------------------------------
