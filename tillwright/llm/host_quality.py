@@ -159,7 +159,7 @@ def host_verdicts(rates: DataFrame) -> DataFrame:
 
 def with_verdict(spark: SparkSession, measured: DataFrame, verdicts: DataFrame) -> DataFrame:
     """``measured`` with ``base_failed`` and ``kept``; ``verdicts`` is a stored table with a row per host."""
-    few = verdicts.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    few = verdicts.count() <= BROADCAST_HOSTS
     hosts = verdicts.withColumnRenamed(HOST, "_verdict_host")
     hosts = F.broadcast(hosts) if few else hosts
     joined = measured.join(hosts, measured[HOST].eqNullSafe(hosts["_verdict_host"]), "left")

@@ -252,14 +252,15 @@ def occurrences(pages: DataFrame) -> DataFrame:
     """Per host and token its occurrence ``vector`` as a hash, the ``pages`` it is on, and how often.
 
     ``pages`` has ``host`` and ``html``.  Both counts are combined before their shuffles, and their
-    keys hold the token, so a host with most pages is spread like others.
+    keys hold the token, so a host with most pages is spread like others.  Tokens of fewer pages than a
+    template needs are left out; token 0 is on every page.
     """
     seen = pages.mapInArrow(_tokens, _TOKENS)
     once = seen.groupBy("host", "token", "page").agg(F.max("n").alias("n"), F.max("path").alias("path"), F.max("mass").alias("mass"))
     return once.groupBy("host", "token").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.sum("n").alias("n"),
         F.max("path").alias("path"), F.sum("mass").alias("mass"),
-    )
+    ).where((F.col("pages") >= LEAST_PAGES) | (F.col("token") == 0))
 
 
 def templates(tokens: DataFrame) -> DataFrame:
@@ -291,8 +292,9 @@ def extract_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
         pages["page_id"].cast("long").alias("page_id"), url.alias("url"), host_of(url).alias("host"),
         pages["html"].cast("string").alias("html"),
     )
-    deduced = stored(spark, templates(occurrences(placed.select("host", "html"))), "templates")
-    few = deduced.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    tokens = stored(spark, occurrences(placed.select("host", "html")), "tokens")
+    deduced = stored(spark, templates(tokens), "templates")
+    few = deduced.count() <= BROADCAST_HOSTS
     joined = placed.join(F.broadcast(deduced) if few else deduced, "host", "left").drop("host")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
