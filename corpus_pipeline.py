@@ -10,19 +10,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.llm import bag_minhash, binary_packing, boosted_pii, host_quality
-from tillwright.llm.common import let_workers_import, read_table
+from tillwright.llm.common import prepare_workers, read_table
 from tillwright.session import work_folder
 
 
+#: Words that the Python workers remember, which they share with the stages before.
+MEMO_WORDS = 200_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that their rules or their host's record reject."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     return host_quality.keep_good(spark, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
-    let_workers_import(spark)
+    prepare_workers(spark)
     return bag_minhash.keep_one(spark, docs)
 
 
@@ -33,8 +37,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids whose lengths are powers of two."""
-    let_workers_import(spark)
-    return binary_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    prepare_workers(spark)
+    return binary_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), memo_words=MEMO_WORDS)
 
 
 STAGES = [

@@ -5,14 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillwright.llm import nn_descent as nd
-from tillwright.llm.common import let_workers_import
+from tillwright.llm.common import prepare_workers
 
 SCHEMA = "vec_id long, embedding array<float>"
 
 
 @pytest.fixture(scope="module")
 def table(spark):
-    let_workers_import(spark)
+    prepare_workers(spark)
 
     def make(vectors, ids=None):
         rows = [(i, None if v is None else [None if x is None else float(x) for x in v]) for i, v in zip(ids or range(len(vectors)), vectors)]

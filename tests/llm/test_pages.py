@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from tillwright.llm import link_trust as lt
 from tillwright.llm import page_template as pt
-from tillwright.llm.common import let_workers_import
+from tillwright.llm.common import prepare_workers
 
 PAGES = "page_id long, url string, html string"
 
 
 @pytest.fixture(scope="module")
 def pages(spark):
-    let_workers_import(spark)
+    prepare_workers(spark)
     return lambda *rows: spark.createDataFrame(list(rows), PAGES)
 
 

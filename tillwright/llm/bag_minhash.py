@@ -39,7 +39,7 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
 SIZE = BANDS * ROWS
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 #: Texts whose signatures are computed together.
 TOGETHER = 100
 #: Texts in a block (a task gets two), and columns of its incidence matrix that are worked on at a time.

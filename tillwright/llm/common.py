@@ -16,15 +16,24 @@ from tillwright.session import work_folder
 #: exist several times over in Python.
 SLICE_ROWS = 1000
 
+#: Most bytes of a batch of rows on its way to a Python worker.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 K = TypeVar("K")
 V = TypeVar("V")
 
 
-def let_workers_import(spark: SparkSession) -> None:
-    """Put the folder of this package on the import path of Python workers.
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package, and bound what they are sent at a time.
 
-    On a cluster the package is installed or sent with ``--py-files``; then this changes nothing.
+    The folder of the package is put on their import path; on a cluster the package is installed or sent
+    with ``--py-files``, and then this changes nothing.  Batches of rows are bounded in bytes, as a
+    few thousand texts can be long.
     """
+    now = spark.conf.get(BATCH_SETTING).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)

@@ -19,12 +19,12 @@ from tillwright.llm import (
     page_template,
     token_counts,
 )
-from tillwright.llm.common import let_workers_import
+from tillwright.llm.common import prepare_workers
 from tillwright.llm.common import read_table as read
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    let_workers_import(spark)
+    prepare_workers(spark)
     return read(spark, sf_dir, name)
 
 
