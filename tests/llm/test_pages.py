@@ -114,6 +114,17 @@ def test_copies_of_an_article_are_no_template(spark, pages):
     assert found[:20] == ["The same story again and again."] * 20 and found[20] == "Own story number 0."
 
 
+def test_near_copies_of_an_article_are_no_template(spark, pages):
+    story = [f"<p>Sentence {k} of a story that many pages tell.</p>" for k in range(6)]
+    line = "<p>Read more of us</p>"
+    copies = [page(f"<div class='box'>{line}<p>Day {i}</p>{''.join(story)}</div>") for i in range(20)]
+    own = [page(f"<div class='box'>{line}<p>Own story {i} is told once {'and at length ' * 5}</p></div>") for i in range(8)]
+    found = texts(spark, pages, *copies, *own)
+    plain = "\n\n".join(s[3:-4] for s in story)
+    assert found[:20] == [f"Day {i}\n\n{plain}" for i in range(20)]
+    assert found[20] == f"Own story 0 is told once {'and at length ' * 5}".strip()
+
+
 def test_broken_markup_and_pages_without_text(spark, pages):
     found = texts(
         spark, pages, None, "", "just text", "<article><p>cut off <a href='x", "<p title=\"a>b\">in</p></div></article>",

@@ -10,12 +10,14 @@ that are template tokens themselves are dropped from it.
 
 Vectors are compared by a hash: the xor over pages of a hash of page and count.  So a token is one row
 however many pages it is on, and pages are never gathered per host.  Copies of an article on many
-pages count as one page, else they would look like template.
+pages count as one page, else they would look like template.  Near copies share classes of texts that are
+most of what their pages say; such classes are no template.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,7 +25,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwright.llm.common import slices, stored
@@ -31,6 +33,9 @@ from tillwright.llm.link_trust import host_of
 
 #: A class is template if it is on this many pages, on this share of the host's, and has two tokens.
 LEAST_PAGES, LEAST_SHARE, LEAST_TOKENS = 8, 0.6, 2
+#: Texts of about as many pages (by this factor) that are this share of the text of their pages are those
+#: of near copies.
+COPY_FACTOR, COPY_SHARE = 0.8, 2 / 3
 #: Without a named article element, a main element has to hold this share of the text.
 MAIN_SHARE = 0.7
 #: Up to so many hosts, with a few hundred bytes each, templates are broadcast.
@@ -226,12 +231,12 @@ def extract(page: Page, main: str | None, template: set[int]) -> str:
     return "\n\n".join(kept)
 
 
-_TOKENS = "host string, page long, token long, n int, path string, mass long"
+_TOKENS = "host string, page long, token long, n int, path string, mass long, whole long"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each token of a page; elements have their path and the mass below it."""
-    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64()]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
     for batch in slices(batches, 200):
         rows = []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
@@ -239,13 +244,19 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # Copies of an article, whatever stands around it, are one page.
             article = _hash("page", *(block.text for block in page.blocks if not block.aside))
             masses = page_masses(page)
-            rows.append((host, article, 0, 1, None, 0))
+            rows.append((host, article, 0, 1, None, 0, 0))
             for path, n in page.elements.items():
-                rows.append((host, article, _hash("element", path), n, path, masses.get(path, 0)))
-            texts = Counter(_hash("text", block.path, block.text) for block in page.blocks)
-            rows += [(host, article, token, n, None, 0) for token, n in texts.items()]
+                rows.append((host, article, _hash("element", path), n, path, masses.get(path, 0), 0))
+            texts: Counter = Counter()
+            lengths: Counter = Counter()
+            for block in page.blocks:
+                token = _hash("text", block.path, block.text)
+                texts[token] += 1
+                lengths[token] += 0 if block.aside else len(block.text)
+            whole = lengths.total()
+            rows += [(host, article, token, n, None, lengths[token], whole) for token, n in texts.items()]
         arrays = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, ["host", "page", "token", "n", "path", "mass"])
+        yield pa.RecordBatch.from_arrays(arrays, ["host", "page", "token", "n", "path", "mass", "whole"])
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
@@ -256,10 +267,10 @@ def occurrences(pages: DataFrame) -> DataFrame:
     template needs are left out; token 0 is on every page.
     """
     seen = pages.mapInArrow(_tokens, _TOKENS)
-    once = seen.groupBy("host", "token", "page").agg(F.max("n").alias("n"), F.max("path").alias("path"), F.max("mass").alias("mass"))
+    once = seen.groupBy("host", "token", "page").agg(F.max("n").alias("n"), F.max("path").alias("path"), F.max("mass").alias("mass"), F.max("whole").alias("whole"))
     return once.groupBy("host", "token").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count("*").alias("pages"), F.sum("n").alias("n"),
-        F.max("path").alias("path"), F.sum("mass").alias("mass"),
+        F.max("path").alias("path"), F.sum("mass").alias("mass"), F.sum("whole").alias("whole"),
     ).where((F.col("pages") >= LEAST_PAGES) | (F.col("token") == 0))
 
 
@@ -270,11 +281,18 @@ def templates(tokens: DataFrame) -> DataFrame:
     """
     totals = tokens.where("token = 0").select("host", F.col("pages").alias("host_pages"))
     frequent = tokens.where(F.col("pages") >= LEAST_PAGES).join(totals, "host").where(F.col("pages") >= LEAST_SHARE * F.col("host_pages"))
+    # Near copies are changed here and there, so their classes are of about as many pages, not of the same.
+    order, near = F.round(1000 * F.log("pages")).cast("long"), -round(1000 * math.log(COPY_FACTOR))
+    alike = Window.partitionBy("host").orderBy(order).rangeBetween(-near, near)
+    length = F.when(F.col("path").isNull(), F.col("mass") / F.col("pages")).otherwise(0.0)
+    share = F.sum(length).over(alike) * F.col("pages") / F.col("whole")
+    copied = (F.col("mass") > 0) & (F.col("whole") > 0) & (share > COPY_SHARE)
+    frequent = frequent.withColumn("copied", F.coalesce(copied, F.lit(False)))
     classes = frequent.groupBy("host", "vector").agg(F.count("*").alias("size")).where(F.col("size") >= LEAST_TOKENS)
     valid = frequent.join(classes, ["host", "vector"])
     # An element that is there once a page can be the place of the main text; texts are dropped.
     single = F.when(F.col("path").isNotNull() & (F.col("n") == F.col("pages")), F.struct("path", "mass"))
-    text = F.when(F.col("path").isNull() & (F.col("token") != 0), F.col("token"))
+    text = F.when(F.col("path").isNull() & (F.col("token") != 0) & ~F.col("copied"), F.col("token"))
     return valid.groupBy("host").agg(F.collect_list(single).alias("elements"), F.collect_list(text).alias("texts"))
 
 
