@@ -125,6 +125,24 @@ def test_near_copies_of_an_article_are_no_template(spark, pages):
     assert found[20] == f"Own story 0 is told once {'and at length ' * 5}".strip()
 
 
+@pytest.mark.parametrize("start", [
+    "<main class='content has-sidebar'>", "<div id='content' class='no-sidebar'>", "<article class='post comments-open'>",
+    "<main class='search'>", "<div class='wrap with-sidebar'>", "<div class='sidebar-layout'><main>",
+    "<article class='post tag-social'>", "<div class='post-content widget-area'>",
+])
+def test_words_of_modifiers_make_no_aside(start):
+    found = pt.parse(page(f"{start}<p>The article itself.</p>"))
+    assert pt.extract(found, None, set()) == "The article itself."
+
+
+@pytest.mark.parametrize("start", [
+    "<div class='post-comments'>", "<div class='main-menu'>", "<div class='content sidebar'>", "<article class='comment'>",
+    "<main hidden>", "<div id='content-sidebar'>", "<nav class='main-nav'>", "<section class='user-comments'><article>",
+])
+def test_names_of_asides_make_them(start):
+    assert pt.extract(pt.parse(f"{start}<p>no article"), None, set()) == ""
+
+
 def test_broken_markup_and_pages_without_text(spark, pages):
     found = texts(
         spark, pages, None, "", "just text", "<article><p>cut off <a href='x", "<p title=\"a>b\">in</p></div></article>",

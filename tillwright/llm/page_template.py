@@ -61,6 +61,8 @@ ASIDE_WORDS = {
 }
 HEADER_WORDS = {"header", "masthead", "topbar"}
 MAIN_WORDS = {"article", "main", "content", "post", "entry", "story"}
+#: Words of names that tell the state of an element: ``has-sidebar`` is no sidebar.
+STATE_WORDS = {"has", "no", "with", "without", "open", "opened", "closed", "enabled", "disabled"}
 #: A start tag of the key closes open elements of the value, as browsers do.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -91,10 +93,26 @@ class Page:
     elements: Counter = field(default_factory=Counter)
 
 
-def _label(tag: str, attributes: str) -> tuple[str, set[str]]:
-    """How an element is called in paths, and the words in its names."""
+def _named_aside(tag: str, names: dict[str, str], words: set[str]) -> bool:
+    """Whether names say that an element is no main text.
+
+    A main element is none unless hidden.  Names with a word of a state say what else is there.  Of an article, or an element with a
+    name in main words alone, only names that are nothing but aside words say it; of others, any word does.
+    """
+    if "hidden" in words:
+        return True
+    if tag == "main" or not words & ASIDE_WORDS:
+        return False
+    parts = [set(_WORD.findall(name)) for value in names.values() for name in value.split()]
+    parts = [part for part in parts if part and not part & STATE_WORDS]
+    main = tag == "article" or any(part & MAIN_WORDS and not part & ASIDE_WORDS for part in parts)
+    return any(part <= ASIDE_WORDS if main else part & ASIDE_WORDS for part in parts)
+
+
+def _label(tag: str, attributes: str) -> tuple[str, set[str], bool]:
+    """How an element is called in paths, the words in its names, and whether they make it an aside."""
     if not attributes.strip():
-        return tag, set()
+        return tag, set(), False
     words: list[str] = []
     names = {"class": "", "id": "", "role": ""}
     for name, value in _NAMES.findall(attributes):
@@ -103,13 +121,14 @@ def _label(tag: str, attributes: str) -> tuple[str, set[str]]:
         words += _WORD.findall(value)
     label = ".".join([tag, *_WORD.findall(names["class"])])
     words = {*words, *({"hidden"} if _HIDDEN.search(attributes) else ())}
-    return label, words
+    return label, words, _named_aside(tag, names, words)
 
 
 def parse(html: str) -> Page:
     """The blocks and elements of a page.  Markup that is cut off or wrongly nested is taken as browsers do."""
     page = Page()
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, aside, in an article
+    # tag, path, aside by name, aside by tag or hidden, in an article
+    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
     pieces: list[tuple[str, bool]] = []
     links = at = 0
 
@@ -118,7 +137,7 @@ def parse(html: str) -> Page:
             text = " ".join(entities.unescape("".join(piece for piece, _ in pieces)).split())
             if text:
                 linked = sum(len(piece.strip()) for piece, link in pieces if link)
-                page.blocks.append(Block(stack[-1][1], text, min(linked, len(text)), stack[-1][2]))
+                page.blocks.append(Block(stack[-1][1], text, min(linked, len(text)), stack[-1][2] or stack[-1][3]))
             pieces.clear()
 
     def close(depth: int) -> None:
@@ -165,13 +184,16 @@ def parse(html: str) -> Page:
                 close(len(stack) - 1)
                 if tag == "tr" and stack[-1][0] == "tr":
                     close(len(stack) - 1)
-            label, words = _label(tag, attributes)
-            _, path, aside, article = stack[-1]
+            label, words, named = _label(tag, attributes)
+            _, path, aside, surely, article = stack[-1]
             article = article or tag == "article"
             header = tag == "header" or (words & HEADER_WORDS and not words & MAIN_WORDS)
-            aside = aside or tag in ASIDE or bool(words & ASIDE_WORDS) or bool(header and not article)
+            surely = surely or tag in ASIDE or "hidden" in words
+            # The main element of a page is no aside by what stands around it.
+            aside = (aside and tag != "main") or named or bool(header and not article)
             path = f"{path}/{label}"
-            stack.append((tag, path, aside and tag not in ("html", "body"), article))
+            outer = tag in ("html", "body")
+            stack.append((tag, path, aside and not outer, surely and not outer, article))
             page.elements[path] += 1
             links = 0
     end_block()
