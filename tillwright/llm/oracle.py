@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from tillwright.llm import bag_ranking as ranking
 from tillwright.llm import host_quality as quality
 from tillwright.llm import link_trust as trust
+from tillwright.llm import sharded_lloyd as lloyd
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -125,7 +127,78 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {bas
 FROM figures JOIN verdicts ON figures.source IS NOT DISTINCT FROM verdicts.source"""
 
 
+def bag_ranking_sql(most: int = 20) -> str:
+    """Every document scored by itself, without classes."""
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    terms = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{term}')"
+    return f"""
+WITH docs AS MATERIALIZED (
+  SELECT *, len(terms) AS n FROM (SELECT row_number() OVER () AS doc, doc_id, {terms} AS terms FROM documents)),
+items AS MATERIALIZED (
+  SELECT item, item_id, unnest({terms}) AS term FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark)),
+totals AS (SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM docs WHERE n > 0),
+lengths AS (
+  SELECT doc, doc_id, {ranking.LEAST_M} + ({ranking.LENGTH_SHARE} * n * all_docs) // all_terms AS m
+  FROM docs, totals WHERE n > 0),
+tfs AS MATERIALIZED (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(all_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tfs, totals GROUP BY term),
+scores AS (
+  SELECT item, item_id, doc, doc_id,
+    sum(w * (({ranking.UNIT} * tf) // (1000 * tf + {ranking.SATURATION} * m)))::BIGINT AS score
+  FROM items JOIN tfs USING (term) JOIN weights USING (term) JOIN lengths USING (doc) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= {most}"""
+
+
+def sharded_lloyd_sql() -> str:
+    """Every component of every vector as a row."""
+    nearest = """
+near{k} AS MATERIALIZED (
+  SELECT id, vec_id, distance, cluster FROM (
+    SELECT id, any_value(vec_id) AS vec_id, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance,
+      row_number() OVER (PARTITION BY id ORDER BY sum((v.x - c.x) * (v.x - c.x)), c.cluster) AS nth
+    FROM components AS v JOIN centroids{k} AS c USING (place) GROUP BY id, c.cluster)
+  WHERE nth = 1)"""
+    update = """
+means{k} AS (
+  SELECT cluster, place, sum(x) AS total, count(*) AS n
+  FROM components JOIN near{before} USING (id) GROUP BY cluster, place),
+centroids{k} AS MATERIALIZED (
+  SELECT cluster, place, coalesce(((total - ((total % n) + n) % n) // n)::BIGINT, c.x) AS x
+  FROM centroids{before} AS c LEFT JOIN means{k} USING (cluster, place))"""
+    rounds = ",".join(
+        step
+        for k in range(1, lloyd.ROUNDS + 1)
+        for step in (nearest.format(k=k - 1), update.format(k=k, before=k - 1))
+    )
+    last = lloyd.ROUNDS
+    return f"""
+WITH vectors AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id,
+    list_transform(embedding, lambda x: floor({lloyd.SCALE} * x::DOUBLE)::BIGINT) AS vector
+  FROM embeddings
+  WHERE len(embedding) = {lloyd.COMPONENTS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {lloyd.COMPONENTS}),
+components AS MATERIALIZED (
+  SELECT id, vec_id, unnest(vector) AS x, unnest(range({lloyd.COMPONENTS})) AS place FROM vectors),
+seeds AS (
+  SELECT id, row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), vector) - 1 AS cluster
+  FROM vectors WHERE vec_id IS NOT NULL QUALIFY cluster < {lloyd.CLUSTERS}),
+centroids0 AS MATERIALIZED (SELECT cluster, place, x FROM components JOIN seeds USING (id)),{rounds},{nearest.format(k=last)},
+digests AS (
+  SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY place)) AS centroid_sha256 FROM centroids{last} GROUP BY cluster)
+SELECT vec_id, cluster::INTEGER AS cluster, distance,
+  sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM near{last} JOIN digests USING (cluster)"""
+
+
 ORACLE = {
     "op2_link_trust": link_trust_sql(),
     "op6_host_quality": host_quality_sql(),
+    "op12_bag_ranking": bag_ranking_sql(),
+    "op13_sharded_lloyd": sharded_lloyd_sql(),
 }

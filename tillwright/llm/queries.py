@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from tillwright.llm import (
     bag_minhash,
+    bag_ranking,
     binary_packing,
     boosted_pii,
     byte_bpe,
     exact_sharding,
     host_quality,
     link_trust,
+    ngram_trie,
     nn_descent,
     page_template,
+    sharded_lloyd,
     token_counts,
 )
 from tillwright.llm.common import prepare_workers
@@ -76,6 +79,18 @@ def op10_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boosted_pii.report(docs, boosted_pii.train(docs))
 
 
+def op11_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score_corpus(spark, read_table(spark, sf_dir, "documents"))[0]
+
+
+def op12_bag_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_ranking.rank(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded_lloyd.cluster(spark, read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -91,5 +106,8 @@ QUERIES = {
     "op8_bag_minhash": op8_bag_minhash,
     "op9_exact_sharding": op9_exact_sharding,
     "op10_boosted_pii": op10_boosted_pii,
+    "op11_ngram_trie": op11_ngram_trie,
+    "op12_bag_ranking": op12_bag_ranking,
+    "op13_sharded_lloyd": op13_sharded_lloyd,
     "pipeline": pipeline,
 }
