@@ -78,7 +78,7 @@ def packed(values: np.ndarray) -> bytes:
     """Whole numbers from 0 in few bytes: the narrowest type, byte by byte of all, compressed."""
     values = np.asarray(values)
     values = np.ascontiguousarray(values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0)))
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
     return bytes([values.itemsize]) + len(values).to_bytes(8, "little") + _CODEC.compress(planes.tobytes(), asbytes=True)
 
 
