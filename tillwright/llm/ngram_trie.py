@@ -36,7 +36,7 @@ from tillwright.llm.common import grouped, slices, stored
 from tillwright.llm.elias_fano import Trie
 
 #: Words of a bundle; a longer text is one by itself.
-BUNDLE_WORDS = 4 << 20
+BUNDLE_WORDS = 2 << 20
 #: Tokens per shard, and occurrences from which a context's pairs are dealt over several.
 SHARD_TOKENS, HOT = 1 << 20, 1 << 19
 #: What a context's own counts are weighed against.
