@@ -13,7 +13,8 @@ from tillwright.plans.hourly_load import load_hour
 from tillwright.schemas import RAW_GROUPS
 from tillwright.session import work_folder
 from tillwright.sinks import warehouse as wh
-from tillwright.sources.raw_zone import hour_partition, hour_path, land_group, read_group, read_raw_zone
+from tillwright.sources import raw_zone
+from tillwright.sources.raw_zone import hour_partition, hour_path, land_group, land_hour, read_group, read_raw_zone
 from tillwright.sources.raw_zone import write_csv as wh_csv
 
 AS_OF = dt.datetime(2024, 1, 1, 0, 20, tzinfo=dt.timezone.utc)
@@ -91,12 +92,141 @@ def test_a_file_without_a_declared_column_raises(spark, tmp_path):
         read_group(spark, str(tmp_path / "a"), "branches")
 
 
-def test_values_with_line_breaks_need_multi_line(spark, tmp_path):
+def test_values_with_line_breaks_are_found_and_read(spark, tmp_path):
     agent = spark.createDataFrame([(1, "a\nb", "2020-01-01")], RAW_GROUPS["sales_agents"])
     with pytest.raises(Exception, match="line break"):
         wh_csv(agent, str(tmp_path / "x" / "sales_agents.csv"))
     wh_csv(agent, str(tmp_path / "y" / "sales_agents.csv"), multi_line=True)
-    assert rows(read_group(spark, str(tmp_path / "y"), "sales_agents", multi_line=True), "name") == [("a\nb",)]
+    assert rows(read_group(spark, str(tmp_path / "y"), "sales_agents"), "name") == [("a\nb",)]
+
+
+@pytest.mark.parametrize(
+    ("line", "open_"),
+    [
+        ("a,b", False), ('"a","b"', False), ('"a', True), ('x,"a, b', True), ('x,"say ""hi"", ', True), ('x,"say ""hi"""', False),
+        (r'x,"say \"hi\""', False), (r'x,"say \"hi', True), ('5" pipe,b', False), ('5" pipe,"a', True), ('b",6" x', False),
+        ('"c:\\\\"', False), ('"c:\\"', True), ('a, "b', True), ('"","",""', False), ('"', True), ("", False), ('"a","b",,"', True),
+    ],
+)
+def test_lines_that_end_inside_quotes(spark, line, open_):
+    frame = spark.createDataFrame([(line,)], "value string")
+    assert frame.select(raw_zone.ends_inside_quotes(frame["value"])).first()[0] is open_
+
+
+def test_line_breaks_land_and_only_their_files_are_read_whole(spark, tmp_path):
+    values = ['"two\nlines"', r'"a \"quoted\"' + '\nword, and\n\n more"', r'"c:\\"', "plain", '"ends\n"']
+    drop(tmp_path / "in", "x", [f"{n},{value},2020-01-01" for n, value in enumerate(values)], "sales_person_id,name,hire_date", "sales_agents")
+    drop(tmp_path / "in", "y", [r'7,"Ann, \"A\"",2020-01-01', r'8,"c:\dir\",2020-01-01'], "sales_person_id,name,hire_date", "sales_agents")
+    facts = raw_zone.survey(spark, [str(path) for path in sorted((tmp_path / "in").rglob("*.csv"))])
+    assert [file.multi_line for file in facts] == [True, False]
+    naive = AS_OF.replace(tzinfo=None)
+    land_hour(spark, str(tmp_path / "in"), str(tmp_path / "raw"), naive, only_last_hour=False)
+    expected = rows(read_group(spark, str(tmp_path / "in" / "x"), "sales_agents"), "sales_person_id", "name", "hire_date")
+    assert [row[1] for row in expected] == ["two\nlines", 'a "quoted"\nword, and\n\n more', "c:\\", "plain", "ends\n"]
+    stray = rows(read_group(spark, str(tmp_path / "in" / "y"), "sales_agents"), "sales_person_id", "name", "hire_date")
+    assert stray[0] == (7, 'Ann, "A"', "2020-01-01") and len(stray) == 2
+    expected = sorted([*expected, *stray])
+    for landed in (read_group(spark, hour_path(str(tmp_path / "raw"), naive), "sales_agents"), read_raw_zone(spark, str(tmp_path / "raw"), "sales_agents")):
+        assert rows(landed, "sales_person_id", "name", "hire_date") == expected
+
+
+@pytest.mark.parametrize(
+    ("line", "closes"),
+    [("a,b", False), ('lines",x', True), ('"', True), ('",x', True), ('"a",b', False), ('b","c', True), ('5" pipe', False),
+     ('x,"a', False), (r'\"b\""', True), ('a, b"', True), ('"a, b"', False), (',"a"', False), ("", False)],
+)
+def test_lines_that_close_quotes(spark, line, closes):
+    frame = spark.createDataFrame([(line,)], "value string")
+    assert frame.select(raw_zone.closes_quotes(frame["value"])).first()[0] is closes
+
+
+def test_line_breaks_beside_stray_quotes_need_a_word(spark, tmp_path):
+    drop(tmp_path, "h", ['1,"a', 'b",2020-01-01', '2,"c,2020-01-01'], "sales_person_id,name,hire_date", "sales_agents")
+    with pytest.raises(ValueError, match="stray quotes"):
+        read_group(spark, str(tmp_path / "h"), "sales_agents")
+    assert read_group(spark, str(tmp_path / "h"), "sales_agents", multi_line=True).count() == 2
+    assert read_group(spark, str(tmp_path / "h"), "sales_agents", multi_line=False).count() == 3
+
+
+def test_a_header_over_two_lines(spark, tmp_path):
+    for name in ("a", "b"):
+        drop(tmp_path, name, ["7,Ann,2020-01-01,z"], f'sales_person_id,name,hire_date,"extra\n{name}"', "sales_agents")
+    facts = raw_zone.survey(spark, [str(path) for path in sorted(tmp_path.rglob("*.csv"))])
+    assert [file.columns[-1] for file in facts] == ["extra\na", "extra\nb"] and all(file.multi_line for file in facts)
+    assert rows(read_group(spark, str(tmp_path / "a"), "sales_agents"), "name") == [("Ann",)]
+
+
+def test_jobs_do_not_grow_with_the_number_of_files(spark, tmp_path):
+    def jobs(folder, number):
+        for k in range(number):
+            drop(tmp_path / folder, f"d{k}", [f"{k},Ann,2020-01-01"], "sales_person_id,name,hire_date", "sales_agents")
+        spark.sparkContext.setJobGroup(folder, folder)
+        land_hour(spark, str(tmp_path / folder), str(tmp_path / f"raw-{folder}"), AS_OF.replace(tzinfo=None), only_last_hour=False)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(folder))
+
+    few, many = jobs("few", 40), jobs("many", 200)
+    assert 0 < many <= few + 2
+    assert read_raw_zone(spark, str(tmp_path / "raw-many"), "sales_agents").count() == 200
+
+
+def test_an_hour_needs_all_groups_and_its_commit_marker(spark, tmp_path, warehouse):
+    naive, raw = AS_OF.replace(tzinfo=None), str(tmp_path / "raw")
+    drop(tmp_path / "in", "x", ["7,Ann,2020-01-01"], "sales_person_id,name,hire_date", "sales_agents")
+    assert raw_zone.missing_groups(spark, hour_path(raw, naive)) == list(RAW_GROUPS)
+    land_group(spark, str(tmp_path / "in"), raw, "sales_agents", naive, False)
+    assert raw_zone.missing_groups(spark, hour_path(raw, naive)) == ["branches", "sales_transactions"]
+    with pytest.raises(FileNotFoundError, match="branches, sales_transactions"):
+        load_hour(spark, raw, warehouse, naive)
+    assert not warehouse.exists("sales_agents_Dim")
+    for group in ("branches", "sales_transactions"):
+        land_group(spark, str(tmp_path / "in"), raw, group, naive, False)
+    load_hour(spark, raw, warehouse, naive)
+    assert rows(warehouse.table("sales_agents_Dim"), "name") == [("Ann",)]
+
+
+def test_a_landing_that_breaks_leaves_no_commit_marker(spark, tmp_path, monkeypatch):
+    naive, raw = AS_OF.replace(tzinfo=None), str(tmp_path / "raw")
+    land(spark, tmp_path, naive, [sale("a")])
+    assert raw_zone.missing_groups(spark, hour_path(raw, naive)) == []
+
+    def broken(*_, **__):
+        raise OSError("disk")
+
+    monkeypatch.setattr(raw_zone, "write_csv", broken)
+    with pytest.raises(OSError):
+        land(spark, tmp_path, naive, [sale("a"), sale("b")])
+    assert raw_zone.missing_groups(spark, hour_path(raw, naive)) == list(RAW_GROUPS)
+    monkeypatch.undo()
+    land(spark, tmp_path, naive, [sale("a"), sale("b")])
+    assert raw_zone.missing_groups(spark, hour_path(raw, naive)) == []
+    assert read_raw_zone(spark, raw, "sales_transactions").count() == 2
+
+
+def test_folders_that_other_tools_filled_need_files_of_every_group(spark, tmp_path):
+    drop(tmp_path, "h", [sale("a")])
+    assert raw_zone.missing_groups(spark, str(tmp_path / "h")) == ["branches", "sales_agents"]
+    drop(tmp_path, "h", ["7,Ann,2020-01-01"], "sales_person_id,name,hire_date", "sales_agents")
+    drop(tmp_path, "h", ["3,Cairo,2019-05-05,A"], "branch_id,location,establish_date,class", "branches")
+    assert raw_zone.missing_groups(spark, str(tmp_path / "h")) == []
+
+
+def test_older_files_that_are_in_no_hour_are_reported_and_can_be_landed(spark, tmp_path):
+    landing, raw, naive = tmp_path / "in", str(tmp_path / "raw"), AS_OF.replace(tzinfo=None)
+    drop(landing, "done", [sale("done")], at=AS_OF - dt.timedelta(minutes=90))
+    drop(landing, "copied", [sale("copied")], at=AS_OF - dt.timedelta(days=3))
+    drop(landing, "now", [sale("now")], at=AS_OF - dt.timedelta(minutes=30))
+    older = lambda: raw_zone.unlanded_files(spark, str(landing), raw, "sales_transactions", naive - dt.timedelta(hours=1)).count()
+    assert older() == 2
+    land_hour(spark, str(landing), raw, naive - dt.timedelta(hours=1))
+    assert older() == 1
+    land_hour(spark, str(landing), raw, naive)
+    assert older() == 1
+    land_hour(spark, str(landing), raw, naive, late=True)
+    assert older() == 0
+    assert rows(read_raw_zone(spark, raw, "sales_transactions"), "transaction_id", "hour") == [
+        ("copied", "23"), ("done", "22"), ("now", "23"),
+    ]
 
 
 def test_landing_again_never_loses_what_was_landed(spark, tmp_path):
@@ -150,8 +280,7 @@ def land(spark, tmp_path, as_of, lines, agents=("7,Ann,2020-01-01",)):
     drop(landing, "x", lines)
     drop(landing, "x", agents, "sales_person_id,name,hire_date", "sales_agents")
     drop(landing, "x", ["3,Cairo,2019-05-05,A"], "branch_id,location,establish_date,class", "branches")
-    for group in RAW_GROUPS:
-        land_group(spark, str(landing), str(tmp_path / "raw"), group, as_of, only_last_hour=False)
+    land_hour(spark, str(landing), str(tmp_path / "raw"), as_of, only_last_hour=False)
 
 
 def test_hourly_load_is_incremental_and_repeatable(spark, tmp_path, warehouse):
@@ -185,7 +314,7 @@ def test_an_hour_without_files_loads_nothing_and_the_next_one_loads(spark, tmp_p
     naive = AS_OF.replace(tzinfo=None)
     with pytest.raises(FileNotFoundError):
         load_hour(spark, str(tmp_path / "raw"), warehouse, naive)
-    assert land_group(spark, str(tmp_path / "none"), str(tmp_path / "raw"), "sales_transactions", naive) is None
+    assert not any(land_hour(spark, str(tmp_path / "none"), str(tmp_path / "raw"), naive).values())
     land(spark, tmp_path, naive + dt.timedelta(hours=1), [sale("a")])
     load_hour(spark, str(tmp_path / "raw"), warehouse, naive)
     assert warehouse.table(wh.FACT_TABLE).count() == 0

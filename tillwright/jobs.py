@@ -20,7 +20,7 @@ from tillwright.operators.dimensions import CALENDAR_END, CALENDAR_START  # noqa
 from tillwright.plans import reports  # noqa: E402
 from tillwright.plans.hourly_load import load_hour  # noqa: E402
 from tillwright.plans.kpis import KPIS  # noqa: E402
-from tillwright.schemas import RAW_GROUPS, ROUTED_TABLES  # noqa: E402
+from tillwright.schemas import ROUTED_TABLES  # noqa: E402
 from tillwright.session import build_session, stateful_session  # noqa: E402
 from tillwright.sinks.compaction import compact_run, retire_originals  # noqa: E402
 from tillwright.sinks.csv_report import report_folder, write_csv_report  # noqa: E402
@@ -33,7 +33,7 @@ from tillwright.sinks.warehouse import (  # noqa: E402
     register_event_tables,
 )
 from tillwright.sources.events import event_source, kafka_options  # noqa: E402
-from tillwright.sources.raw_zone import land_group  # noqa: E402
+from tillwright.sources.raw_zone import HOUR, land_hour, unlanded_files  # noqa: E402
 from tillwright.streaming import queries, serving  # noqa: E402
 from tillwright.streaming.serving import jdbc_options  # noqa: E402
 from tillwright.streaming.window_counts import top_of_latest_window  # noqa: E402
@@ -43,6 +43,9 @@ SERVED = "window_start timestamp, window_end timestamp"
 SERVED_WINDOW = ["window_start", "window_end"]
 SERVED_KEYS = {"event-counts": "eventType", "top-products": "productId"}
 
+#: How raw files are read: as each file shows, all as a whole, or all line by line.
+MULTI_LINE = {"find": None, "yes": True, "no": False}
+
 #: Marketing reports and the dimension each looks names up in.
 MARKETING = {
     "most_selling_products": (reports.most_selling_products, "product_Dim"),
@@ -53,8 +56,12 @@ MARKETING = {
 
 
 def land(spark: SparkSession, args) -> None:
-    for group in RAW_GROUPS:
-        print(group, land_group(spark, args.landing, args.raw, group, args.as_of, replace=args.replace))
+    """Land the hour; files that are older and were never landed are counted, or landed with ``--late``."""
+    for group, folder in land_hour(
+        spark, args.landing, args.raw, args.as_of, replace=args.replace, late=args.late, multi_line=MULTI_LINE[args.multi_line]
+    ).items():
+        left = unlanded_files(spark, args.landing, args.raw, group, args.as_of - HOUR).count()
+        print(group, folder, f"{left} older files in no hour" if left else "")
 
 
 def load(spark: SparkSession, args) -> None:
@@ -227,7 +234,9 @@ def _parser() -> argparse.ArgumentParser:
 
     folder, of = arg("--folder", required=True), arg("--of", choices=list(SERVED_KEYS), required=True)
 
-    job("land", land, arg("--landing", required=True), raw, as_of, flag("--replace", "also with fewer files than before"))
+    job("land", land, arg("--landing", required=True), raw, as_of, flag("--replace", "also with fewer files than before"),
+        flag("--late", "older files too that are in no hour"),
+        arg("--multi-line", choices=list(MULTI_LINE), default="find", help="whether quoted values go on over line breaks"))
     job(
         "load-hour", load, raw, warehouse, retail, as_of, flag("--one-per-key", "of a new key, the smallest row"),
         arg("--rejects"), flag("--allow-empty", "an hour without sales may replace one with sales"),

@@ -309,6 +309,16 @@ ORACLE: dict[str, str] = {
         more=""", '2024' AS "year", '05' AS "month", '01' AS "day", '09' AS "hour" """,
         where=" WHERE sales_person_id % 3 = 1",
     ),
+    "land_late_files": _AGENT_ROWS.format(
+        more=""", '2024' AS "year", '05' AS "month", '01' AS "day", '09' AS "hour" """,
+        where=" WHERE sales_person_id % 3 <> 2",
+    ),
+    "land_csv_line_breaks": _with(
+        AGENTS,
+        body="""SELECT sales_person_id, hire_date, CASE WHEN sales_person_id % 2 = 0
+                  THEN name || chr(10) || 'said "hi", ' || sales_person_id ELSE name END AS name FROM agents""",
+    ),
+    "load_partial_hour": _with(FACT, body="SELECT *, '2024050109' AS batch_hour FROM fact"),
     "warehouse_reload_missing_hour": _with(FACT, body="SELECT * FROM fact"),
     "incremental_null_keys": _loaded("customer", "customer_id % 10 <> 0"),
     "compact_then_stream": _ALL_EVENTS,

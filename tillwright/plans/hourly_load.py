@@ -23,7 +23,7 @@ from tillwright.operators.dimensions import (
 )
 from tillwright.operators.fact import sales_fact, with_date_partitions
 from tillwright.sinks.warehouse import DATE_TABLE, Warehouse
-from tillwright.sources.raw_zone import HOUR, hour_is_landed, hour_path, read_group
+from tillwright.sources.raw_zone import HOUR, hour_path, missing_groups, read_group
 
 
 def load_hour(
@@ -39,8 +39,8 @@ def load_hour(
 ) -> None:
     """Load the hour before ``as_of``; running it again changes nothing.
 
-    Dimensions go first, so a reader finds the keys of every fact row it sees.  An hour that was not
-    landed raises; one that was landed without sales is a batch without rows, which replaces one
+    Dimensions go first, so a reader finds the keys of every fact row it sees.  An hour of which not all groups were
+    landed raises before anything is loaded; one that was landed without sales is a batch without rows, which replaces one
     with rows only if ``allow_empty`` is given.  ``days`` are the ends of the calendar.
     """
     _need_landed(spark, raw_root, as_of)
@@ -65,8 +65,8 @@ def load_hour_dimensions(
 
 def _need_landed(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> None:
     hour = hour_path(raw_root, as_of)
-    if not hour_is_landed(spark, hour):
-        raise FileNotFoundError(f"{hour} was not landed")
+    if missing := missing_groups(spark, hour):
+        raise FileNotFoundError(f"{hour} was not landed: no {', '.join(missing)}")
 
 
 @contextmanager

@@ -17,7 +17,7 @@ from tillwright.operators.incremental import new_rows
 from tillwright.plans import reports
 from tillwright.plans.hourly_load import load_hour, load_hour_dimensions
 from tillwright.plans.kpis import KPIS
-from tillwright.schemas import EVENT, RAW_GROUPS, ROUTED_TABLES, SALES_TRANSACTIONS_RAW
+from tillwright.schemas import EVENT, ROUTED_TABLES, SALES_TRANSACTIONS_RAW
 from tillwright.session import stateful_session, work_folder
 from tillwright.sinks.compaction import compact_folder, compact_new_files, compact_run
 from tillwright.sinks.csv_report import report_folder, write_csv_report
@@ -32,7 +32,7 @@ from tillwright.sinks.warehouse import (
 from tillwright.sources import sample_feed as feed
 from tillwright.sources import sample_tables as sample
 from tillwright.sources.events import event_source
-from tillwright.sources.raw_zone import HOUR, hour_path, land_group, read_group, read_raw_zone, write_csv
+from tillwright.sources.raw_zone import HOUR, hour_path, land_group, land_hour, read_group, read_raw_zone, write_csv
 from tillwright.streaming import parse, queries, serving, window_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,7 +226,7 @@ def scan_csv_roundtrip(spark, sf_dir):
 
 def _drop(spark, folder, frames: dict[str, DataFrame]) -> str:
     for group, rows in frames.items():
-        write_csv(rows, f"{folder}/drop/{group}-1.csv")
+        write_csv(rows, f"{folder}/drop/{group}-1.csv", multi_line=True)  # what breaks lines is for the landing to find
     return folder
 
 
@@ -266,8 +266,7 @@ def _loaded_warehouse(spark, sf_dir, load) -> Warehouse:
             "sales_agents": sample.raw_sales_agents(spark, sf_dir),
         }
         landing = _drop(spark, f"{folder}/in-{number}", groups)
-        for group in RAW_GROUPS:
-            land_group(spark, landing, f"{folder}/raw", group, as_of, only_last_hour=False)
+        land_hour(spark, landing, f"{folder}/raw", as_of, only_last_hour=False)
         load(spark, f"{folder}/raw", warehouse, as_of)
     load(spark, f"{folder}/raw", warehouse, AS_OF)
     return warehouse
@@ -349,7 +348,7 @@ def warehouse_reload_missing_hour(spark, sf_dir):
     folder = work_folder(spark, "warehouse")
     warehouse = Warehouse(spark, f"{folder}/dwh", f"retail_{uuid.uuid4().hex}")
     landing = _drop(spark, f"{folder}/in", {"sales_transactions": sample.raw_sales(spark, sf_dir)})
-    land_group(spark, landing, f"{folder}/raw", "sales_transactions", AS_OF, only_last_hour=False)
+    land_hour(spark, landing, f"{folder}/raw", AS_OF, only_last_hour=False)
     load_hour(spark, f"{folder}/raw", warehouse, AS_OF)
     try:
         load_hour(spark, f"{folder}/mistyped", warehouse, AS_OF)
@@ -358,6 +357,52 @@ def warehouse_reload_missing_hour(spark, sf_dir):
     raise AssertionError("an hour that was not landed was loaded")
 
 
+def load_partial_hour(spark, sf_dir):
+    """After a loaded hour, one of which only the agents were landed: loading it fails and the fact stays."""
+    folder = work_folder(spark, "warehouse")
+    warehouse = Warehouse(spark, f"{folder}/dwh", f"retail_{uuid.uuid4().hex}")
+    landing = _drop(spark, f"{folder}/in", {"sales_transactions": sample.raw_sales(spark, sf_dir)})
+    land_hour(spark, landing, f"{folder}/raw", AS_OF, only_last_hour=False)
+    load_hour(spark, f"{folder}/raw", warehouse, AS_OF)
+    late = _drop(spark, f"{folder}/late", {"sales_agents": sample.raw_sales_agents(spark, sf_dir)})
+    land_group(spark, late, f"{folder}/raw", "sales_agents", AS_OF + HOUR, only_last_hour=False)
+    try:
+        load_hour(spark, f"{folder}/raw", warehouse, AS_OF + HOUR)
+    except FileNotFoundError:
+        return warehouse.table(FACT_TABLE)
+    raise AssertionError("an hour that was landed in part was loaded")
+
+
+def land_csv_line_breaks(spark, sf_dir):
+    """Agents whose names have line breaks, commas and quotes, dropped, landed and loaded by the jobs."""
+    from tillwright.jobs import main  # the jobs import the catalog of plans, this module is one of its readers
+
+    folder, database = work_folder(spark, "jobs"), f"retail_{uuid.uuid4().hex}"
+    agents = sample.raw_sales_agents(spark, sf_dir)
+    broken = F.concat(F.col("name"), F.lit('\nsaid "hi", '), F.col("sales_person_id").cast("string"))
+    agents = agents.withColumn("name", F.when(F.col("sales_person_id") % 2 == 0, broken).otherwise(F.col("name")))
+    for part in range(2):  # the files of one drop have breaks, those of the other have none
+        drop = f"{folder}/in/drop-{part}/sales_agents-{part}.csv"
+        write_csv(agents.where(F.col("sales_person_id") % 2 == part), drop, multi_line=True)
+        _set_times(spark, drop, AS_OF - dt.timedelta(minutes=30))
+    as_of = ["--raw", f"{folder}/raw", "--as-of", AS_OF.isoformat()]
+    main(["land", "--landing", f"{folder}/in", *as_of], spark)
+    main(["load-hour", "--warehouse", f"{folder}/dwh", "--database", database, *as_of], spark)
+    return Warehouse(spark, f"{folder}/dwh", database).table("sales_agents_Dim")
+
+
+def land_late_files(spark, sf_dir):
+    """Of three drops, one older than the hour that no hour has landed is landed with it."""
+    folder = work_folder(spark, "landing")
+    agents = sample.raw_sales_agents(spark, sf_dir)
+    third = F.col("sales_person_id") % 3
+    for number, minutes in enumerate((-90, -30, 30)):
+        write_csv(agents.where(third == number), f"{folder}/in/drop-{number}/sales_agents-{number}.csv")
+        _set_times(spark, f"{folder}/in/drop-{number}/sales_agents-{number}.csv", AS_OF + dt.timedelta(minutes=minutes))
+    land_hour(spark, f"{folder}/in", f"{folder}/raw", AS_OF, late=True)
+    return read_raw_zone(spark, f"{folder}/raw", "sales_agents")
+
+
 def incremental_null_keys(spark, sf_dir):
     """Two hours of customers, in both of which every tenth has no key."""
     folder = work_folder(spark, "warehouse")
@@ -651,6 +696,9 @@ QUERIES: dict[str, Query] = {
     "scan_csv_reordered_columns": scan_csv_reordered_columns,
     "land_csv_extra_column": land_csv_extra_column,
     "land_last_hour": land_last_hour,
+    "land_late_files": land_late_files,
+    "land_csv_line_breaks": land_csv_line_breaks,
+    "load_partial_hour": load_partial_hour,
     "warehouse_reload_missing_hour": warehouse_reload_missing_hour,
     "incremental_null_keys": incremental_null_keys,
     "compact_then_stream": compact_then_stream,

@@ -1,21 +1,29 @@
 """Hourly raw zone: landing new CSV files, and reading one hour of a group.
 
 Columns are taken by the names in each file's own header, so files may order them differently and
-have more of them than are declared.
+have more of them than are declared.  One scan of all new files tells their headers apart and finds the
+files with a line break inside quotes; only those are read by the reader that can't split a file.
+
+An hour is landed when its commit marker names every group.  The marker is written after all of them, and what a
+landing has to know again later (files, columns, line breaks) is kept beside it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections.abc import Iterable
 from functools import reduce
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillwright.schemas import RAW_GROUPS
+from tillwright.sinks.files import delete
 
 HOUR = dt.timedelta(hours=1)
 
@@ -24,6 +32,9 @@ HOUR_PARTITIONS = {"year": "%Y", "month": "%m", "day": "%d", "hour": "%H"}
 
 #: Folder of an hour that says which files of each group were landed; scans skip it.
 LANDED = "_landed"
+#: What it says of a file, and in ``COMMITTED`` of the hour.
+MARKER = "path string, columns array<string>, multi_line boolean"
+COMMITTED = "committed"
 
 
 def hour_partition(as_of: dt.datetime) -> dict[str, str]:
@@ -50,83 +61,236 @@ def _files(spark: SparkSession, pattern: str, **options: str) -> list[str]:
     return sorted(unquote(path) for path in listed or [])
 
 
-def _by_header(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by the column names in their first line, which is all that is read of them."""
-    headers: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        names = tuple(name.strip().removeprefix("﻿") for name in spark.read.option("header", True).csv(file).columns)
-        if names:
-            headers.setdefault(names, []).append(file)
-    return headers
+class RawFile(NamedTuple):
+    """A file with rows, the column names of its header, and whether a value may have a line break."""
+
+    path: str
+    columns: tuple[str, ...]
+    multi_line: bool
+
+
+def _without_escapes(line: Column) -> Column:
+    return F.regexp_replace(line, r'\\["\\]|""', "")
+
+
+def ends_inside_quotes(line: Column) -> Column:
+    """Whether a line of CSV ends in a quoted value, which may go on in the next line.
+
+    Escaped and doubled quotes are cut out first, then all values that are quoted to their end.  A quote
+    that still begins a value is open.
+    """
+    left = F.regexp_replace(_without_escapes(line), r'(^|,)\s*"[^"]*"', "$1")
+    return line.contains('"') & left.rlike(r'(^|,)\s*"')
+
+
+def closes_quotes(line: Column) -> Column:
+    """Whether the first quote of a line ends a value that began in a line before."""
+    plain = _without_escapes(line)
+    return line.contains('"') & (plain.rlike(r'^(?:[^"]*[^",\s]\s*)?"\s*(,|$)') | plain.rlike(r'^\s*"\s*(,|$)'))
+
 
+def survey(spark: SparkSession, files: list[str], multi_line: bool | None = None) -> list[RawFile]:
+    """Headers and line breaks of files in one scan of their lines, however many files there are.
 
-def _read(spark: SparkSession, names: tuple[str, ...], files: list[str], types: StructType, **options) -> DataFrame:
-    """Files of one header; columns that ``types`` does not declare are text."""
+    Per file only numbers are aggregated, within its tasks first: the hash of its first line that is not blank, how many lines
+    end inside quotes, and how many close quotes of a line before.  Then one file of each different first line tells
+    the names.  A file without a line is left out.
+
+    Values have line breaks where quotes are closed as often as left open.  Quotes that are left open and never
+    closed are stray ones, and end with their line.  A file with both raises, unless ``multi_line`` says how to read all files.
+    """
+    if not files:
+        return []
+    path, at = F.col("_metadata.file_path"), F.monotonically_increasing_id()
+    lines = spark.read.text(files).select(
+        path.alias("path"), (F.col("_metadata.file_block_start") == 0).alias("first_block"), at.alias("at"), "value"
+    )
+    value = F.col("value")
+    begins = F.col("first_block") & (F.trim(value) != "")
+    lines = lines.select(
+        "path", F.when(begins, F.col("at")).alias("at"), F.when(begins, F.xxhash64(value)).alias("hash"),
+        ends_inside_quotes(value).alias("open"), closes_quotes(value).alias("close"),
+    )
+    facts = lines.groupBy("path").agg(
+        F.min_by("hash", "at").alias("header"), F.min_by("open", "at").alias("header_open"),
+        F.count_if("open").alias("opened"), F.count_if("close").alias("closed"),
+        F.count_if(F.col("open") & F.col("close")).alias("either"),
+    )
+    names: dict[tuple, tuple[str, ...]] = {}
+    found = []
+    for row in sorted(facts.where("header IS NOT NULL").collect(), key=lambda row: row["path"]):
+        file, whole = unquote(row["path"]), multi_line
+        if whole is None:
+            whole = row["opened"] > 0 and row["closed"] > 0
+            if whole and not _balanced(row["opened"], row["closed"], row["either"]):
+                raise ValueError(f"{file} has values with line breaks and stray quotes; say whether to read it line by line")
+        # A header that goes on in a second line is looked up for each file.
+        over = whole and row["header_open"]
+        key = (row["header"], file if over else None)
+        if key not in names:
+            read = spark.read.options(header=True, multiLine=over)
+            names[key] = tuple(name.strip().removeprefix("\ufeff") for name in read.csv(file).columns)
+        found.append(RawFile(file, names[key], whole))
+    return found
+
+
+def _balanced(opened: int, closed: int, either: int) -> bool:
+    """Whether quotes close as often as they open, where ``either`` lines, like ``",x``, can do one or the other."""
+    closing, odd = divmod(opened - closed + either, 2)
+    return not odd and 0 <= closing <= either
+
+
+def _read(
+    spark: SparkSession, files: Iterable[RawFile], types: StructType, parts: tuple[str, ...] = (), **options
+) -> list[tuple[RawFile, DataFrame]]:
+    """A frame for the files of each header and way to read, with one of the files.
+
+    Columns that ``types`` does not declare are text.
+    """
+    alike: dict[tuple, list[RawFile]] = {}
+    for file in files:
+        alike.setdefault((file.columns, file.multi_line), []).append(file)
     declared = {field.name: field for field in types.fields}
-    schema = StructType([declared.get(name, StructField(name, StringType())) for name in names])
-    return spark.read.schema(schema).options(header=True, **options).csv(files)
+    frames = []
+    for (names, multi_line), group in alike.items():
+        schema = StructType([declared.get(name, StructField(name, StringType())) for name in (*names, *parts)])
+        reader = spark.read.schema(schema).options(header=True, multiLine=multi_line, **options)
+        frames.append((group[0], reader.csv([file.path for file in group])))
+    return frames
 
 
-def _declared_only(frame: DataFrame, names: tuple[str, ...], files: list[str], types: StructType) -> DataFrame:
-    missing = [name for name in types.names if name not in names]
+def _declared_only(file: RawFile, frame: DataFrame, names: list[str], parts: tuple[str, ...] = ()) -> DataFrame:
+    missing = [name for name in names if name not in file.columns]
     if missing:
-        raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
-    return frame.select(*types.names)
+        raise ValueError(f"{file.path} has no column {', '.join(missing)}")
+    return frame.select(*names, *parts)
 
 
-def read_group(spark: SparkSession, folder: str, group: str, multi_line: bool = False) -> DataFrame:
+def read_group(spark: SparkSession, folder: str, group: str, multi_line: bool | None = None) -> DataFrame:
     """The ``<group>*.csv`` files of a folder: the group's declared columns under their declared types.
 
     A file that lacks a declared column raises.  A folder without files of the group gives an empty frame;
-    whether the folder should be there is for the caller to know (:func:`hour_is_landed`).
-    ``multi_line`` reads values with line breaks; such files can't be split over tasks.
+    whether the folder should be there is for the caller to know (:func:`missing_groups`).
+    Values may have line breaks; a file with one is read by a single task.  What a landing wrote is read
+    as its marker says, other files are surveyed.
     """
-    schema = RAW_GROUPS[group]
-    headers = _by_header(spark, _files(spark, f"{folder.rstrip('/')}/{group}*.csv"))
-    frames = [
-        _declared_only(_read(spark, names, files, schema, multiLine=multi_line), names, files, schema)
-        for names, files in headers.items()
-    ]
+    schema, folder = RAW_GROUPS[group], folder.rstrip("/")
+    listed = _files(spark, f"{folder}/{group}*.csv")
+    marked = landed_files(spark, folder, group) if listed else None
+    files = _as_marked(listed, marked) if marked else survey(spark, listed, multi_line)
+    frames = [_declared_only(file, frame, schema.names) for file, frame in _read(spark, files, schema)]
     return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
 
 
-def landed_files(spark: SparkSession, hour: str, group: str) -> list[str] | None:
+def _as_marked(listed: list[str], marked: list[RawFile]) -> list[RawFile]:
+    """Files of a landed group: all have the columns of the landing."""
+    columns = _all_columns(marked)
+    return [RawFile(path, columns, any(file.multi_line for file in marked)) for path in listed]
+
+
+def _all_columns(files: list[RawFile]) -> tuple[str, ...]:
+    """Columns of several files in the order in which they come up."""
+    return tuple(dict.fromkeys(name for file in files for name in file.columns))
+
+
+def landed_files(spark: SparkSession, hour: str, group: str) -> list[RawFile] | None:
     """Files of a group that an hour's landing took, or None where it did not run."""
-    marker = spark.read.schema("path string")
-    rows = _found(lambda: marker.json(f"{hour}/{LANDED}/{group}").collect())
-    return None if rows is None else [row["path"] for row in rows]
+    rows = _found(lambda: spark.read.schema(MARKER).json(f"{hour}/{LANDED}/{group}").collect())
+    return None if rows is None else [RawFile(r["path"], tuple(r["columns"] or ()), bool(r["multi_line"])) for r in rows]
 
 
-def hour_is_landed(spark: SparkSession, hour: str) -> bool:
-    """Whether an hour's folder holds files or was landed without any."""
-    return bool(_files(spark, f"{hour}/*")) or any(landed_files(spark, hour, group) is not None for group in RAW_GROUPS)
+def missing_groups(spark: SparkSession, hour: str) -> list[str]:
+    """Groups that an hour still lacks: its landing did not come to its commit marker with them.
 
+    Of a folder that other tools filled, without any marker, the groups without files.
+    """
+    if (done := _committed(spark, hour)) is None:
+        if any(landed_files(spark, hour, group) is not None for group in RAW_GROUPS):
+            return list(RAW_GROUPS)
+        return [group for group in RAW_GROUPS if not _files(spark, f"{hour}/{group}*.csv")]
+    return [group for group in RAW_GROUPS if group not in done]
 
-def land_group(
+
+def _committed(spark: SparkSession, hour: str) -> list[str] | None:
+    rows = _found(lambda: spark.read.schema("name string").json(f"{hour}/{LANDED}/{COMMITTED}").collect())
+    return None if rows is None else [row["name"] for row in rows]
+
+
+def land_hour(
     spark: SparkSession,
     landing: str,
     root: str,
-    group: str,
     as_of: dt.datetime,
+    groups: Iterable[str] = tuple(RAW_GROUPS),
     only_last_hour: bool = True,
     replace: bool = False,
-    multi_line: bool = False,
-) -> str | None:
-    """Copy CSV files of a group that arrived in the hour before ``as_of`` to that hour's partition.
+    late: bool = False,
+    multi_line: bool | None = None,
+) -> dict[str, str | None]:
+    """Copy CSV files that arrived in the hour before ``as_of`` to that hour's partition, then commit the hour.
 
     ``landing`` holds drop folders, those hold ``<group>*.csv``.  Arrival is the files'
     modification time, from one hour before ``as_of`` up to but not including it, with
-    ``as_of`` in the session's time zone.  All columns of the files are carried, as the text they are,
-    so a malformed value is still there to be rejected later.
+    ``as_of`` in the session's time zone; ``late`` takes older files too that no hour has landed.  All columns of
+    the files are carried, as the text they are, so a malformed value is still there to be rejected later.
 
-    A rerun that finds the same files, or more, replaces the group's folder and so lands the
+    A rerun that finds the same files, or more, replaces a group's folder and so lands the
     same rows once.  One that finds none leaves it alone; one that finds only some of those landed
-    before raises, unless ``replace`` is given.
+    before raises before anything is written, unless ``replace`` is given.  The commit marker is taken away
+    before the first write and put back after the last, naming the groups that are landed.  ``multi_line`` is said
+    at :func:`survey`.
 
-    Tasks copy in parallel and each writes its own file.  Returns the folder written, or
+    Tasks copy in parallel and each writes its own file.  Returns the folder written per group, or
     None where no file arrived.
     """
-    window = {}
+    groups, hour = list(groups), hour_path(root, as_of)
+    arrived = {group: _arrived(spark, landing, root, group, as_of, only_last_hour, late) for group in groups}
+    before = {group: landed_files(spark, hour, group) for group in groups}
+    for group, files in arrived.items():
+        gone = {file.path for file in before[group] or []} - set(files)
+        if files and gone and not replace:
+            raise ValueError(f"{hour} was landed with {sorted(gone)}, which did not arrive in the hour")
+    every = [path for files in arrived.values() for path in files]
+    known = {_plain(file.path): file for file in survey(spark, every, multi_line)}
+    committed = set(_committed(spark, hour) or [])
+    delete(spark, f"{hour}/{LANDED}/{COMMITTED}")
+    targets: dict[str, str | None] = dict.fromkeys(groups)
+    for group, files in arrived.items():
+        if not files and before[group] is not None:
+            continue
+        # A file without a line is noted as well, it has no columns.
+        facts = [known.get(_plain(path), RawFile(path, (), False))._replace(path=path) for path in files]
+        frames = [frame for _, frame in _read(spark, [file for file in facts if file.columns], StructType([]))]
+        if files:
+            targets[group] = f"{hour}/{group}.csv"
+        if frames:
+            # What was read line by line has no line break, and what was not is read back that way.
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+            write_csv(rows, targets[group], multi_line=True)
+        marker = spark.createDataFrame([(f.path, list(f.columns), f.multi_line) for f in facts], MARKER)
+        marker.coalesce(1).write.mode("overwrite").json(f"{hour}/{LANDED}/{group}")
+    names = spark.createDataFrame([(name,) for name in sorted(committed.union(groups))], "name string")
+    names.coalesce(1).write.mode("overwrite").json(f"{hour}/{LANDED}/{COMMITTED}")
+    return targets
+
+
+def land_group(
+    spark: SparkSession, landing: str, root: str, group: str, as_of: dt.datetime, only_last_hour: bool = True,
+    replace: bool = False,
+) -> str | None:
+    """:func:`land_hour` for one group alone; the hour is complete when all groups were landed."""
+    return land_hour(spark, landing, root, as_of, [group], only_last_hour, replace)[group]
+
+
+def _plain(path: str) -> str:
+    """Local files are listed as ``file:///x`` and read as ``file:/x``."""
+    return re.sub("^file:/+", "file:///", path)
+
+
+def _arrived(
+    spark: SparkSession, landing: str, root: str, group: str, as_of: dt.datetime, only_last_hour: bool, late: bool
+) -> list[str]:
+    pattern, window = f"{landing.rstrip('/')}/*/{group}*.csv", {}
     if only_last_hour:
         # Both bounds of the reader are exclusive, file times have milliseconds.
         first = as_of - HOUR - dt.timedelta(milliseconds=1)
@@ -134,28 +298,29 @@ def land_group(
             "modifiedAfter": first.isoformat(timespec="milliseconds"),
             "modifiedBefore": as_of.isoformat(timespec="milliseconds"),
         }
-    arrived = _files(spark, f"{landing.rstrip('/')}/*/{group}*.csv", **window)
-    hour = hour_path(root, as_of)
-    before = landed_files(spark, hour, group)
-    gone = set(before or []) - set(arrived)
-    if arrived and gone and not replace:
-        raise ValueError(f"{hour} was landed with {sorted(gone)}, which did not arrive in the hour")
-    if not arrived:
-        if before is None:
-            _mark(spark, hour, group, [])
-        return None
-    text = StructType([])
-    frames = [_read(spark, names, files, text, multiLine=multi_line) for names, files in _by_header(spark, arrived).items()]
-    target = f"{hour}/{group}.csv"
-    if frames:
-        write_csv(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames), target, multi_line)
-    _mark(spark, hour, group, arrived)
-    return target
+    arrived = _files(spark, pattern, **window)
+    if late:
+        older = [row["path"] for row in unlanded_files(spark, landing, root, group, as_of - HOUR).collect()]
+        arrived = sorted({*arrived, *map(_plain, older)})
+    return arrived
 
 
-def _mark(spark: SparkSession, hour: str, group: str, files: list[str]) -> None:
-    marker = spark.createDataFrame([(file,) for file in files], "path string")
-    marker.coalesce(1).write.mode("overwrite").json(f"{hour}/{LANDED}/{group}")
+def unlanded_files(spark: SparkSession, landing: str, root: str, group: str, before: dt.datetime) -> DataFrame:
+    """``path`` and ``modificationTime`` of a group's files from before a time that no hour has landed.
+
+    Such files came with an older time than that of their arrival, or their hour was never landed.
+    """
+    files = _found(lambda: spark.read.format("binaryFile").load(f"{landing.rstrip('/')}/*/{group}*.csv"))
+    if files is None:
+        return spark.createDataFrame([], "path string, modificationTime timestamp")
+    older = files.where(F.col("modificationTime") < F.lit(before)).select("path", "modificationTime")
+    hours = "/".join(f"{name}=*" for name in HOUR_PARTITIONS)
+    landed = _found(lambda: spark.read.schema(MARKER).json(f"{root.rstrip('/')}/{hours}/{LANDED}/{group}"))
+    if landed is None:
+        return older
+    plain = lambda path: F.regexp_replace(path, "^file:/+", "file:///")
+    noted = landed.select(plain("path").alias("noted")).distinct()
+    return older.join(noted, plain("path") == F.col("noted"), "left_anti")
 
 
 def write_csv(rows: DataFrame, folder: str, multi_line: bool = False) -> None:
@@ -184,22 +349,23 @@ def _on_one_line(name: str):
 def read_raw_zone(spark: SparkSession, root: str, group: str) -> DataFrame:
     """All landed hours of a group, with the hour's partition columns as text.
 
-    Files of an hour were written by one landing and share their header, which is read once.
+    The markers of all hours are read at once; files that no marker speaks of are surveyed.
     """
     schema, root = RAW_GROUPS[group], root.rstrip("/")
-    parts = [StructField(name, StringType()) for name in HOUR_PARTITIONS]
-    hours = "/".join(f"{name}=*" for name in HOUR_PARTITIONS)
+    types = StructType(schema.fields + [StructField(name, StringType()) for name in HOUR_PARTITIONS])
+    hours, parts = "/".join(f"{name}=*" for name in HOUR_PARTITIONS), tuple(HOUR_PARTITIONS)
     by_hour: dict[str, list[str]] = {}
     for file in _files(spark, f"{root}/{hours}/{group}.csv"):
-        by_hour.setdefault(file.rsplit("/", 1)[0], []).append(file)
-    headers: dict[tuple[str, ...], list[str]] = {}
-    for files in by_hour.values():
-        for names in _by_header(spark, files[:1]):
-            headers.setdefault(names, []).extend(files)
-    frames = []
-    for names, files in headers.items():
-        types = StructType(schema.fields + parts)
-        frame = _read(spark, (*names, *HOUR_PARTITIONS), files, types, basePath=root)
-        _declared_only(frame, names, files, schema)
-        frames.append(frame.select(*schema.names, *HOUR_PARTITIONS))
-    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], StructType(schema.fields + parts))
+        by_hour.setdefault(_plain(file).rsplit("/", 2)[0], []).append(file)
+    marked: dict[str, list[RawFile]] = {}
+    markers = _found(lambda: spark.read.schema(MARKER).json(f"{root}/{hours}/{LANDED}/{group}"))
+    for row in [] if markers is None else markers.select("*", "_metadata.file_path").collect():
+        hour = _plain(unquote(row["file_path"])).rsplit("/", 3)[0]
+        marked.setdefault(hour, []).append(RawFile(row["path"], tuple(row["columns"] or ()), bool(row["multi_line"])))
+    files = [file for hour, paths in by_hour.items() if hour in marked for file in _as_marked(paths, marked[hour])]
+    files += survey(spark, [path for hour, paths in by_hour.items() if hour not in marked for path in paths])
+    frames = [
+        _declared_only(file, frame, schema.names, parts)
+        for file, frame in _read(spark, files, types, parts, basePath=root)
+    ]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], types)
