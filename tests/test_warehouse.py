@@ -42,7 +42,7 @@ def warehouse(spark, tmp_path):
 
 
 def rows(frame, *names):
-    return sorted(tuple(row) for row in frame.select(*names).collect())
+    return sorted((tuple(row) for row in frame.select(*names).collect()), key=lambda row: [(v is None, v) for v in row])
 
 
 def test_previous_hour():
@@ -363,6 +363,74 @@ def _reload(spark, warehouse):
     assert rows(warehouse.table(wh.FACT_TABLE), "batch_hour", "units") == [("2022050110", 3)]
 
 
+FACT = "transaction_date_id string, year string, month string, day string, units int"
+
+
+def merged_rows(warehouse):
+    return rows(warehouse.table(wh.FACT_TABLE), "batch_hour", "day", "units")
+
+
+def test_closed_days_are_merged_and_hours_can_be_loaded_again(spark, tmp_path, warehouse):
+    day = lambda d, n: (f"202205{d}", "2022", "05", d, n)
+    load = lambda hour, *days: warehouse.load_fact(spark.createDataFrame(list(days), FACT).repartition(3), hour)
+    for hour in range(6):
+        load(f"202205010{hour}", day("01", hour), day("02", 10 + hour), (None, None, None, None, 20 + hour))
+    load("2022050200", day("02", 99))
+    before, files = merged_rows(warehouse), lambda: len(list((tmp_path / "dwh").rglob("*.parquet")))
+    small = files()
+    assert warehouse.merge_closed_days(dt.date(2022, 5, 2)) == ["20220501"]
+    assert merged_rows(warehouse) == before and warehouse.table(wh.FACT_TABLE).columns[-4:] == wh.FACT_PARTITIONS
+    assert warehouse.merge_closed_days(dt.date(2022, 5, 2)) == []
+    assert warehouse.remove_merged() == 6 and warehouse.remove_merged() == 0
+    assert merged_rows(warehouse) == before and files() < small / 2
+    # An hour of the merged day again, with fewer days; then an hour of nothing.
+    load("2022050103", day("01", 7))
+    expected = sorted([row for row in before if row[0] != "2022050103"] + [("2022050103", "01", 7)], key=str)
+    assert sorted(merged_rows(warehouse), key=str) == expected
+    warehouse.load_fact(spark.createDataFrame([], FACT), "2022050104", allow_empty=True)
+    expected = [row for row in expected if row[0] != "2022050104"]
+    assert sorted(merged_rows(warehouse), key=str) == expected
+    assert warehouse.merge_closed_days(dt.date(2022, 5, 3)) == ["20220501", "20220502"]
+    assert warehouse.remove_merged() == 3  # two hours, and the first merge
+    assert sorted(merged_rows(warehouse), key=str) == expected
+    # A session without the catalog finds the same rows, and hours are still loaded.
+    other = wh.Warehouse(spark, str(tmp_path / "dwh"), f"retail_{uuid.uuid4().hex}")
+    assert sorted(merged_rows(other), key=str) == expected
+    other.load_fact(spark.createDataFrame([day("01", 5)], FACT), "2022050300")
+    assert sorted(merged_rows(other), key=str) == sorted([*expected, ("2022050300", "01", 5)], key=str)
+
+
+def test_a_merge_that_broke_is_not_seen_and_done_again(spark, warehouse, monkeypatch):
+    day = lambda d, n: (f"202205{d}", "2022", "05", d, n)
+    for hour in range(2):
+        warehouse.load_fact(spark.createDataFrame([day("01", hour)], FACT), f"202205010{hour}")
+    before, commit = merged_rows(warehouse), wh.fact_merge._commit
+    calls = []
+
+    def broken(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("disk")
+        commit(*args)
+
+    monkeypatch.setattr(wh.fact_merge, "_commit", broken)
+    with pytest.raises(OSError):
+        warehouse.merge_closed_days(dt.date(2022, 5, 2))
+    assert merged_rows(warehouse) == before
+    monkeypatch.undo()
+    assert warehouse.merge_closed_days(dt.date(2022, 5, 2)) == ["20220501"]
+    assert merged_rows(warehouse) == before
+
+
+def test_merged_days_prune_by_sales_day(spark, warehouse):
+    day = lambda d, n: (f"202205{d}", "2022", "05", d, n)
+    warehouse.load_fact(spark.createDataFrame([day("01", 1), day("02", 2)], FACT), "2022050100")
+    warehouse.merge_closed_days(dt.date(2022, 5, 2))
+    one = warehouse.table(wh.FACT_TABLE).where("year = '2022' and month = '05' and day = '02'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(year") == 2 and [row["units"] for row in one.collect()] == [2]
+
+
 def test_days_are_hashed_only_where_that_is_asked_for(spark):
     fact = spark.range(100).selectExpr("id units", "'2022' year", "'05' month", "cast(id % 10 as string) day")
     plan = lambda **how: wh.by_day(fact, **how)._jdf.queryExecution().executedPlan().toString()

@@ -72,6 +72,15 @@ def load(spark: SparkSession, args) -> None:
     )
 
 
+def merge_days(spark: SparkSession, args) -> None:
+    """Merge the hours of closed days of the fact, or with ``--remove`` drop what earlier merges replaced."""
+    warehouse = Warehouse(spark, args.warehouse, args.database)
+    if args.remove:
+        print(warehouse.remove_merged(), "folders removed")
+    else:
+        print(*warehouse.merge_closed_days(args.before), "merged")
+
+
 def marketing(spark: SparkSession, args) -> None:
     warehouse = Warehouse(spark, args.warehouse, args.database)
     fact = warehouse.table(FACT_TABLE)
@@ -243,6 +252,8 @@ def _parser() -> argparse.ArgumentParser:
         flag("--hash-days", "many small days: each to one of the shuffle partitions"),
         date("--calendar-from", CALENDAR_START), date("--calendar-to", CALENDAR_END),
     )
+    job("merge-days", merge_days, warehouse, retail, date("--before"),
+        flag("--remove", "what earlier merges replaced, when no reader uses it any more"))
     job("marketing", marketing, warehouse, retail, out)
     job("daily-report", daily, warehouse, retail, date("--day"), out, arg("--files", choices=["one", "many"], default="one"))
     job(

@@ -294,6 +294,13 @@ ORACLE: dict[str, str] = {
         body=f"""SELECT *, CASE WHEN transaction_date_id < '{STORED_BEFORE:%Y%m%d}' THEN '2024050109'
                            ELSE '2024050110' END AS batch_hour FROM fact""",
     ),
+    "fact_merge_closed_days": _with(
+        FACT,
+        body="""SELECT * REPLACE (left(transaction_date_id, 6) || '01' AS transaction_date_id,
+                                  CASE WHEN "day" IS NOT NULL THEN '01' END AS "day"),
+                       ['2024050109', '2024050110', '2024050200'][CAST(product_id % 3 AS INTEGER) + 1] AS batch_hour
+                FROM fact""",
+    ),
     "warehouse_load_dimensions": _with(SALES, BRANCHES, AGENTS, body=_DIMENSION_COUNTS),
     "warehouse_branches_Dim": _with(BRANCHES, body="SELECT * FROM branches"),
     "warehouse_sales_agents_Dim": _with(AGENTS, body="SELECT * FROM agents"),

@@ -276,6 +276,29 @@ def warehouse_load_fact(spark, sf_dir):
     return _loaded_warehouse(spark, sf_dir, load_hour).table(FACT_TABLE)
 
 
+def fact_merge_closed_days(spark, sf_dir):
+    """Three hours of sales by month, of two batch days: the first day merged and an hour of it loaded again.
+
+    Months instead of days keep the number of partitions small.
+    """
+    from tillwright.jobs import main  # the jobs import the catalog of plans, this module is one of its readers
+
+    folder, database = work_folder(spark, "warehouse"), f"retail_{uuid.uuid4().hex}"
+    warehouse = Warehouse(spark, f"{folder}/dwh", database)
+    sales = _sales(spark, sf_dir).withColumn("transaction_date", F.trunc("transaction_date", "month"))
+    fact = with_date_partitions(sales_fact(sales))
+    third = F.pmod(F.col("product_id"), F.lit(3))
+    hours = ["2024050109", "2024050110", "2024050200"]
+    for number, hour in enumerate(hours):
+        rows = fact.where(third == number)
+        warehouse.load_fact(rows if number else rows.limit(7), hour)
+    job = ["merge-days", "--warehouse", f"{folder}/dwh", "--database", database, "--before", "2024-05-02"]
+    main(job, spark)
+    main([*job, "--remove"], spark)
+    warehouse.load_fact(fact.where(third == 0), hours[0])
+    return warehouse.table(FACT_TABLE)
+
+
 def warehouse_load_dimensions(spark, sf_dir):
     """Rows and distinct keys of every loaded dimension."""
     warehouse = _loaded_warehouse(spark, sf_dir, load_hour_dimensions)
@@ -691,6 +714,7 @@ QUERIES: dict[str, Query] = {
     "fact_partitioned_roundtrip": fact_partitioned_roundtrip,
     "b2b_csv_roundtrip": b2b_csv_roundtrip,
     "warehouse_load_fact": warehouse_load_fact,
+    "fact_merge_closed_days": fact_merge_closed_days,
     "warehouse_load_dimensions": warehouse_load_dimensions,
     **{f"warehouse_{table}": _loaded_dimension(table) for table in [*dims.DIMENSION_KEYS, DATE_TABLE]},
     "scan_csv_reordered_columns": scan_csv_reordered_columns,

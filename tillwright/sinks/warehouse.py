@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -15,6 +16,7 @@ from pyspark.sql.types import StructType
 from tillwright.operators.fact import DATE_PARTITIONS
 from tillwright.operators.incremental import first_per_key, new_rows_for_small_batch
 from tillwright.schemas import ROUTED_TABLES
+from tillwright.sinks import fact_merge
 from tillwright.sinks.compaction import view_compacted
 
 # Names of the databases and of the tables that are not keyed dimensions.
@@ -58,6 +60,10 @@ class Warehouse:
         """
         if self.spark.catalog.tableExists(self.name(table)):
             return True
+        if table == FACT_TABLE and fact_merge.newest_manifest(self, table):
+            fact_merge.declare_parts(self, table, FACT_PARTITIONS)
+            fact_merge.declare_view(self, table)
+            return True
         try:
             found = self.spark.read.parquet(self.folder(table)).schema
         except AnalysisException as error:
@@ -113,15 +119,27 @@ class Warehouse:
         stored = self.table(FACT_TABLE).where(F.col(BATCH_HOUR) == batch_hour)
         if not allow_empty and fact.isEmpty() and not stored.isEmpty():
             raise ValueError(f"hour {batch_hour} has rows and the new batch has none")
+        merging = self.spark.catalog.tableExists(self.name(FACT_TABLE + fact_merge.HOURS))
+        target = self.name(FACT_TABLE + fact_merge.HOURS if merging else FACT_TABLE)
         names = [name for name in fact.columns if name not in FACT_PARTITIONS]
         batch = by_day(fact, hash_days).select(*names, *DATE_PARTITIONS)
         # Days that the hour no longer has are removed too, whatever mode the session is in.
         with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "static"):
             self.spark.sql(
-                f"INSERT OVERWRITE TABLE {self.name(FACT_TABLE)} "
+                f"INSERT OVERWRITE TABLE {target} "
                 f"PARTITION ({BATCH_HOUR} = '{batch_hour}', {', '.join(DATE_PARTITIONS)}) SELECT * FROM {{batch}}",
                 batch=batch,
             )
+        if merging:
+            fact_merge.forget_hour(self, FACT_TABLE, batch_hour)
+
+    def merge_closed_days(self, before: dt.date) -> list[str]:
+        """Merge the hours of batch days before a date; said at :mod:`fact_merge`."""
+        return fact_merge.merge_closed_days(self, FACT_TABLE, FACT_PARTITIONS, before) if self.exists(FACT_TABLE) else []
+
+    def remove_merged(self) -> int:
+        """Remove files that merges have replaced."""
+        return fact_merge.remove_merged(self, FACT_TABLE) if self.exists(FACT_TABLE) else 0
 
     def _create(self, table: str, rows: DataFrame) -> None:
         """Write a table that has no rows yet; what a broken first load left is replaced.
