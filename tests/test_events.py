@@ -16,7 +16,7 @@ from tillwright.sinks.compaction import compact_folder, compact_new_files, compa
 from tillwright.sinks.warehouse import point_table_at, register_compacted, register_event_tables
 from tillwright.sources import sample_feed as feed
 from tillwright.sources.events import event_source, kafka_options
-from tillwright.streaming import parse, queries, serving, window_counts
+from tillwright.streaming import late_rows, parse, queries, serving, window_counts
 
 
 def view(product="p1", time="2024-01-01T10:00:00", **more):
@@ -271,6 +271,56 @@ def test_late_events_are_dropped_behind_the_watermark(spark, inbox, tmp_path):
     }
 
 
+def rankings(spark, folder):
+    rows = spark.read.parquet(folder).collect()
+    return sorted((row["window_start"].strftime("%H:%M"), row["rank"], row["productId"], row["count"]) for row in rows)
+
+
+@pytest.mark.parametrize("parts", [1, 64])
+def test_rankings_are_written_once_per_closed_window(spark, inbox, tmp_path, parts):
+    out = str(tmp_path / "out")
+    for hour in (10, 11, 12):
+        inbox.put(*[view(f"p{n % 7}", time=f"2024-01-01T{hour}:{n:02}:00") for n in range(25)])
+        inbox.put(view(None, time=f"2024-01-01T{hour}:01:00"), view("late", time="2024-01-01T09:00:00"))
+        top = window_counts.top_products_per_window(inbox.events(), 3, parts)
+        queries.start_file_sink(top, out, str(tmp_path / "c"), every=None).awaitTermination()
+    # 7 products in 25 minutes: p0 to p3 have 4 views each.  The window of 12:00 is open.
+    best = [(1, "p0", 4), (2, "p1", 4), (3, "p2", 4)]
+    assert rankings(spark, out) == [("09:00", 1, "late", 1)] + [(f"{hour}:00", *row) for hour in (10, 11) for row in best]
+
+
+def test_late_rows_go_to_the_side_table_and_counts_reconcile(spark, inbox, tmp_path):
+    root = str(tmp_path / "out")
+    run = lambda: late_rows.start_event_counts_with_late(inbox.stream(), root, str(tmp_path / "c"), every=None).awaitTermination()
+    inbox.put(view(time="2024-01-01T10:05:00"), view(time="2024-01-01T10:21:00"), view(time=None))  # watermark 10:19
+    run()
+    late = view("slow", time="2024-01-01T10:09:00")
+    inbox.put(late, view(time="2024-01-01T10:18:00"), "no json")  # closed, still open, without time
+    run()
+    inbox.put(view(time="2024-01-01T09:00:00"))
+    run()
+    assert sorted((row["value"], row["batch_id"]) for row in late_rows.read_late(spark, root).collect()) == sorted(
+        [(late, 1), (view(time="2024-01-01T09:00:00"), 2)]
+    )
+    counted = counts_by_key(late_rows.counts(late_rows.read_increments(spark, root)), "eventType")
+    assert {start.strftime("%H:%M"): n for (start, _), n in counted.items()} == {"10:00": 1, "10:10": 1, "10:20": 1}
+    batches = [row.asDict() for row in late_rows.read_batches(spark, root).orderBy("batch_id").collect()]
+    assert [(b["read"], b["counted"], b["late"], b["timeless"]) for b in batches] == [(3, 2, 0, 1), (3, 1, 1, 1), (1, 0, 1, 0)]
+    assert batches[0]["watermark"] is None and batches[2]["watermark"] == at("2024-01-01T10:19:00")
+
+
+def test_late_rows_are_those_that_the_built_in_counts_drop(spark, inbox, tmp_path):
+    texts = [view(f"p{n}", time=f"2024-01-01T{10 + (n * 37 % 120) // 60}:{n * 37 % 60:02}:00") for n in range(120)]
+    for start in range(0, 120, 30):
+        inbox.put(*texts[start:start + 30])
+        serve(inbox, tmp_path, window_counts.event_counts, "update", "eventType").awaitTermination()
+        late_rows.start_event_counts_with_late(inbox.stream(), str(tmp_path / "o"), str(tmp_path / "oc"), every=None).awaitTermination()
+    newest = serving.latest_versions(spark.read.parquet(str(tmp_path / "served")), ["window_start", "window_end", "eventType"])
+    counted = late_rows.counts(late_rows.read_increments(spark, str(tmp_path / "o")))
+    assert counts_by_key(counted, "eventType") == counts_by_key(newest, "eventType")
+    assert late_rows.read_late(spark, str(tmp_path / "o")).count() == 120 - sum(counts_by_key(newest, "eventType").values()) > 0
+
+
 def test_append_mode_emits_closed_windows_once(spark, inbox, tmp_path):
     out = str(tmp_path / "out")
     for hour in (10, 11, 12):
@@ -406,6 +456,39 @@ def test_readers_see_every_event_once_beside_compaction(spark, inbox, tmp_path,
     assert spark.table(f"{database}.purchase").count() == 0
 
 
+def test_notes_of_removed_originals_are_dropped_and_runs_go_on(spark, tmp_path):
+    schema = ROUTED_TABLES["add_to_cart"]
+    source, target = tmp_path / "s s+%", str(tmp_path / "t")
+    day = lambda n: at(f"2024-01-0{n}T00:00:00")
+    for run in (1, 2, 3):
+        rows = spark.createDataFrame([("addToCart", f"c{run}", "p", None, n) for n in range(4)], schema)
+        rows.repartition(3).write.mode("append").parquet(str(source))
+        assert compact_run(spark, str(source), target, schema, day(run)) == 3
+        assert compact_run(spark, str(source), target, schema, day(run)) == 0
+    assert retire_originals(spark, target, day(3)) == 6 and len(files(source)) == 3
+    assert retire_originals(spark, target, day(3)) == 0
+    assert sorted(path.name for path in (tmp_path / "t" / "notes").iterdir()) == ["run=3"]
+    assert retire_originals(spark, target, day(9)) == 3
+    for _ in range(2):
+        assert retire_originals(spark, target, day(9)) == 0
+    spark.createDataFrame([("addToCart", "c4", "p", None, 1)], schema).write.mode("append").parquet(str(source))
+    assert compact_run(spark, str(source), target, schema, day(4)) > 0
+    kept = spark.read.parquet(f"{target}/data").groupBy("run").count().collect()
+    assert sorted((row["run"], row["count"]) for row in kept) == [(1, 4), (2, 4), (3, 4), (4, 1)]
+
+
+def test_a_run_without_rows_and_one_that_lost_some(spark, tmp_path, monkeypatch):
+    schema = ROUTED_TABLES["add_to_cart"]
+    spark.createDataFrame([], schema).coalesce(1).write.parquet(str(tmp_path / "e"))
+    assert compact_run(spark, str(tmp_path / "e"), str(tmp_path / "te"), schema, at("2024-01-01T00:00:00")) == 1
+    spark.createDataFrame([("addToCart", "c", "p", None, 1)] * 2, schema).write.parquet(str(tmp_path / "s"))
+    counts = type(spark.range(1)).count
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda frame: counts(frame) - 1)
+    with pytest.raises(RuntimeError, match="does not hold"):
+        compact_run(spark, str(tmp_path / "s"), str(tmp_path / "ts"), schema, at("2024-01-01T00:00:00"))
+    assert not (tmp_path / "ts" / "notes").exists()
+
+
 def test_a_run_that_broke_before_its_note_is_done_again(spark, tmp_path):
     schema = ROUTED_TABLES["add_to_cart"]
     source, target = str(tmp_path / "s"), str(tmp_path / "t")

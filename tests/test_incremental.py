@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from tillwright.operators import key_checks
 from tillwright.operators.incremental import new_rows, new_rows_for_small_batch
 
 SCHEMA = "id long, name string"
@@ -68,3 +69,32 @@ def test_small_batch_does_not_shuffle_the_stored_dimension(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
     assert "ReadSchema: struct<id:bigint>" in plan
+
+
+def people(spark, *rows):
+    return spark.createDataFrame(list(rows), "id long, name string, mail string")
+
+
+MESSY = [(1, "a", "x"), (1, "b", "x"), (2, "c", None), (2, "c", None), (3, "d", "y"), (None, "e", "z"), (4, None, None), (4, None, "m")]
+
+
+def test_keys_with_several_rows_are_violations(spark):
+    found = key_checks.key_violations(people(spark, *MESSY), "id").collect()
+    assert sorted(map(tuple, found), key=str) == [(1, 2, 2), (2, 2, 1), (4, 2, 2), (None, 1, 1)]
+    assert key_checks.key_violations(people(spark, *MESSY[4:5]), "id").isEmpty()
+
+
+def test_one_row_per_key_is_kept_and_the_others_are_quarantined(spark, tmp_path):
+    kept = key_checks.unique_keys(people(spark, *MESSY), "id", "people", str(tmp_path))
+    beyond = spark.read.parquet(str(tmp_path / "people"))
+    left = [(1, "a", "x"), (2, "c", None), (3, "d", "y"), (4, None, None)]
+    assert sorted(map(tuple, kept.collect())) == left
+    assert sorted(map(tuple, beyond.collect()), key=str) == [(1, "b", "x"), (2, "c", None), (4, None, "m"), (None, "e", "z")]
+
+
+def test_unique_dimensions_pass_and_others_raise_without_quarantine(spark):
+    good = people(spark, *MESSY[3:5])
+    assert key_checks.unique_keys(good, "id", "people") is good
+    with pytest.raises(key_checks.DuplicateKeys, match="people: id"):
+        key_checks.unique_keys(people(spark, *MESSY), "id", "people")
+    assert key_checks.unique_keys(people(spark), "id", "people").count() == 0

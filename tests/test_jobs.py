@@ -44,10 +44,10 @@ def test_stream_jobs(spark, tmp_path, capsys):
     assert spark.table(f"{database}.product_view").count() == 3
     target = ["--target", str(tmp_path / "compacted")]
     for _ in range(2):  # nothing new the second time
-        main(["compact", *out, *target], spark)
+        main(["compact", *out, *target, "--as-of", "2024-01-01T00:00:00"], spark)
         assert any(str(tmp_path / "compacted") in f for f in spark.table(f"{database}.product_view").inputFiles())
         assert spark.table(f"{database}.product_view").count() == 3
-    main(["retire", *target, "--hours", "-1"], spark)
+    main(["retire", *target, "--hours", "1", "--as-of", "2024-01-01T02:00:00"], spark)
     assert spark.table(f"{database}.product_view").count() == 3
     for job in ("event-counts", "top-products"):
         served = str(tmp_path / job)

@@ -16,7 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from tillwright.operators.dimensions import CALENDAR_END, CALENDAR_START  # noqa: E402
+from tillwright.operators.dimensions import CALENDAR_END, CALENDAR_START, DIMENSION_KEYS  # noqa: E402
+from tillwright.operators.key_checks import unique_keys  # noqa: E402
 from tillwright.plans import reports  # noqa: E402
 from tillwright.plans.hourly_load import load_hour  # noqa: E402
 from tillwright.plans.kpis import KPIS  # noqa: E402
@@ -34,7 +35,7 @@ from tillwright.sinks.warehouse import (  # noqa: E402
 )
 from tillwright.sources.events import event_source, kafka_options  # noqa: E402
 from tillwright.sources.raw_zone import HOUR, land_hour, unlanded_files  # noqa: E402
-from tillwright.streaming import queries, serving  # noqa: E402
+from tillwright.streaming import late_rows, queries, serving  # noqa: E402
 from tillwright.streaming.serving import jdbc_options  # noqa: E402
 from tillwright.streaming.window_counts import top_of_latest_window  # noqa: E402
 
@@ -85,7 +86,17 @@ def marketing(spark: SparkSession, args) -> None:
     warehouse = Warehouse(spark, args.warehouse, args.database)
     fact = warehouse.table(FACT_TABLE)
     for name, (report, dimension) in MARKETING.items():
-        _publish(report(fact, warehouse.table(dimension)), args.out, name)
+        _publish(report(fact, _names(warehouse, dimension, args)), args.out, name)
+
+
+def _names(warehouse: Warehouse, dimension: str, args) -> DataFrame:
+    """A dimension for a report, with its keys checked if that is asked for."""
+    rows = warehouse.table(dimension)
+    if args.keys == "any":
+        return rows
+    if args.keys == "quarantine" and not args.quarantine:
+        raise SystemExit("--keys quarantine needs --quarantine")
+    return unique_keys(rows, DIMENSION_KEYS[dimension], dimension, args.quarantine)
 
 
 def _publish(rows: DataFrame, folder: str, name: str) -> None:
@@ -97,7 +108,8 @@ def _publish(rows: DataFrame, folder: str, name: str) -> None:
 def daily(spark: SparkSession, args) -> None:
     warehouse = Warehouse(spark, args.warehouse, args.database)
     report = reports.daily_agent_product_units(
-        warehouse.table(FACT_TABLE), warehouse.table("product_Dim"), warehouse.table("sales_agents_Dim"), args.day
+        warehouse.table(FACT_TABLE), _names(warehouse, "product_Dim", args), _names(warehouse, "sales_agents_Dim", args),
+        args.day,
     )
     folder = report_folder(args.out, args.day)
     print(folder, write_csv_report(report, folder, reports.daily_report_order(), args.files), "rows")
@@ -152,6 +164,17 @@ def event_counts(spark: SparkSession, args) -> None:
     _served(spark, args, queries.start_event_counts, queries.start_closed_event_counts)
 
 
+def counts_with_late(spark: SparkSession, args) -> None:
+    """Counts as increments below ``--folder``, and messages that came too late in a side table there."""
+    messages = _messages(spark, args)
+    queries.await_all([late_rows.start_event_counts_with_late(messages, args.folder, args.checkpoint, _every(args))])
+
+
+def window_rankings(spark: SparkSession, args) -> None:
+    messages = _messages(stateful_session(spark, args.state_partitions), args)
+    queries.await_all([queries.start_closed_top_products(messages, args.folder, args.checkpoint, _every(args))])
+
+
 def top_products(spark: SparkSession, args) -> None:
     _served(spark, args, queries.start_top_products, queries.start_closed_product_counts)
 
@@ -180,15 +203,14 @@ def retire_versions(spark: SparkSession, args) -> None:
 
 def compact(spark: SparkSession, args) -> None:
     """Compact what the streams wrote since the last run, and let readers see it and what comes after."""
-    now = dt.datetime.now()
     for table, schema in ROUTED_TABLES.items():
-        print(table, compact_run(spark, f"{args.out}/{table}", f"{args.target}/{table}", schema, now), "files")
+        print(table, compact_run(spark, f"{args.out}/{table}", f"{args.target}/{table}", schema, args.as_of), "files")
     register_compacted(spark, {t: f"{args.out}/{t}" for t in ROUTED_TABLES}, args.target, args.database)
 
 
 def retire(spark: SparkSession, args) -> None:
     """Remove the originals of runs that are older than the grace period."""
-    before = dt.datetime.now() - dt.timedelta(hours=args.hours)
+    before = args.as_of - dt.timedelta(hours=args.hours)
     for table in ROUTED_TABLES:
         print(table, retire_originals(spark, f"{args.target}/{table}", before), "files removed")
 
@@ -241,6 +263,11 @@ def _parser() -> argparse.ArgumentParser:
     def date(name, default=None):
         return arg(name, type=dt.date.fromisoformat, default=default, required=default is None)
 
+    keys = [
+        arg("--keys", choices=["any", "unique", "quarantine"], default="any",
+            help="dimensions with a key twice: as they are, raise, or one row per key and the others to --quarantine"),
+        arg("--quarantine"),
+    ]
     folder, of = arg("--folder", required=True), arg("--of", choices=list(SERVED_KEYS), required=True)
 
     job("land", land, arg("--landing", required=True), raw, as_of, flag("--replace", "also with fewer files than before"),
@@ -254,8 +281,8 @@ def _parser() -> argparse.ArgumentParser:
     )
     job("merge-days", merge_days, warehouse, retail, date("--before"),
         flag("--remove", "what earlier merges replaced, when no reader uses it any more"))
-    job("marketing", marketing, warehouse, retail, out)
-    job("daily-report", daily, warehouse, retail, date("--day"), out, arg("--files", choices=["one", "many"], default="one"))
+    job("marketing", marketing, warehouse, retail, out, *keys)
+    job("daily-report", daily, warehouse, retail, date("--day"), out, *keys, arg("--files", choices=["one", "many"], default="one"))
     job(
         "routes", routes, source(queries.ROUTE_TRIGGER, "earliest"), out, stream,
         flag("--with-unrouted", "also what reaches no table"), flag("--single-read", "read and parse the source once"),
@@ -263,11 +290,15 @@ def _parser() -> argparse.ArgumentParser:
     job("kpis", kpis, out, stream, arg("--results", required=True))
     job("event-counts", event_counts, source(queries.EVENT_COUNT_TRIGGER, "latest"), store)
     job("top-products", top_products, source(queries.TOP_PRODUCTS_TRIGGER, "latest"), store)
+    job("counts-with-late", counts_with_late, source(queries.EVENT_COUNT_TRIGGER, "latest"), folder)
+    job("window-rankings", window_rankings, source(queries.TOP_PRODUCTS_TRIGGER, "latest"), folder,
+        arg("--state-partitions", type=int, required=True))
     job("latest-window", latest_window, folder, out)
     job("versions-view", versions_view, of, arg("--view", required=True), arg("--jdbc-table", required=True))
     job("retire-versions", retire_versions, of, folder)
-    job("compact", compact, out, arg("--target", required=True), stream)
-    job("retire", retire, arg("--target", required=True), arg("--hours", type=float, required=True))
+    now = arg("--as-of", type=dt.datetime.fromisoformat, required=True, help="time that runs are noted with")
+    job("compact", compact, out, arg("--target", required=True), stream, now)
+    job("retire", retire, arg("--target", required=True), now, arg("--hours", type=float, required=True))
     return parser
 
 

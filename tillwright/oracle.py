@@ -227,6 +227,17 @@ _AGENT_ROWS = _with(AGENTS, body="""SELECT sales_person_id, name, CAST(hire_date
 
 _ALL_EVENTS = _with(EVENTS, body="""SELECT * FROM parsed WHERE "eventType" <> 'error'""")
 
+#: Clicks come after all else: those in windows that the watermark had closed by then are late.
+_LATE_CLICK = """"eventType" = 'recommendationClick' AND time_bucket(INTERVAL 10 MINUTE, "timestamp") + INTERVAL 10 MINUTE <=
+  (SELECT max("timestamp") - INTERVAL 2 MINUTE FROM parsed WHERE "eventType" <> 'recommendationClick')"""
+
+_CHANGED_CUSTOMERS = f"""
+customers AS ({_dimension('customer')}),
+changed AS (
+  SELECT * FROM customers
+  UNION ALL SELECT * REPLACE ('Renamed' AS customer_fname) FROM customers WHERE customer_id % 5 = 0
+  UNION ALL SELECT * FROM customers WHERE customer_id % 10 = 0)"""
+
 ORACLE: dict[str, str] = {
     "clean_sales": _with(SALES, body="SELECT * EXCLUDE (city, state) FROM sales"),
     **{f"dim_{name}": _with(SALES, body=_dimension(name)) for name in DIMENSIONS},
@@ -406,6 +417,37 @@ ORACLE: dict[str, str] = {
         EVENTS, _windows(30, "productId", "\"eventType\" = 'productView'"),
         body='SELECT * FROM windows ORDER BY "count" DESC, window_start, "productId" LIMIT 5',
     ),
+    "stream_top_products_per_window": _with(
+        EVENTS, _windows(30, "productId", "\"eventType\" = 'productView'"),
+        """ranked AS (
+             SELECT *, CAST(row_number() OVER (PARTITION BY window_end ORDER BY "count" DESC, "productId") AS INTEGER) AS rank
+             FROM windows WHERE window_end <=
+               (SELECT max("timestamp") - INTERVAL 30 MINUTE FROM parsed WHERE "eventType" = 'productView'))""",
+        body="SELECT * FROM ranked WHERE rank <= 5",
+    ),
+    "stream_late_side_table": _with(
+        EVENTS,
+        body=f"""SELECT '{{"eventType":"recommendationClick","customerId":"' || "customerId" || '","timestamp":"'
+                        || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') || '","recommendedProductId":"'
+                        || "recommendedProductId" || '","algorithm":"' || algorithm || '"' || '}}' AS value, "eventType", "timestamp",
+                        time_bucket(INTERVAL 10 MINUTE, "timestamp") + INTERVAL 10 MINUTE AS window_end
+                 FROM parsed WHERE {_LATE_CLICK}""",
+    ),
+    "stream_counts_beside_late": _with(
+        EVENTS, _windows(10, "eventType", f"NOT ({_LATE_CLICK})"), body="SELECT * FROM windows"
+    ),
+    "dimension_key_violations": _with(
+        SALES, _CHANGED_CUSTOMERS,
+        body="""SELECT customer_id, count(*) AS row_count,
+                       count(DISTINCT (customer_fname, customer_lname, customer_email)) AS version_count
+                FROM changed GROUP BY customer_id HAVING count(*) > 1""",
+    ),
+    "dimension_unique_keys": _with(
+        SALES, _CHANGED_CUSTOMERS,
+        body="""SELECT *, row_number() OVER (
+                  PARTITION BY customer_id ORDER BY customer_fname, customer_lname, customer_email NULLS FIRST) = 1 AS kept
+                FROM changed""",
+    ),
     "stream_top_products_latest_window": _with(
         EVENTS, _windows(30, "productId", "\"eventType\" = 'productView'"),
         """closed AS (SELECT * FROM windows WHERE window_end <=

@@ -14,6 +14,7 @@ from tillwright.operators import dimensions as dims
 from tillwright.operators.cleaning import clean_sales
 from tillwright.operators.fact import DATE_PARTITIONS, FACT_COLUMNS, sales_fact, with_date_partitions
 from tillwright.operators.incremental import new_rows
+from tillwright.operators.key_checks import key_violations, unique_keys
 from tillwright.plans import reports
 from tillwright.plans.hourly_load import load_hour, load_hour_dimensions
 from tillwright.plans.kpis import KPIS
@@ -33,7 +34,7 @@ from tillwright.sources import sample_feed as feed
 from tillwright.sources import sample_tables as sample
 from tillwright.sources.events import event_source
 from tillwright.sources.raw_zone import HOUR, hour_path, land_group, land_hour, read_group, read_raw_zone, write_csv
-from tillwright.streaming import parse, queries, serving, window_counts
+from tillwright.streaming import late_rows, parse, queries, serving, window_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -684,6 +685,64 @@ def stream_top_products_latest_window(spark, sf_dir):
     return _wall_clock(window_counts.top_of_latest_window(counts))
 
 
+def stream_top_products_per_window(spark, sf_dir):
+    """The ranking of every closed window, made inside the stream."""
+
+    def start(messages, out, checkpoint):
+        return queries.start_closed_top_products(messages, out, checkpoint, every=None)
+
+    out = _replay(spark, sf_dir, _in_time_order, start)
+    schema = "window_start timestamp, window_end timestamp, rank int, productId string, count long"
+    return _wall_clock(spark.read.schema(schema).parquet(out))
+
+
+def _with_late(spark, sf_dir) -> str:
+    """Clicks arrive after everything else; returns the folder of the counts and of what was late."""
+
+    def start(messages, out, checkpoint):
+        return late_rows.start_event_counts_with_late(messages, out, checkpoint, every=None)
+
+    clicked = F.col("event_type") == "click"
+    return _replay(spark, sf_dir, lambda log: [~clicked, clicked], start)
+
+
+def stream_late_side_table(spark, sf_dir):
+    """The messages that came too late for their window."""
+    late = late_rows.read_late(spark, _with_late(spark, sf_dir))
+    return _wall_clock(late.select("value", "eventType", "timestamp", "window_end"))
+
+
+def stream_counts_beside_late(spark, sf_dir):
+    """Counts of what was in time; with the side table they add up to all events."""
+    out = _with_late(spark, sf_dir)
+    batches = late_rows.read_batches(spark, out).agg(F.sum("read"), F.sum(F.col("counted") + F.col("late") + F.col("timeless")))
+    read, told = batches.first()
+    if read != told or read != sample.sample_table(spark, sf_dir, "events").count():
+        raise AssertionError("rows were lost")
+    return _wall_clock(late_rows.counts(late_rows.read_increments(spark, out)))
+
+
+def dimension_key_violations(spark, sf_dir):
+    """Customers with several rows, of whom some have several versions."""
+    return key_violations(_changed_customers(spark, sf_dir), "customer_id")
+
+
+def _changed_customers(spark, sf_dir) -> DataFrame:
+    """Every fifth customer once more under another name, and every tenth twice the same."""
+    customers = _customers(spark, sf_dir)
+    renamed = customers.where(F.col("customer_id") % 5 == 0).withColumn("customer_fname", F.lit("Renamed"))
+    again = customers.where(F.col("customer_id") % 10 == 0)
+    return customers.unionByName(renamed).unionByName(again)
+
+
+def dimension_unique_keys(spark, sf_dir):
+    """The same customers for a report: one row per key, the others in quarantine."""
+    folder = work_folder(spark, "quarantine")
+    kept = unique_keys(_changed_customers(spark, sf_dir), "customer_id", "customer_Dim", folder)
+    beyond = spark.read.schema(kept.schema).parquet(f"{folder}/customer_Dim")
+    return kept.withColumn("kept", F.lit(True)).unionByName(beyond.withColumn("kept", F.lit(False)))
+
+
 QUERIES: dict[str, Query] = {
     "clean_sales": clean_sales_query,
     "dim_customer": _customers,
@@ -743,4 +802,9 @@ QUERIES: dict[str, Query] = {
     "stream_late_data": stream_late_data,
     "stream_top_products": stream_top_products,
     "stream_top_products_latest_window": stream_top_products_latest_window,
+    "stream_top_products_per_window": stream_top_products_per_window,
+    "stream_late_side_table": stream_late_side_table,
+    "stream_counts_beside_late": stream_counts_beside_late,
+    "dimension_key_violations": dimension_key_violations,
+    "dimension_unique_keys": dimension_unique_keys,
 }

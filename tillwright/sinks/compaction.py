@@ -13,14 +13,13 @@ once at any time, new ones included.  Originals are removed some time after thei
 from __future__ import annotations
 
 import datetime as dt
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillwright.sinks.files import delete
+from tillwright.sinks.files import children, delete
 
 TARGET_BYTES = 512 << 20
 
@@ -55,8 +54,8 @@ def compact_folder(
     return after.count()
 
 
-#: What a run notes of each original: its name as Spark lists it, the run, and when that was.
-NOTES = "path string, run int, at timestamp"
+#: What a run notes of each original: its name as Spark lists it, when that was, and the run, which is the notes' folder.
+NOTES = "path string, at timestamp, run int"
 
 
 def _notes(spark: SparkSession, target: str) -> DataFrame:
@@ -68,8 +67,19 @@ def _notes(spark: SparkSession, target: str) -> DataFrame:
         return spark.createDataFrame([], NOTES)
 
 
+def _noted_runs(spark: SparkSession, target: str) -> list[int]:
+    """Runs whose notes are whole, oldest first."""
+    runs = [name.removeprefix("run=") for name in children(spark, f"{target}/notes") if name.startswith("run=")]
+    return sorted(int(run) for run in runs if "_SUCCESS" in children(spark, f"{target}/notes/run={run}"))
+
+
 def _last_run(spark: SparkSession, target: str) -> int:
-    return _notes(spark, target).agg(F.coalesce(F.max("run"), F.lit(0))).first()[0]
+    return max(_noted_runs(spark, target), default=0)
+
+
+def _uniform(path: Column | str) -> Column:
+    """Spark lists local files as ``file:///x`` and reads them as ``file:/x``."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
 
 
 def compact_run(
@@ -78,31 +88,35 @@ def compact_run(
     """Pack what is in ``source`` and was in no run before; returns how many files that were.
 
     ``source`` may hold folders of files, as the router writes them.  Of a stream's folder only
-    finished files are taken.
+    finished files are taken.  What is there and what was noted are joined as tables; only the names of the run's own
+    files come to the driver, which has to name them to the reader.  Rows are counted in the pass that writes them.
     """
     session = _packing(spark, target_bytes)
-    options = {"recursiveFileLookup": "true", "ignoreMissingFiles": "true"}
-    listed = session.read.schema(schema).options(**options).parquet(source).inputFiles()
-    noted = {row["path"] for row in _notes(session, target).select("path").toLocalIterator()}
-    new = [path for path in listed if path not in noted]
+    # Only listed: the contents are a column that nothing reads.
+    listed = session.read.format("binaryFile").options(recursiveFileLookup=True, ignoreMissingFiles=True).load(source)
+    listed = listed.where(F.col("path").endswith(".parquet")).select(_uniform("path").alias("path"))
+    noted = _notes(session, target).select(_uniform("path").alias("path"))
+    new = sorted(row["path"] for row in listed.join(noted, "path", "left_anti").collect())
     if not new:
         return 0
     run = _last_run(session, target) + 1
     data = f"{target}/data/run={run}"
-    before = session.read.schema(schema).parquet(*map(unquote, new))
+    before, counted = session.read.schema(schema).parquet(*new), None
+    if not before.isEmpty():  # a write that adaptive execution finds empty measures nothing
+        counted = Observation()
+        before = before.observe(counted, F.count(F.lit(1)).alias("rows"))
     before.write.mode("overwrite").parquet(data)
-    if before.count() != session.read.schema(schema).parquet(data).count():
+    if (counted.get["rows"] if counted else 0) != session.read.schema(schema).parquet(data).count():
         raise RuntimeError(f"{data} does not hold the rows of {source}; readers still use the originals")
-    notes = session.createDataFrame([(path, run, now) for path in new], NOTES)
-    notes.coalesce(1).write.mode("append").parquet(f"{target}/notes")
+    notes = session.createDataFrame([(path, now) for path in new], "path string, at timestamp")
+    notes.coalesce(1).write.mode("overwrite").parquet(f"{target}/notes/run={run}")
     return len(new)
 
 
 def view_compacted(spark: SparkSession, view: str, files: str, target: str, schema: StructType) -> None:
     """``view`` over all runs and the rows of table ``files`` that no run has noted."""
     columns = ", ".join(f"`{name}`" for name in schema.names)
-    # Spark lists local files as file:///x and reads them as file:/x.
-    path = "regexp_replace(f._metadata.file_path, '^file:/+', 'file:///')"
+    path = "regexp_replace(url_decode(replace(f._metadata.file_path, '+', '%2B')), '^file:/+', 'file:///')"
     run = _last_run(spark, target)
     if not run:
         spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM {files}")
@@ -116,9 +130,22 @@ def view_compacted(spark: SparkSession, view: str, files: str, target: str, sche
 
 
 def retire_originals(spark: SparkSession, target: str, before: dt.datetime) -> int:
-    """Remove the originals of runs made before a time; returns how many were still there."""
-    old = _notes(spark, target).where(F.col("at") < F.lit(before)).select("path")
-    return sum(delete(spark, unquote(row["path"])) for row in old.toLocalIterator())
+    """Remove the originals of runs made before a time; returns how many were still there.
+
+    Notes of originals that are gone say nothing more.  Those of a run that an earlier call found old are dropped, but
+    for the newest run's, whose number the next one follows; so neither notes nor this walk grow with the stream's age.
+    """
+    old = _notes(spark, target).where(F.col("at") < F.lit(before))
+    runs = {row["run"] for row in old.select("run").distinct().collect()}
+    removed, gone = 0, []
+    for run in sorted(runs):
+        found = [delete(spark, row["path"]) for row in old.where(F.col("run") == run).select("path").toLocalIterator()]
+        removed += sum(found)
+        if not any(found) and run != _last_run(spark, target):
+            gone.append(run)
+    for run in gone:
+        delete(spark, f"{target}/notes/run={run}")
+    return removed
 
 
 def row_checksum(rows: DataFrame) -> int:

@@ -19,6 +19,7 @@ from tillwright.streaming.window_counts import (
     flat_window,
     product_view_counts,
     top_products,
+    top_products_per_window,
 )
 
 # Pause between micro-batches of each kind of query.
@@ -128,6 +129,15 @@ def start_closed_product_counts(
     return start_file_sink(flat_window(counts, "productId"), folder, checkpoint, every)
 
 
+def start_closed_top_products(
+    messages: DataFrame, folder: str, checkpoint: str, every: str | None = TOP_PRODUCTS_TRIGGER
+) -> StreamingQuery:
+    """The ranking of each window, written once, when the watermark closes the window; no batch job follows."""
+    return start_file_sink(
+        top_products_per_window(parse_events(messages, fields=PRODUCT_COUNT_FIELDS)), folder, checkpoint, every
+    )
+
+
 def await_all(queries: list[StreamingQuery], poll_seconds: float = 0.2) -> None:
     """Wait until all queries ended; the first failure stops the others and is raised.
 

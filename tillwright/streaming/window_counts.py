@@ -53,6 +53,37 @@ def top_products(events: DataFrame, rows: int = TOP_PRODUCTS) -> DataFrame:
     return product_view_counts(events).orderBy(F.desc("count"), "window.start", "productId").limit(rows)
 
 
+#: Groups that the products of a window are ranked in first.
+RANKING_PARTS = 64
+
+
+def top_products_per_window(events: DataFrame, rows: int = TOP_PRODUCTS, parts: int = RANKING_PARTS) -> DataFrame:
+    """The most viewed products of every closed window, ranked inside the stream.
+
+    Stateful aggregations in a chain, for append mode: counts per window and product, the best of each of
+    ``parts`` groups of a window's products, and the best of those.  Each drops a window's state when the watermark
+    closes it, and no group holds all products of a window.  Ties go by product; views without product count
+    as one.
+    """
+    counts = product_view_counts(events)
+    best_first = F.struct((-F.col("count")).alias("minus"), "productId")
+    ranked = lambda lists: F.slice(F.sort_array(lists), 1, rows)
+    part = F.pmod(F.xxhash64("productId"), F.lit(parts)).alias("part")
+    in_parts = counts.groupBy(_window_again(), part).agg(ranked(F.collect_list(best_first)).alias("best"))
+    whole = in_parts.groupBy(_window_again()).agg(ranked(F.flatten(F.collect_list("best"))).alias("best"))
+    return whole.select(
+        F.col("window")["start"].alias("window_start"), F.col("window")["end"].alias("window_end"), F.posexplode("best")
+    ).select(
+        "window_start", "window_end", (F.col("pos") + 1).alias("rank"), F.col("col.productId").alias("productId"),
+        (-F.col("col.minus")).alias("count"),
+    )
+
+
+def _window_again():
+    """The window that an earlier aggregation counted by, as a window of the next one."""
+    return F.window(F.window_time("window"), TOP_PRODUCTS_WINDOW)
+
+
 def top_of_latest_window(counts: DataFrame, rows: int = TOP_PRODUCTS) -> DataFrame:
     """Highest counts of the newest closed window in served append-mode counts."""
     newest = counts.agg(F.max("window_end").alias("window_end"))
