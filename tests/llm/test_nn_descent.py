@@ -77,11 +77,38 @@ def test_rows_that_take_no_part(spark, table):
     inf, nan = float("inf"), float("nan")
     vectors = [[1, 2], None, [0, 0], [1, None], [nan, 1], [inf, 1], [], [3, 1], [1, 2, 3], [2, 2]]
     frame = table(vectors, [0, 1, 2, 3, 4, 5, 6, 20, 40, None]).withColumns({"id": F.lit(1), "rank": F.lit("x"), "vector": F.lit(2)})
-    frame = frame.union(frame.where("vec_id = 0"))
     assert {q: [i for i, _ in a] for q, a in found(nd.nearest(spark, frame)).items()} == {0: [20], 20: [0]}
     assert nd.nearest(spark, table([])).collect() == [] and nd.nearest(spark, table([[1, 2]])).collect() == []
 
 
+def test_rows_with_one_id_are_queries_and_candidates_each(spark, table):
+    rows = nd.nearest(spark, table([[1, 0], [0, 1], [1, 0], [2, 2]], [20, 20, 20, 7])).collect()
+    answers = sorted((row.query_id, row["rank"], row.vec_id, row.score) for row in rows if row.query_id == 20)
+    first, second = [(7, 2.0), (20, 1.0), (20, 0.0)], [(7, 2.0), (20, 0.0), (20, 0.0)]
+    assert answers == sorted((20, k, *pair) for pairs in (first, second, first) for k, pair in enumerate(pairs, 1))
+
+
+@pytest.mark.parametrize("times", [3_000, 100_000])
+def test_recall_does_not_depend_on_one_long_vector(spark, table, times):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((6000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors[17] *= times
+    got, want = found(nd.nearest(spark, table(vectors))), exact(vectors, 20, 20)
+    assert set(got) == set(want) and recall(got, want) >= 0.9
+    assert all(17 in {i for i, _ in got[q]} for q, answer in want.items() if 17 in {i for i, _ in answer})
+
+
+def test_recall_with_lengths_of_many_sizes(spark, table, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 150)
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((20, 16))
+    vectors = centres[rng.integers(0, 20, 1600)] + 0.4 * rng.standard_normal((1600, 16))
+    vectors *= np.where(rng.random(1600) < 0.4, 1.0, 2.0 ** rng.integers(-9, 3, 1600))[:, None]
+    got, want = found(nd.nearest(spark, table(vectors))), exact(vectors, 20, 20)
+    assert set(got) == set(want) and recall(got, want) >= 0.9
+
+
 def test_trees_are_balanced_and_deal_out_every_row():
     rng = np.random.default_rng(3)
     vectors = rng.standard_normal((1000, 5)).astype(np.float32)

@@ -3,7 +3,9 @@
 **Items.**  Equal vectors are one item, so copies neither fill neighbour lists nor tear the graph.
 For the largest inner product, each vector gets one more component that makes all lengths equal;
 then the nearest is the one with the largest product, and neighbours of neighbours are likely
-neighbours.
+neighbours.  That component would drown the others of a vector much shorter than the longest, so items are
+parted in bands whose lengths differ by less than a factor of two, each with a graph of its own, scaled by its
+longest.  A band other than the most numerous with at most a block of items is scored whole against all queries.
 
 **Start.**  Trees of median splits, fitted on a bounded sample, deal all items into leaves; a leaf
 with many items is dealt on at random.  Inside a block of a few hundred items the nearest are found exactly.
@@ -15,12 +17,15 @@ a neighbour gathers them in several groups, each with its own neighbours.
 
 **Search.**  A query walks the graph from its own place: the best items found so far that have not been
 expanded give their neighbours, these are scored, the best stay.  Walks of all queries go in
-rounds of joins.  What they end with is scored again in double precision on the original vectors.
+rounds of joins.  In a band that is not its own, the query takes part as one more item of the band's length.
+What walks end with is scored again in double precision on the original vectors.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +38,12 @@ NEIGHBOURS = 32
 #: Trees, items they are fitted on (at most), and items in a block.
 TREES, SAMPLE, BLOCK = 16, 8192, 2048
 LEAST_IN_LEAF = 16
-#: Rounds end when all lists together gain less than this share of their nearness, or after so many.
+#: Rounds end when all lists together gain less than this share of their nearness, or, with a warning, after so many.
 LEAST_GAIN, ROUNDS = 0.002, 10
 #: Items gathered in one group of an item with many.
 GROUP = 64
 #: Best items a walk keeps, and those it expands in a round.  It ends when all that it keeps are
-#: expanded, or after so many rounds.
+#: expanded, or, with a warning, after so many rounds.
 KEPT, EXPANDED, HOPS = 96, 32, 12
 #: Longest vectors that every walk looks at first: products are often largest with them.
 LONGEST = 32
@@ -59,16 +64,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def usable(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``vec_id`` and ``vector`` (doubles) of the rows that take part.
 
-    Not those without id, and not vectors that are NULL, zero or hold a NULL, NaN or infinity.  Rows
-    with the same id count as one, with the least vector.
+    Not those without id, and not vectors that are NULL, zero or hold a NULL, NaN or infinity.
     """
     rows = vectors.select(
         F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
     )
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     sound = F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0)
-    rows = rows.where(F.coalesce(sound, F.lit(False)))
-    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    return rows.where(F.coalesce(sound, F.lit(False)))
 
 
 def inner(a: str, b: str) -> Column:
@@ -264,6 +267,8 @@ def walk(
         state = stored(spark, _hop(state, items, graph, also if hop == 0 else [], kept), "walks")
         if state.where(F.exists("done", lambda done: ~done)).isEmpty():
             break
+    else:
+        warnings.warn(f"walks ended after {HOPS} rounds with items left to expand", stacklevel=2)
     return state.select("query", "nodes")
 
 
@@ -312,19 +317,33 @@ def _hop(state: DataFrame, items: DataFrame, graph: DataFrame, also: list[int],
 # All together ----------------------------------------------------------------------------------
 
 
-def build(spark: SparkSession, vectors: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Stored tables: ``members`` (vec_id, id), ``originals`` (id, vector), ``items`` (id, vec) and the graph."""
-    rows = stored(spark, usable(vectors), "vectors")
+def gather(spark: SparkSession, vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: ``members`` (row, vec_id, id), a row each, and ``originals`` (id, vector, length, band), an item each."""
+    rows = stored(spark, usable(vectors).withColumn("row", F.monotonically_increasing_id()), "vectors")
     # Only vectors of the commonest length are comparable.
-    lengths = rows.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"))
-    common = lengths.orderBy(F.desc("n"), "size").first()
+    sizes = rows.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"))
+    common = sizes.orderBy(F.desc("n"), "size").first()
     if common:
         rows = rows.where(F.size("vector") == common["size"])
-    firsts = rows.groupBy("vector").agg(F.min("vec_id").alias("id"))
-    originals = stored(spark, firsts.select("id", "vector"), "originals")
-    members = stored(spark, rows.join(originals, "vector").select("vec_id", "id"), "members")
-    largest, count = originals.agg(F.max(F.sqrt(inner("vector", "vector"))), F.count("*")).first()
-    items = stored(spark, originals.mapInArrow(_augmented(largest or 1.0), "id long, vec binary"), "items")
+    firsts = rows.groupBy("vector").agg(F.min("row").alias("id"))
+    # Scaled by the largest component, so that squares neither overflow nor vanish.
+    widest = F.array_max(F.transform("vector", F.abs))
+    unit = F.transform("vector", lambda x: x / widest)
+    items = stored(spark, firsts.select("id", "vector", (widest * F.sqrt(inner_of(unit))).alias("length")), "lengths")
+    longest = items.agg(F.max("length")).first()[0] or 1.0
+    band = F.floor(F.log2(F.lit(longest) / F.col("length"))).cast("int")
+    originals = stored(spark, items.withColumn("band", band), "originals")
+    members = stored(spark, rows.join(originals, "vector").select("row", "vec_id", "id"), "members")
+    return members, originals
+
+
+def inner_of(vector: Column) -> Column:
+    return F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x)
+
+
+def build(spark: SparkSession, scaled: DataFrame, largest: float, count: int, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: ``items`` (id, vec) and their graph, from ``count`` vectors that are at most ``largest`` long."""
+    items = stored(spark, scaled.mapInArrow(_augmented(largest), "id long, vec binary"), "items")
     graph = first_graph(spark, items, count)
     nearness = F.sum(F.aggregate("sims", F.lit(0.0), lambda total, sim: total + sim + 1.0))
     before = graph.agg(nearness).first()[0] or 0.0
@@ -334,7 +353,46 @@ def build(spark: SparkSession, vectors: DataFrame, rounds: int = ROUNDS) -> tupl
         if after <= before * (1 + LEAST_GAIN):
             break
         before = after
-    return members, originals, items, graph
+    else:
+        warnings.warn(f"descent ended after {rounds} rounds, before lists gained less than {LEAST_GAIN}", stacklevel=2)
+    return items, graph
+
+
+def _walked(spark: SparkSession, originals: DataFrame, starts: DataFrame, band: int, count: int, kept: int) -> DataFrame:
+    """``query, id``: what walks of all queries find in a band of ``count`` items."""
+    own = originals.where(F.col("band") == band)
+    lengths = own.orderBy(F.desc("length"), "id").limit(LONGEST).select("id", "length").collect()
+    largest = lengths[0]["length"]
+    guests = originals.where(F.col("band") != band).join(starts, "id")
+    guests = guests.select("id", F.transform("vector", lambda x: x / F.col("length") * F.lit(largest)).alias("vector"))
+    scaled = own.select("id", "vector").union(guests)
+    items, graph = build(spark, scaled, largest, count + guests.count())
+    found = walk(spark, items, graph, starts, [row["id"] for row in lengths], kept)
+    return found.select("query", F.explode("nodes").alias("id"))
+
+
+def _scored_whole(spark: SparkSession, originals: DataFrame, starts: DataFrame, bands: list[int], most: int) -> DataFrame:
+    """``query, id``: the best of some bands of at most a block each, by the products with all their items.
+
+    Ties with the last one are kept.
+    """
+    held = originals.where(F.col("band").isin(bands)).select("id", "vector").orderBy("id").collect()
+    ids = np.array([row["id"] for row in held], np.int64)
+    shared = spark.sparkContext.broadcast((ids, np.array([row["vector"] for row in held], np.float64)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix = shared.value
+        for batch in batches:
+            for query, vector in zip(batch.column("id").to_pylist(), batch.column("vector").to_pylist(), strict=True):
+                with np.errstate(over="ignore"):
+                    scores = matrix @ np.asarray(vector)
+                least = np.partition(scores, -most)[-most] if len(scores) > most else -np.inf
+                best = ids[scores >= least - 1e-9 * abs(least)] if np.isfinite(least) else ids
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(best), query, np.int64)), pa.array(best)], ["query", "id"]
+                )
+
+    return originals.select("id", "vector").join(starts, "id").mapInArrow(work, "query long, id long")
 
 
 def nearest(
@@ -342,34 +400,43 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id ``every`` divides, the ``most`` nearest found.
 
-    Nearest is the largest inner product in double precision; ties go to the smaller id, and a query is no
-    candidate of its own.  With fewer candidates all are returned.  Which rows take part is
-    said at :func:`usable`; of different lengths of vectors the commonest does.  Other columns are not read.
+    Nearest is the largest inner product in double precision; ties go to the smaller id, and a row is no
+    candidate of its own.  With fewer candidates all are returned.  Rows with the same id are queries and candidates each.  Which rows
+    take part is said at :func:`usable`; of different numbers of components the commonest does.  Other columns are not read.
     """
     renamed = vectors.select(F.col(id_column).alias("vec_id"), F.col(vector).alias("embedding"))
-    members, originals, items, graph = build(spark, renamed)
+    members, originals = gather(spark, renamed)
     asked = members.where(F.pmod("vec_id", F.lit(every)) == 0)
     starts = stored(spark, asked.select("id").distinct(), "starts")
-    lengths = originals.select("id", inner("vector", "vector").alias("length"))
-    longest = [row["id"] for row in lengths.orderBy(F.desc("length"), "id").limit(LONGEST).collect()]
-    found = walk(spark, items, graph, starts, longest, max(KEPT, most + 1))
-    pairs = found.select("query", F.explode("nodes").alias("id"))
-    scored = pairs.join(originals, "id").join(
+    counts = originals.groupBy("band").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "band").collect()
+    kept, pairs, small = max(KEPT, most + 1), [], []
+    for place, row in enumerate(counts):  # bands are powers of two between the shortest and the longest
+        if place and row["n"] <= BLOCK:
+            small.append(row["band"])
+        else:
+            pairs.append(_walked(spark, originals, starts, row["band"], row["n"], kept))
+    for first in range(0, len(small), 16):
+        pairs.append(_scored_whole(spark, originals, starts, small[first : first + 16], most + 1))
+    if not pairs:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = reduce(DataFrame.union, pairs)
+    found = found.distinct() if len(pairs) > 1 else found
+    scored = found.join(originals.select("id", "vector"), "id").join(
         originals.select(F.col("id").alias("query"), F.col("vector").alias("asked")), "query"
     ).select("query", "id", inner("vector", "asked").alias("score"))
     # Copies of an item: the first ones in order of id are enough, the query itself among them.  A
     # hot item is cut down per part first.
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(64))
+    part = F.pmod(F.xxhash64("row"), F.lit(64))
     for keys in (["id", part], ["id"]):
-        order = Window.partitionBy(*keys).orderBy("vec_id")
+        order = Window.partitionBy(*keys).orderBy("vec_id", "row")
         members_cut = (members if len(keys) == 2 else members_cut).withColumn("nth", F.row_number().over(order))
         members_cut = members_cut.where(F.col("nth") <= most + 1).drop("nth")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     per_item = scored.join(members_cut, "id").withColumn("nth", F.row_number().over(order))
-    best = per_item.where(F.col("nth") <= most + 1).select("query", "vec_id", "score")
-    answers = asked.select(F.col("vec_id").alias("query_id"), F.col("id").alias("query")).join(best, "query")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best = per_item.where(F.col("nth") <= most + 1).select("query", "row", "vec_id", "score")
+    queries = asked.select(F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), F.col("id").alias("query"))
+    answers = queries.join(best, "query").where("row != query_row")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row"))
     return (
-        answers.where("vec_id != query_id").withColumn("rank", rank).where(F.col("rank") <= most)
-        .select("query_id", "rank", "vec_id", "score")
+        answers.withColumn("rank", rank).where(F.col("rank") <= most).select("query_id", "rank", "vec_id", "score")
     )
