@@ -15,18 +15,28 @@ from tillwright.session import work_folder
 
 
 #: Words that the Python workers remember, which they share with the stages before.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 50_000
+#: Workers serve all stages, so what a task frees goes back to the system instead of staying with the worker.
+WORKER_MEMORY = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576",
+}
+
+
+def _prepare(spark: SparkSession) -> None:
+    prepare_workers(spark)
+    for name, value in WORKER_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that their rules or their host's record reject."""
-    prepare_workers(spark)
+    _prepare(spark)
     return host_quality.keep_good(spark, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
-    prepare_workers(spark)
+    _prepare(spark)
     return bag_minhash.keep_one(spark, docs)
 
 
@@ -37,7 +47,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids whose lengths are powers of two."""
-    prepare_workers(spark)
+    _prepare(spark)
     return binary_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), memo_words=MEMO_WORDS)
 
 
