@@ -359,6 +359,46 @@ def test_retired_versions_leave_what_readers_see(spark, tmp_path, closed):
     assert see() == before and read().count() == (1 if closed else 2)
 
 
+def _bucket_files(folder):
+    return {path.relative_to(folder).as_posix() for path in folder.rglob("*.parquet")}
+
+
+def test_retiring_leaves_buckets_at_rest(spark, tmp_path):
+    folder, schema = tmp_path / "v", "window_start timestamp, key string, count long, batch_id long"
+    write = serving.version_writer(
+        lambda batch: batch, "parquet", {"path": str(folder)}, bucket=serving.day_bucket()
+    )
+    first, second, third = at("2024-01-01T10:00:00"), at("2024-01-02T10:00:00"), at("2024-01-03T10:00:00")
+    batches = [
+        [(first, "a", 1), (first, None, 2), (None, "a", 9)],
+        [(first, "b", 1), (second, "a", 1)],
+        [(second, "a", 3), (third, "a", 1), (third, "b", 1)],
+        [(third, "a", 2)],
+    ]
+    for number, rows in enumerate(batches):
+        write(spark.createDataFrame(rows, "window_start timestamp, key string, count long"), number)
+    write(spark.createDataFrame(batches[3], "window_start timestamp, key string, count long"), 3)  # replayed
+    keys = ["window_start", "key"]
+    read = lambda: spark.read.schema(schema).parquet(str(folder))
+    see = lambda: sorted(map(str, serving.latest_versions(read(), keys).collect()))
+    before, files, day = see(), _bucket_files(folder), lambda n: f"bucket={19723 + n}/"
+    assert len(before) == 7 and all("bucket" not in row for row in before)
+    assert {name.split("/")[0] + "/" for name in files} == {day(0), day(1), day(2), "bucket=-1/"}
+
+    assert serving.retire_buckets(spark, str(folder), keys, schema) == 5  # two of the second day, three of the third
+    kept = _bucket_files(folder)
+    assert see() == before and read().count() == 7
+    # The first day has files of two batches and no key twice: nothing to cut, so they stay.
+    rest = {name for name in files if name.startswith((day(0), "bucket=-1/"))}
+    assert len(rest) == 3 and rest <= kept and not (kept - rest) & files
+    assert serving.retire_buckets(spark, str(folder), keys, schema) == 0 and _bucket_files(folder) == kept
+
+    write(spark.createDataFrame([(third, "b", 7)], "window_start timestamp, key string, count long"), 4)
+    assert serving.retire_buckets(spark, str(folder), keys, schema) == 2
+    changed = kept ^ _bucket_files(folder)
+    assert changed and all(name.startswith(day(2)) for name in changed) and read().count() == 7
+
+
 def test_batch_and_stream_agree(spark, inbox, tmp_path):
     texts = [view(f"p{n % 4}", time=f"2024-01-01T{10 + n // 60}:{n % 60:02}:00") for n in range(150)]
     for start in range(0, 150, 50):

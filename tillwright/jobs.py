@@ -11,6 +11,7 @@ import argparse
 import datetime as dt
 import os
 import sys
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -161,7 +162,10 @@ def _served(spark: SparkSession, args, start, start_closed) -> None:
 
 
 def event_counts(spark: SparkSession, args) -> None:
-    _served(spark, args, queries.start_event_counts, queries.start_closed_event_counts)
+    if args.buckets and (args.closed or not args.folder):
+        raise SystemExit("--buckets is for versions in a --folder")
+    start = partial(queries.start_event_counts, buckets=args.buckets)
+    _served(spark, args, start, queries.start_closed_event_counts)
 
 
 def counts_with_late(spark: SparkSession, args) -> None:
@@ -198,6 +202,11 @@ def retire_versions(spark: SparkSession, args) -> None:
     if args.of == "event-counts":
         survivors = serving.newest_versions_with_batch([*SERVED_WINDOW, key])
     schema = f"{SERVED}, {key} string, count long, batch_id long"
+    if args.buckets:
+        if args.of != "event-counts":
+            raise SystemExit("--buckets is for event-counts; a batch of top-products replaces all before it")
+        print(serving.retire_buckets(spark, args.folder, [*SERVED_WINDOW, key], schema), "files removed")
+        return
     print(serving.retire_versions(spark, args.folder, survivors, schema), "files removed")
 
 
@@ -269,6 +278,7 @@ def _parser() -> argparse.ArgumentParser:
         arg("--quarantine"),
     ]
     folder, of = arg("--folder", required=True), arg("--of", choices=list(SERVED_KEYS), required=True)
+    buckets = flag("--buckets", "versions of event-counts lie in a folder for each day of windows")
 
     job("land", land, arg("--landing", required=True), raw, as_of, flag("--replace", "also with fewer files than before"),
         flag("--late", "older files too that are in no hour"),
@@ -288,14 +298,14 @@ def _parser() -> argparse.ArgumentParser:
         flag("--with-unrouted", "also what reaches no table"), flag("--single-read", "read and parse the source once"),
     )
     job("kpis", kpis, out, stream, arg("--results", required=True))
-    job("event-counts", event_counts, source(queries.EVENT_COUNT_TRIGGER, "latest"), store)
+    job("event-counts", event_counts, source(queries.EVENT_COUNT_TRIGGER, "latest"), store, buckets)
     job("top-products", top_products, source(queries.TOP_PRODUCTS_TRIGGER, "latest"), store)
     job("counts-with-late", counts_with_late, source(queries.EVENT_COUNT_TRIGGER, "latest"), folder)
     job("window-rankings", window_rankings, source(queries.TOP_PRODUCTS_TRIGGER, "latest"), folder,
         arg("--state-partitions", type=int, required=True))
     job("latest-window", latest_window, folder, out)
     job("versions-view", versions_view, of, arg("--view", required=True), arg("--jdbc-table", required=True))
-    job("retire-versions", retire_versions, of, folder)
+    job("retire-versions", retire_versions, of, folder, buckets)
     now = arg("--as-of", type=dt.datetime.fromisoformat, required=True, help="time that runs are noted with")
     job("compact", compact, out, arg("--target", required=True), stream, now)
     job("retire", retire, arg("--target", required=True), now, arg("--hours", type=float, required=True))

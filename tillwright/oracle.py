@@ -403,6 +403,7 @@ ORACLE: dict[str, str] = {
                 WHERE window_end <= (SELECT max("timestamp") - INTERVAL 2 MINUTE FROM parsed)""",
     ),
     "stream_event_counts_update": _EVENT_COUNTS,
+    "stream_event_counts_retired": _EVENT_COUNTS,
     "stream_late_data": _with(
         EVENTS,
         _windows(

@@ -660,6 +660,20 @@ def stream_event_counts_update(spark, sf_dir):
     return _updated_counts(spark, sf_dir, _in_time_order)
 
 
+def stream_event_counts_retired(spark, sf_dir):
+    """Update mode into a store in buckets, cut to the newest versions twice; the second time finds none to cut."""
+    def start(messages, out, checkpoint):
+        return queries.start_event_counts(messages, "parquet", {"path": out}, checkpoint, every=None, buckets=True)
+
+    out, schema = _replay(spark, sf_dir, _in_time_order, start), _VERSIONS.format(key="eventType")
+    keys = ["window_start", "window_end", "eventType"]
+    serving.retire_buckets(spark, out, keys, schema)
+    if removed := serving.retire_buckets(spark, out, keys, schema):
+        raise ValueError(f"{removed} files of buckets at rest were removed")
+    # Every key is there once, so no newest version has to be looked for.
+    return _wall_clock(spark.read.schema(schema).parquet(out).drop(serving.BATCH, serving.BUCKET))
+
+
 def stream_late_data(spark, sf_dir):
     """Clicks arrive after everything else: those in closed windows are dropped."""
     clicked = F.col("event_type") == "click"
@@ -799,6 +813,7 @@ QUERIES: dict[str, Query] = {
     "batch_event_counts": batch_event_counts,
     "stream_event_counts": stream_event_counts,
     "stream_event_counts_update": stream_event_counts_update,
+    "stream_event_counts_retired": stream_event_counts_retired,
     "stream_late_data": stream_late_data,
     "stream_top_products": stream_top_products,
     "stream_top_products_latest_window": stream_top_products_latest_window,

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.schemas import ROUTED_TABLES
 from tillwright.streaming.parse import is_unrouted, parse_events, route, unrouted
-from tillwright.streaming.serving import version_writer
+from tillwright.streaming.serving import day_bucket, version_writer
 from tillwright.streaming.window_counts import (
     EVENT_COUNT_FIELDS,
     PRODUCT_COUNT_FIELDS,
@@ -95,11 +95,15 @@ def start_router(messages: DataFrame, root: str, checkpoint: str, every: str | N
 
 def start_event_counts(
     messages: DataFrame, kind: str, options: dict[str, str], checkpoint: str, every: str | None = EVENT_COUNT_TRIGGER,
-    tasks: int | None = None,
+    tasks: int | None = None, buckets: bool = False,
 ) -> StreamingQuery:
-    """Counts per window and event type in update mode, appended as versions to a ``kind`` store."""
+    """Counts per window and event type in update mode, appended as versions to a ``kind`` store.
+
+    With ``buckets`` a file store has a folder for each day of windows.
+    """
     counts = event_counts(parse_events(messages, fields=EVENT_COUNT_FIELDS))
-    write = version_writer(lambda batch: flat_window(batch, "eventType"), kind, options, tasks)
+    bucket = day_bucket() if buckets else None
+    write = version_writer(lambda batch: flat_window(batch, "eventType"), kind, options, tasks, bucket)
     return start_batch_sink(counts, write, "update", checkpoint, every)
 
 
