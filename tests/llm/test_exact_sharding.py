@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -60,7 +61,7 @@ def test_nulls_repeats_clashing_names_and_empty_tables(spark, docs):
     assert len(rows) == 4 and {r.partition for r in rows} == {"mine"} and {r.key for r in rows} == {5}
     assert sorted(Counter(r.shard for r in rows).values()) == [1, 1, 2]
     digests = {r.doc_id: (r["size"], r.text_crc32) for r in es.text_digests(made).collect()}
-    assert digests == {None: (1, 0), 1: (1, 0), 2: (3, 4242000435)} or digests[2][0] == 3
+    assert digests == {None: (1, 0), 1: (1, 0), 2: (3, zlib.crc32("é".encode()))}
     assert es.shuffle_into_shards(spark, docs()).collect() == []
 
 
