@@ -39,6 +39,28 @@ def test_all_rows_are_dealt_once_and_slots_are_gapless(spark, docs):
     assert sorted(map(len, slots.values())) == [124] * 3 + [125] * 5
 
 
+def test_dealing_equals_a_dealer_by_hand(spark, monkeypatch):
+    """Permuted partitions dealt row by row from the matrix, shards put in order of range and key."""
+    kept, stored = [], es.stored
+    monkeypatch.setattr(es, "stored", lambda *args: kept.append(stored(*args)) or kept[-1])
+    made = es.shuffle_into_shards(spark, spark.range(0, 700, numPartitions=6).where("id % 6 < 4"), 5, 11, ranges=4)
+    got = {r.id: (r.shard, r.slot) for r in made.collect()}
+    keyed = kept[0].withColumn("drawn", F.xxhash64(F.lit(11), "partition", "place"))
+    rows = sorted(keyed.collect(), key=lambda r: (r.partition, r.place))
+    counts = Counter(r.partition for r in rows)
+    assert [r.place for r in rows] == [k for p in sorted(counts) for k in range(counts[p])]
+    matrix = es.communication_matrix(counts, es.shard_sizes(len(rows), 5), 11)
+    hands = {p: [s for s, n in enumerate(line) for _ in range(n)] for p, line in matrix.items()}
+    shards = [[] for _ in range(5)]
+    for row in rows:
+        shards[hands[row.partition][row.place]].append((row.drawn % 4, row.drawn, row.partition, row.place, row.id))
+    assert got == {row[-1]: (s, k) for s, shard in enumerate(shards) for k, row in enumerate(sorted(shard))}
+
+
+def test_ranges_grow_with_the_partitions():
+    assert [es.ranges_for(p, 8) for p in (0, 1, 4096, 4097, 800_000)] == [512, 512, 512, 513, 100_000]
+
+
 def test_places_are_uniform(spark):
     """Rows of any partition and place spread over all shards and slots."""
     rows = es.shuffle_into_shards(spark, spark.range(0, 20_000, numPartitions=5), 8, ranges=32).collect()

@@ -23,7 +23,7 @@ from tillwright.llm.common import stored
 
 SHARDS = 8
 SEED = 20240901
-#: Ranges a shard is permuted in, each by one task.
+#: Least ranges a shard is permuted in, each by one task.
 RANGES = 512
 LAW = "rows"
 
@@ -89,6 +89,11 @@ def communication_matrix(counts: dict[int, int], sizes: list[int], seed: int = S
     return matrix
 
 
+def ranges_for(partitions: int, shards: int, least: int = RANGES) -> int:
+    """Ranges of a shard such that each holds no more than about an input partition."""
+    return max(least, -(-partitions // shards))
+
+
 def _free(name: str, taken: list[str]) -> str:
     """``name``, with underscores in front until no column has it."""
     while name.lower() in {column.lower() for column in taken}:
@@ -97,15 +102,15 @@ def _free(name: str, taken: list[str]) -> str:
 
 
 def shuffle_into_shards(
-    spark: SparkSession, frame: DataFrame, shards: int = SHARDS, seed: int = SEED, ranges: int = RANGES
+    spark: SparkSession, frame: DataFrame, shards: int = SHARDS, seed: int = SEED, ranges: int | None = None
 ) -> DataFrame:
     """All rows of ``frame`` with ``shard`` (0 to ``shards - 1``) and ``slot`` (gapless from 0 in its shard).
 
     The rows are stored once, permuted within their partition, with the partition and their place
     there; that freezes every random draw, so repeated tasks see the same ones.  One exchange then
     moves each row to one of ``ranges`` ranges of its shard, which is sorted by a second random
-    key.  Ranges are random too, so repeated rows and hot values spread as all others do; choose
-    ``ranges`` so that a shard's share of one fits a task.  On the driver are a line of ``shards``
+    key.  Ranges are random too, so repeated rows and hot values spread as all others do; unless
+    ``ranges`` is given, there are so many that one is about an input partition at most.  On the driver are a line of ``shards``
     numbers per partition and one number per shard and range.
 
     NULLs and repeated rows are rows like others.  An empty table gives no rows.  Columns of
@@ -123,6 +128,7 @@ def shuffle_into_shards(
     )
     rows = stored(spark, local, "permuted")
     counts = dict(rows.groupBy(partition).agg(F.count("*")).toLocalIterator())
+    ranges = ranges or ranges_for(len(counts), shards)
     matrix = communication_matrix(counts, shard_sizes(sum(counts.values()), shards), seed)
 
     # A line of the matrix as the ends of the runs that each shard gets from the permuted partition.
