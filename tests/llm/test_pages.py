@@ -143,6 +143,121 @@ def test_names_of_asides_make_them(start):
     assert pt.extract(pt.parse(f"{start}<p>no article"), None, set()) == ""
 
 
+@pytest.mark.parametrize(("inner", "want"), [
+    ("<section class='search-algorithms'>", "a\n\nb"), ("<div class='form-factor'>", "a\n\nb"), ("<div id='cookie-recipes'>", "a\n\nb"),
+    ("<div class='user-comments'>", "a"), ("<ul class='comment-list'>", "a"), ("<div class='share-buttons'>", "a"),
+    ("<div class='related-posts'>", "a"), ("<div class='ad-slot'>", "a"), ("<p class='notice'>", "a"), ("<div role=search>", "a"),
+])
+def test_names_inside_articles_say_what_their_head_is(inner, want):
+    assert pt.extract(pt.parse(f"<article><p>a</p>{inner}b"), None, set()) == want
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ('<p>x <a href="y" title="foo><b>link</b> z', "x link z"), ("<p title='a>x</p>", "x"), ('<p title="a>b">x</p>', "x"),
+    ("<p>x</p><a href='y", "x"), ("<p>x</p></div", "x"), ("<p>1 < 2 and 3 > 2", "1 < 2 and 3 > 2"), ("<p>x <!-- y > z", "x"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds", "so x=1 holds"),
+])
+def test_no_markup_stays_and_formulas_do(html, want):
+    assert pt.extract(pt.parse(html), None, set()) == want
+
+
+def test_a_long_run_of_open_tags_ends():
+    assert pt.extract(pt.parse("<p>x</p>" + "<a " * 300_000), None, set()) == "x"
+
+
+def unnamed(i, words):
+    links = "".join(f"<li><a href='/{k}'>place {k}</a></li>" for k in range(5))
+    legal = " ".join(f"clause {k} of the terms that everyone has to read" for k in range(10))
+    return (
+        f"<html><body><div class='x1'><ul>{links}</ul></div><div class='x2'><div class='x3'><p>Greetings to all.</p>"
+        f"<p>{words}</p><p>It was day {i}.</p></div></div><div class='x4'><div class='x5'><p>{legal}</p></div></div></body></html>"
+    )
+
+
+def test_slots_decide_on_hosts_without_names(spark, pages):
+    own = [f"Page {i} says {'so ' * 20 * (i + 1)}much." for i in range(12)]
+    htmls = [unnamed(i, words) for i, words in enumerate(own)]
+    want = [f"{words}\n\nIt was day {i}." for i, words in enumerate(own)]
+    assert texts(spark, pages, *htmls) == want
+    alone = [pt.extract(pt.parse(html), None, set()) for html in htmls]
+    assert all("clause 3" in text for text in alone)
+
+
+def test_a_name_with_little_of_the_slots_wins_nothing(spark, pages):
+    htmls = [
+        page(f"<div class='x'><p>{' '.join(f'word{i}x{k}' for k in range(40))}</p></div>", f"<article><p>teaser {i}</p></article>")
+        for i in range(10)
+    ]
+    found = texts(spark, pages, *htmls)
+    assert all(text.startswith(f"word{i}x0 ") and "teaser" not in text for i, text in enumerate(found))
+
+
+def explicit(pages_of_host, least_pages):
+    """Template elements with their slots and template texts, from whole occurrence vectors."""
+    seen = {}
+    for html in pages_of_host:
+        parsed = pt.parse(html)
+        seen[tuple(b.text for b in parsed.blocks if not b.aside)] = parsed
+    seen = list(seen.values())
+    vectors, plain = {}, Counter()
+    for at, parsed in enumerate(seen):
+        vectors.setdefault(("page",), [0] * len(seen))[at] = 1
+        for path, n in parsed.elements.items():
+            vectors.setdefault(("element", path), [0] * len(seen))[at] = n
+            plain["element", path] += sum(
+                max(0, len(b.text) - 2 * b.linked) for b in parsed.blocks if not b.aside and f"{b.path}/".startswith(f"{path}/")
+            )
+        for b in parsed.blocks:
+            vectors.setdefault(("text", b.path, b.text), [0] * len(seen))[at] += 1
+            plain["text", b.path, b.text] += 0 if b.aside else max(0, len(b.text) - 2 * b.linked)
+    classes = {}
+    for token, vector in vectors.items():
+        classes.setdefault(tuple(vector), []).append(token)
+    elements, fixed = {}, {}
+    for vector, tokens in classes.items():
+        on = sum(n > 0 for n in vector)
+        if len(tokens) < pt.LEAST_TOKENS or on < max(least_pages, pt.LEAST_SHARE * len(seen)):
+            continue
+        for token in tokens:
+            if token[0] == "element" and sum(vector) == on:
+                elements[token[1]] = plain[token]
+            elif token[0] == "text":
+                fixed[token[1:]] = plain[token]
+    slots = {
+        path: mass - sum(m for (at, _), m in fixed.items() if f"{at}/".startswith(f"{path}/")) for path, mass in elements.items()
+    }
+    return elements, fixed, slots
+
+
+def test_classes_and_slots_are_those_of_explicit_vectors(spark, pages):
+    rng = random.Random(5)
+    hosts = {}
+    for h in range(4):
+        parts = [f"<div class='{rng.choice('abcd')}{rng.choice('xyz')}'>" for _ in range(5)]
+        fixed = [f"fixed text {k} of host {h}" for k in range(5)]
+        hosts[f"h{h}.com"] = [
+            "".join(
+                f"{part}<p>{text}</p>" * (rng.random() < 0.9) + f"<p>{' '.join(rng.choices('uvwxyz', k=rng.randint(1, 60)))}</p>" * rng.randint(0, 2)
+                + "</div>" * rng.randint(0, 1)
+                for part, text in zip(parts, fixed, strict=True)
+            )
+            for _ in range(rng.randint(4, 14))
+        ]
+    rows = spark.createDataFrame([(h, html) for h, htmls in hosts.items() for html in htmls], "host string, html string")
+    made = {r.host: r for r in pt.templates(pt.occurrences(rows, 4), 4).collect()}
+    decided = 0
+    for host, htmls in hosts.items():
+        elements, fixed, slots = explicit(htmls, 4)
+        row = made.get(host)
+        assert {e.path: e.plain for e in (row.elements if row else ())} == elements
+        assert Counter((t.path, t.plain) for t in (row.texts if row else ())) == Counter((p, m) for (p, _), m in fixed.items())
+        main = pt.main_slot(elements, [(p, m) for (p, _), m in fixed.items()])
+        if max(slots.values(), default=0) > 0:
+            decided += 1
+            assert slots[main] >= pt.MAIN_SHARE * max(slots.values())
+    assert decided >= 2
+
+
 def test_broken_markup_and_pages_without_text(spark, pages):
     found = texts(
         spark, pages, None, "", "just text", "<article><p>cut off <a href='x", "<p title=\"a>b\">in</p></div></article>",
@@ -159,7 +274,7 @@ def test_repeats_clashing_names_empty_tables_and_many_hosts(spark, pages, monkey
     )
     made = pt.extract_pages(spark, rows)
     assert Counter((r.page_id, r.text) for r in made.collect()) == {(1, "text of the page"): 2, (None, "text of the page"): 1}
-    monkeypatch.setattr(pt, "BROADCAST_HOSTS", 0)
+    monkeypatch.setattr(pt, "BROADCAST_BYTES", 0)
     assert pt.extract_pages(spark, rows).count() == 3
     assert lt.judge(spark, rows).count() == 3
     assert pt.extract_pages(spark, pages()).collect() == [] and lt.judge(spark, pages()).collect() == []
