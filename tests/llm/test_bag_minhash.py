@@ -147,3 +147,11 @@ def test_families_in_several_blocks(spark, docs, monkeypatch):
     base = [f"b{i}" for i in range(120)]
     rows = [(i, edited(rng, base, rng.randrange(1, 7))) for i in range(60)]
     check(spark, docs, rows)
+
+
+def test_classes_are_the_same_without_broadcasts(spark, docs, monkeypatch):
+    monkeypatch.setattr(bm, "BROADCAST_IDS", 0)
+    rng = random.Random(13)
+    base = [f"b{i}" for i in range(80)]
+    texts = [edited(rng, base, rng.randrange(0, 5)) for _ in range(12)]
+    check(spark, docs, list(enumerate([*texts, *texts[:4], "one two", "one two", "", None])))

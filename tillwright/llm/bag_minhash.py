@@ -186,11 +186,15 @@ def find_links(spark: SparkSession, rows: DataFrame, firsts: DataFrame, threshol
 
     ``firsts`` is a stored table of one ``row`` per distinct text.  The tables of the steps have
     rows and buckets only.  Every text is read once to sign it; those that share a bucket once
-    more, to be joined to the pairs that are compared.
+    more, to be joined to the pairs that are compared.  Copies are left out before they are signed, or where
+    that would shuffle all texts, their signatures are.
     """
     texts = rows.select("row", _text().alias("text"))
-    signed = texts.mapInArrow(_sign, "row long, empty boolean, bands array<long>").where("not empty")
-    banded = _semi(spark, signed, firsts, "row").select("row", F.explode("bands").alias("bucket"))
+    few = firsts.count() <= BROADCAST_IDS
+    distinct = texts.join(F.broadcast(firsts), "row", "left_semi") if few else texts
+    signed = distinct.mapInArrow(_sign, "row long, empty boolean, bands array<long>").where("not empty")
+    signed = signed if few else signed.join(firsts, "row", "left_semi")
+    banded = signed.select("row", F.explode("bands").alias("bucket"))
     banded = stored(spark, banded, "bands")
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(spark, banded.join(shared, "bucket"), "buckets")
