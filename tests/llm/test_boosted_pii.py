@@ -192,6 +192,27 @@ def test_a_hot_text_does_not_outgrow_the_sample(spark, docs):
     assert 200 < seen[0] < 400
 
 
+def test_all_documents_are_learnt_from(spark, docs):
+    frame = spark.range(41_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("mail a"), F.col("id"), F.lit("@b.example, order 12345678")).alias("text")
+    )
+    seen = []
+    scan = bp.scan
+    try:
+        bp.scan = lambda rows, *a, **k: (seen.append(rows.count()), scan(rows, *a, **k))[1]
+        model = bp.train(frame)
+    finally:
+        bp.scan = scan
+    assert seen == [41_000] and model.thresholds
+
+
+def test_a_document_weighs_as_often_as_it_is_there(spark, docs, corpus):
+    few = docs(*corpus[:300])
+    once, often = bp.train(few), bp.train(few.unionAll(few).unionAll(few))
+    assert once.thresholds == often.thresholds
+    assert once.trees[0][1][:2] == often.trees[0][1][:2]  # later trees may choose among limits that do equally well
+
+
 def test_base_spans_stay_whatever_the_trees_say(spark, docs, corpus):
     model = bp.train(docs(*corpus))
     for row in bp.report(docs(*corpus), model).collect():
