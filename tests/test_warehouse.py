@@ -8,7 +8,8 @@ import uuid
 
 import pytest
 
-from tillwright.operators.dimensions import DIMENSION_KEYS
+from tillwright.operators.cleaning import clean_sales
+from tillwright.operators.dimensions import DIMENSION_KEYS, dimension_parts, dimensions_of_parts, transaction_dimensions
 from tillwright.plans.hourly_load import load_hour
 from tillwright.schemas import RAW_GROUPS
 from tillwright.session import work_folder
@@ -113,6 +114,59 @@ def test_lines_that_end_inside_quotes(spark, line, open_):
     assert frame.select(raw_zone.ends_inside_quotes(frame["value"])).first()[0] is open_
 
 
+def test_lines_without_quotes_are_not_searched(spark):
+    frame = spark.range(1).selectExpr("'a,b' AS value")
+    plain = "regexp_replace(value"
+    for found in (raw_zone.ends_inside_quotes, raw_zone.closes_quotes):
+        assert str(found(frame["value"])._jc.toString()).startswith("CASE WHEN")
+        assert plain not in str(found(frame["value"])._jc.toString()).split("THEN")[1]
+
+
+def test_plain_lines_land_as_they_are(spark, tmp_path):
+    header = "sales_person_id,name,hire_date"
+    lines = ["1,Ann,2020-01-01", r'2," b ",2020-01-01', "", "  ", "3, c ,", '4,"",x,more', "5", r"6,c:\dir,2020-01-01", '7,6" x,2020-01-01', "8,#,", "9,'\t',"]
+    drop(tmp_path / "in", "x", lines, header, "sales_agents")
+    drop(tmp_path / "in", "y", ["10,Bob,2020-01-02", header], header, "sales_agents")
+    drop(tmp_path / "in", "z", ["11,Cy,2020-01-03"], header, "sales_agents")
+    expected = [row for name in "xyz" for row in rows(read_group(spark, str(tmp_path / "in" / name), "sales_agents"), "sales_person_id", "name", "hire_date")]
+    naive = AS_OF.replace(tzinfo=None)
+    facts = raw_zone.survey(spark, [str(path) for path in sorted((tmp_path / "in").rglob("*.csv"))])
+    assert raw_zone._alike(facts)
+    target = land_hour(spark, str(tmp_path / "in"), str(tmp_path / "raw"), naive, ["sales_agents"], only_last_hour=False)["sales_agents"]
+    landed = read_group(spark, hour_path(str(tmp_path / "raw"), naive), "sales_agents")
+    assert sorted(map(str, rows(landed, "sales_person_id", "name", "hire_date"))) == sorted(map(str, expected)) and len(expected) == 12
+    copied = [line for row in spark.read.text(target).collect() if (line := row.value) != header]
+    assert set(copied) == {line for line in lines if line.strip()} | {"10,Bob,2020-01-02", "11,Cy,2020-01-03"}
+    assert all(name.endswith(".csv.lz4") for name in os.listdir(target) if name.startswith("part-"))
+
+
+@pytest.mark.parametrize("odd", ["\x01", "\x00", "#"])
+def test_lines_that_hold_the_separator_of_lines_are_parsed(spark, tmp_path, odd):
+    header = "sales_person_id,name,hire_date"
+    drop(tmp_path / "in", "x", ["1,Ann,2020-01-01", f"2,a{odd}b,2020-01-01", f"3,{odd}c{odd},", "#,e,"], header, "sales_agents")
+    drop(tmp_path / "in", "y", ["4,d,"], header, "sales_agents")
+    naive = AS_OF.replace(tzinfo=None)
+    land_hour(spark, str(tmp_path / "in"), str(tmp_path / "raw"), naive, ["sales_agents"], only_last_hour=False)
+    landed = read_group(spark, hour_path(str(tmp_path / "raw"), naive), "sales_agents")
+    assert rows(landed, "name") == sorted([("Ann",), (f"a{odd}b",), (f"{odd}c{odd}",), ("d",), ("e",)])
+
+
+def test_dimensions_of_one_pass_are_those_of_five(spark, raw_sales):
+    sales = clean_sales(raw_sales(
+        {}, {}, {"customer_id": None, "customer_fname": None}, {"cusomter_email": None},
+        {"product_id": None, "product_name": None, "product_category": None},
+        {"shipping_address": "Street/Cairo/Giza/1", "offer_1": True}, {"shipping_address": "Street/Cairo/Giza/2", "offer_1": False},
+        {"shipping_address": "Street/Cairo", "offer_5": False}, {"is_online": None, "offer_3": True}, {"payment_method": None},
+    ))
+    one, five = dimensions_of_parts(dimension_parts(sales)), transaction_dimensions(sales)
+    assert list(one) == list(five)
+    for table, frame in five.items():
+        assert one[table].schema.simpleString() == frame.schema.simpleString()
+        assert rows(one[table], *frame.columns) == rows(frame, *frame.columns), table
+    empty = sales.where("false")
+    assert all(frame.count() == 0 for frame in dimensions_of_parts(dimension_parts(empty)).values())
+
+
 def test_line_breaks_land_and_only_their_files_are_read_whole(spark, tmp_path):
     values = ['"two\nlines"', r'"a \"quoted\"' + '\nword, and\n\n more"', r'"c:\\"', "plain", '"ends\n"']
     drop(tmp_path / "in", "x", [f"{n},{value},2020-01-01" for n, value in enumerate(values)], "sales_person_id,name,hire_date", "sales_agents")

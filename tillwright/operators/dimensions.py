@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.functions import OFFER_PERCENTAGES, address_field, date_id, natural_key
@@ -45,9 +45,16 @@ def product_dim(sales: DataFrame) -> DataFrame:
 
 def location_dim(sales: DataFrame) -> DataFrame:
     """Cities that goods were shipped to; addresses without city or state have none."""
-    address = F.col("shipping_address")
+    return _locations_of(sales.select(*_place()))
+
+
+def _place() -> list[Column]:
+    return [address_field(F.col("shipping_address"), field).alias(field) for field in ("city", "state")]
+
+
+def _locations_of(places: DataFrame) -> DataFrame:
     return (
-        sales.select(address_field(address, "city").alias("city"), address_field(address, "state").alias("state"))
+        places.select("city", "state")
         .dropna("any")
         .distinct()
         .select(natural_key(F.col("city"), F.col("state")).alias("location_id"), "city", "state")
@@ -118,6 +125,43 @@ def _days(bounds: DataFrame) -> DataFrame:
     return bounds.select(F.explode(F.sequence("first", "last")).alias("value"))
 
 
+_PARTS = {
+    "customer": ("customer_id", "customer_fname", "customer_lname", "customer_email"),
+    "product": ("product_id", "product_name", "product_category"),
+}
+
+
+def dimension_parts(sales: DataFrame) -> DataFrame:
+    """What the dimensions need of the clean sales, in one pass over them.
+
+    The distinct customers, products, and combinations of place, payment and offers present, each as rows
+    with NULL in the columns of the others.  Tasks combine equal rows before the shuffle, so what is
+    shuffled and kept is about as large as the dimensions.
+    """
+    present = [F.when(F.col(flag).isNotNull(), True).alias(flag) for flag in OFFER_PERCENTAGES]
+    made = sales.select("*", *_place()).withColumns({flag: column for flag, column in zip(OFFER_PERCENTAGES, present)})
+    parts = {**_PARTS, "other": ("city", "state", "is_online", "payment_method", *OFFER_PERCENTAGES)}
+    types = {name: made.schema[name].dataType for names in parts.values() for name in names}
+
+    def row(part: str, names: tuple[str, ...]) -> Column:
+        column = lambda name: F.col(name) if name in names else F.lit(None).cast(types[name])
+        return F.struct(F.lit(part).alias("part"), *(column(name).alias(name) for name in types))
+
+    return made.select(F.inline(F.array(*(row(part, names) for part, names in parts.items())))).distinct()
+
+
+def dimensions_of_parts(parts: DataFrame) -> dict[str, DataFrame]:
+    """:func:`transaction_dimensions` of the sales that :func:`dimension_parts` was made from."""
+    of = lambda part: parts.where(F.col("part") == part)
+    return {
+        "customer_Dim": of("customer").select(*_PARTS["customer"]),
+        "location_Dim": _locations_of(of("other")),
+        "payment_Dim": payment_dim(of("other")),
+        "product_Dim": of("product").select(*_PARTS["product"]),
+        "offer_Dim": offer_dim(of("other")),
+    }
+
+
 def transaction_dimensions(sales: DataFrame) -> dict[str, DataFrame]:
     """The dimensions that are read off the clean sales."""
     return {

@@ -18,10 +18,11 @@ from tillwright.operators.dimensions import (
     branches_dim,
     calendar,
     date_dim,
+    dimension_parts,
+    dimensions_of_parts,
     sales_agents_dim,
-    transaction_dimensions,
 )
-from tillwright.operators.fact import sales_fact, with_date_partitions
+from tillwright.operators.fact import sales_fact
 from tillwright.sinks.warehouse import DATE_TABLE, Warehouse
 from tillwright.sources.raw_zone import HOUR, hour_path, missing_groups, read_group
 
@@ -45,12 +46,12 @@ def load_hour(
     """
     _need_landed(spark, raw_root, as_of)
     batch_hour = f"{as_of - HOUR:%Y%m%d%H}"
-    with _cleaned_sales(spark, raw_root, as_of) as sales:
-        rejects = f"{rejects_folder.rstrip('/')}" if rejects_folder else None
-        _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key, days, rejects)
-        warehouse.load_fact(with_date_partitions(sales_fact(sales)), batch_hour, hash_days, allow_empty)
+    raw = read_group(spark, hour_path(raw_root, as_of), "sales_transactions")
+    sales = clean_sales(raw)
+    rejects = f"{rejects_folder.rstrip('/')}" if rejects_folder else None
+    _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key, days, rejects)
+    warehouse.load_fact(sales_fact(sales), batch_hour, hash_days, allow_empty)
     if rejects:
-        raw = read_group(spark, hour_path(raw_root, as_of), "sales_transactions")
         _write_rejects(date_rejects(raw, "transaction_date"), f"{rejects}/sales_transactions/batch_hour={batch_hour}")
 
 
@@ -59,8 +60,8 @@ def load_hour_dimensions(
 ) -> None:
     """The dimensions of the hour before ``as_of`` alone."""
     _need_landed(spark, raw_root, as_of)
-    with _cleaned_sales(spark, raw_root, as_of) as sales:
-        _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key)
+    sales = clean_sales(read_group(spark, hour_path(raw_root, as_of), "sales_transactions"))
+    _load_dimensions(spark, raw_root, warehouse, as_of, sales, one_per_key)
 
 
 def _need_landed(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> None:
@@ -70,18 +71,17 @@ def _need_landed(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> None
 
 
 @contextmanager
-def _cleaned_sales(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> Iterator[DataFrame]:
-    """The cleaned hour, read once for the fact and the five dimensions read off it.
+def _kept(parts: DataFrame) -> Iterator[DataFrame]:
+    """What the five dimensions of the sales are made of, read once for all of them.
 
-    It is kept in memory or on executor disks and recomputed from the files where an
-    executor is lost.
+    The sales themselves are not kept: writing them down costs more than the second reading that the fact takes.
+    Parts are kept in memory or on executor disks and recomputed from the files where an executor is lost.
     """
-    raw = read_group(spark, hour_path(raw_root, as_of), "sales_transactions")
-    sales = clean_sales(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield sales
+        yield parts
     finally:
-        sales.unpersist()
+        parts.unpersist()
 
 
 def _load_dimensions(
@@ -96,16 +96,17 @@ def _load_dimensions(
 ) -> None:
     """All dimensions of an hour; with ``rejects``, rows without a key are kept there."""
     folder = hour_path(raw_root, as_of)
-    dimensions = {
-        "branches_Dim": branches_dim(read_group(spark, folder, "branches")),
-        "sales_agents_Dim": sales_agents_dim(read_group(spark, folder, "sales_agents")),
-        **transaction_dimensions(sales),
-    }
-    for table, rows in dimensions.items():
-        key = DIMENSION_KEYS[table]
-        warehouse.load_dimension(table, key, rows, one_per_key)
-        if rejects:
-            _write_rejects(rows.where(F.col(key).isNull()), f"{rejects}/{table}/batch_hour={as_of - HOUR:%Y%m%d%H}")
+    with _kept(dimension_parts(sales)) as parts:
+        dimensions = {
+            "branches_Dim": branches_dim(read_group(spark, folder, "branches")),
+            "sales_agents_Dim": sales_agents_dim(read_group(spark, folder, "sales_agents")),
+            **dimensions_of_parts(parts),
+        }
+        for table, rows in dimensions.items():
+            key = DIMENSION_KEYS[table]
+            warehouse.load_dimension(table, key, rows, one_per_key)
+            if rejects:
+                _write_rejects(rows.where(F.col(key).isNull()), f"{rejects}/{table}/batch_hour={as_of - HOUR:%Y%m%d%H}")
     warehouse.load_static(DATE_TABLE, date_dim(calendar(spark, *days)))
 
 

@@ -33,7 +33,16 @@ from tillwright.sinks.warehouse import (
 from tillwright.sources import sample_feed as feed
 from tillwright.sources import sample_tables as sample
 from tillwright.sources.events import event_source
-from tillwright.sources.raw_zone import HOUR, hour_path, land_group, land_hour, read_group, read_raw_zone, write_csv
+from tillwright.sources.raw_zone import (
+    COMPRESSION,
+    HOUR,
+    hour_path,
+    land_group,
+    land_hour,
+    read_group,
+    read_raw_zone,
+    write_csv,
+)
 from tillwright.streaming import late_rows, parse, queries, serving, window_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,7 +236,8 @@ def scan_csv_roundtrip(spark, sf_dir):
 
 def _drop(spark, folder, frames: dict[str, DataFrame]) -> str:
     for group, rows in frames.items():
-        write_csv(rows, f"{folder}/drop/{group}-1.csv", multi_line=True)  # what breaks lines is for the landing to find
+        # What breaks lines is for the landing to find.
+        write_csv(rows, f"{folder}/drop/{group}-1.csv", multi_line=True, compression=COMPRESSION)
     return folder
 
 

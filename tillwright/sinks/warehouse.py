@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillwright.operators.fact import DATE_PARTITIONS
+from tillwright.operators.fact import DATE_PARTITIONS, with_date_partitions
 from tillwright.operators.incremental import first_per_key, new_rows_for_small_batch
 from tillwright.schemas import ROUTED_TABLES
 from tillwright.sinks import fact_merge
@@ -107,22 +107,22 @@ class Warehouse:
         """Replace one hourly batch of the fact.
 
         The batch hour is the outermost partition, so loading an hour again overwrites
-        what that hour wrote before and nothing else.  ``fact`` has the text columns
-        year, month and day; filters on them prune as usual.  A batch without rows only
+        what that hour wrote before and nothing else.  Filters on the text columns year, month
+        and day prune as usual; a ``fact`` without them gets them from its date key, once it was shuffled.  A batch without rows only
         replaces one with rows if ``allow_empty`` is given.  ``hash_days`` is said at
         :func:`by_day`.
         """
         if not re.fullmatch(r"\w+", batch_hour):
             raise ValueError(f"not a batch hour: {batch_hour!r}")
         if not self.exists(FACT_TABLE):
-            self._declare(FACT_TABLE, fact.schema, FACT_PARTITIONS)
+            self._declare(FACT_TABLE, _with_parts(fact).schema, FACT_PARTITIONS)
         stored = self.table(FACT_TABLE).where(F.col(BATCH_HOUR) == batch_hour)
         if not allow_empty and fact.isEmpty() and not stored.isEmpty():
             raise ValueError(f"hour {batch_hour} has rows and the new batch has none")
         merging = self.spark.catalog.tableExists(self.name(FACT_TABLE + fact_merge.HOURS))
         target = self.name(FACT_TABLE + fact_merge.HOURS if merging else FACT_TABLE)
         names = [name for name in fact.columns if name not in FACT_PARTITIONS]
-        batch = by_day(fact, hash_days).select(*names, *DATE_PARTITIONS)
+        batch = _with_parts(by_day(fact, hash_days)).select(*names, *DATE_PARTITIONS)
         # Days that the hour no longer has are removed too, whatever mode the session is in.
         with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "static"):
             self.spark.sql(
@@ -180,6 +180,11 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def _with_parts(fact: DataFrame) -> DataFrame:
+    """A fact with its date partitions, made from its date key where it has none yet."""
+    return fact if set(DATE_PARTITIONS) <= set(fact.columns) else with_date_partitions(fact)
+
+
 def by_day(fact: DataFrame, hash_days: bool = False) -> DataFrame:
     """Gather the rows of a day, so that a day is few files.
 
@@ -188,7 +193,7 @@ def by_day(fact: DataFrame, hash_days: bool = False) -> DataFrame:
     each to one task: for many days of which none is large, where a rebalance would merge their few
     bytes into one task that then writes the files of all.
     """
-    columns = [F.col(part) for part in DATE_PARTITIONS]
+    columns = [F.col(part) for part in DATE_PARTITIONS if part in fact.columns] or [F.col("transaction_date_id")]
     if not hash_days:
         return fact.hint("rebalance", *columns)
     return fact.repartition(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)

@@ -35,6 +35,11 @@ LANDED = "_landed"
 #: What it says of a file, and in ``COMMITTED`` of the hour.
 MARKER = "path string, columns array<string>, multi_line boolean"
 COMMITTED = "committed"
+#: How landed copies are compressed.  A copy can't be split, but is one task's share of what arrived.
+COMPRESSION = "lz4"
+#: Characters that stand for separator and quote where lines are copied as they are; a file with one is parsed.
+NO_SEPARATOR, NO_QUOTE = "\u0001", "\u0000"
+AS_LINES = {"sep": NO_SEPARATOR, "quote": "", "escape": ""}  # an empty quote is that character
 
 
 def hour_partition(as_of: dt.datetime) -> dict[str, str]:
@@ -62,17 +67,29 @@ def _files(spark: SparkSession, pattern: str, **options: str) -> list[str]:
 
 
 class RawFile(NamedTuple):
-    """A file with rows, the column names of its header, and whether a value may have a line break."""
+    """A file with rows, the column names of its header, and whether a value may have a line break.
+
+    ``verbatim`` says that its lines can be copied without being parsed.
+    """
 
     path: str
     columns: tuple[str, ...]
     multi_line: bool
+    verbatim: bool = False
 
 
 def _without_escapes(line: Column) -> Column:
     return F.regexp_replace(line, r'\\["\\]|""', "")
 
 
+def _if_quoted(line: Column, found: Column) -> Column:
+    """``found`` for lines with a quote, which few have.
+
+    A conditional and no ``&``: what both sides of one share, as the line without escapes, is worked out for all lines.
+    """
+    return F.when(line.isNull(), None).when(line.contains('"'), found).otherwise(False)
+
+
 def ends_inside_quotes(line: Column) -> Column:
     """Whether a line of CSV ends in a quoted value, which may go on in the next line.
 
@@ -80,13 +97,13 @@ def ends_inside_quotes(line: Column) -> Column:
     that still begins a value is open.
     """
     left = F.regexp_replace(_without_escapes(line), r'(^|,)\s*"[^"]*"', "$1")
-    return line.contains('"') & left.rlike(r'(^|,)\s*"')
+    return _if_quoted(line, left.rlike(r'(^|,)\s*"'))
 
 
 def closes_quotes(line: Column) -> Column:
     """Whether the first quote of a line ends a value that began in a line before."""
     plain = _without_escapes(line)
-    return line.contains('"') & (plain.rlike(r'^(?:[^"]*[^",\s]\s*)?"\s*(,|$)') | plain.rlike(r'^\s*"\s*(,|$)'))
+    return _if_quoted(line, plain.rlike(r'^(?:[^"]*[^",\s]\s*)?"\s*(,|$)') | plain.rlike(r'^\s*"\s*(,|$)'))
 
 
 def survey(spark: SparkSession, files: list[str], multi_line: bool | None = None) -> list[RawFile]:
@@ -109,12 +126,14 @@ def survey(spark: SparkSession, files: list[str], multi_line: bool | None = None
     begins = F.col("first_block") & (F.trim(value) != "")
     lines = lines.select(
         "path", F.when(begins, F.col("at")).alias("at"), F.when(begins, F.xxhash64(value)).alias("hash"),
+        # The writer quotes what begins like a comment.
+        (value.contains(NO_SEPARATOR) | value.contains(NO_QUOTE) | value.startswith("#")).alias("odd"),
         ends_inside_quotes(value).alias("open"), closes_quotes(value).alias("close"),
     )
     facts = lines.groupBy("path").agg(
         F.min_by("hash", "at").alias("header"), F.min_by("open", "at").alias("header_open"),
         F.count_if("open").alias("opened"), F.count_if("close").alias("closed"),
-        F.count_if(F.col("open") & F.col("close")).alias("either"),
+        F.count_if(F.col("open") & F.col("close")).alias("either"), F.count_if("odd").alias("odd"),
     )
     names: dict[tuple, tuple[str, ...]] = {}
     found = []
@@ -130,7 +149,7 @@ def survey(spark: SparkSession, files: list[str], multi_line: bool | None = None
         if key not in names:
             read = spark.read.options(header=True, multiLine=over)
             names[key] = tuple(name.strip().removeprefix("\ufeff") for name in read.csv(file).columns)
-        found.append(RawFile(file, names[key], whole))
+        found.append(RawFile(file, names[key], whole, not whole and not row["odd"]))
     return found
 
 
@@ -240,7 +259,7 @@ def land_hour(
     before the first write and put back after the last, naming the groups that are landed.  ``multi_line`` is said
     at :func:`survey`.
 
-    Tasks copy in parallel and each writes its own file.  Returns the folder written per group, or
+    Tasks copy in parallel and each writes its own file, compressed.  Returns the folder written per group, or
     None where no file arrived.
     """
     groups, hour = list(groups), hour_path(root, as_of)
@@ -260,13 +279,16 @@ def land_hour(
             continue
         # A file without a line is noted as well, it has no columns.
         facts = [known.get(_plain(path), RawFile(path, (), False))._replace(path=path) for path in files]
-        frames = [frame for _, frame in _read(spark, [file for file in facts if file.columns], StructType([]))]
+        with_rows = [file for file in facts if file.columns]
         if files:
             targets[group] = f"{hour}/{group}.csv"
-        if frames:
+        if _alike(with_rows):
+            write_csv(_lines(spark, with_rows), targets[group], multi_line=True, compression=COMPRESSION, **AS_LINES)
+        elif with_rows:
+            frames = [frame for _, frame in _read(spark, with_rows, StructType([]))]
             # What was read line by line has no line break, and what was not is read back that way.
             rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-            write_csv(rows, targets[group], multi_line=True)
+            write_csv(rows, targets[group], multi_line=True, compression=COMPRESSION)
         marker = spark.createDataFrame([(f.path, list(f.columns), f.multi_line) for f in facts], MARKER)
         marker.coalesce(1).write.mode("overwrite").json(f"{hour}/{LANDED}/{group}")
     names = spark.createDataFrame([(name,) for name in sorted(committed.union(groups))], "name string")
@@ -274,6 +296,24 @@ def land_hour(
     return targets
 
 
+def _alike(files: list[RawFile]) -> bool:
+    """Whether the lines of files can go below one header as they are: same plain columns, and nothing to parse for."""
+    names = {file.columns for file in files}
+    if len(names) != 1 or not all(file.verbatim for file in files):
+        return False
+    columns = [name.lower() for name in names.pop()]
+    return len(set(columns)) == len(columns) and all(re.fullmatch(r"\w+", name) for name in columns)
+
+
+def _lines(spark: SparkSession, files: list[RawFile]) -> DataFrame:
+    """Lines of files as they are, without their headers, in a column that is named like the header.
+
+    A line is read as one value and written as one, so blank lines and headers are dropped as any reading of CSV does.
+    """
+    lines = spark.read.schema("line string").options(header=True, **AS_LINES).csv([file.path for file in files])
+    return lines.withColumnRenamed("line", ",".join(files[0].columns))
+
+
 def land_group(
     spark: SparkSession, landing: str, root: str, group: str, as_of: dt.datetime, only_last_hour: bool = True,
     replace: bool = False,
@@ -323,7 +363,7 @@ def unlanded_files(spark: SparkSession, landing: str, root: str, group: str, bef
     return older.join(noted, plain("path") == F.col("noted"), "left_anti")
 
 
-def write_csv(rows: DataFrame, folder: str, multi_line: bool = False) -> None:
+def write_csv(rows: DataFrame, folder: str, multi_line: bool = False, compression: str = "none", **options: str) -> None:
     """CSV that reads back as the values it was written from, spaces around them included.
 
     A value with a line break would read back as two rows, so it raises, unless readers use ``multi_line`` too.
@@ -335,7 +375,7 @@ def write_csv(rows: DataFrame, folder: str, multi_line: bool = False) -> None:
         )
     (
         rows.write.mode("overwrite")
-        .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression=compression, **options)
         .csv(folder)
     )
 
