@@ -104,6 +104,28 @@ def test_pieces_hold_every_id_once_and_sequences_have_no_padding(spark, docs):
             assert row.sequence_id >> bp.BUCKET_SHIFT == row.bucket
 
 
+def test_words_share_what_is_known_of_their_parts():
+    library, own = Tokenizer.from_file(WORDS), bp.WordTokenizer(WORDS)
+    assert own.encode(["Lamp lamp, LAMP. lamp", "lamp--42"]) == [
+        pack(library.encode(text, add_special_tokens=False).ids) for text in ["Lamp lamp, LAMP. lamp", "lamp--42"]
+    ]
+    assert set(own.parts) == {b"lamp", b",", b".", b"--", b"4", b"2"}
+    odd = ["it's", "'s.", "é's!", "É.", "ñ--", "e.\u0338", "×,", "<|endoftext|>", "x<|endoftext|>.", "İ.", "한가!", "²;", "\x1c.a", "\x85.", "_a_"]
+    rng = random.Random(3)
+    odd += ["".join(rng.choice("abZ019'.,<|>_é×ÀñŁßǺ\u0338한日²ª\x1f\x00") for _ in range(rng.randint(1, 8))) for _ in range(2000)]
+    assert own.encode(odd) == [pack(library.encode(word, add_special_tokens=False).ids) for word in odd]
+    few = bp.WordTokenizer(WORDS, memo_words=9)
+    assert [few.encode([word])[0] for word in odd] == own.encode(odd)
+
+
+def test_other_tokenizers_are_asked_for_whole_words(tmp_path):
+    library = Tokenizer.from_file(WORDS)
+    library.normalizer = None
+    library.save(str(tmp_path / "other.json"))
+    own = bp.WordTokenizer(str(tmp_path / "other.json"))
+    assert own.encode(["Lamp, lamp"]) == [pack(library.encode("Lamp, lamp", add_special_tokens=False).ids)] and own.parts == {}
+
+
 def test_buckets_are_written_apart(spark, docs, tmp_path):
     bp.write_buckets(bp.pack(docs((1, "a b c d e"), (2, "a b")), WORDS), str(tmp_path / "packed"))
     back = spark.read.parquet(str(tmp_path / "packed"))
