@@ -50,6 +50,19 @@ def test_stages_do_what_brute_force_does(spark, folder):
         assert ids == library.encode(text, add_special_tokens=False).ids + [2]
 
 
+def test_personal_data_learns_from_all_documents_of_the_stage(spark, monkeypatch):
+    """More than the 20,000 documents that a capped training took."""
+    seen, scan = [], corpus_pipeline.boosted_pii.scan
+    monkeypatch.setattr(
+        corpus_pipeline.boosted_pii, "scan", lambda rows, *a, **k: (seen.append(rows.count()), scan(rows, *a, **k))[1]
+    )
+    texts = spark.range(41_000).selectExpr(
+        "id AS doc_id", "concat('words ', id % 997) AS text", "'en' AS lang", "'s' AS source", "9L AS n_chars"
+    )
+    corpus_pipeline.personal_data(spark, texts, "")
+    assert seen == [41_000, 41_000]  # to learn, and to redact
+
+
 def test_stages_keep_the_columns_of_documents(spark, folder):
     path, _ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
