@@ -167,6 +167,14 @@ def test_dimensions_of_one_pass_are_those_of_five(spark, raw_sales):
     assert all(frame.count() == 0 for frame in dimensions_of_parts(dimension_parts(empty)).values())
 
 
+def test_parts_of_dimensions_are_grouping_sets(spark, raw_sales):
+    """Spark expands rows to sets without making an array of structs for each sale."""
+    parts = dimension_parts(clean_sales(raw_sales({}, {"customer_id": None}, {"customer_id": None, "product_id": None})))
+    plan = parts._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and "Generate" not in plan
+    assert sorted(row["part"] for row in parts.collect()) == ["customer"] * 2 + ["other"] + ["product"] * 2
+
+
 def test_line_breaks_land_and_only_their_files_are_read_whole(spark, tmp_path):
     values = ['"two\nlines"', r'"a \"quoted\"' + '\nword, and\n\n more"', r'"c:\\"', "plain", '"ends\n"']
     drop(tmp_path / "in", "x", [f"{n},{value},2020-01-01" for n, value in enumerate(values)], "sales_person_id,name,hire_date", "sales_agents")

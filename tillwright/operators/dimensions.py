@@ -140,14 +140,11 @@ def dimension_parts(sales: DataFrame) -> DataFrame:
     """
     present = [F.when(F.col(flag).isNotNull(), True).alias(flag) for flag in OFFER_PERCENTAGES]
     made = sales.select("*", *_place()).withColumns({flag: column for flag, column in zip(OFFER_PERCENTAGES, present)})
-    parts = {**_PARTS, "other": ("city", "state", "is_online", "payment_method", *OFFER_PERCENTAGES)}
-    types = {name: made.schema[name].dataType for names in parts.values() for name in names}
-
-    def row(part: str, names: tuple[str, ...]) -> Column:
-        column = lambda name: F.col(name) if name in names else F.lit(None).cast(types[name])
-        return F.struct(F.lit(part).alias("part"), *(column(name).alias(name) for name in types))
-
-    return made.select(F.inline(F.array(*(row(part, names) for part, names in parts.items())))).distinct()
+    sets = {**_PARTS, "other": ("city", "state", "is_online", "payment_method", *OFFER_PERCENTAGES)}
+    names = [name for part in sets.values() for name in part]
+    # Of the columns only one set is grouped by in a row, so its first one tells the part.
+    part = F.coalesce(*(F.when(F.grouping(own[0]) == 0, name) for name, own in sets.items()))
+    return made.groupingSets(list(map(list, sets.values())), *names).agg(part.alias("part"))
 
 
 def dimensions_of_parts(parts: DataFrame) -> dict[str, DataFrame]:
