@@ -10,7 +10,7 @@ import pytest
 
 from tillwright.operators.cleaning import clean_sales
 from tillwright.operators.dimensions import DIMENSION_KEYS, dimension_parts, dimensions_of_parts, transaction_dimensions
-from tillwright.plans.hourly_load import load_hour
+from tillwright.plans.hourly_load import PARTS, load_hour
 from tillwright.schemas import RAW_GROUPS
 from tillwright.session import work_folder
 from tillwright.sinks import warehouse as wh
@@ -372,6 +372,47 @@ def test_hourly_load_is_incremental_and_repeatable(spark, tmp_path, warehouse):
     assert rows(spark.read.parquet(f"{rejects}/sales_transactions"), "transaction_id") == [("x",)]
 
 
+def test_an_append_to_a_dimension_does_not_read_the_sales_again(spark, tmp_path, warehouse, monkeypatch):
+    """What the dimensions are made of is read from the raw files once, also where a plan names it twice."""
+    naive, raw = AS_OF.replace(tzinfo=None), str(tmp_path / "raw")
+    second = naive + dt.timedelta(hours=1)
+    land(spark, tmp_path, naive, [sale("a"), sale("b", offer_1="true")])
+    land(spark, tmp_path, second, [sale("c"), sale("d", customer=2)])
+    load_hour(spark, raw, warehouse, naive)
+    landed, hidden = f"{hour_path(raw, second)}/sales_transactions.csv", f"{tmp_path}/hidden"
+    new_rows, appended = wh.new_rows_for_small_batch, {}
+
+    def without_raw_files(batch, stored, key, one_per_key=False):
+        batch.count()  # kept from here on
+        os.rename(landed, hidden)
+        try:
+            appended[key] = len((fresh := new_rows(batch, stored, key, one_per_key).persist()).collect())
+        finally:
+            os.rename(hidden, landed)
+        return fresh
+
+    monkeypatch.setattr(wh, "new_rows_for_small_batch", without_raw_files)
+    load_hour(spark, raw, warehouse, second)
+    assert appended == dict.fromkeys(DIMENSION_KEYS.values(), 0) | {"customer_id": 1}
+    assert rows(warehouse.table("customer_Dim"), "customer_id") == [(1,), (2,)]
+    assert warehouse.table(wh.FACT_TABLE).count() == 4
+    assert not list((tmp_path / "dwh" / PARTS).iterdir())
+
+
+def test_a_failed_load_leaves_no_parts_and_the_next_one_replaces_those_of_a_killed_one(spark, tmp_path, warehouse, monkeypatch):
+    naive, raw = AS_OF.replace(tzinfo=None), str(tmp_path / "raw")
+    land(spark, tmp_path, naive, [sale("a")])
+    parts = tmp_path / "dwh" / PARTS / "batch_hour=2023123123"
+    with monkeypatch.context() as patched:
+        patched.setattr(wh.Warehouse, "load_dimension", lambda *args: pytest.fail("load"))
+        with pytest.raises(pytest.fail.Exception):
+            load_hour(spark, raw, warehouse, naive)
+    assert not parts.exists()
+    spark.createDataFrame([("other", "Nowhere", "None")], "part string, city string, state string").write.parquet(str(parts))
+    load_hour(spark, raw, warehouse, naive)
+    assert rows(warehouse.table("location_Dim"), "location_id") == [("Cairo-Giza",)] and not parts.exists()
+
+
 def test_an_hour_without_files_loads_nothing_and_the_next_one_loads(spark, tmp_path, warehouse):
     naive = AS_OF.replace(tzinfo=None)
     with pytest.raises(FileNotFoundError):

@@ -6,7 +6,6 @@ import datetime as dt
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +22,13 @@ from tillwright.operators.dimensions import (
     sales_agents_dim,
 )
 from tillwright.operators.fact import sales_fact
+from tillwright.sinks.files import delete
 from tillwright.sinks.warehouse import DATE_TABLE, Warehouse
 from tillwright.sources.raw_zone import HOUR, hour_path, missing_groups, read_group
 
+# Fixed value: folder of the warehouse in which a load keeps the parts of its dimensions until it has written them.
+PARTS = "_parts"
+
 
 def load_hour(
     spark: SparkSession,
@@ -71,17 +74,19 @@ def _need_landed(spark: SparkSession, raw_root: str, as_of: dt.datetime) -> None
 
 
 @contextmanager
-def _kept(parts: DataFrame) -> Iterator[DataFrame]:
-    """What the five dimensions of the sales are made of, read once for all of them.
+def _kept(spark: SparkSession, parts: DataFrame, folder: str) -> Iterator[DataFrame]:
+    """What the five dimensions of the sales are made of, written to files once for all of them.
 
     The sales themselves are not kept: writing them down costs more than the second reading that the fact takes.
-    Parts are kept in memory or on executor disks and recomputed from the files where an executor is lost.
+    Files, because a plan that names a persisted frame of grouping sets twice, as an append does, only finds one of the
+    two in the cache and makes the other from all sales again.  AQE sizes the files; a persisted frame would
+    stay in all shuffle partitions, and each write of a dimension would shuffle from all of them to all.
     """
-    parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
+    parts.write.mode("overwrite").parquet(folder)
     try:
-        yield parts
+        yield spark.read.schema(parts.schema).parquet(folder)
     finally:
-        parts.unpersist()
+        delete(spark, folder)
 
 
 def _load_dimensions(
@@ -96,7 +101,8 @@ def _load_dimensions(
 ) -> None:
     """All dimensions of an hour; with ``rejects``, rows without a key are kept there."""
     folder = hour_path(raw_root, as_of)
-    with _kept(dimension_parts(sales)) as parts:
+    batch_hour = f"batch_hour={as_of - HOUR:%Y%m%d%H}"
+    with _kept(spark, dimension_parts(sales), f"{warehouse.folder(PARTS)}/{batch_hour}") as parts:
         dimensions = {
             "branches_Dim": branches_dim(read_group(spark, folder, "branches")),
             "sales_agents_Dim": sales_agents_dim(read_group(spark, folder, "sales_agents")),
@@ -106,7 +112,7 @@ def _load_dimensions(
             key = DIMENSION_KEYS[table]
             warehouse.load_dimension(table, key, rows, one_per_key)
             if rejects:
-                _write_rejects(rows.where(F.col(key).isNull()), f"{rejects}/{table}/batch_hour={as_of - HOUR:%Y%m%d%H}")
+                _write_rejects(rows.where(F.col(key).isNull()), f"{rejects}/{table}/{batch_hour}")
     warehouse.load_static(DATE_TABLE, date_dim(calendar(spark, *days)))
 
 
