@@ -140,6 +140,33 @@ def test_plain_lines_land_as_they_are(spark, tmp_path):
     assert all(name.endswith(".csv.lz4") for name in os.listdir(target) if name.startswith("part-"))
 
 
+@pytest.mark.parametrize("again, parsed", [([], False), (["name"], True)])
+def test_lines_are_copied_without_the_reader_of_csv(spark, tmp_path, monkeypatch, again, parsed):
+    """Where a row is like the header, which text alone can't tell, lines are read as values of CSV."""
+    header, lines = "sales_person_id,name,hire_date", ["1, Ann,x", "", " \t", r'2,"b\",y ', "3,c"]
+    drop(tmp_path / "in", "x", lines, header, "sales_agents")
+    drop(tmp_path / "in", "y", ["4,d,z", *[header] * len(again)], header, "sales_agents")
+    written, write = [], raw_zone.write_csv
+    plan = lambda frame: frame._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(raw_zone, "write_csv", lambda frame, *args, **how: (written.append(plan(frame)), write(frame, *args, **how)))
+    naive = AS_OF.replace(tzinfo=None)
+    target = land_hour(spark, str(tmp_path / "in"), str(tmp_path / "raw"), naive, ["sales_agents"], only_last_hour=False)["sales_agents"]
+    assert [" csv" in plan for plan in written] == [parsed]
+    landed = rows(spark.read.text(target), "value")
+    assert [value for value, in landed if value != header] == sorted([*(line for line in lines if line.strip()), "4,d,z"])
+    names = rows(read_group(spark, hour_path(str(tmp_path / "raw"), naive), "sales_agents"), "name")
+    assert len(names) == 4 + len(again) and (("name",) in names) == bool(again)
+
+
+def test_headers_that_differ_as_text_are_not_copied_as_rows(spark, tmp_path):
+    for name, header in {"x": "sales_person_id,name,hire_date", "y": "sales_person_id, name,hire_date", "z": '"sales_person_id",name,hire_date'}.items():
+        drop(tmp_path / "in", name, [f"1,{name},", "sales_person_id,name,hire_date"][: 1 + (name == "x")], header, "sales_agents")
+    naive = AS_OF.replace(tzinfo=None)
+    land_hour(spark, str(tmp_path / "in"), str(tmp_path / "raw"), naive, ["sales_agents"], only_last_hour=False)
+    landed = read_group(spark, hour_path(str(tmp_path / "raw"), naive), "sales_agents")
+    assert rows(landed, "name") == [("name",), ("x",), ("y",), ("z",)]
+
+
 @pytest.mark.parametrize("odd", ["\x01", "\x00", "#"])
 def test_lines_that_hold_the_separator_of_lines_are_parsed(spark, tmp_path, odd):
     header = "sales_person_id,name,hire_date"
