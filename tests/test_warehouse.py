@@ -202,6 +202,15 @@ def test_parts_of_dimensions_are_grouping_sets(spark, raw_sales):
     assert sorted(row["part"] for row in parts.collect()) == ["customer"] * 2 + ["other"] + ["product"] * 2
 
 
+def test_parts_of_dimensions_are_narrow(spark, raw_sales):
+    """Rows that are compared and shuffled for each sale have the columns of one part, and not those of all."""
+    sales = clean_sales(raw_sales({"offer_1": True, "offer_3": False}, {"offer_5": False}, {"shipping_address": "S/Cairo/Giza/1"}))
+    parts = dimension_parts(sales)
+    assert len(parts.columns) <= 6
+    offers = rows(dimensions_of_parts(parts)["offer_Dim"], "offer_name")
+    assert offers == [("offer_1",), ("offer_3",), ("offer_5",)]
+
+
 def test_line_breaks_land_and_only_their_files_are_read_whole(spark, tmp_path):
     values = ['"two\nlines"', r'"a \"quoted\"' + '\nword, and\n\n more"', r'"c:\\"', "plain", '"ends\n"']
     drop(tmp_path / "in", "x", [f"{n},{value},2020-01-01" for n, value in enumerate(values)], "sales_person_id,name,hire_date", "sales_agents")

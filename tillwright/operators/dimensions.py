@@ -128,34 +128,43 @@ def _days(bounds: DataFrame) -> DataFrame:
 _PARTS = {
     "customer": ("customer_id", "customer_fname", "customer_lname", "customer_email"),
     "product": ("product_id", "product_name", "product_category"),
+    "other": ("offers", "city", "state", "is_online", "payment_method"),
 }
+#: Columns of the parts: a number and texts, whatever each part has in them.
+_NUMBER, _TEXTS = "number", ("text_1", "text_2", "text_3", "text_4")
 
 
 def dimension_parts(sales: DataFrame) -> DataFrame:
     """What the dimensions need of the clean sales, in one pass over them.
 
-    The distinct customers, products, and combinations of place, payment and offers present, each as rows
-    with NULL in the columns of the others.  Tasks combine equal rows before the shuffle, so what is
-    shuffled and kept is about as large as the dimensions.
+    The distinct customers, products, and combinations of place, payment and offers present (a bit for each),
+    each as rows of the same few columns, as rows are compared and shuffled with all they have.  Tasks combine
+    equal rows before the shuffle, so what is shuffled and kept is about as large as the dimensions.
     """
-    present = [F.when(F.col(flag).isNotNull(), True).alias(flag) for flag in OFFER_PERCENTAGES]
-    made = sales.select("*", *_place()).withColumns({flag: column for flag, column in zip(OFFER_PERCENTAGES, present)})
-    sets = {**_PARTS, "other": ("city", "state", "is_online", "payment_method", *OFFER_PERCENTAGES)}
-    names = [name for part in sets.values() for name in part]
-    # Of the columns only one set is grouped by in a row, so its first one tells the part.
-    part = F.coalesce(*(F.when(F.grouping(own[0]) == 0, name) for name, own in sets.items()))
-    return made.groupingSets(list(map(list, sets.values())), *names).agg(part.alias("part"))
+    bits = [F.when(F.col(flag).isNotNull(), F.lit(1 << n)).otherwise(0) for n, flag in enumerate(OFFER_PERCENTAGES)]
+    made = sales.select("*", *_place(), sum(bits, F.lit(0)).cast("long").alias("offers"), F.lit(None).cast("string").alias("none"))
+    sets = [[*names, *["none"] * (1 + len(_TEXTS) - len(names))] for names in _PARTS.values()]
+    rows = ", ".join(f"({', '.join(names)}) AS `{part}`" for part, names in zip(_PARTS, sets))
+    columns = ", ".join((_NUMBER, *_TEXTS))
+    return sales.sparkSession.sql(
+        f"SELECT DISTINCT part, {columns} FROM {{made}} UNPIVOT INCLUDE NULLS (({columns}) FOR part IN ({rows}))", made=made
+    )
 
 
 def dimensions_of_parts(parts: DataFrame) -> dict[str, DataFrame]:
     """:func:`transaction_dimensions` of the sales that :func:`dimension_parts` was made from."""
-    of = lambda part: parts.where(F.col("part") == part)
+
+    def of(part: str) -> DataFrame:
+        named = [F.col(column).alias(name) for column, name in zip((_NUMBER, *_TEXTS), _PARTS[part])]
+        return parts.where(F.col("part") == part).select(*named)
+
+    flags = [F.when(F.col("offers").bitwiseAND(1 << n) != 0, True).alias(flag) for n, flag in enumerate(OFFER_PERCENTAGES)]
     return {
-        "customer_Dim": of("customer").select(*_PARTS["customer"]),
+        "customer_Dim": of("customer"),
         "location_Dim": _locations_of(of("other")),
         "payment_Dim": payment_dim(of("other")),
-        "product_Dim": of("product").select(*_PARTS["product"]),
-        "offer_Dim": offer_dim(of("other")),
+        "product_Dim": of("product"),
+        "offer_Dim": offer_dim(of("other").select(*flags)),
     }
 
 
